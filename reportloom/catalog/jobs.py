@@ -23,7 +23,7 @@ from .aggregates import IN_REGIONS, LABELS_SQL, PROFILE, REGIONS
 from .filters import COHORT, NEWEST_QUARTER, REGION, newest_quarter
 from .registry import MONTHLY, POPULATION, over, query
 from .sources import CHUNKS_SQL, ITEMS_SQL, dated_items, write_feed_file, write_raw
-from .text import SLOTS_SQL, VECTOR_SQL
+from .text import SLOTS_SQL, VECTOR_SQL, documents
 
 COHORT_SQL = """cohort_v AS (SELECT * FROM complaints_v WHERE age_range = '''10 - 19')"""
 LOCAL = "province = 'NATION_3'"
@@ -457,7 +457,6 @@ def e09(spark, sf_dir):
                PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_no) AS rank FROM scored) WHERE rank <= 5""",
 )
 def e10(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    index = rebuild_index(documents, "doc_id", "text", fresh_dir(spark, "index"))
+    index = rebuild_index(documents(spark, sf_dir), "doc_id", "text", fresh_dir(spark, "index"))
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     return answer(index, questions, "doc_id").select("query_id", "doc_id", "chunk_no", "rank")

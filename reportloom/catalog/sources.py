@@ -11,7 +11,7 @@ from ..operators.retrieval import index_documents
 from ..plans.feed_digest import feed_items
 from ..plans.refinery import with_label
 from ..sources.delimited import RAW_SCHEMA, latest_label, newest_drop, read_delimited, read_parts, read_status
-from ..sources.documents import with_sizes
+from ..sources.documents import spread, with_sizes
 from ..sources.feeds import read_feed
 from ..sources.outputs import export_single, write_feed, write_labelled, write_output, write_vectors
 from ..sources.tables import complaints, table
@@ -42,7 +42,7 @@ def write_raw(reports: DataFrame, path: str) -> str:
 def dated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed items from the web pages, one day apart in page order."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("page_id").cast("int"))
-    return feed_items(table(spark, sf_dir, "pages")).withColumn("day", day)
+    return feed_items(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).withColumn("day", day)
 
 
 def feed_rows(items: DataFrame, *more: str) -> DataFrame:
@@ -189,7 +189,7 @@ chunks_v AS (
         SELECT doc_id, count(*) AS chunks, CAST(sum(len(cw)) AS DOUBLE) AS words FROM chunks_v GROUP BY doc_id""",
 )
 def s10(spark, sf_dir):
-    index = index_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
+    index = index_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
     stored = spark.read.parquet(write_vectors(index, fresh_dir(spark, "vectors")))
     words = F.aggregate("embedding", F.lit(0.0), lambda total, v: total + v)
     return stored.groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(words).alias("words"))

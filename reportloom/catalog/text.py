@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.retrieval import index_documents, retrieve
 from ..operators.search import highlight, search, sections, snippet
 from ..plans.feed_digest import feed_items
+from ..sources.documents import spread
 from ..sources.tables import table
 from .registry import query
 from .sources import CHUNKS_SQL, ITEMS_SQL
@@ -22,9 +23,13 @@ search_v AS (SELECT page_id, lower(regexp_extract(html, '(?s)<title>(.*?)</title
 )
 
 
+def documents(spark, sf_dir):
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def search_docs(spark, sf_dir):
     """Pages as search documents: title, first heading, body text."""
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     heading = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
     return feed_items(pages.withColumn("section", heading), "section").withColumnRenamed("description", "text")
 
@@ -51,8 +56,7 @@ def t01(spark, sf_dir):
        ORDER BY doc_id LIMIT 50""",
 )
 def t02(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return search(documents, "thetion and", "doc_id", fuzz=0.1).select("doc_id", "score")
+    return search(documents(spark, sf_dir), "thetion and", "doc_id", fuzz=0.1).select("doc_id", "score")
 
 
 @query(
@@ -69,7 +73,7 @@ def t02(spark, sf_dir):
        UNION ALL SELECT doc_id, text FROM f WHERE found = 0""",
 )
 def t03(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", snippet("text", "tionTH").alias("snippet"))
+    return snippet(documents(spark, sf_dir), "text", "tionTH").drop("text")
 
 
 @query(
@@ -77,7 +81,7 @@ def t03(spark, sf_dir):
     "SELECT doc_id, regexp_replace(text, '(tion|the)', '<mark>\\1</mark>', 'gi') AS marked FROM documents",
 )
 def t04(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", highlight("text", "the tion").alias("marked"))
+    return documents(spark, sf_dir).select("doc_id", highlight("text", "the tion").alias("marked"))
 
 
 SLOTS_SQL = "list_transform({words}, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT % 64)"
@@ -92,7 +96,7 @@ VECTOR_SQL = "list_transform(range(64), lambda d: CAST(len(list_filter(slots, la
                array_to_string(list_transform({VECTOR_SQL}, lambda v: CAST(CAST(v AS INTEGER) AS VARCHAR)), ',') AS vector FROM slots_v""",
 )
 def t05(spark, sf_dir):
-    index = index_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
+    index = index_documents(documents(spark, sf_dir), "doc_id", "text")
     vector = F.array_join(F.col("embedding").cast("array<int>").cast("array<string>"), ",")
     return index.select("doc_id", "chunk_no", "chunk", vector.alias("vector"))
 

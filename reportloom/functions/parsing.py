@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(18,2)"
@@ -11,6 +13,14 @@ def column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once per row.
+
+    A column used inside a lambda is otherwise computed anew for every element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def blank_to_null(c: Column | str) -> Column:
     return F.nullif(F.trim(column(c)), F.lit(""))
 

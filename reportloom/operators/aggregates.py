@@ -119,6 +119,7 @@ def median_profile(df: DataFrame, by: Sequence[str], measure: str, width: float
         .agg(F.count("*").alias("_n"))
         .withColumn("_bucket", F.floor(F.col(measure) / F.lit(width)))
         .withColumn("_all", F.lit(0))
+        .filter("_bucket is not null")  # stated here so that both uses below share one shuffle
     )
     group = ["_all", *by]
     hist = values.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_in"), F.sum(F.col(measure) * F.col("_n")).alias("_sum"))

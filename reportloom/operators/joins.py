@@ -62,21 +62,31 @@ def semi_topk(df: DataFrame, key: str, totals: DataFrame, measure: str, k: int)
 
 
 def grid(left: DataFrame, right: DataFrame, tiles: int = 4) -> DataFrame:
-    """Every combination of two level lists, as an equi-join over `tiles` x `tiles` tiles.
+    """Every combination of two level lists, as an equi-join over `tiles` x `tiles` tiles (a power of two).
 
     Each side is hashed into tiles and copied along the other axis, so the result is spread over
     the cluster and neither list passes through one task.
     """
     axis = F.sequence(F.lit(0), F.lit(tiles - 1))
-    rows = left.withColumn("_i", F.pmod(F.hash(*left.columns), F.lit(tiles))).withColumn("_j", F.explode(axis))
-    cols = right.withColumn("_j", F.pmod(F.hash(*right.columns), F.lit(tiles))).withColumn("_i", F.explode(axis))
+    tile = lambda side: F.hash(*side.columns).bitwiseAND(tiles - 1)
+    rows = left.withColumn("_i", tile(left)).withColumn("_j", F.explode(axis))
+    cols = right.withColumn("_j", tile(right)).withColumn("_i", F.explode(axis))
     return rows.join(cols, ["_i", "_j"]).drop("_i", "_j")
 
 
+def levels(counts: DataFrame, key: str, measure: str = "n") -> DataFrame:
+    """Levels that occur in a table of counts.
+
+    Testing the summed count keeps Catalyst from going back to the base table for them, so the
+    shuffle of the counts is reused.
+    """
+    return counts.groupBy(key).agg(F.sum(measure).alias("_n")).filter("_n > 0").select(key)
+
+
 def complete(counts: DataFrame, a: str, b: str, measure: str = "n") -> DataFrame:
     """Dense two-way table: all (a, b) level pairs, zero where the pair does not occur.
 
     Call it on counts, not on raw rows. The output has |a| x |b| rows by definition.
     """
-    pairs = grid(counts.select(a).distinct(), counts.select(b).distinct())
+    pairs = grid(levels(counts, a, measure), levels(counts, b, measure))
     return pairs.join(counts, [a, b], "left").withColumn(measure, F.coalesce(measure, F.lit(0)))

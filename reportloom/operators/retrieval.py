@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from ..functions.parsing import column
+from ..functions.parsing import column, let
 
 
 def words_of(c: Column | str) -> Column:
@@ -23,16 +23,14 @@ def chunks(df: DataFrame, key: str, text: str, size: int = 200, overlap: int = 2
     The last window ends with the text, so no window is a part of the one before it.
     """
     step = size - overlap
-    words = F.col("_words")
-    count = F.greatest(F.ceil((F.size(words) - overlap) / F.lit(step)), F.lit(1)).cast("int")
-    windows = F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.array_join(F.slice(words, i * step + 1, size), " ")
-    )
-    return (
-        df.filter(F.trim(text) != "")
-        .select(key, words_of(text).alias("_words"))
-        .select(key, F.posexplode(windows).alias("chunk_no", "chunk"))
-    )
+
+    def windows(words: Column) -> Column:
+        count = F.greatest(F.ceil((F.size(words) - overlap) / F.lit(step)), F.lit(1)).cast("int")
+        starts = F.sequence(F.lit(0), count - 1)
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i * step + 1, size), " "))
+
+    texts = df.filter(F.trim(text) != "")
+    return texts.select(key, F.posexplode(let(words_of(text), windows)).alias("chunk_no", "chunk"))
 
 
 def term_slots(c: Column | str, dim: int) -> Column:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import fmt_count, fmt_money
 from ..functions.periods import month_name, quarter_bounds, quarter_label
 from ..operators.aggregates import monthly_by_cat, monthly_summary, sum_by, with_month
 from ..operators.filters import dropna_keys
-from ..operators.joins import semi_topk
 from ..operators.ranking import top_k
 from ..operators.reshape import widen
 from ..operators.windows import peak_divergence, rolling_mean
@@ -79,8 +78,16 @@ def top_categories(quarter: DataFrame, key: str = "fraud_cat", measure: str = "d
 
 
 def category_trend(quarter: DataFrame, key: str = "fraud_cat", measure: str = "dollar_loss", k: int = 3) -> DataFrame:
-    """Monthly loss of the top categories, long form."""
-    return with_month(monthly_by_cat(semi_topk(quarter, key, sum_by(quarter, key, measure), "total", k), key, measure))
+    """Monthly loss of the top categories, long form.
+
+    Categories are ranked on their monthly cells, so the quarter is read once. The ranking keeps
+    only the cells of k categories per task before they meet.
+    """
+    totals = F.sum("total_loss").over(Window.partitionBy(key))
+    place = F.dense_rank().over(Window.orderBy(F.col("_total").desc_nulls_last(), key))
+    cells = monthly_by_cat(quarter, key, measure).withColumn("_total", totals)
+    top = cells.withColumn("_place", place).filter(F.col("_place") <= k).drop("_total", "_place")
+    return with_month(dropna_keys(top, key))
 
 
 def category_matrix(quarter: DataFrame, key: str = "fraud_cat", measure: str = "dollar_loss", k: int = 3) -> DataFrame:

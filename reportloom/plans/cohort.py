@@ -37,8 +37,8 @@ def cohort_share(cohort: DataFrame, region: str, key: str = "sol_method", min_co
 
 def cohort_losses(df: DataFrame, region: str, cohort: str, min_count: int = 100) -> DataFrame:
     """Loss profile of every age group of the region, the cohort marked."""
-    profile = loss_profile(positive(slice_rows(df, province=region), "dollar_loss"), "age_range")
-    profile = not_like(profile, "age_range").filter(F.col("n") > min_count)
+    rows = not_like(positive(slice_rows(df, province=region), "dollar_loss"), "age_range")
+    profile = loss_profile(rows, "age_range").filter(F.col("n") > min_count)
     group = label_if([(F.col("age_range") == cohort, "Cohort")], "Other Ages")
     return rank_desc(profile.withColumn("age_group", group), "avg_loss", "age_range")
 
