@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.numbers import LOSS_EDGES, LOSS_LABELS, bracket_no, change_pct, rate_per, share_pct
 from ..functions.periods import month_start
 from .filters import keep_in, positive
-from .joins import left_dim
+from .joins import left_dim, literal_dim
 
 
 def exact_mean(total: Column, count: Column) -> Column:
@@ -108,7 +108,8 @@ def median_profile(df: DataFrame, by: Sequence[str], measure: str, width: float
     The rows are first folded into (group, value) counts. A histogram of buckets `width` wide then
     tells which bucket holds the middle rank, and only that bucket's values are ranked. A task
     therefore sees one group's histogram or one bucket, never one group's values, however large
-    the group is. `by` may be empty. Null keys and null measures are left out.
+    the group is. Without keys there is always one row, with n = 0 for empty input. Null keys and
+    null measures are left out.
     """
     present = F.col(measure).isNotNull()
     for key in by:
@@ -141,15 +142,11 @@ def median_profile(df: DataFrame, by: Sequence[str], measure: str, width: float
     ranked = values.join(middle, [*group, "_bucket"]).withColumn("_rank", F.col("_before") + F.sum("_n").over(inside))
     low = F.min(F.when(F.col("_rank") >= F.col("_low"), F.col(measure))).cast("double")
     high = F.min(F.when(F.col("_rank") >= F.col("_high"), F.col(measure))).cast("double")
-    return (
-        ranked.groupBy(*group)
-        .agg(
-            exact_mean(F.first("_grand"), F.first("_total")).alias("avg_loss"),
-            ((low + high) / 2).alias("median_loss"),
-            F.first("_grand").alias("total_loss"),
-            F.first("_total").alias("n"),
-        )
-        .drop("_all")
+    return ranked.groupBy(*by).agg(
+        exact_mean(F.first("_grand"), F.first("_total")).alias("avg_loss"),
+        ((low + high) / 2).alias("median_loss"),
+        F.first("_grand").alias("total_loss"),
+        F.coalesce(F.first("_total"), F.lit(0)).alias("n"),
     )
 
 
@@ -174,14 +171,16 @@ def slice_stats(df: DataFrame, measure: str = "dollar_loss") -> DataFrame:
 
 
 def compare_stats(df: DataFrame, condition: Column, measure: str = "dollar_loss") -> DataFrame:
-    """The same profile for a slice and for everything, from one pass.
+    """The same profile for a slice and for everything, from one pass; always two rows.
 
     A row of the slice counts in both groups; its copy meets the partial aggregation in the same
     task, so only folded (group, value) counts are shuffled.
     """
     flagged = df.withColumn("_in", F.coalesce(condition, F.lit(False)))
     groups = F.when(F.col("_in"), F.array(F.lit("slice"), F.lit("all"))).otherwise(F.array(F.lit("all")))
-    return median_profile(flagged.withColumn("scope", F.explode(groups)), ["scope"], measure)
+    profile = median_profile(flagged.withColumn("scope", F.explode(groups)), ["scope"], measure)
+    scopes = literal_dim(df.sparkSession, [("slice",), ("all",)], "scope string")
+    return left_dim(scopes, F.broadcast(profile), "scope").na.fill(0, ["n"])  # two rows at most
 
 
 def share_of_parent(df: DataFrame, condition: Column) -> DataFrame:

@@ -47,6 +47,12 @@ def test_global_and_compared_medians(spark):
     assert both["all"].median_loss == pytest.approx(statistics.median(vs)) and both["all"].n == len(vs)
 
 
+def test_profiles_of_nothing(spark):
+    _, df = random_losses(spark, 0)
+    assert tuple(aggregates.slice_stats(df).first()) == (None, None, None, 0)
+    assert sorted((r.scope, r.n) for r in aggregates.compare_stats(df, F.lit(True)).collect()) == [("all", 0), ("slice", 0)]
+
+
 def test_approximate_median_option(spark):
     rows, df = random_losses(spark, 400)
     hot = [float(v) for g, v in rows if g == "hot" and v is not None]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from types import SimpleNamespace
 
 import pytest
 from conftest import final_plan
@@ -167,17 +168,16 @@ def test_refinery(spark, tmp_path):
     assert everyone.clean.count() == 3
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/shared/place/")
-    try:
-        assert workspace.fresh_dir(spark, "x").startswith("/shared/place/x-")
-        spark.conf.unset("spark.checkpoint.dir")
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
-            assert "reportloom-" in workspace.shared_base(spark)
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+def session_with(settings, master):
+    return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
+
+
+def test_shared_folder_comes_from_the_session():
+    named = session_with({"spark.checkpoint.dir": "/shared/place/"}, "spark://x")
+    assert workspace.fresh_dir(named, "x").startswith("/shared/place/x-")
+    assert "reportloom-" in workspace.shared_base(session_with({}, "local[2]"))
+    with pytest.raises(RuntimeError):
+        workspace.shared_base(session_with({}, "spark://x"))
 
 
 def test_money_text_of_the_raw_file(spark, sf_dir):
