@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions.numbers import decimals_to_double
@@ -281,7 +283,9 @@ def a20(spark, sf_dir):
     ),
 )
 def a21(spark, sf_dir):
-    return period_change(complaints(spark, sf_dir, "date", "fraud_cat"), "fraud_cat", F.year("date"), 1996, 1997)
+    two_years = (dt.date(1996, 1, 1), dt.date(1998, 1, 1))
+    rows = complaints(spark, sf_dir, "date", "fraud_cat", period=two_years)
+    return period_change(rows, "fraud_cat", F.year("date"), 1996, 1997)
 
 
 @query(

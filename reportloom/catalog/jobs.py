@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions.numbers import decimals_to_double
 from ..operators.aggregates import bracket_tail, freq, monthly_summary, per_capita, pooled_rate
-from ..operators.filters import slice_rows
+from ..operators.filters import keep_in, slice_rows
 from ..operators.ranking import sample_head
 from ..plans import cohort as cohorts
 from ..plans import regional
@@ -232,12 +234,16 @@ def e06_age_categories(spark, sf_dir):
 # ---------------------------------------------------------------- cohort
 
 
-def cohort(spark, sf_dir, *wanted):
-    return slice_rows(complaints(spark, sf_dir, "age_range", "province", *wanted), age_range=COHORT)
+def years(first: int, last: int | None = None):
+    return dt.date(first, 1, 1), dt.date((last or first) + 1, 1, 1)
+
+
+def cohort(spark, sf_dir, *wanted, period=None):
+    return slice_rows(complaints(spark, sf_dir, "age_range", "province", *wanted, period=period), age_range=COHORT)
 
 
-def local_cohort(spark, sf_dir, *wanted):
-    return slice_rows(cohort(spark, sf_dir, *wanted), province=REGION)
+def local_cohort(spark, sf_dir, *wanted, period=None):
+    return slice_rows(cohort(spark, sf_dir, *wanted, period=period), province=REGION)
 
 
 def breakdown_sql(key: str) -> str:
@@ -369,7 +375,7 @@ def e08_share(spark, sf_dir):
     ),
 )
 def e08_year_rates(spark, sf_dir):
-    rows = cohort(spark, sf_dir, "date").filter((F.year("date") == 1997) & F.col("province").isin(REGIONS))
+    rows = keep_in(cohort(spark, sf_dir, period=years(1997)), "province", REGIONS)
     return per_capita(rows, population(spark, sf_dir), "province")
 
 
@@ -384,7 +390,7 @@ def e08_year_rates(spark, sf_dir):
     ),
 )
 def e08_pooled(spark, sf_dir):
-    rows = cohort(spark, sf_dir, "date").filter(F.year("date") == 1997)
+    rows = cohort(spark, sf_dir, period=years(1997))
     return pooled_rate(rows, population(spark, sf_dir), "province", REGIONS)
 
 
@@ -416,12 +422,12 @@ def decline_sql(key: str) -> str:
 
 @query("e08_category_decline", over(decline_sql("fraud_cat"), COHORT_SQL))
 def e08_category_decline(spark, sf_dir):
-    return cohorts.cohort_decline(local_cohort(spark, sf_dir, "date", "fraud_cat"), "fraud_cat", 1996, 1997)
+    return cohorts.cohort_decline(local_cohort(spark, sf_dir, "date", "fraud_cat", period=years(1996, 1997)), "fraud_cat", 1996, 1997)
 
 
 @query("e08_method_decline", over(decline_sql("sol_method"), COHORT_SQL))
 def e08_method_decline(spark, sf_dir):
-    return cohorts.cohort_decline(local_cohort(spark, sf_dir, "date", "sol_method"), "sol_method", 1996, 1997)
+    return cohorts.cohort_decline(local_cohort(spark, sf_dir, "date", "sol_method", period=years(1996, 1997)), "sol_method", 1996, 1997)
 
 
 # ---------------------------------------------------------------- feeds and documents

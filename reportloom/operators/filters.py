@@ -87,22 +87,27 @@ def parse_range(text: str) -> tuple[str | None, str | None] | None:
 def range_filter(df: DataFrame, name: str, low=None, high=None, kind: str = "double") -> DataFrame:
     """Inclusive range; a value that is not of `kind` (double, date, timestamp) is left out."""
     source = dict(df.dtypes)[name]
-    value = F.col(name) if source in (kind, "timestamp_ntz", "int", "bigint") else F.col(name).try_cast(kind)
-    bounds = [value.isNotNull()]
+    value = F.col(name).try_cast(kind) if source == "string" else F.col(name)
+
+    def bound(end) -> Column:
+        return F.lit(float(end)) if kind == "double" else F.lit(end).cast(kind if source == "string" else source)
+
+    keep = [value.isNotNull()]
     if low is not None:
-        bounds.append(value >= F.lit(low).cast(kind if source == "string" else source))
+        keep.append(value >= bound(low))
     if high is not None:
-        bounds.append(value <= F.lit(high).cast(kind if source == "string" else source))
-    if kind == "double" and source in ("double", "float", "string"):
-        bounds.append(~F.isnan(value))
-    return df.filter(reduce(and_, bounds))
+        keep.append(value <= bound(high))
+    if source in ("double", "float") or (source == "string" and kind == "double"):
+        keep.append(~F.isnan(value))
+    return df.filter(reduce(and_, keep))
 
 
 def choice_filter(df: DataFrame, name: str, values: Sequence) -> DataFrame:
-    """Multi-select; the value `na` (or None) picks nulls; an empty selection keeps everything."""
+    """Multi-select; None (or `na` on a logical column) picks nulls; an empty selection keeps everything."""
     if not values:
         return df
-    known = [v for v in values if v is not None and v != "na"]
+    absent = (None, "na") if dict(df.dtypes)[name] == "boolean" else (None,)
+    known = [v for v in values if v not in absent]
     wanted = []
     if known:
         wanted.append(F.col(name).isin(known))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -18,7 +19,7 @@ from ..operators.aggregates import (
     rate_trend,
     seasonality,
 )
-from ..operators.filters import matches, not_like, positive, slice_rows
+from ..operators.filters import between_days, matches, not_like, positive, slice_rows
 from ..operators.ranking import rank_desc
 from ..operators.reshape import widen_null
 from ..operators.windows import pct_total, yoy
@@ -72,8 +73,9 @@ def cohort_rates_wide(cohort: DataFrame, dim: DataFrame, regions: Sequence[str],
 
 
 def cohort_decline(cohort: DataFrame, key: str, before: int, after: int, day: str = "date") -> DataFrame:
-    """Change per level between two years, steepest decline first."""
-    change = period_change(cohort, key, F.year(day), before, after)
+    """Change per level between two years, steepest decline first; only their date range is read."""
+    first, last = dt.date(min(before, after), 1, 1), dt.date(max(before, after) + 1, 1, 1)
+    change = period_change(between_days(cohort, day, first, last), key, F.year(day), before, after)
     severity = label_if(
         [
             (F.col("change_pct") < -70, "Major Decline (>70%)"),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from conftest import final_plan
 from hypothesis import HealthCheck, given, settings
@@ -20,7 +21,10 @@ def test_sentinel_drops_nulls_too(spark):
 def test_choice_filter(spark):
     rows = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
     pick = lambda values: sorted((r.c or "-") for r in filters.choice_filter(rows, "c", values).collect())
-    assert pick([]) == ["-", "a", "b"] and pick(["a"]) == ["a"] and pick(["na", "b"]) == ["-", "b"] and pick([None]) == ["-"]
+    assert pick([]) == ["-", "a", "b"] and pick(["a"]) == ["a"] and pick([None, "b"]) == ["-", "b"] and pick([None]) == ["-"]
+    assert pick(["na"]) == []
+    flags = spark.createDataFrame([(True,), (False,), (None,)], "f boolean")
+    assert filters.choice_filter(flags, "f", [True, "na"]).count() == 2
 
 
 def test_range_filter_skips_text(spark):
@@ -30,6 +34,14 @@ def test_range_filter_skips_text(spark):
     assert filters.parse_range("15") is None
 
 
+def test_range_bounds_are_not_rounded_to_the_column(spark):
+    rows = spark.createDataFrame([(1, Decimal("1.00")), (2, Decimal("1.01"))], "n int, m decimal(18,2)")
+    assert [r.n for r in filters.range_filter(rows, "n", 1.5).collect()] == [2]
+    assert [r.n for r in filters.range_filter(rows, "m", None, 1.005).collect()] == [1]
+    days = spark.createDataFrame([(dt.date(2025, 1, 1),), (dt.date(2025, 1, 2),), (None,)], "d date")
+    assert filters.range_filter(days, "d", "2025-01-02", kind="date").count() == 1
+
+
 def test_plain_search_needs_all_words(spark):
     rows = spark.createDataFrame([("Big Red fox",), ("red",), ("big",)], "t string")
     assert filters.column_search(rows, "t", "red BIG", regex=False).count() == 1
