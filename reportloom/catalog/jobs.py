@@ -134,7 +134,7 @@ def e04(spark, sf_dir):
     reports = complaints(spark, sf_dir, "id", "date", "dollar_loss", "num_victims")
     filed = spark.read.parquet(write_labelled(with_label(reports), f"{base}/labelled"))
     merged = monthly_summary(latest_label(filed))
-    export_single(merged, f"{base}/download")
+    export_single(merged, f"{base}/download", "year", "month")
     download = read_parts(spark, f"{base}/download", schema="year int, month int, total_loss double, total_victims bigint")
     return sample_head(download, "year", "month")
 

@@ -7,6 +7,7 @@ gather a group's values in one place (see `median_profile`).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -102,30 +103,29 @@ def margins(df: DataFrame, a: str, b: str) -> DataFrame:
 # ---------------------------------------------------------------- medians
 
 
-def median_profile(df: DataFrame, by: Sequence[str], measure: str, width: float = 10000) -> DataFrame:
+def median_profile(
+    df: DataFrame, by: Sequence[str], measure: str, width: float = 10000, few: int = 10000
+) -> DataFrame:
     """Mean, exact median, total and count per group.
 
-    The rows are first folded into (group, value) counts. A histogram of buckets `width` wide then
-    tells which bucket holds the middle rank, and only that bucket's values are ranked. A task
-    therefore sees one group's histogram or one bucket, never one group's values, however large
-    the group is. Without keys there is always one row, with n = 0 for empty input. Null keys and
-    null measures are left out.
+    A first pass counts and sums buckets `width` wide, which partial aggregation makes small; it
+    tells which bucket of each group holds the middle rank. A second pass keeps only the rows of
+    those buckets, folds equal values to counts and ranks them. No task gathers a group, and only
+    the middle buckets' rows are shuffled, however large a group is. With at most `few` middle
+    buckets (checked; there are one or two per group) they are broadcast and bound the second scan;
+    with more of them the rows are joined to them by shuffle.
+
+    Without keys there is always one row, with n = 0 for empty input. Null keys and null measures
+    are left out.
     """
     present = F.col(measure).isNotNull()
     for key in by:
         present = present & F.col(key).isNotNull()
-    values = (
-        df.filter(present)
-        .groupBy(*by, measure)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_bucket", F.floor(F.col(measure) / F.lit(width)))
-        .withColumn("_all", F.lit(0))
-        .filter("_bucket is not null")  # stated here so that both uses below share one shuffle
-    )
-    group = ["_all", *by]
-    hist = values.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_in"), F.sum(F.col(measure) * F.col("_n")).alias("_sum"))
-    running = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*group)
+    bucket = F.floor(F.col(measure).cast("double") / F.lit(float(width)))
+    rows = df.filter(present).select(*by, measure, bucket.alias("_bucket"))
+    hist = rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_in"), F.sum(measure).alias("_sum"))
+    whole = Window.partitionBy(*by)
+    running = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = (
         hist.withColumns(
             {
@@ -136,10 +136,24 @@ def median_profile(df: DataFrame, by: Sequence[str], measure: str, width: float
         )
         .withColumns({"_low": F.expr("(_total + 1) div 2"), "_high": F.expr("_total div 2 + 1")})
         .filter("_upto >= _low and _upto - _in < _high")
-        .select(*group, "_bucket", (F.col("_upto") - F.col("_in")).alias("_before"), "_total", "_grand", "_low", "_high")
+        .select(*by, "_bucket", (F.col("_upto") - F.col("_in")).alias("_before"), "_total", "_grand", "_low", "_high")
+    )
+    found = middle.limit(few + 1).collect()
+    if len(found) <= few:
+        middle = F.broadcast(df.sparkSession.createDataFrame(found, middle.schema))
+        if found:
+            buckets = [row["_bucket"] for row in found]
+            # One bucket to spare on either side; whole numbers compare with decimals without a cast.
+            low, high = math.floor((min(buckets) - 1) * width), math.ceil((max(buckets) + 2) * width)
+            rows = rows.filter(F.col(measure).between(low, high))
+    marks = ["_before", "_total", "_grand", "_low", "_high"]
+    inside = Window.partitionBy(*by, "_bucket").orderBy(measure).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (
+        rows.join(middle, [*by, "_bucket"])
+        .groupBy(*by, "_bucket", measure, *marks)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_rank", F.col("_before") + F.sum("_n").over(inside))
     )
-    inside = Window.partitionBy(*group, "_bucket").orderBy(measure).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = values.join(middle, [*group, "_bucket"]).withColumn("_rank", F.col("_before") + F.sum("_n").over(inside))
     low = F.min(F.when(F.col("_rank") >= F.col("_low"), F.col(measure))).cast("double")
     high = F.min(F.when(F.col("_rank") >= F.col("_high"), F.col(measure))).cast("double")
     return ranked.groupBy(*by).agg(
@@ -174,7 +188,7 @@ def compare_stats(df: DataFrame, condition: Column, measure: str = "dollar_loss"
     """The same profile for a slice and for everything, from one pass; always two rows.
 
     A row of the slice counts in both groups; its copy meets the partial aggregation in the same
-    task, so only folded (group, value) counts are shuffled.
+    task.
     """
     flagged = df.withColumn("_in", F.coalesce(condition, F.lit(False)))
     groups = F.when(F.col("_in"), F.array(F.lit("slice"), F.lit("all"))).otherwise(F.array(F.lit("all")))

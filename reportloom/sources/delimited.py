@@ -18,10 +18,17 @@ def all_strings(names: Sequence[str]) -> StructType:
 RAW_SCHEMA = all_strings([*CLEAN_NAMES, *FRENCH_COLUMNS])
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = "\t", schema: StructType | None = None) -> DataFrame:
-    """Header line, every column a string. Without a schema the names come from the header."""
+def read_delimited(
+    spark: SparkSession, path: str, sep: str = "\t", schema: StructType | None = None, glob: str = "*"
+) -> DataFrame:
+    """Header line, every column a string, folders read at any depth.
+
+    Without a schema the names come from the header of one file. A file whose header differs from
+    the schema is an error, never a silent shift of columns.
+    """
     reader = spark.read.option("header", True).option("sep", sep)
-    return (reader.schema(schema).option("enforceSchema", False) if schema else reader).csv(path)
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return reader.option("enforceSchema", False).schema(schema or reader.csv(path).schema).csv(path)
 
 
 def _files(spark: SparkSession, folder: str, glob: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.periods import quarter_label
 from ..operators.aggregates import monthly_summary
 from ..operators.cleaning import clean_reports
-from ..sources.delimited import RAW_SCHEMA
+from ..sources.delimited import read_delimited
 
 UNDATED = "undated"
 
@@ -50,8 +50,9 @@ def refresh_summaries(
         _replace(monthly_summary(changed, "date", "label"), f"{out}/monthly")
 
     stream = (
-        spark.readStream.schema(RAW_SCHEMA)
+        spark.readStream.schema(read_delimited(spark, src, glob=glob).schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("sep", "\t")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)

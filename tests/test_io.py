@@ -37,6 +37,23 @@ def test_raw_file_round_trip(spark, tmp_path):
     assert len(delimited.read_delimited(spark, str(tmp_path / "b.tsv")).columns) == 19
 
 
+def test_differing_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "1.tsv").write_text("a\tb\n1\t2\n")
+    (tmp_path / "2.tsv").write_text("b\ta\n1\t2\n")
+    with pytest.raises(Exception, match="header"):
+        delimited.read_delimited(spark, str(tmp_path)).collect()
+
+
+def test_refresh_reads_columns_by_name(spark, tmp_path):
+    raw = raw_reports(reports(spark, report(dt.date(2025, 2, 1), 3, 1)))
+    turned = raw.select(*reversed(raw.columns))
+    turned.write.option("header", True).option("sep", "\t").csv(str(tmp_path / "in" / "a"))
+    run = (str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    refresh_summaries(spark, *run)
+    row = read_monthly(spark, run[1]).first()
+    assert (row.label, row.total_victims, float(row.total_loss)) == ("2025_Q1", 3, 10.0)
+
+
 def test_newest_file(spark, tmp_path):
     (tmp_path / "deep").mkdir()
     (tmp_path / "deep" / "old.tsv").write_text("a")
@@ -68,7 +85,10 @@ def test_export_is_one_file_or_several(spark, tmp_path):
     df = spark.range(25).repartition(3)
     assert outputs.export_single(df, str(tmp_path / "one")) == 25
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
-    outputs.export_single(df, str(tmp_path / "many"), max_rows=4)
+    outputs.export_single(df, str(tmp_path / "sorted"), "id")
+    (whole,) = (tmp_path / "sorted").glob("*.csv")
+    assert whole.read_text().split() == ["id", *map(str, range(25))]
+    outputs.export_single(df, str(tmp_path / "many"), "id", max_rows=4)
     files = list((tmp_path / "many").glob("*.csv"))
     assert len(files) > 3 and all(len(f.read_text().splitlines()) <= 5 for f in files)
     assert delimited.read_parts(spark, str(tmp_path / "many")).count() == 25
@@ -108,7 +128,7 @@ def test_published_feed_keeps_the_newest(spark, tmp_path):
     rows = [(f"t{i}", f"l{i}", i) for i in range(30)]
     outputs.write_feed(spark.createDataFrame(rows, "title string, link string, n int"), str(tmp_path / "f"), "n", "link")
     got = feeds.read_feed(spark, str(tmp_path / "f"), channel_date=False)
-    assert sorted(r.item_link for r in got.collect()) == sorted(f"l{i}" for i in range(10, 30))
+    assert [r.item_link for r in got.collect()] == [f"l{i}" for i in range(29, 9, -1)]
 
 
 def test_feed_history_takes_unseen_links_only(spark, tmp_path):
