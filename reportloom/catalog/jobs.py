@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.numbers import decimals_to_double
-from ..operators.aggregates import bracket_tail, freq, monthly_summary, per_capita, pooled_rate
+from ..operators.aggregates import bracket_tail, monthly_summary, per_capita, pooled_rate
 from ..operators.filters import keep_in, slice_rows
 from ..operators.ranking import sample_head
 from ..plans import cohort as cohorts

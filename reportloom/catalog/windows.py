@@ -128,8 +128,28 @@ def w06(spark, sf_dir):
     return decimals_to_double(peak_divergence(monthly, "total_loss", "total_victims", "month_date"))
 
 
-@query("w07_loess")
+@query(
+    "w07_loess",
+    over(
+        """SELECT fraud_cat, day_no, total_victims,
+                  round((t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2))
+                        / (s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2)), 4) AS trend
+           FROM (SELECT fraud_cat, here AS day_no, any_value(own) AS total_victims, sum(w) AS s0, sum(w * d) AS s1,
+                        sum(w * d * d) AS s2, sum(w * d * d * d) AS s3, sum(w * d * d * d * d) AS s4,
+                        sum(w * y) AS t0, sum(w * d * y) AS t1, sum(w * d * d * y) AS t2
+                 FROM (SELECT *, CASE WHEN gap < reach THEN pow(1 - pow(gap / reach, 3), 3) ELSE 0 END AS w FROM near_v)
+                 GROUP BY 1, 2)""",
+        """points_v AS (SELECT fraud_cat, CAST(m - DATE '1970-01-01' AS INTEGER) AS x, CAST(sum(num_victims) AS DOUBLE) AS y
+             FROM (SELECT *, CAST(date_trunc('month', date) AS DATE) AS m FROM complaints_v) GROUP BY 1, 2)""",
+        """pairs_v AS (SELECT a.fraud_cat, a.x AS here, a.y AS own, b.y, (b.x - a.x) / 1000.0::DOUBLE AS d,
+             abs(b.x - a.x) / 1000.0::DOUBLE AS gap, row_number() OVER (PARTITION BY a.fraud_cat, a.x ORDER BY abs(b.x - a.x)) AS place,
+             CAST(floor(0.75 * count(*) OVER (PARTITION BY a.fraud_cat, a.x) + 0.00001) AS BIGINT) AS k
+             FROM points_v a JOIN points_v b ON a.fraud_cat = b.fraud_cat)""",
+        """near_v AS (SELECT *, max(CASE WHEN place = k THEN gap END) OVER (PARTITION BY fraud_cat, here) AS reach FROM pairs_v)""",
+    ),
+)
 def w07(spark, sf_dir):
     monthly = with_month(monthly_summary(complaints(spark, sf_dir, *KEYS, "fraud_cat"), "date", "fraud_cat"))
     points = monthly.select("fraud_cat", F.unix_date("month_date").alias("day_no"), F.col("total_victims").cast("double"))
-    return loess(points, "day_no", "total_victims", by="fraud_cat")
+    smooth = loess(points, "day_no", "total_victims", by="fraud_cat")
+    return smooth.withColumn("trend", F.round("trend", 4))

@@ -39,7 +39,10 @@ def to_day(c: Column | str, pattern: str = "yyyy-MM-dd") -> Column:
 
 
 def to_feed_time(c: Column | str) -> Column:
-    """RFC-822 text to timestamp; the weekday is cut off first because Spark refuses to parse it."""
-    text = F.trim(column(c))
+    """RFC-822 text to timestamp.
+
+    The weekday is cut off first because Spark refuses to parse it; named UTC becomes an offset.
+    """
+    text = F.regexp_replace(F.trim(column(c)), "(GMT|UTC|UT|Z)$", "+0000")
     undated = F.when(F.instr(text, ",") > 0, F.ltrim(F.substring_index(text, ",", -1)))
     return F.try_to_timestamp(undated.otherwise(text), F.lit("d MMM yyyy HH:mm:ss Z"))

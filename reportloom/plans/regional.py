@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import label_if, rate_per
-from ..operators.aggregates import contribution, cross_freq, freq, rate_ratio, slice_vs_all
+from ..operators.aggregates import contribution, cross_freq, freq, rate_ratio
 from ..operators.filters import keep_in, matches, not_like, slice_rows
 from ..operators.joins import grid
 from ..operators.ranking import rank_desc, top_k
@@ -60,8 +60,3 @@ def region_age_categories(df: DataFrame, region: str, ages: Sequence[str], categ
     """Percent of each age group per category, for chosen groups and categories."""
     cells = row_pct(cross_freq(slice_rows(df, province=region), "age_range", "fraud_cat"), "age_range")
     return keep_in(keep_in(cells, "age_range", ages), "fraud_cat", categories)
-
-
-def region_overview(df: DataFrame, region: str) -> DataFrame:
-    """Rows of the region and overall, per category."""
-    return slice_vs_all(df, matches(province=region), "fraud_cat")

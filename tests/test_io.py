@@ -146,6 +146,21 @@ def test_feed_history_takes_unseen_links_only(spark, tmp_path):
     assert sorted(r.item_link for r in history.collect()) == [f"http://x/{n}" for n in (1, 2, 3, 4)]
 
 
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    run = (str(src), str(tmp_path / "history"), str(tmp_path / "checkpoint"))
+    for n, links in enumerate([(1, 2), (2, 3)]):
+        (src / f"feed_{n}.xml").write_text(feed(*links))
+        ingest_feed(spark, *run)
+    # As after a failure between writing the batch and committing it.
+    (tmp_path / "checkpoint" / "commits" / "1").unlink()
+    (tmp_path / "checkpoint" / "commits" / ".1.crc").unlink(missing_ok=True)
+    ingest_feed(spark, *run)
+    rows = sorted((r.item_link, r.batch) for r in read_history(spark, run[1]).collect())
+    assert rows == [("http://x/1", 0), ("http://x/2", 0), ("http://x/3", 1)]
+
+
 def report(day, victims, i, country="Canada"):
     return (i, day, country, "ON", "c", "m", "F", "'10 - 19", victims, 10.0)
 
