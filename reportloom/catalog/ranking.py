@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions.numbers import decimals_to_double
 from ..operators.aggregates import freq, monthly_summary, sum_by
 from ..operators.ranking import order_periods, page, page_after, rank_desc, recent, sample_head, top_k
 from ..plans.bulletin import top_categories
+from ..plans.site_search import listing
 from ..sources.tables import complaints, table
 from .filters import NEWEST_QUARTER, newest_quarter
 from .registry import MONTHLY, over, query
@@ -58,6 +61,16 @@ def l05(spark, sf_dir):
     return recent(table(spark, sf_dir, "events").select("event_id", "ts", "event_type"), "ts", "event_id")
 
 
+@query(
+    "l05_listing",
+    """SELECT p_partkey, p_name, p_retailprice FROM part WHERE list_contains(string_split(p_name, ' '), 'small')
+       ORDER BY p_retailprice DESC, p_partkey""",
+)
+def l05_listing(spark, sf_dir):
+    items = table(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ").alias("tags"), "p_name", "p_retailprice")
+    return listing(items, "tags", "small", "p_retailprice", "p_partkey").drop("tags")
+
+
 @query("l06_page", "SELECT event_id, user_id, value FROM events ORDER BY user_id, event_id LIMIT 25 OFFSET 50")
 def l06(spark, sf_dir):
     return page(table(spark, sf_dir, "events").select("event_id", "user_id", "value"), ["user_id", "event_id"], 3, 25)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.retrieval import index_documents, retrieve
 from ..operators.search import highlight, search, sections, snippet
 from ..plans.feed_digest import feed_items
+from ..plans.site_search import search_site
 from ..sources.documents import spread
 from ..sources.tables import table
 from .registry import query
@@ -46,6 +47,39 @@ def t01(spark, sf_dir):
     return search(search_docs(spark, sf_dir), "Heon", "page_id").select("page_id", "score")
 
 
+SITE_SQL = (
+    PAGES_SQL
+    + """,
+hits_v AS (SELECT page_id, CAST(row_number() OVER (ORDER BY score DESC, page_id) AS INTEGER) AS place, score, url, item_description AS text
+  FROM (SELECT page_id, CAST(CASE WHEN contains(title, 'heon') THEN 20 ELSE 0 END + CASE WHEN contains(section, 'heon') THEN 20 ELSE 0 END
+          + CASE WHEN contains(body, 'heon') THEN 10 ELSE 0 END AS INTEGER) AS score FROM search_v)
+       JOIN pages USING (page_id) JOIN items_v USING (page_id)
+  WHERE score > 0 ORDER BY score DESC, page_id LIMIT 50),
+found_v AS (SELECT *, split_part(url, '#', 1) AS base, instr(lower(text), 'heon') AS found FROM hits_v),
+marked_v AS (SELECT *, base || CASE WHEN instr(base, '?') > 1 THEN '&' ELSE '?' END || 'q=heon' AS document, substr(url, length(base) + 1) AS anchor,
+  substr(text, 1, found - 1) AS head, substr(text, 1, found - 1) || '<mark class=''search-match''>' || substr(text, found, 4)
+  || '</mark>' || substr(text, found + 4) AS marked FROM found_v),
+start_v AS (SELECT *, CASE WHEN found - 1 < 50 THEN 0
+  ELSE found - 1 - length(split_part(split_part(split_part(head, ' ', -1), ',', -1), ':', -1)) END AS start FROM marked_v),
+rest_v AS (SELECT *, length(marked) AS size, start + 234 AS reach, substr(marked, start + 235) AS rest FROM start_v),
+run_v AS (SELECT *, length(split_part(split_part(split_part(rest, ' ', 1), ',', 1), ':', 1)) AS run FROM rest_v)"""
+)
+
+
+@query(
+    "t01_site_search",
+    f"""WITH {SITE_SQL}
+        SELECT page_id, place, score, document || anchor AS link, document, count(*) OVER (PARTITION BY document) AS hits,
+               CASE WHEN found = 0 THEN text ELSE substr(marked, start + 1, CASE WHEN reach > size THEN size
+                 WHEN run < length(rest) THEN reach + run ELSE size - 1 END - start)
+                 || CASE WHEN reach <= size AND run < length(rest) THEN '…' ELSE '' END END AS snippet FROM run_v""",
+)
+def t01_site(spark, sf_dir):
+    docs = search_docs(spark, sf_dir).withColumnRenamed("link", "href")
+    found = search_site(docs, "heon", "page_id")
+    return found.select("page_id", "place", "score", "link", "document", "hits", "snippet")
+
+
 @query(
     "t02_search_fuzzy",
     """WITH d AS (SELECT doc_id, lower(text) AS t, string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ') AS w FROM documents),

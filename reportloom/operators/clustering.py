@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,6 +14,10 @@ def _features(df: DataFrame, x: str, y: str) -> DataFrame:
     return VectorAssembler(inputCols=[x, y], outputCol="features").transform(df.dropna(subset=[x, y]))
 
 
+def _fit(featured: DataFrame, k: int, seed: int) -> KMeansModel:
+    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", maxIter=20).fit(featured)
+
+
 def _one_centre(df: DataFrame, x: str, y: str):
     """Spark refuses k = 1; the single centre is the mean and the cost the summed squared distance."""
     stats = df.dropna(subset=[x, y]).agg(
@@ -30,16 +34,16 @@ def kmeans(df: DataFrame, x: str, y: str, k: int = 3, seed: int = 1) -> tuple[Da
         centre = _one_centre(df, x, y)
         return df.dropna(subset=[x, y]).withColumn("cluster", F.lit(0)), [(centre.x, centre.y)], centre.cost
     featured = _features(df, x, y)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", maxIter=20).fit(featured)
+    model = _fit(featured, k, seed)
     centres = [tuple(float(v) for v in c) for c in model.clusterCenters()]
     return model.transform(featured).drop("features"), centres, model.summary.trainingCost
 
 
 def kmeans_sweep(df: DataFrame, x: str, y: str, ks: Iterable[int] = range(1, 10), seed: int = 1) -> DataFrame:
-    """Cost per k, to choose one. The two columns are read once and reused by every fit."""
-    points = df.select(x, y).dropna().persist(StorageLevel.MEMORY_AND_DISK)
+    """Cost per k, to choose one. The assembled points are kept, so every fit works on the same copy."""
+    points = _features(df.select(x, y), x, y).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = [(k, float(kmeans(points, x, y, k, seed)[2])) for k in ks]
+        rows = [(k, float(_one_centre(points, x, y).cost if k == 1 else _fit(points, k, seed).summary.trainingCost)) for k in ks]
     finally:
         points.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, cost double")

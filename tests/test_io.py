@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 from types import SimpleNamespace
 
@@ -13,6 +14,7 @@ from reportloom.catalog.sources import raw_reports, write_raw
 from reportloom.operators.cleaning import CLEAN_NAMES, FRENCH_COLUMNS
 from reportloom.plans.feed_digest import digest
 from reportloom.plans.refinery import refine, with_label
+from reportloom.plans.site_search import read_search_docs, search_site
 from reportloom.sources import delimited, documents, feeds, outputs
 from reportloom.sources.tables import complaints
 from reportloom.streaming.feed_history import ingest_feed, read_history
@@ -124,6 +126,23 @@ def test_feeds(spark, tmp_path):
     ]
 
 
+def test_site_search_over_json(spark, tmp_path):
+    docs = [
+        {"title": "Loss report", "section": "", "text": "a loss", "href": "p.html", "crumbs": ["Home"]},
+        {"title": "x", "section": "Losses", "text": "no hit", "href": "p.html#s?x"},
+        {"title": "x", "section": "x", "text": "x", "href": "q.html"},
+    ]
+    (tmp_path / "search.json").write_text(json.dumps(docs))
+    found = search_site(read_search_docs(spark, str(tmp_path / "search.json")), "loss").orderBy("position").collect()
+    assert [(r.link, r.row_type, r.score, r.hits) for r in found] == [
+        ("p.html?q=loss", "document", 30, 2),
+        ("p.html?q=loss#s?x", "item", 20, 2),
+    ]
+    assert found[0].snippet == "a <mark class='search-match'>loss</mark>" and found[0].crumbs == ["Home"]
+    (tmp_path / "search.jsonl").write_text("\n".join(map(json.dumps, docs)))
+    assert read_search_docs(spark, str(tmp_path / "search.jsonl")).count() == 3
+
+
 def test_published_feed_keeps_the_newest(spark, tmp_path):
     rows = [(f"t{i}", f"l{i}", i) for i in range(30)]
     outputs.write_feed(spark.createDataFrame(rows, "title string, link string, n int"), str(tmp_path / "f"), "n", "link")
