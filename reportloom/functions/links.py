@@ -18,7 +18,7 @@ def escape_html(c: Column | str) -> Column:
 
 
 def link_html(title: Column | str, url: Column | str) -> Column:
-    """Anchor cell opening in a new tab; title and address are escaped."""
+    """Anchor cell opening in a new tab, in a fixed format; title and address are escaped."""
     title, url = escape_html(title), escape_html(url)
     return F.concat(
         F.lit("<a target='_blank' title='"), title, F.lit("' href='"), url, F.lit("' rel='noopener'>"), title, F.lit("</a>")

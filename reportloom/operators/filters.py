@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.parsing import column
 from ..functions.periods import quarter_bounds
 
+# Fixed value: how the reports spell a missing answer, in both languages.
 NOT_AVAILABLE = "Not Available|non disponible"
 
 

@@ -114,8 +114,9 @@ def retrieve(
     matrix products and keeps k rows per query, so only tasks x queries x k rows are shuffled. More
     queries are matched block against block: both sides are cut into hashed blocks of bounded
     size, each pair of blocks is one group, and again only k rows per query leave a group. Both
-    ways are exact.
+    ways are exact. Rows and queries without a vector are left out.
     """
+    vectors, queries = vectors.filter(F.col(vector).isNotNull()), queries.filter(F.col(vector).isNotNull())
     few = queries.select(query_id, vector).limit(max_broadcast + 1).collect()
     id_type = {f.name: f.dataType.simpleString() for f in (*vectors.schema, *queries.schema)}
     schema = ", ".join(f"`{c}` {id_type[c]}" for c in [*ids, query_id]) + ", score double"

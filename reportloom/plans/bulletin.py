@@ -28,20 +28,17 @@ def latest_quarter(df: DataFrame, day: str = "date") -> tuple:
     return quarter_bounds(newest.year, (newest.month - 1) // 3 + 1)
 
 
+# Wording of the bulletin.
+NARRATIVE = (
+    "In %s, the %s recorded its highest monthly financial loss in %s at %s. "
+    "The month with the largest number of reported victims was %s, with %s individuals impacted. "
+    "This quarter shows %s, highlighting potential changes in fraud targeting patterns."
+)
+
+
 def narrative(publisher: str) -> Column:
-    """Fixed format of the bulletin's text."""
-    return F.format_string(
-        "In %s, the %s recorded its highest monthly financial loss in %s at %s. "
-        "The month with the largest number of reported victims was %s, with %s individuals impacted. "
-        "This quarter shows %s, highlighting potential changes in fraud targeting patterns.",
-        F.col("label"),
-        F.lit(publisher),
-        F.col("loss_month"),
-        F.col("peak_loss"),
-        F.col("victims_month"),
-        F.col("peak_victims"),
-        F.when(F.col("divergence") == "parallel spike", "a parallel spike").otherwise("a strong divergence"),
-    )
+    facts = [F.col(c) for c in ("loss_month", "peak_loss", "victims_month", "peak_victims")]
+    return F.format_string(NARRATIVE, F.col("label"), F.lit(publisher), *facts, F.concat(F.lit("a "), "divergence"))
 
 
 def bulletin_facts(df: DataFrame, publisher: str = "reporting centre") -> DataFrame:

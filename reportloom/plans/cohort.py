@@ -24,6 +24,10 @@ from ..operators.ranking import rank_desc
 from ..operators.reshape import widen_null
 from ..operators.windows import pct_total, yoy
 
+# Names of declines below a percent change, steepest first, and of the rest.
+DECLINES = ((-70, "Major Decline (>70%)"), (-50, "Large Decline (50-70%)"))
+OTHER_DECLINE = "Moderate Decline (<50%)"
+
 
 def cohort_breakdown(cohort: DataFrame, key: str, min_count: int = 50) -> DataFrame:
     """Count and percent per level; percentages are over all levels, small ones are dropped after."""
@@ -76,11 +80,5 @@ def cohort_decline(cohort: DataFrame, key: str, before: int, after: int, day: st
     """Change per level between two years, steepest decline first; only their date range is read."""
     first, last = dt.date(min(before, after), 1, 1), dt.date(max(before, after) + 1, 1, 1)
     change = period_change(between_days(cohort, day, first, last), key, F.year(day), before, after)
-    severity = label_if(
-        [
-            (F.col("change_pct") < -70, "Major Decline (>70%)"),
-            (F.col("change_pct") < -50, "Large Decline (50-70%)"),
-        ],
-        "Moderate Decline (<50%)",
-    )
+    severity = label_if([(F.col("change_pct") < bound, name) for bound, name in DECLINES], OTHER_DECLINE)
     return rank_desc(change.withColumn("severity", severity), "change_pct", key, ascending=True)

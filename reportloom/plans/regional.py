@@ -13,6 +13,9 @@ from ..operators.joins import grid
 from ..operators.ranking import rank_desc, top_k
 from ..operators.windows import row_pct
 
+# Names of the two sides of a rate ratio of one.
+ABOVE, BELOW = "Above National", "Below National"
+
 
 def heat_table(df: DataFrame, a: str = "province", b: str = "fraud_cat", top_a: int = 8, top_b: int = 10) -> DataFrame:
     """Dense counts and row percentages of the largest `a` levels against the largest `b` levels.
@@ -36,7 +39,7 @@ def region_categories(df: DataFrame, dim: DataFrame, region: str, k: int = 10) -
     ratios = rate_ratio(
         df, matches(province=region), "fraud_cat", population_of(dim, "province", region), population_of(dim)
     )
-    level = label_if([(F.col("rate_ratio") > 1, "Above National")], "Below National")
+    level = label_if([(F.col("rate_ratio") > 1, ABOVE)], BELOW)
     return top_k(ratios.withColumn("level", level), "slice_rate", k, "fraud_cat")
 
 

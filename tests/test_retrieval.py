@@ -27,6 +27,8 @@ def test_retrieve_both_ways_against_brute_force(spark, max_broadcast):
     queries = {q: rng.normal(size=8).round(3) for q in range(9)} | {9: vectors[7]}
     table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vectors.items()], "id int, embedding array<double>").repartition(5)
     asked = spark.createDataFrame([(q, [float(x) for x in v]) for q, v in queries.items()], "query_id int, embedding array<double>")
+    table = table.union(spark.createDataFrame([(999, None)], table.schema))
+    asked = asked.union(spark.createDataFrame([(99, None)], asked.schema))
     rows = retrieval.retrieve(table, asked, 6, ["id"], max_broadcast=max_broadcast, block_rows=40).orderBy("query_id", "rank").collect()
     got = {}
     for r in rows:
