@@ -324,7 +324,7 @@ def a24(spark, sf_dir):
     """WITH hits AS (SELECT doc_id, '/' || source || CASE WHEN n_chars < 400 THEN '' ELSE '#' || doc_id END AS href
                      FROM documents WHERE contains(lower(text), 'tion')),
             placed AS (SELECT *, split_part(href, '#', 1) AS document, instr(href, '#') = 0 AS is_document FROM hits),
-            ranked AS (SELECT *, row_number() OVER (PARTITION BY document ORDER BY is_document DESC, doc_id) AS position,
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY document ORDER BY is_document DESC, CASE WHEN is_document THEN -doc_id ELSE doc_id END) AS position,
                               count(*) OVER (PARTITION BY document) AS hits FROM placed)
        SELECT document, doc_id, href, is_document, CAST(position AS INTEGER) AS position, hits,
               CASE WHEN position = 1 THEN 'document' ELSE 'item' END AS row_type, greatest(hits - 3, 0) AS remaining

@@ -118,6 +118,14 @@ def t04(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", highlight("text", "the tion").alias("marked"))
 
 
+@query(
+    "t04_highlight_phrase",
+    "SELECT doc_id, regexp_replace(text, '(tion the)', '<mark>\\1</mark>', 'gi') AS marked FROM documents",
+)
+def t04_phrase(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", highlight("text", "tion the", phrase=True).alias("marked"))
+
+
 SLOTS_SQL = "list_transform({words}, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT % 64)"
 VECTOR_SQL = "list_transform(range(64), lambda d: CAST(len(list_filter(slots, lambda s: s = d)) AS DOUBLE))"
 

@@ -99,9 +99,9 @@ def snippet(df: DataFrame, text: str, query: str, name: str = "snippet") -> Data
     )
 
 
-def highlight(c: Column | str, query: str) -> Column:
-    """Mark every hit of every whitespace-separated word of the query, longest words first."""
-    words = sorted(set(query.split()), key=lambda w: (-len(w), w))
+def highlight(c: Column | str, query: str, phrase: bool = False) -> Column:
+    """Mark every hit of every whitespace-separated word of the query, longest first, or of the query as a whole."""
+    words = [query] if phrase and query else sorted(set(query.split()), key=lambda w: (-len(w), w))
     if not words:
         return column(c)
     pattern = "(?iu)(" + "|".join(re.escape(w) for w in words) + ")"
@@ -117,8 +117,8 @@ def sections(df: DataFrame, key: str, text: str, heading: str | None = None) ->
 def group_hits(hits: DataFrame, href: str, order: str, collapse_after: int = 3, salts: int = 32) -> DataFrame:
     """Hits per document: the document row first, `collapse_after` rows shown, the rest counted.
 
-    A hit without a fragment stands for the document and comes first. Hits are ranked and counted
-    in salted pieces of a document, then the few rows each piece keeps are ranked again, so the
+    A hit without a fragment stands for the document and comes first (of several the last one). Hits
+    are ranked and counted in salted pieces of a document, then the few rows each piece keeps are ranked again, so the
     hits are computed once and a document with very many hits is spread over many tasks.
     """
     keyed = hits.withColumns(
@@ -128,7 +128,8 @@ def group_hits(hits: DataFrame, href: str, order: str, collapse_after: int = 3,
             "_salt": F.pmod(F.xxhash64(href, order), F.lit(salts)),
         }
     )
-    first = [F.col("is_document").desc(), F.col(order)]
+    own = F.when(F.col("is_document"), F.col(order))
+    first = [F.col("is_document").desc(), own.desc_nulls_last(), F.col(order)]
     piece = Window.partitionBy("document", "_salt")
     whole = Window.partitionBy("document")
     kept = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from conftest import plan_of
 from oracle import compare, connect
 
 import __spark_entry__ as contract
@@ -21,6 +22,8 @@ def test_query(spark, sf_dir, duck, name):
         assert df.count() > 0
     else:
         assert compare(duck, sql, df) is None
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "BatchEvalPython" not in plan
 
 
 def test_entry(spark):

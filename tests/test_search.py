@@ -67,6 +67,8 @@ def test_highlight_can_be_undone(spark):
     marked = df.select(S.highlight("t", "the $5.00+ (and").alias("m")).first().m
     assert marked.count("<mark>") == 4 and re.sub("</?mark>", "", marked) == text
     assert df.select(S.highlight("t", " ").alias("m")).first().m == text
+    whole = df.select(S.highlight("t", "HAT) cost $5", phrase=True).alias("m")).first().m
+    assert whole == "The cat (and THE <mark>hat) cost $5</mark>.00+"
 
 
 def test_search_weights_and_limit(spark):
@@ -112,10 +114,13 @@ def test_sections(spark):
 @pytest.mark.parametrize("salts", [1, 4, 32])
 def test_group_hits_with_a_hot_document(spark, salts):
     rows = [("/hot#%d" % i, i) for i in range(500)] + [("/hot", 900), ("/one", 3), ("/two#a", 1), ("/two#b", 0)]
+    rows += [("/own", 1), ("/own#x", 0), ("/own", 2)]
     out = S.group_hits(spark.createDataFrame(rows, "href string, rank int"), "href", "rank", 3, salts)
     got = {(r.document, r.position): r for r in out.collect()}
-    assert sorted(got) == [("/hot", 1), ("/hot", 2), ("/hot", 3), ("/one", 1), ("/two", 1), ("/two", 2)]
+    places = [("/hot", 3), ("/one", 1), ("/own", 3), ("/two", 2)]
+    assert sorted(got) == [(document, i) for document, n in places for i in range(1, n + 1)]
+    assert [got["/own", p]["rank"] for p in (1, 2, 3)] == [2, 1, 0]
     assert [got["/hot", p].href for p in (1, 2, 3)] == ["/hot", "/hot#0", "/hot#1"]
     assert (got["/hot", 1].hits, got["/hot", 1].remaining, got["/hot", 1].row_type) == (501, 498, "document")
     assert got["/two", 1].href == "/two#b" and got["/two", 2].row_type == "item" and got["/two", 2].remaining == 0
-    assert out.select(F.sum("position")).first()[0] == 10
+    assert out.select(F.sum("position")).first()[0] == 16
