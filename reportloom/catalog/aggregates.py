@@ -107,7 +107,8 @@ def a06(spark, sf_dir):
     ),
 )
 def a07(spark, sf_dir):
-    return complete(cross_freq(complaints(spark, sf_dir, "province", "fraud_cat"), "province", "fraud_cat"), "province", "fraud_cat")
+    cells = cross_freq(complaints(spark, sf_dir, "province", "fraud_cat"), "province", "fraud_cat")
+    return complete(cells, "province", "fraud_cat")
 
 
 @query(
@@ -130,7 +131,8 @@ PROFILE = """CAST(sum(dollar_loss) AS DOUBLE) / count(*) AS avg_loss, median(CAS
     over(f"SELECT age_range, {PROFILE} FROM complaints_v WHERE dollar_loss > 0 AND age_range IS NOT NULL GROUP BY 1"),
 )
 def a09(spark, sf_dir):
-    return decimals_to_double(loss_profile(positive(complaints(spark, sf_dir, "age_range", "dollar_loss"), "dollar_loss"), "age_range"))
+    rows = positive(complaints(spark, sf_dir, "age_range", "dollar_loss"), "dollar_loss")
+    return decimals_to_double(loss_profile(rows, "age_range"))
 
 
 @query(

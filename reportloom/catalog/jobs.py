@@ -55,7 +55,8 @@ def e01(spark, sf_dir):
     base = fresh_dir(spark, "refinery")
     write_raw(complaints(spark, sf_dir), f"{base}/drops/drop_1")
     done = refine(spark, f"{base}/drops", f"{base}/out", country_sentinel="ASIA")
-    return decimals_to_double(done.monthly).select(F.lit(done.label).alias("label"), "year", "month", "total_loss", "total_victims")
+    monthly = decimals_to_double(done.monthly).withColumn("label", F.lit(done.label))
+    return monthly.select("label", "year", "month", "total_loss", "total_victims")
 
 
 @query(
@@ -422,12 +423,14 @@ def decline_sql(key: str) -> str:
 
 @query("e08_category_decline", over(decline_sql("fraud_cat"), COHORT_SQL))
 def e08_category_decline(spark, sf_dir):
-    return cohorts.cohort_decline(local_cohort(spark, sf_dir, "date", "fraud_cat", period=years(1996, 1997)), "fraud_cat", 1996, 1997)
+    rows = local_cohort(spark, sf_dir, "date", "fraud_cat", period=years(1996, 1997))
+    return cohorts.cohort_decline(rows, "fraud_cat", 1996, 1997)
 
 
 @query("e08_method_decline", over(decline_sql("sol_method"), COHORT_SQL))
 def e08_method_decline(spark, sf_dir):
-    return cohorts.cohort_decline(local_cohort(spark, sf_dir, "date", "sol_method", period=years(1996, 1997)), "sol_method", 1996, 1997)
+    rows = local_cohort(spark, sf_dir, "date", "sol_method", period=years(1996, 1997))
+    return cohorts.cohort_decline(rows, "sol_method", 1996, 1997)
 
 
 # ---------------------------------------------------------------- feeds and documents

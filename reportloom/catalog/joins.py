@@ -72,6 +72,7 @@ def j04(spark, sf_dir):
     ),
 )
 def j05(spark, sf_dir):
-    rows = positive(slice_rows(complaints(spark, sf_dir, "date", "province", "age_range", "dollar_loss"), age_range=COHORT), "dollar_loss")
+    rows = complaints(spark, sf_dir, "date", "province", "age_range", "dollar_loss")
+    rows = positive(slice_rows(rows, age_range=COHORT), "dollar_loss")
     rows = rows.withColumn("year_month", F.date_format("date", "yyyy-MM"))
     return complete(cross_freq(rows, "year_month", "province"), "year_month", "province")

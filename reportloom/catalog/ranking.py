@@ -16,7 +16,8 @@ from .registry import MONTHLY, over, query
 
 @query("l01_order_periods", over("SELECT year, month, total_victims FROM monthly_v ORDER BY year, month", MONTHLY))
 def l01(spark, sf_dir):
-    return order_periods(monthly_summary(complaints(spark, sf_dir, "date", "dollar_loss", "num_victims")), "year", "month").drop("total_loss")
+    monthly = monthly_summary(complaints(spark, sf_dir, "date", "dollar_loss", "num_victims"))
+    return order_periods(monthly, "year", "month").drop("total_loss")
 
 
 @query(
@@ -82,4 +83,5 @@ def l06(spark, sf_dir):
        ORDER BY user_id, event_id LIMIT 25""",
 )
 def l06_after(spark, sf_dir):
-    return page_after(table(spark, sf_dir, "events").select("event_id", "user_id", "value"), ["user_id", "event_id"], [20, 500], 25)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return page_after(events, ["user_id", "event_id"], [20, 500], 25)

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import decimals_to_double
 from ..operators.aggregates import cross_freq, freq, monthly_summary, with_month, yearly_summary
-from ..operators.windows import loess, pct_total, peak, peak_divergence, rolling_mean, row_pct, yoy
+from ..operators.filters import slice_rows
+from ..operators.windows import fill_months, loess, pct_total, peak, peak_divergence, rolling_mean, row_pct, yoy
 from ..plans.bulletin import monthly_trend
 from ..sources.tables import complaints
+from .filters import COHORT, REGION
 from .registry import MONTHLY, over, query
 
 KEYS = ("date", "dollar_loss", "num_victims")
@@ -44,6 +46,25 @@ def w01_series(spark, sf_dir):
     return decimals_to_double(rolled.drop("year", "month"))
 
 
+@query(
+    "w01_rolling_mean_calendar",
+    over(
+        """SELECT month_date, total_victims, CAST(sum(total_victims) OVER f AS DOUBLE) / count(total_victims) OVER f AS victims_3mo_avg
+           FROM (SELECT month_date, coalesce(v, 0) AS total_victims FROM months_v LEFT JOIN present_v USING (month_date))
+           WINDOW f AS (ORDER BY month_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+        """present_v AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month_date, CAST(sum(num_victims) AS BIGINT) AS v
+             FROM complaints_v WHERE province = 'NATION_3' AND age_range = '''10 - 19' GROUP BY 1)""",
+        """months_v AS (SELECT CAST(unnest(generate_series(min(month_date), max(month_date), INTERVAL 1 MONTH)) AS DATE) AS month_date
+             FROM present_v)""",
+    ),
+)
+def w01_calendar(spark, sf_dir):
+    rows = slice_rows(complaints(spark, sf_dir, *KEYS, "province", "age_range"), province=REGION, age_range=COHORT)
+    monthly = with_month(monthly_summary(rows)).select("month_date", "total_victims")
+    filled = fill_months(monthly, "month_date", ["total_victims"])
+    return rolling_mean(filled, "month_date", {"total_victims": "victims_3mo_avg"})
+
+
 @query(
     "w02_yoy",
     over(

@@ -217,7 +217,8 @@ def bracket_dist(
         for i, label in enumerate(labels, 1)
     ]
     total = sum((F.col(f"_{i}") for i in range(2, len(labels) + 1)), F.col("_1"))
-    return counts.select(total.alias("_total"), F.inline(F.array(*cells))).withColumn("pct", share_pct("n", "_total")).drop("_total")
+    unfolded = counts.select(total.alias("_total"), F.inline(F.array(*cells)))
+    return unfolded.withColumn("pct", share_pct("n", "_total")).drop("_total")
 
 
 def bracket_tail(dist: DataFrame, tails: dict[str, Sequence[str]]) -> DataFrame:

@@ -25,6 +25,8 @@ def monthly_trend(df: DataFrame) -> DataFrame:
 def latest_quarter(df: DataFrame, day: str = "date") -> tuple:
     """Bounds of the quarter of the newest row; collects one date."""
     newest = df.agg(F.max(day)).first()[0]
+    if newest is None:
+        raise ValueError("no dated rows")
     return quarter_bounds(newest.year, (newest.month - 1) // 3 + 1)
 
 

@@ -35,6 +35,8 @@ def refine(
     clean = spark.read.parquet(staging)
 
     label = date_bounds(clean).select(quarter_label("max_date")).first()[0]
+    if label is None:
+        raise ValueError("no dated reports to refine")
     write_output(clean, out, label, "clean_reports")
     monthly = spark.read.parquet(write_output(monthly_summary(clean), out, label, "monthly", "parquet"))
     write_output(monthly.orderBy("year", "month"), out, label, "monthly_summary")

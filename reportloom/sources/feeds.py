@@ -10,8 +10,8 @@ ITEM_SCHEMA = "title string, link string, description string, pubDate string"
 
 
 def as_items(rows: DataFrame) -> DataFrame:
-    """Parsed `item` elements as the item table; a broken file's empty row goes."""
-    return rows.filter(F.col("link").isNotNull()).select(
+    """Parsed `item` elements as the item table; a broken file's empty row goes, as does an item without a link."""
+    return rows.filter(F.trim("link") != "").select(
         F.col("title").alias("item_title"),
         F.trim("link").alias("item_link"),
         F.col("description").alias("item_description"),

@@ -218,6 +218,9 @@ def test_refinery(spark, tmp_path):
     assert float(done.yearly.first().total_loss) == 20.0
     for name in ("clean_reports", "monthly_summary", "yearly_summary"):
         assert list((tmp_path / "out" / "outputs_2025_Q3" / name).glob("*.csv"))
+    write_raw(reports(spark, report(None, 1, 1)), str(tmp_path / "undated" / "one"))
+    with pytest.raises(ValueError):
+        refine(spark, str(tmp_path / "undated"), str(tmp_path / "none"))
     everyone = refine(spark, str(tmp_path / "drops"), str(tmp_path / "all"), country_sentinel=None)
     assert everyone.clean.count() == 3
 
