@@ -156,7 +156,8 @@ def facet_filter(
 
     `choices` and `ranges` are facets held in columns of `df` and become scan predicates. `linked`
     are facets of other tables, given as (table, group column, chosen groups); each table carries
-    `key` and narrows `df` with a semi join. A facet without a choice does not filter.
+    `key` and narrows `df` with a semi join, after its keys were made distinct, so that a key with
+    very many rows is folded before the shuffle. A facet without a choice does not filter.
     """
     for name, values in (choices or {}).items():
         if values:
@@ -165,7 +166,7 @@ def facet_filter(
         df = facet_range(df, name, low, high)
     for table, group, values in linked:
         if values:
-            df = df.join(keep_in(table, group, values).select(key), key, "left_semi")
+            df = df.join(keep_in(table, group, values).select(key).distinct(), key, "left_semi")
     return df
 
 

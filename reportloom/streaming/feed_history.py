@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.feeds import ITEM_SCHEMA, as_items
@@ -11,6 +12,10 @@ HISTORY_SCHEMA = (
 )
 
 
+# A run with at most this many links is shipped to the history instead of shuffling the history.
+FEW_LINKS = 200_000
+
+
 def read_history(spark: SparkSession, history: str) -> DataFrame:
     return spark.read.schema(HISTORY_SCHEMA).parquet(history)
 
@@ -19,8 +24,10 @@ def ingest_feed(spark: SparkSession, src: str, history: str, checkpoint: str) ->
     """Add the items of the feed files that arrived since the last run.
 
     Exact for any age of item: links are compared with the whole history, not with a watermarked
-    window, so nothing late is lost. Duplicates inside a batch are folded before the shuffle. Each
-    batch owns one folder and overwrites it, so a batch repeated after a failure changes nothing.
+    window, so nothing late is lost. Only the link column of the history is scanned; unless the run
+    is very large (checked) it is not shuffled. Duplicates inside a batch are folded before the
+    shuffle. Each batch owns one folder and overwrites it, so a batch repeated after a failure
+    changes nothing.
     """
     spark.createDataFrame([], HISTORY_SCHEMA).write.mode("ignore").partitionBy("batch").parquet(history)
 
@@ -28,7 +35,14 @@ def ingest_feed(spark: SparkSession, src: str, history: str, checkpoint: str) ->
         known = read_history(rows.sparkSession, history).filter(F.col("batch") < batch).select("item_link")
         newest = F.max_by(F.struct("item_title", "item_description", "item_pub_date", "feed"), F.struct("item_pub_date", "feed"))
         links = rows.groupBy("item_link").agg(newest.alias("item")).select("item_link", "item.*")
-        links.join(known, "item_link", "left_anti").write.mode("overwrite").parquet(f"{history}/batch={batch}")
+        links = links.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            names = links.select("item_link")
+            names = F.broadcast(names) if links.count() <= FEW_LINKS else names
+            seen = known.join(names, "item_link", "left_semi")
+            links.join(seen, "item_link", "left_anti").write.mode("overwrite").parquet(f"{history}/batch={batch}")
+        finally:
+            links.unpersist()
 
     stream = spark.readStream.format("xml").option("rowTag", "item").option("recursiveFileLookup", True).schema(ITEM_SCHEMA).load(src)
     (

@@ -17,6 +17,7 @@ from reportloom.plans.refinery import refine, with_label
 from reportloom.plans.site_search import read_search_docs, search_site
 from reportloom.sources import delimited, documents, feeds, outputs
 from reportloom.sources.tables import complaints
+from reportloom.streaming import feed_history
 from reportloom.streaming.feed_history import ingest_feed, read_history
 from reportloom.streaming.refresh import read_clean, read_monthly, refresh_summaries
 
@@ -150,7 +151,9 @@ def test_published_feed_keeps_the_newest(spark, tmp_path):
     assert [r.item_link for r in got.collect()] == [f"l{i}" for i in range(29, 9, -1)]
 
 
-def test_feed_history_takes_unseen_links_only(spark, tmp_path):
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_feed_history_takes_unseen_links_only(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(feed_history, "FEW_LINKS", few)
     src = tmp_path / "in"
     src.mkdir()
     run = (str(src), str(tmp_path / "history"), str(tmp_path / "checkpoint"))
