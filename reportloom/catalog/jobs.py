@@ -133,7 +133,8 @@ def e03(spark, sf_dir):
 def e04(spark, sf_dir):
     base = fresh_dir(spark, "merge")
     reports = complaints(spark, sf_dir, "id", "date", "dollar_loss", "num_victims")
-    filed = spark.read.parquet(write_labelled(with_label(reports), f"{base}/labelled"))
+    labelled = with_label(reports)
+    filed = spark.read.schema(labelled.schema).parquet(write_labelled(labelled, f"{base}/labelled"))
     merged = monthly_summary(latest_label(filed))
     export_single(merged, f"{base}/download", "year", "month")
     download = read_parts(spark, f"{base}/download", schema="year int, month int, total_loss double, total_victims bigint")

@@ -115,8 +115,9 @@ def s03(spark, sf_dir):
     ),
 )
 def s04(spark, sf_dir):
-    path = write_labelled(with_label(complaints(spark, sf_dir, "id", "date")), fresh_dir(spark, "labelled"))
-    return latest_label(spark.read.parquet(path))
+    labelled = with_label(complaints(spark, sf_dir, "id", "date"))
+    path = write_labelled(labelled, fresh_dir(spark, "labelled"))
+    return latest_label(spark.read.schema(labelled.schema).parquet(path))
 
 
 @query(

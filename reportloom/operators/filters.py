@@ -61,8 +61,10 @@ def positive(df: DataFrame, measure: str) -> DataFrame:
     return df.filter(F.col(measure) > 0)
 
 
-def until_year(df: DataFrame, day: str, year: int) -> DataFrame:
-    """Everything up to the end of `year`, as a date range."""
+def until_year(df: DataFrame, day: str, year: int | None) -> DataFrame:
+    """Everything up to the end of `year`, as a date range; nothing when there is no such year."""
+    if year is None:
+        return df.filter(F.lit(False))
     return df.filter(F.col(day) < F.lit(dt.date(year + 1, 1, 1)))
 
 

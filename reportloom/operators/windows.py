@@ -83,7 +83,7 @@ def peak_divergence(df: DataFrame, first: str, second: str, order: str, *more: C
     """Do both measures peak in the same period?"""
     same = F.col(f"peak_{first}_date") == F.col(f"peak_{second}_date")
     return peaks(df, first, second, order, *more).withColumn(
-        "divergence", F.when(same, "parallel spike").otherwise("strong divergence")
+        "divergence", F.when(same, "parallel spike").when(~same, "strong divergence")
     )
 
 

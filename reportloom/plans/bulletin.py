@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import fmt_count, fmt_money
@@ -22,11 +24,11 @@ def monthly_trend(df: DataFrame) -> DataFrame:
     )
 
 
-def latest_quarter(df: DataFrame, day: str = "date") -> tuple:
-    """Bounds of the quarter of the newest row; collects one date."""
+def latest_quarter(df: DataFrame, day: str = "date") -> tuple[dt.date, dt.date]:
+    """Bounds of the quarter of the newest row, or an empty range without dated rows; collects one date."""
     newest = df.agg(F.max(day)).first()[0]
     if newest is None:
-        raise ValueError("no dated rows")
+        return dt.date(1970, 1, 1), dt.date(1970, 1, 1)
     return quarter_bounds(newest.year, (newest.month - 1) // 3 + 1)
 
 
@@ -40,7 +42,8 @@ NARRATIVE = (
 
 def narrative(publisher: str) -> Column:
     facts = [F.col(c) for c in ("loss_month", "peak_loss", "victims_month", "peak_victims")]
-    return F.format_string(NARRATIVE, F.col("label"), F.lit(publisher), *facts, F.concat(F.lit("a "), "divergence"))
+    text = F.format_string(NARRATIVE, F.col("label"), F.lit(publisher), *facts, F.concat(F.lit("a "), "divergence"))
+    return F.when(F.col("divergence").isNotNull(), text)
 
 
 def bulletin_facts(df: DataFrame, publisher: str = "reporting centre") -> DataFrame:

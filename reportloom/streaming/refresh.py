@@ -12,6 +12,7 @@ from ..operators.cleaning import clean_reports
 from ..sources.delimited import read_delimited
 
 UNDATED = "undated"
+MONTHLY_SCHEMA = "label string, year int, month int, total_loss decimal(28,2), total_victims bigint"
 
 
 def _replace(df: DataFrame, path: str) -> None:
@@ -33,6 +34,7 @@ def refresh_summaries(
     quarter that occurs in several new drops is taken from the one with the greatest name. Only
     the replaced quarters are summed again. Repeating a batch after a failure gives the same files.
     """
+    spark.createDataFrame([], MONTHLY_SCHEMA).write.mode("ignore").partitionBy("label").parquet(f"{out}/monthly")
     root = re.escape(src.rstrip("/").rsplit("/", 1)[-1])
 
     def replace_quarters(batch: DataFrame, _: int) -> None:
@@ -74,4 +76,4 @@ def read_clean(spark: SparkSession, out: str) -> DataFrame:
 
 def read_monthly(spark: SparkSession, out: str) -> DataFrame:
     """Monthly totals over all quarters; a month lies in exactly one of them."""
-    return spark.read.parquet(f"{out}/monthly")
+    return spark.read.schema(MONTHLY_SCHEMA).parquet(f"{out}/monthly")
