@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
+from .line_dedup import dedup_lines
 from .packing import pack_documents
 from .registry import ORACLE, QUERIES, query, table
 from .token_counts import count_tokens
@@ -29,3 +31,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), end_id=0, capacity=2048)
+
+
+LINE_DEDUP = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS number
+  FROM documents),
+keyed AS (
+  SELECT doc_id, line, number,
+         translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+repeated AS (
+  SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) <> max(doc_id)),
+flagged AS (
+  SELECT doc_id, number, line, r.key IS NOT NULL AND doc_id <> keeper AS gone FROM keyed LEFT JOIN repeated r USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '')) AS kept_sha256
+FROM flagged GROUP BY doc_id"""
+
+
+@query("op10_line_dedup", LINE_DEDUP)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents"), min_chars=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
