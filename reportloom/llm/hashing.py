@@ -21,6 +21,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NOT_IN_WORD = np.ones(256, bool)  # ASCII other than letters and digits
+NOT_IN_WORD[48:58] = NOT_IN_WORD[65:91] = NOT_IN_WORD[97:123] = NOT_IN_WORD[128:] = False
 _powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
 
 
@@ -80,6 +82,15 @@ def lowered(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
+def folded(raw: np.ndarray) -> np.ndarray:
+    """A-Z and the letters U+00C0 to U+00DE in lower case."""
+    out = _LOWER[raw]
+    if len(raw) > 1:
+        second = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)
+        out[1:][second] += 32
+    return out
+
+
 def word_spans(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs without `space` bytes) and, per text, the number of the first word."""
     solid = ~space[raw]

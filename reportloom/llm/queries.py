@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
+from .decontamination import find_benchmark
 from .jaccard_join import jaccard_classes
 from .line_dedup import dedup_lines
 from .packing import pack_documents
@@ -78,3 +79,8 @@ FROM sets s JOIN reach r ON s.doc_id = r.a GROUP BY s.doc_id, len(s.s)"""
 @query("op8_jaccard_join", JACCARD)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query("op6_benchmark_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=5, threshold=0.8)
