@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -163,12 +164,13 @@ def find_benchmark(
     return found.withColumnsRenamed({"id": id, "item": item_id})
 
 
-_prepared: dict[int, tuple[Items, list[list[np.ndarray]]]] = {}
+_prepared: dict[str, tuple[Items, list[list[np.ndarray]]]] = {}
 
 
 def _matches(shared: Broadcast, words: int, threshold: float):
+    key = uuid.uuid4().hex
+
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash((shared._id if hasattr(shared, "_id") else id(shared), words))
         if key not in _prepared:  # the worker keeps the tables of one round
             _prepared.clear()
             items = Items(shared.value, words)

@@ -6,14 +6,13 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
+from .counting import summed_counts
 from .graph import connected_components
 from .hashing import mixed, shingle_sets
 from .storage import stored
@@ -22,7 +21,6 @@ FAMILY_KEYS = 3  # min-hashes that propose the documents of one family
 GROUP_DOCS = 64  # documents of one group of the matrix, about
 EXTRA_TOKENS = 2  # tokens beyond the shortest prefix; as many more must meet before a group is opened
 SKETCH_BITS = 20  # counters of the frequency sketch, as a power of two
-SKETCH_PARTS = 64
 _SEEDS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**63, FAMILY_KEYS, dtype=np.uint64)
 
 
@@ -220,30 +218,17 @@ def _frequency_sketch(texts: DataFrame, words: int) -> Broadcast:
     """Counts of all documents' tokens by their low SKETCH_BITS bits, as a broadcast array of fixed size."""
     size, mask = 1 << SKETCH_BITS, np.uint64((1 << SKETCH_BITS) - 1)
 
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, task = np.zeros(size, np.int64), TaskContext.get().partitionId()
-        for batch in batches:
-            found = list(shingle_sets(batch.column(0), words))
-            if found:
-                total += np.bincount((np.concatenate(found) & mask).astype(np.int64), minlength=size)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(SKETCH_PARTS), pa.int32()),
-                pa.array([task % 256] * SKETCH_PARTS, pa.int32()),
-                pa.array([p.tobytes() for p in np.split(total, SKETCH_PARTS)], pa.binary()),
-            ],
-            ["part", "salt", "counts"],
-        )
-
-    def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, "<i8") for c in pdf["counts"])
-        return pd.DataFrame({"part": pdf["part"][:1], "salt": pdf["salt"][:1], "counts": [total.astype("<i8").tobytes()]})
-
-    schema = "part int, salt int, counts binary"
-    per_task = texts.select("text").mapInArrow(counts, schema)
-    added_up = per_task.groupBy("part", "salt").applyInPandas(added, schema).groupBy("part").applyInPandas(added, schema)
-    whole = np.zeros((SKETCH_PARTS, size // SKETCH_PARTS), np.int64)
-    for row in added_up.collect():
-        whole[row["part"]] = np.frombuffer(row["counts"], "<i8")
-    ranks = np.minimum(np.ceil(16 * np.log2(1 + whole.ravel())), 1023).astype(np.uint16)
+    def counts(batch: pa.RecordBatch) -> np.ndarray:
+        total, held, n = np.zeros(size, np.int64), [], 0
+        for found in [*shingle_sets(batch.column(0), words), None]:
+            if found is not None:
+                held.append(found)
+                n += len(found)
+            if held and (found is None or n > size):
+                total += np.bincount((np.concatenate(held) & mask).astype(np.int64), minlength=size)
+                held, n = [], 0
+        return total
+
+    whole = summed_counts(texts.select("text"), counts, size)
+    ranks = np.minimum(np.ceil(16 * np.log2(1 + whole)), 1023).astype(np.uint16)
     return texts.sparkSession.sparkContext.broadcast(ranks)

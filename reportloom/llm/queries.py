@@ -14,6 +14,7 @@ from .registry import ORACLE, QUERIES, query, table
 from .token_counts import count_tokens
 from .token_shards import read_shards, write_shards
 from .tokens import vocabulary_path
+from .toxicity import score_toxicity
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -84,3 +85,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_benchmark_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=5, threshold=0.8)
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    scored = score_toxicity(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        max_labelled=20_000,
+        learn_from="crc32(cast(doc_id as string)) % 5 <> 0",
+    )
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
