@@ -44,8 +44,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, id: str = "doc_id", text:
     whole and count nowhere. Repeated rows count as one document, and each is cleaned. Empty tables and extra
     columns of any name pass through (n_lines and n_dropped are replaced).
     """
+    others = [c for c in docs.columns if c not in (id, text)]
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.struct(F.lit(0).alias("_"), *[docs[c] for c in others]).alias("row"),
         docs[id].alias("id"),
         F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"),
     ).withColumn("mark", F.xxhash64("text"))
@@ -55,17 +56,21 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, id: str = "doc_id", text:
     keyed = keyed.select("id", "mark", F.explode("numbers").alias("number"), "lines").select(
         "id", "mark", "number", line_key(F.get("lines", F.col("number"))).alias("key")
     )
+    # both stored, so that the join below has plain shuffles on both sides and Spark can split a hot key
+    keyed = stored(keyed, "suspected-lines")
     repeated = keyed.groupBy("key").agg(F.min("id").alias("keeper"), F.max("id").alias("last")).where("keeper <> last")
-    drops = keyed.join(repeated.select("key", "keeper"), "key").where("id <> keeper")
+    repeated = stored(repeated.select("key", "keeper"), "repeated-lines")
+    drops = keyed.join(repeated, "key").where("id <> keeper")
     drops = drops.groupBy("id", "mark").agg(F.collect_set("number").alias("drop"))
     drops = stored(drops, "line-drops")
 
     lines = F.split("text", "\n")
-    cleaned = rows.join(drops, ["id", "mark"], "left").select("row", "drop", "text", lines.alias("lines"))
+    cleaned = rows.join(drops, ["id", "mark"], "left").select("id", "row", "drop", "text", lines.alias("lines"))
     numbers = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop")
     kept = F.array_join(F.transform(numbers, lambda i: F.get("lines", i)), "\n")
-    out = [F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept).alias(c) if c == text else F.col(f"row.`{c}`").alias(c)
-           for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    cleaned_text = F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept)
+    columns = {id: F.col("id"), text: cleaned_text} | {c: F.col(f"row.`{c}`") for c in others}
+    out = [columns[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
     dropped = F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop"))
     return cleaned.select(*out, F.size("lines").cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"))
 

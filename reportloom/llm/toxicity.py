@@ -31,9 +31,8 @@ SIGNS = {
 SIGN_COST = math.log(4)  # of reading a sign as a letter
 DROP_COST = math.log(20)  # of dropping one of just two equal letters
 LETTERS = 59  # a-z, U+00E0 to U+00FF, and 0 for everything between words
-PREFIX_BYTES = 5  # words of more bytes also count by their beginning
-MIN_TEXTS = 5  # labelled texts that a word must be in to be listed
-SMOOTHING = 10.0
+PREFIX_BYTES = (4, 5)  # words of more bytes also count by these beginnings
+CAUTION = 3.0  # standard errors by which the share of a word's texts with label 1 is lowered
 LONGEST = 64  # characters of a word that may be disguised
 
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_@$!|][ .\-_*]|[@$!|][ .\-_*]){3,}[^\W_](?![^\W_])")
@@ -162,8 +161,8 @@ def suspicious_rows(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 # Words
 
 
-def restored_words(texts: pa.Array, restorer: Restorer) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, end row, word hashes, beginnings' hashes (0: none), first word of each row) per block of texts."""
+def restored_words(texts: pa.Array, restorer: Restorer) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
+    """(first row, end row, hashes of the words and of their beginnings (0: none), first word of each row) per block."""
     for first, end, raw, offsets in text_blocks(texts):
         raw = folded(raw)
         odd = np.flatnonzero(suspicious_rows(raw, offsets))
@@ -176,11 +175,13 @@ def restored_words(texts: pa.Array, restorer: Restorer) -> Iterator[tuple[int, i
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         starts, ends, firsts = word_spans(raw, offsets, NOT_IN_WORD)
         sums = running_sums(raw)
-        words = span_hashes(sums, starts, ends)
-        long = ends - starts > PREFIX_BYTES
-        heads = np.zeros(len(words), np.uint64)
-        heads[long] = mixed(span_hashes(sums, starts[long], starts[long] + PREFIX_BYTES) ^ np.uint64(0xA5A5))
-        yield first, end, words, heads, firsts
+        features = [span_hashes(sums, starts, ends)]
+        for size in PREFIX_BYTES:
+            long = ends - starts > size
+            heads = np.zeros(len(starts), np.uint64)
+            heads[long] = mixed(span_hashes(sums, starts[long], starts[long] + size) ^ np.uint64(0xA5A5))
+            features.append(heads)
+        yield first, end, features, firsts
 
 
 def score_toxicity(
@@ -197,8 +198,9 @@ def score_toxicity(
     1. The character model counts the trigrams of all texts.
     2. About `max_labelled` labelled documents (by a hash of the id; all, if there are fewer) give the word
        list: after restoration, each word and each word's beginning with the number of texts of either label.
-       Words of MIN_TEXTS texts or more whose smoothed log odds against the base rate are positive are kept.
-       The list is bounded by that sample, not by the corpus. `learn_from` is a SQL condition on the id column
+       Words are listed whose share of texts with label 1, at the lower end of its confidence interval, is one
+       half or more; their weight is the log odds of that share less those of the base rate. The list is
+       bounded by that sample, not by the corpus. `learn_from` is a SQL condition on the id column
        and limits which labels may be used.
     3. Each whole text is restored, and the weights of its distinct listed words are added to the base rate's
        log odds.
@@ -218,7 +220,7 @@ def score_toxicity(
     chosen = F.pmod(F.xxhash64("id"), F.lit(spread)) < min(spread, spread * max_labelled // max(1, n_known))
     sample = rows.where(chosen).join(known.where(chosen), "id").groupBy(F.xxhash64("text"), "label").agg(F.first("text").alias("text"))
     sample = stored(sample.select("text", "label"), "labelled-texts")
-    base = sample.agg(F.count_if("label = 1").alias("one"), F.count_if("label = 0").alias("zero")).first()
+    base = sample.agg(F.count_if(F.col("label") == 1).alias("one"), F.count_if(F.col("label") == 0).alias("zero")).first()
     listed = _word_list(sample, model, base["one"], base["zero"])
     shared = spark.sparkContext.broadcast((*listed, math.log((base["one"] + 1) / (base["zero"] + 1))))
     kind = rows.schema["id"].dataType.simpleString()
@@ -234,10 +236,10 @@ def _word_list(sample: DataFrame, model: Broadcast, ones: int, zeros: int) -> tu
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
             found: dict[int, list[np.ndarray]] = {0: [], 1: []}
-            for first, end, words, heads, firsts in restored_words(batch.column(0), restorer):
+            for first, end, features, firsts in restored_words(batch.column(0), restorer):
                 for row in range(first, end):
                     span = slice(firsts[row - first], firsts[row - first + 1])
-                    found[int(label[row])].append(np.unique(np.concatenate([words[span], heads[span]])))
+                    found[int(label[row])].append(np.unique(np.concatenate([f[span] for f in features])))
             for value, sets in found.items():
                 if sets:
                     hashes, n = np.unique(np.concatenate(sets), return_counts=True)
@@ -250,10 +252,12 @@ def _word_list(sample: DataFrame, model: Broadcast, ones: int, zeros: int) -> tu
                     )
 
     words = sample.mapInArrow(counts, "hash long, ones long, zeros long").groupBy("hash")
-    words = words.agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).where(f"ones >= {MIN_TEXTS}")
-    rate = (ones + 1) / (ones + zeros + 2)
-    weight = F.log((F.col("ones") + SMOOTHING * rate) / (F.col("zeros") + SMOOTHING * (1 - rate))) - math.log(rate / (1 - rate))
-    listed = words.select("hash", weight.alias("weight")).where("weight > 1").toPandas()
+    n, z2 = F.col("ones") + F.col("zeros"), CAUTION**2
+    share = F.col("ones") / n
+    low = (share + z2 / (2 * n) - CAUTION * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    words = words.agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).select("hash", low.alias("low"))
+    weight = F.log(F.col("low") / (1 - F.col("low"))) - math.log((ones + 1) / (zeros + 1))
+    listed = words.where("low >= 0.5").select("hash", weight.alias("weight")).toPandas()
     order = np.argsort(listed["hash"].to_numpy().view(np.uint64))
     return listed["hash"].to_numpy().view(np.uint64)[order], listed["weight"].to_numpy(float)[order]
 
@@ -279,8 +283,8 @@ def _scores(model: Broadcast, shared: Broadcast):
         maybe[(listed & bits).astype(np.int64)] = True
         for batch in batches:
             logit = np.full(batch.num_rows, base)
-            for first, _, words, heads, firsts in restored_words(batch.column(1), restorer):
-                for hashes in (words, heads):
+            for first, _, features, firsts in restored_words(batch.column(1), restorer):
+                for hashes in features:
                     at = np.flatnonzero(maybe[(hashes & bits).astype(np.int64)])
                     place = np.searchsorted(listed, hashes[at])
                     place[place == len(listed)] = 0
