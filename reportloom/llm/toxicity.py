@@ -32,6 +32,7 @@ SIGN_COST = math.log(4)  # of reading a sign as a letter
 DROP_COST = math.log(20)  # of dropping one of just two equal letters
 LETTERS = 59  # a-z, U+00E0 to U+00FF, and 0 for everything between words
 PREFIX_BYTES = (4, 5)  # words of more bytes also count by these beginnings
+LEAST_SHARE = 0.9  # share of a listed word's texts that have label 1
 CAUTION = 3.0  # standard errors by which the share of a word's texts with label 1 is lowered
 LONGEST = 64  # characters of a word that may be disguised
 
@@ -198,8 +199,8 @@ def score_toxicity(
     1. The character model counts the trigrams of all texts.
     2. About `max_labelled` labelled documents (by a hash of the id; all, if there are fewer) give the word
        list: after restoration, each word and each word's beginning with the number of texts of either label.
-       Words are listed whose share of texts with label 1, at the lower end of its confidence interval, is one
-       half or more; their weight is the log odds of that share less those of the base rate. The list is
+       Words are listed whose share of texts with label 1 is LEAST_SHARE or more, and one half or more at the
+       lower end of its confidence interval; their weight is the log odds of that share less those of the base rate. The list is
        bounded by that sample, not by the corpus. `learn_from` is a SQL condition on the id column
        and limits which labels may be used.
     3. Each whole text is restored, and the weights of its distinct listed words are added to the base rate's
@@ -255,7 +256,7 @@ def _word_list(sample: DataFrame, model: Broadcast, ones: int, zeros: int) -> tu
     n, z2 = F.col("ones") + F.col("zeros"), CAUTION**2
     share = F.col("ones") / n
     low = (share + z2 / (2 * n) - CAUTION * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
-    words = words.agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).select("hash", low.alias("low"))
+    words = words.agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).where(share >= LEAST_SHARE).select("hash", low.alias("low"))
     weight = F.log(F.col("low") / (1 - F.col("low"))) - math.log((ones + 1) / (zeros + 1))
     listed = words.where("low >= 0.5").select("hash", weight.alias("weight")).toPandas()
     order = np.argsort(listed["hash"].to_numpy().view(np.uint64))
