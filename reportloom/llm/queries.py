@@ -9,6 +9,7 @@ from ..workspace import fresh_dir
 from .decontamination import find_benchmark
 from .jaccard_join import jaccard_classes
 from .line_dedup import dedup_lines
+from .near_vectors import link_vectors
 from .packing import pack_documents
 from .registry import ORACLE, QUERIES, query, table
 from .token_counts import count_tokens
@@ -97,3 +98,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         learn_from="crc32(cast(doc_id as string)) % 5 <> 0",
     )
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+LINKED_VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id) LEFT JOIN counted USING (vec_id)"""
+
+
+@query("op1_embedding_near_dedup", LINKED_VECTORS)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
