@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import fresh_dir
+from .chat_windows import chat_windows, conversation_digests
 from .decontamination import find_benchmark
+from .html_template import extract_main_text
 from .jaccard_join import jaccard_classes
 from .line_dedup import dedup_lines
 from .near_vectors import link_vectors
 from .packing import pack_documents
 from .registry import ORACLE, QUERIES, query, table
 from .token_counts import count_tokens
+from .storage import stored
 from .token_shards import read_shards, write_shards
 from .tokens import vocabulary_path
 from .toxicity import score_toxicity
@@ -120,3 +123,54 @@ FROM embeddings e JOIN least USING (vec_id) LEFT JOIN counted USING (vec_id)"""
 @query("op1_embedding_near_dedup", LINKED_VECTORS)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+CHAT = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+out AS (
+  SELECT *, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '|', '&#124;') AS text_out,
+         replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '|', '&#124;') AS role_out,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM turns),
+sized AS (
+  SELECT *, (strlen(text_out) + 3) // 4 + 4 AS tokens, place = 1 AND role = 'system' AS is_system,
+         11 + length(text_out) + length(role_out) AS chars FROM out),
+line AS (
+  SELECT *, greatest(1, 1536 - sum(CASE WHEN is_system THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id)) AS piece,
+         sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY place) AS ends FROM sized),
+placed AS (SELECT *, ends - tokens AS starts FROM line WHERE NOT is_system),
+body AS (
+  SELECT *, 2 * (starts // piece) + CAST((ends - 1) // piece > starts // piece AS INTEGER) AS win FROM placed),
+spans AS (SELECT conv_id, win, min(starts) AS s FROM body GROUP BY ALL),
+formatted AS (
+  SELECT conv_id, chars FROM body
+  UNION ALL SELECT s.conv_id, chars FROM spans s JOIN line l ON s.conv_id = l.conv_id AND l.is_system
+  UNION ALL SELECT l.conv_id, chars FROM line l WHERE is_system AND conv_id NOT IN (SELECT conv_id FROM spans)
+  UNION ALL SELECT b.conv_id, chars FROM body b JOIN spans s
+    ON b.conv_id = s.conv_id AND b.ends <= s.s AND b.starts >= s.s - 512),
+total AS (SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM formatted GROUP BY 1)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(length(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       any_value(formatted_chars) AS formatted_chars
+FROM sized JOIN total USING (conv_id) GROUP BY conv_id"""
+
+
+@query("op5_chat_windows", CHAT)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long"), "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    windows = chat_windows(turns.unionByName(probe), budget=2048, history=512)
+    return conversation_digests(stored(windows, "chat-windows"))
+
+
+@query("op3_html_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
