@@ -18,8 +18,9 @@ from .hashing import mixed, shingle_sets
 from .storage import stored
 
 FAMILY_KEYS = 3  # min-hashes that propose the documents of one family
-GROUP_DOCS = 64  # documents of one group of the matrix, about
-EXTRA_TOKENS = 2  # tokens beyond the shortest prefix; as many more must meet before a group is opened
+GROUP_DOCS = 64  # documents of one group of the matrix, at most about
+SIZE_BAND = 1.04  # sizes of the sets of one group differ by this factor at most
+EXTRA_TOKENS = 2  # tokens beyond the shortest prefix
 SKETCH_BITS = 20  # counters of the frequency sketch, as a power of two
 _SEEDS = np.random.Generator(np.random.PCG64(7)).integers(0, 2**63, FAMILY_KEYS, dtype=np.uint64)
 
@@ -34,36 +35,42 @@ def jaccard_classes(docs: DataFrame, words: int, percent: int, id: str = "doc_id
 
     1. Equal sets are one class; only its smallest id, the representative, goes on. The representatives'
        texts are bucketed by id once, and no later step shuffles all texts again.
-    2. Representatives that share a min-hash are compared with the smallest of them. The components of these
-       links are the families. Pairs inside a family need no comparison, however large it is.
-    3. The token-group matrix: families are cut into groups of about GROUP_DOCS documents. For each token it
-       names the groups in which the token is among the rarest of some document. A set of n tokens shares
-       need = ceil(n * percent / 100) tokens with any partner, so the n - need + e + 1 rarest tokens of both
-       have e + 1 in common. This bounds a query's overlap with a group: with fewer common entries than that,
-       the group holds no partner and is not opened.
+    2. Representatives that share a min-hash are compared with the one of them whose tokens are the most common
+       on average, which for near copies is close to their original. The components of these links are the
+       families. Pairs inside a family need no comparison, however large it is.
+    3. The token-group matrix: families are cut into groups of similar size and of GROUP_DOCS documents at most,
+       about. For each token it names the groups in which the token is among the rarest of some document. A
+       set of n tokens shares need(n) = ceil(n * percent / 100) tokens with any partner; its n - need(n) + 1 + e
+       rarest tokens are its prefix. Two sets with c common prefix tokens overlap in c + max(n - prefix, m - prefix)
+       tokens at most. With the entries that a query shares with a group for c, this bounds the overlap with
+       every document of the group; a group whose bound is too small holds no partner and is not opened.
     4. In the opened groups of other families, documents of matching size are compared in full.
-    "Rarest" goes by a sketch of token counts over all representatives. The sketch has a fixed size; it only
-    decides the order, so that coarse counts cost time and never results.
+    "Rarest" goes by a sketch of token counts over all documents. The sketch has a fixed size; it only decides
+    the order, so that coarse counts cost time and never results.
 
     Null and empty texts have an empty set. Rows with a null id are left out. Repeated ids are one document,
     with the largest of their sets. An empty table gives an empty one. Only `id` and `text` are read.
     """
     rows = docs.select(docs[id].cast("long").alias("id"), docs[text].cast("string").alias("text")).where("id is not null")
-    signed = rows.mapInArrow(_signatures(words), "id long, n long, fp1 long, fp2 long, keys array<long>")
+    order = _frequency_sketch(rows, words)
+    signed = rows.mapInArrow(_signatures(words, order), "id long, n long, fp1 long, fp2 long, common long, keys array<long>")
     signed = stored(signed, "signatures")
-    one = signed.groupBy("id").agg(F.max(F.struct("n", "fp1", "fp2", "keys")).alias("s")).select("id", "s.*")
-    classes = one.where("n > 0").groupBy("n", "fp1", "fp2").agg(F.min("id").alias("rep"), F.first("keys").alias("keys"))
-    classes = stored(classes.select("rep", "n", "fp1", "fp2", "keys"), "classes")
+    one = signed.groupBy("id").agg(F.max(F.struct("n", "fp1", "fp2", "common", "keys")).alias("s")).select("id", "s.*")
+    classes = one.where("n > 0").groupBy("n", "fp1", "fp2").agg(
+        F.min("id").alias("rep"), F.first("common").alias("common"), F.first("keys").alias("keys")
+    )
+    classes = stored(classes, "classes")
     texts = _bucketed_texts(rows, classes, signed)
 
-    keyed = classes.select("rep", F.posexplode("keys").alias("i", "key"))
-    leaders = keyed.groupBy("i", "key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader <> last")
+    keyed = classes.select("rep", "common", F.posexplode("keys").alias("i", "key"))
+    leaders = keyed.groupBy("i", "key").agg(F.max(F.struct("common", -F.col("rep")))["col2"].alias("leader"), F.count("*").alias("size"))
+    leaders = leaders.where("size > 1").select("i", "key", (-F.col("leader")).alias("leader"))
     pairs = keyed.join(leaders, ["i", "key"]).where("rep <> leader")
     pairs = pairs.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     close = stored(_verified(texts, stored(pairs, "leader-pairs"), words, percent), "leader-links")
 
     reps = _grouped(classes, connected_components(close, "a", "b"))
-    matrix = _matrix_rows(texts, reps, words, percent)
+    matrix = _matrix_rows(texts, reps, words, percent, order)
     pairs = stored(_candidates(matrix, reps, percent), "candidates")
     links = close.unionByName(_verified(texts, pairs, words, percent))
 
@@ -76,22 +83,25 @@ def jaccard_classes(docs: DataFrame, words: int, percent: int, id: str = "doc_id
     )
 
 
-def _signatures(words: int):
-    """Size, two sums of hashes that name the set, and min-hashes."""
+def _signatures(words: int, order: Broadcast):
+    """Size, two sums of hashes that name the set, how common its tokens are, and min-hashes."""
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers = np.zeros((3, batch.num_rows), np.int64)
+            numbers = np.zeros((4, batch.num_rows), np.int64)
             keys: list[list[int]] = []
+            counts, mask = order.value, np.uint64(len(order.value) - 1)
             for row, found in enumerate(shingle_sets(batch.column(1), words)):
                 if len(found):
-                    numbers[:, row] = len(found), found.sum().view(np.int64), mixed(found ^ _SEEDS[0]).sum().view(np.int64)
+                    common = int(1000 * counts[(found & mask).astype(np.int64)].mean())
+                    sums = found.sum().view(np.int64), mixed(found ^ _SEEDS[0]).sum().view(np.int64)
+                    numbers[:, row] = len(found), *sums, common
                     keys.append([int(mixed(found + seed).min().view(np.int64)) for seed in _SEEDS])
                 else:
                     keys.append([])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *map(pa.array, numbers), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "n", "fp1", "fp2", "keys"],
+                ["id", "n", "fp1", "fp2", "common", "keys"],
             )
 
     return signatures
@@ -133,21 +143,21 @@ def _verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
 
 
 def _grouped(classes: DataFrame, families: DataFrame) -> DataFrame:
-    """(rep, n, family, part): each family in parts of about GROUP_DOCS documents."""
+    """(rep, n, family, part): each family by size band, in parts of about GROUP_DOCS documents."""
     reps = classes.join(families, classes["rep"] == families["node"], "left").select(
         "rep", "n", F.coalesce("component", "rep").alias("family")
     )
     sizes = reps.groupBy("family").agg(F.count("*").alias("members"))
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_BAND)))
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / F.lit(GROUP_DOCS)))
-    return stored(reps.join(sizes, "family").select("rep", "n", "family", part.alias("part")), "groups")
+    return stored(reps.join(sizes, "family").select("rep", "n", "family", F.xxhash64(band, part).alias("part")), "groups")
 
 
-def _matrix_rows(texts: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
-    """(token, id, n, least, family, part): the rarest tokens of each document that some other family has too."""
-    order = _frequency_sketch(texts, words)
+def _matrix_rows(texts: DataFrame, reps: DataFrame, words: int, percent: int, order: Broadcast) -> DataFrame:
+    """(token, id, n, family, part): the prefix tokens of each document that some other family has in a prefix too."""
     placed = texts.join(reps.select(F.col("rep").alias("id"), "family", "part"), "id").select("id", "n", "family", "part", "text")
     rare = placed.mapInArrow(
-        _rare_tokens(words, percent, order), "token long, id long, n int, least int, family long, part long"
+        _rare_tokens(words, percent, order), "token long, id long, n int, family long, part long"
     ).repartition("token")
     shared = rare.groupBy("token").agg(F.min("family").alias("low"), F.max("family").alias("high"))
     return stored(rare.join(shared.where("low <> high").select("token"), "token"), "token-groups")
@@ -157,11 +167,23 @@ def _candidates(matrix: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(a, b): queries with the documents of matching size in the groups that their bound opens."""
     groups = matrix.select("token", F.col("family").alias("g_family"), F.col("part").alias("g_part")).distinct()
     hits = matrix.join(groups, "token").where("family <> g_family")
-    opened = hits.groupBy("id", "n", "least", "g_family", "g_part").agg(F.count("*").alias("common"))
+    shared = hits.groupBy("id", "n", "g_family", "g_part").agg(F.count("*").alias("common"))
     members = reps.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("family").alias("g_family"), F.col("part").alias("g_part"))
+    ranges = members.groupBy("g_family", "g_part").agg(F.min("m").alias("low"), F.max("m").alias("high"))
+
+    def need(n: str) -> str:
+        return f"(({n} * {percent} + 99) div 100)"
+
+    def rest(n: str) -> str:  # tokens behind the prefix
+        return f"greatest(0, {need(n)} - 1 - {EXTRA_TOKENS})"
+
+    def overlap(n: str, m: str) -> str:  # that similar sets of these sizes have at least
+        return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
+
+    least = f"{overlap('n', f'greatest(low, {need('n')})')} - greatest({rest('n')}, {rest('high')})"
+    opened = shared.join(ranges, ["g_family", "g_part"]).where(f"common >= {least}").select("id", "n", "g_family", "g_part")
     return (
-        opened.where("common >= least")
-        .join(members, ["g_family", "g_part"])
+        opened.join(members, ["g_family", "g_part"])
         .where((F.col("id") < F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
         .select(F.col("id").alias("a"), "b")
         .distinct()
@@ -178,7 +200,7 @@ def _rare_tokens(words: int, percent: int, order: Broadcast):
         counts = order.value
         mask = np.uint64(len(counts) - 1)
         for batch in batches:
-            picked, sizes, least = [], [], []
+            picked, sizes = [], []
             for tokens in shingle_sets(batch.column(4), words):
                 n = len(tokens)
                 need = _need(n, percent)
@@ -188,8 +210,6 @@ def _rare_tokens(words: int, percent: int, order: Broadcast):
                 ranked = np.argsort(counts[(tokens & mask).astype(np.int64)], kind="stable")
                 picked.append(tokens[ranked[:size]])
                 sizes.append(size)
-                # the smallest partner may hold fewer extra tokens than this document
-                least.append(1 + min(EXTRA_TOKENS, _need(need, percent) - 1))
             if not sizes:
                 continue
             row = np.repeat(np.arange(batch.num_rows), sizes)
@@ -204,17 +224,16 @@ def _rare_tokens(words: int, percent: int, order: Broadcast):
                         pa.array(tokens[a:b]),
                         batch.column(0).take(take),
                         batch.column(1).take(take).cast(pa.int32()),
-                        pa.array(np.array(least, np.int32)[row[a:b]]),
                         batch.column(2).take(take),
                         batch.column(3).take(take),
                     ],
-                    ["token", "id", "n", "least", "family", "part"],
+                    ["token", "id", "n", "family", "part"],
                 )
 
     return rare
 
 
-def _frequency_sketch(texts: DataFrame, words: int) -> Broadcast:
+def _frequency_sketch(rows: DataFrame, words: int) -> Broadcast:
     """Counts of all documents' tokens by their low SKETCH_BITS bits, as a broadcast array of fixed size."""
     size, mask = 1 << SKETCH_BITS, np.uint64((1 << SKETCH_BITS) - 1)
 
@@ -229,6 +248,6 @@ def _frequency_sketch(texts: DataFrame, words: int) -> Broadcast:
                 held, n = [], 0
         return total
 
-    whole = summed_counts(texts.select("text"), counts, size)
+    whole = summed_counts(rows.select("text"), counts, size)
     ranks = np.minimum(np.ceil(16 * np.log2(1 + whole)), 1023).astype(np.uint16)
-    return texts.sparkSession.sparkContext.broadcast(ranks)
+    return rows.sparkSession.sparkContext.broadcast(ranks)
