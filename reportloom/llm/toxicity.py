@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .counting import summed_counts
 from .hashing import NOT_IN_WORD, folded, mixed, running_sums, span_hashes, text_blocks, word_spans
@@ -193,8 +194,9 @@ def score_toxicity(
     text: str = "text",
     label: str = "toxic",
     learn_from: str = "true",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """(id, score, predicted) per row of `docs`; score is between 0 and 1, predicted is 1 from 0.5 on.
+    """`keep` (default: id), score and predicted per row of `docs`; score is 0 to 1, predicted is 1 from 0.5 on.
 
     1. The character model counts the trigrams of all texts.
     2. About `max_labelled` labelled documents (by a hash of the id; all, if there are fewer) give the word
@@ -224,8 +226,10 @@ def score_toxicity(
     base = sample.agg(F.count_if(F.col("label") == 1).alias("one"), F.count_if(F.col("label") == 0).alias("zero")).first()
     listed = _word_list(sample, model, base["one"], base["zero"])
     shared = spark.sparkContext.broadcast((*listed, math.log((base["one"] + 1) / (base["zero"] + 1))))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_scores(model, shared), f"id {kind}, score double, predicted int").withColumnRenamed("id", id)
+    kept = [c for c in (keep or [id]) if c not in ("score", "predicted")]
+    source = docs.select(*[docs[c] for c in kept], docs[text].cast("string").alias("__text"))
+    schema = StructType([*(docs.schema[c] for c in kept), StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    return source.mapInArrow(_scores(model, shared), schema)
 
 
 def _word_list(sample: DataFrame, model: Broadcast, ones: int, zeros: int) -> tuple[np.ndarray, np.ndarray]:
@@ -284,7 +288,7 @@ def _scores(model: Broadcast, shared: Broadcast):
         maybe[(listed & bits).astype(np.int64)] = True
         for batch in batches:
             logit = np.full(batch.num_rows, base)
-            for first, _, features, firsts in restored_words(batch.column(1), restorer):
+            for first, _, features, firsts in restored_words(batch.column(batch.num_columns - 1), restorer):
                 for hashes in features:
                     at = np.flatnonzero(maybe[(hashes & bits).astype(np.int64)])
                     place = np.searchsorted(listed, hashes[at])
@@ -295,7 +299,8 @@ def _scores(model: Broadcast, shared: Broadcast):
                     np.add.at(logit, first + pairs // (len(listed) + 1), weights[pairs % (len(listed) + 1)])
             score = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["id", "score", "predicted"]
+                [*batch.columns[:-1], pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
+                [*batch.schema.names[:-1], "score", "predicted"],
             )
 
     return scores
