@@ -17,7 +17,8 @@ from .hashing import NOT_IN_WORD, chained, folded, running_sums, span_hashes, te
 
 RADIUS = 8  # differing bits of 64 that are always found
 BLOCKS = (21, 21, 22)  # bits per block: within the radius, one block differs in RADIUS // 3 bits at most
-GRID = 2  # windows begin and end at multiples of so many words of a block
+GRID = 2  # windows begin and end at multiples of so many words of a block (1 for items of a few words)
+SHORT = 8  # words of an item from which the grid is used
 CLASS_RATIO = 1.2  # items of one size class differ in length by this factor at most
 BATCH_BYTES = 32 << 20  # benchmark text sent to the tasks at once; more goes in further rounds
 SLACK = 3  # words by which a verified span may begin or end off the found place
@@ -30,16 +31,16 @@ def word_hashes(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
         yield first, end, span_hashes(running_sums(raw), starts, ends), ends - starts, firsts
 
 
-def sign_sums(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Running SimHash sums: row i adds up +-weight of the first GRID * i words for each of 64 bits.
+def sign_sums(hashes: np.ndarray, sizes: np.ndarray, grid: int) -> np.ndarray:
+    """Running SimHash sums: row i adds up +-weight of the first grid * i words for each of 64 bits.
 
     Longer words weigh more, up to 12. Sums wrap around in 16 bits; differences over a window do not.
     """
-    n = -(-len(hashes) // GRID)
-    signs = np.zeros((n * GRID, 64), np.int8)
+    n = -(-len(hashes) // grid)
+    signs = np.zeros((n * grid, 64), np.int8)
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).view(np.int8)
     np.multiply(2 * bits - 1, np.minimum(sizes, 12).astype(np.int8)[:, None], out=signs[: len(hashes)])
-    signs = sum(signs[i::GRID] for i in range(GRID))
+    signs = sum(signs[i::grid] for i in range(grid))
     out = np.zeros((64, n + 1), np.int16)  # sums run along the memory, windows read whole rows
     np.cumsum(np.ascontiguousarray(signs.T), axis=1, dtype=np.int16, out=out[:, 1:])
     return np.ascontiguousarray(out.T)
@@ -76,8 +77,9 @@ class Items:
             least = len(self.hashes[order[at]])
             members = list(itertools.takewhile(lambda i: len(self.hashes[i]) <= least * CLASS_RATIO, order[at:]))
             at += len(members)
-            step = GRID * max(1, least // (4 * GRID))
-            window = max(GRID, (least - step + 1) // GRID * GRID)
+            grid = 1 if least < SHORT else GRID
+            step = grid * max(1, least // (4 * grid))
+            window = (least - step + 1) // grid * grid
             prints, item, shift = [], [], []
             for i in members:
                 # The windows of any text that begin at multiples of `step` have one at each run of `step` places;
@@ -86,12 +88,12 @@ class Items:
                 shifts = sorted({*range(min(step, last + 1)), *range(max(0, last - step + 1), last + 1)})
                 for x in shifts:
                     cut = slice(x, x + window)
-                    sums = sign_sums(self.hashes[i][cut], self.sizes[i][cut])
+                    sums = sign_sums(self.hashes[i][cut], self.sizes[i][cut], grid)
                     prints.append(simhashes(sums, np.array([0]), np.array([len(sums) - 1])))
                 item += [i] * len(shifts)
                 shift += shifts
             classes.append(
-                {"step": step, "window": window, "prints": np.concatenate(prints), "item": np.array(item), "shift": np.array(shift)}
+                {"grid": grid, "step": step, "window": window, "prints": np.concatenate(prints), "item": np.array(item), "shift": np.array(shift)}
             )
         return classes
 
@@ -200,7 +202,7 @@ def _block_matches(items: Items, tables: list, hashes: np.ndarray, sizes: np.nda
     """(text, item, similarity, first word, words) of one block of texts, the best per text and item."""
     if not len(hashes) or not items.ids:
         return []
-    sums = sign_sums(hashes, sizes)
+    sums = {grid: sign_sums(hashes, sizes, grid) for grid in {c["grid"] for c in items.classes}}
     runs = {n: chained(hashes, n) if len(hashes) >= n else hashes[:0] for n in {items.words, *items.short}}
     known = np.zeros(len(hashes), bool)
     for found in runs.values():
@@ -209,14 +211,14 @@ def _block_matches(items: Items, tables: list, hashes: np.ndarray, sizes: np.nda
     near = np.concatenate([[0], np.cumsum(known)])
     spots: set[tuple[int, int, int]] = set()
     for size_class, blocks in zip(items.classes, tables):
-        step, window = size_class["step"], size_class["window"]
+        grid, step, window = size_class["grid"], size_class["step"], size_class["window"]
         starts = np.arange(0, len(hashes), step)
         doc = np.searchsorted(firsts, starts, "right") - 1
-        ends = np.minimum(starts + window, firsts[doc + 1] // GRID * GRID)
+        ends = np.minimum(starts + window, firsts[doc + 1] // grid * grid)
         whole = 4 * (ends - starts) >= 3 * window
         doc, starts, ends = doc[whole], starts[whole], ends[whole]
         for a in range(0, len(starts), 1 << 15):
-            prints = simhashes(sums, starts[a : a + (1 << 15)] // GRID, ends[a : a + (1 << 15)] // GRID)
+            prints = simhashes(sums[grid], starts[a : a + (1 << 15)] // grid, ends[a : a + (1 << 15)] // grid)
             low, hit = 0, np.zeros(len(prints), bool)
             for width, block in zip(BLOCKS, blocks):
                 hit |= block[((prints >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)]

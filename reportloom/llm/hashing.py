@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20  # bytes of text hashed at once; a longer single text is one block
+BLOCK_BYTES = 1 << 19  # bytes of text hashed at once; a longer single text is one block
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -18,12 +18,12 @@ SLICE_BITS = 22  # bits of one slice of either filter
 BITS_PER_LINE = 16
 
 _SPACES = "\t\n\x0b\x0c\r "
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def line_key(line):
+def line_key(line: str) -> str:
     """The key of a line: white space stripped at both ends, A-Z in lower case."""
-    return F.translate(F.trim(line, F.lit(_SPACES)), _UPPER, _LOWER)
+    return line.strip(_SPACES).translate(_LOWER)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -52,10 +52,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, id: str = "doc_id", text:
     ).withColumn("mark", F.xxhash64("text"))
     suspects = suspected_lines(rows.where("id is not null").select("id", "mark", "text"), min_chars)
 
-    keyed = rows.join(suspects, ["id", "mark"]).select("id", "mark", "numbers", F.split("text", "\n").alias("lines"))
-    keyed = keyed.select("id", "mark", F.explode("numbers").alias("number"), "lines").select(
-        "id", "mark", "number", line_key(F.get("lines", F.col("number"))).alias("key")
-    )
+    keyed = rows.join(suspects, ["id", "mark"]).select("id", "mark", "numbers", "text")
+    keyed = keyed.mapInArrow(_line_keys, f"id {rows.schema['id'].dataType.simpleString()}, mark long, number int, key string")
     # both stored, so that the join below has plain shuffles on both sides and Spark can split a hot key
     keyed = stored(keyed, "suspected-lines")
     repeated = keyed.groupBy("key").agg(F.min("id").alias("keeper"), F.max("id").alias("last")).where("keeper <> last")
@@ -197,6 +195,21 @@ def _through_filters(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": pdf["block"], "suspects": out})
 
 
+def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per suspected line, with its whole key."""
+    for batch in batches:
+        keys, rows = [], []
+        for row, (numbers, text) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3))):
+            lines = text.as_py().split("\n")
+            keys += [line_key(lines[n]) for n in numbers]
+            rows += [row] * len(numbers)
+        rows = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(rows), batch.column(1).take(rows), batch.column(2).flatten(), pa.array(keys, pa.string())],
+            ["id", "mark", "number", "key"],
+        )
+
+
 def _suspects_by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from .graph import connected_components
 from .storage import stored
 
-FILTERS_PER_VECTOR = 12  # filters that a random vector exceeds, on average
-LEAST_FILTERS = 16  # best filters of a vector that exceeds fewer
+FILTERS_PER_VECTOR = 16  # filters that a random vector exceeds, on average
+LEAST_FILTERS = 24  # best filters of a vector that exceeds fewer
 BUCKET = 48  # random vectors per filter, about; the number of filters follows from it
 BLOCK = 512  # vectors of one side of a verified cell
-ROWS = 4096  # vectors that are decoded at a time
+ROWS = 1024  # vectors that are decoded at a time
 
 
 def codebook(dim: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

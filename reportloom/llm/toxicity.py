@@ -92,9 +92,18 @@ class Restorer:
 
     def text(self, text: str) -> str:
         """The text in lower case with disguised words restored."""
-        text = _SPACED.sub(lambda m: self.word(re.sub(r"[ .\-_*]", "", m[0])), text.lower())
+        text = _SPACED.sub(lambda m: self.run(re.sub(r"[ .\-_*]", "", m[0])), text.lower())
         return _WORD.sub(lambda m: self.word(m[0]), text)
 
+    def run(self, letters: str) -> str:
+        """Letters that stood apart: one word, or one with a word of one letter before or behind it."""
+        whole, first, last = self.word(letters), self.word(letters[1:]), self.word(letters[:-1])
+        return max(whole, f"{letters[0]} {first}", f"{last} {letters[-1]}", key=self.likelihood)
+
+    def likelihood(self, text: str) -> float:
+        padded = [0, 0, *map(_symbol, text), 0]
+        return sum(self.model[a][b][c] for a, b, c in zip(padded, padded[1:], padded[2:]))
+
     def word(self, word: str) -> str:
         if len(self.known) > 200_000:
             self.known.clear()
