@@ -76,6 +76,7 @@ def deduced_templates(rows: DataFrame) -> DataFrame:
     )
     tokens = stored(tokens, "host-tokens")
     sizes = hosted.groupBy("host").agg(F.count("*").alias("host_pages")).where(F.col("host_pages") >= LEAST_PAGES)
+    sizes = stored(sizes, "host-sizes")
     places = (
         tokens.where("text <> 0")
         .join(sizes, "host")

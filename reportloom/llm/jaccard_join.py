@@ -38,13 +38,15 @@ def jaccard_classes(docs: DataFrame, words: int, percent: int, id: str = "doc_id
     2. Representatives that share a min-hash are compared with the one of them whose tokens are the most common
        on average, which for near copies is close to their original. The components of these links are the
        families. Pairs inside a family need no comparison, however large it is.
-    3. The token-group matrix: families are cut into groups of similar size and of GROUP_DOCS documents at most,
-       about. For each token it names the groups in which the token is among the rarest of some document. A
-       set of n tokens shares need(n) = ceil(n * percent / 100) tokens with any partner; its n - need(n) + 1 + e
-       rarest tokens are its prefix. Two sets with c common prefix tokens overlap in c + max(n - prefix, m - prefix)
-       tokens at most. With the entries that a query shares with a group for c, this bounds the overlap with
-       every document of the group; a group whose bound is too small holds no partner and is not opened.
-    4. In the opened groups of other families, documents of matching size are compared in full.
+    3. The token-group matrix: documents of a family, or else with the same leader, are cut into groups of
+       similar size and of GROUP_DOCS documents at most, about. For each token the matrix names the groups in
+       which the token is among the rarest of some document. A set of n tokens shares need(n) = ceil(n *
+       percent / 100) tokens with any partner; its n - need(n) + 1 + e rarest tokens are its prefix. Two sets
+       with c common prefix tokens overlap in c + max(n - prefix, m - prefix) tokens at most. With the
+       entries that a query shares with a group for c, this bounds its overlap with every document of the group;
+       a group whose bound is too small holds no partner and is not opened.
+    4. Two documents of different families are compared in full if each opens the group of the other and their
+       sizes match.
     "Rarest" goes by a sketch of token counts over all documents. The sketch has a fixed size; it only decides
     the order, so that coarse counts cost time and never results.
 
@@ -67,11 +69,12 @@ def jaccard_classes(docs: DataFrame, words: int, percent: int, id: str = "doc_id
     leaders = leaders.where("size > 1").select("i", "key", (-F.col("leader")).alias("leader"))
     pairs = keyed.join(leaders, ["i", "key"]).where("rep <> leader")
     pairs = pairs.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    close = stored(_verified(texts, stored(pairs, "leader-pairs"), words, percent), "leader-links")
+    pairs = stored(pairs, "leader-pairs")
+    close = stored(_verified(texts, pairs, words, percent), "leader-links")
 
-    reps = _grouped(classes, connected_components(close, "a", "b"))
+    reps = _grouped(classes, connected_components(close, "a", "b"), pairs)
     matrix = _matrix_rows(texts, reps, words, percent, order)
-    pairs = stored(_candidates(matrix, reps, percent), "candidates")
+    pairs = stored(_candidates(matrix, percent), "candidates")
     links = close.unionByName(_verified(texts, pairs, words, percent))
 
     component = connected_components(links, "a", "b")
@@ -142,34 +145,38 @@ def _verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
     return full.select("a", "b", "a_text", "b_text").mapInArrow(similar, "a long, b long")
 
 
-def _grouped(classes: DataFrame, families: DataFrame) -> DataFrame:
-    """(rep, n, family, part): each family by size band, in parts of about GROUP_DOCS documents."""
-    reps = classes.join(families, classes["rep"] == families["node"], "left").select(
-        "rep", "n", F.coalesce("component", "rep").alias("family")
+def _grouped(classes: DataFrame, families: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(rep, n, family, grp): the verified family of each representative, and its group in the matrix."""
+    follows = pairs.groupBy(F.col("b").alias("follower")).agg(F.min("a").alias("leader"))
+    reps = classes.join(families, classes["rep"] == families["node"], "left").join(follows, F.col("rep") == F.col("follower"), "left")
+    reps = reps.select(
+        "rep",
+        "n",
+        F.coalesce("component", "rep").alias("family"),
+        F.struct(F.col("component").isNotNull().alias("verified"), F.coalesce("component", "leader", "rep").alias("of")).alias("cluster"),
+        F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_BAND))).alias("band"),
     )
-    sizes = reps.groupBy("family").agg(F.count("*").alias("members"))
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_BAND)))
+    sizes = reps.groupBy("cluster", "band").agg(F.count("*").alias("members"))
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / F.lit(GROUP_DOCS)))
-    return stored(reps.join(sizes, "family").select("rep", "n", "family", F.xxhash64(band, part).alias("part")), "groups")
+    grp = F.xxhash64("cluster", "band", part)
+    return stored(reps.join(sizes, ["cluster", "band"]).select("rep", "n", "family", grp.alias("grp")), "groups")
 
 
 def _matrix_rows(texts: DataFrame, reps: DataFrame, words: int, percent: int, order: Broadcast) -> DataFrame:
-    """(token, id, n, family, part): the prefix tokens of each document that some other family has in a prefix too."""
-    placed = texts.join(reps.select(F.col("rep").alias("id"), "family", "part"), "id").select("id", "n", "family", "part", "text")
-    rare = placed.mapInArrow(
-        _rare_tokens(words, percent, order), "token long, id long, n int, family long, part long"
-    ).repartition("token")
+    """(token, id, n, family, grp): the prefix tokens of each document that some other family has in a prefix too."""
+    placed = texts.join(reps.select(F.col("rep").alias("id"), "family", "grp"), "id").select("id", "n", "family", "grp", "text")
+    rare = placed.mapInArrow(_rare_tokens(words, percent, order), "token long, id long, n int, family long, grp long").repartition("token")
     shared = rare.groupBy("token").agg(F.min("family").alias("low"), F.max("family").alias("high"))
     return stored(rare.join(shared.where("low <> high").select("token"), "token"), "token-groups")
 
 
-def _candidates(matrix: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b): queries with the documents of matching size in the groups that their bound opens."""
-    groups = matrix.select("token", F.col("family").alias("g_family"), F.col("part").alias("g_part")).distinct()
-    hits = matrix.join(groups, "token").where("family <> g_family")
-    shared = hits.groupBy("id", "n", "g_family", "g_part").agg(F.count("*").alias("common"))
-    members = reps.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("family").alias("g_family"), F.col("part").alias("g_part"))
-    ranges = members.groupBy("g_family", "g_part").agg(F.min("m").alias("low"), F.max("m").alias("high"))
+def _candidates(matrix: DataFrame, percent: int) -> DataFrame:
+    """(a, b): documents of matching size that open each other's groups."""
+    groups = matrix.groupBy("token", F.col("grp").alias("g")).agg(F.min("family").alias("low"), F.max("family").alias("high"))
+    # an entry counts if a document of another family has made it
+    hits = matrix.join(groups, "token").where("family <> low or family <> high")
+    shared = hits.groupBy("id", "n", "family", "grp", "g").agg(F.count("*").alias("common"))
+    ranges = matrix.groupBy(F.col("grp").alias("g")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
 
     def need(n: str) -> str:
         return f"(({n} * {percent} + 99) div 100)"
@@ -180,13 +187,15 @@ def _candidates(matrix: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     def overlap(n: str, m: str) -> str:  # that similar sets of these sizes have at least
         return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
 
-    least = f"{overlap('n', f'greatest(low, {need('n')})')} - greatest({rest('n')}, {rest('high')})"
-    opened = shared.join(ranges, ["g_family", "g_part"]).where(f"common >= {least}").select("id", "n", "g_family", "g_part")
+    bound = f"{overlap('n', f'greatest(least, {need("n")})')} - greatest({rest('n')}, {rest('most')})"
+    opened = shared.join(ranges, "g").where(f"common >= {bound}").select("id", "n", "family", "grp", "g")
+    opened = stored(opened, "opened-groups")
+    others = opened.toDF("other", "m", "o_family", "g", "grp")
     return (
-        opened.join(members, ["g_family", "g_part"])
-        .where((F.col("id") < F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
-        .select(F.col("id").alias("a"), "b")
-        .distinct()
+        opened.join(others, ["grp", "g"])
+        .where((F.col("id") < F.col("other")) & (F.col("family") != F.col("o_family")))
+        .where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+        .select(F.col("id").alias("a"), F.col("other").alias("b"))
     )
 
 
@@ -227,7 +236,7 @@ def _rare_tokens(words: int, percent: int, order: Broadcast):
                         batch.column(2).take(take),
                         batch.column(3).take(take),
                     ],
-                    ["token", "id", "n", "family", "part"],
+                    ["token", "id", "n", "family", "grp"],
                 )
 
     return rare
