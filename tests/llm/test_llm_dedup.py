@@ -119,7 +119,7 @@ def test_jaccard_against_all_pairs(spark, k, percent):
 
 
 def test_jaccard_without_families_uses_the_matrix_alone(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "_grouped", lambda classes, families, make=jaccard_join._grouped: make(classes, families.limit(0)))
+    monkeypatch.setattr(jaccard_join, "_grouped", lambda classes, families, pairs, make=jaccard_join._grouped: make(classes, families.limit(0), pairs))
     base = prose(77, 120)
     rows = [(i, edited(base, i, i % 4)) for i in range(25)] + awkward_documents()[:12]
     rows = [(i, t) for n, (i, t) in enumerate(rows) if i not in {j for j, _ in rows[:n]}]
