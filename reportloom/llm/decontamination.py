@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import NOT_IN_WORD, chained, folded, running_sums, span_hashes, text_blocks, word_spans
+from .storage import batches_by_bytes
 
 RADIUS = 8  # differing bits of 64 that are always found
 BLOCKS = (21, 21, 22)  # bits per block: within the radius, one block differs in RADIUS // 3 bits at most
@@ -149,6 +150,7 @@ def find_benchmark(
     BATCH_BYTES at most. Null and empty texts or items match nothing; null ids are kept; repeated rows give
     repeated rows; empty tables give an empty one. Only the named columns are read.
     """
+    batches_by_bytes(docs)
     spark = docs.sparkSession
     items = benchmark.select(benchmark[item_id].alias("item"), benchmark[item_text].cast("string").alias("text"))
     volume = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .html_pages import Block, page_blocks
-from .storage import stored
+from .storage import batches_by_bytes, stored
 
 LEAST_PAGES = 4  # pages of a host before a template is deduced
 FREQUENT = 0.5  # share of a host's pages that a template token is on
@@ -45,6 +45,7 @@ def extract_main_text(pages: DataFrame, id: str = "page_id", url: str = "url", s
     Null or empty html gives an empty text. Repeated rows and null ids are kept, each with its text. An empty
     table gives an empty one. Only the three named columns are read.
     """
+    batches_by_bytes(pages)
     rows = pages.select(pages[id].alias("id"), pages[url].cast("string").alias("url"), pages[source].cast("string").alias("html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
     kind = rows.schema["id"].dataType.simpleString()

@@ -15,7 +15,7 @@ from ..workspace import fresh_dir
 from .counting import summed_counts
 from .graph import connected_components
 from .hashing import mixed, shingle_sets
-from .storage import stored
+from .storage import batches_by_bytes, stored
 
 FAMILY_KEYS = 3  # min-hashes that propose the documents of one family
 GROUP_DOCS = 64  # documents of one group of the matrix, at most about
@@ -53,6 +53,7 @@ def jaccard_classes(docs: DataFrame, words: int, percent: int, id: str = "doc_id
     Null and empty texts have an empty set. Rows with a null id are left out. Repeated ids are one document,
     with the largest of their sets. An empty table gives an empty one. Only `id` and `text` are read.
     """
+    batches_by_bytes(docs)
     rows = docs.select(docs[id].cast("long").alias("id"), docs[text].cast("string").alias("text")).where("id is not null")
     order = _frequency_sketch(rows, words)
     signed = rows.mapInArrow(_signatures(words, order), "id long, n long, fp1 long, fp2 long, common long, keys array<long>")

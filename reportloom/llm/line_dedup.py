@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import lowered, running_sums, span_hashes, text_blocks
-from .storage import stored
+from .storage import batches_by_bytes, stored
 
 SLICE_BITS = 22  # bits of one slice of either filter
 BITS_PER_LINE = 16
@@ -44,6 +44,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, id: str = "doc_id", text:
     whole and count nowhere. Repeated rows count as one document, and each is cleaned. Empty tables and extra
     columns of any name pass through (n_lines and n_dropped are replaced).
     """
+    batches_by_bytes(docs)
     others = [c for c in docs.columns if c not in (id, text)]
     rows = docs.select(
         F.struct(F.lit(0).alias("_"), *[docs[c] for c in others]).alias("row"),

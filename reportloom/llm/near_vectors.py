@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import connected_components
-from .storage import stored
+from .storage import batches_by_bytes, stored
 
 FILTERS_PER_VECTOR = 16  # filters that a random vector exceeds, on average
 LEAST_FILTERS = 24  # best filters of a vector that exceeds fewer
@@ -77,6 +77,7 @@ def link_vectors(
     each time they occur but share one result row, with the sum of the links. An empty table gives an empty one.
     Only the named columns are read.
     """
+    batches_by_bytes(vectors)
     rows = vectors.select(
         vectors[id].cast("long").alias("id"), vectors[vector].cast("array<double>").alias("v"), vectors[label].alias("label")
     ).where("id is not null")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import batches_by_bytes, stored
 from .tokens import encoder
 
 GROUP_PIECES = 4096  # pieces that one task packs at a time
@@ -69,6 +69,7 @@ def pack_documents(
     A null or empty text is one piece with the end id only. Null ids and repeated rows are packed like any
     other. An empty table gives an empty one. Only `id` and `text` are read.
     """
+    batches_by_bytes(docs)
     spark = docs.sparkSession
     left = stored(document_pieces(docs, vocabulary, end_id, capacity, id, text), "pieces")
     kind, count = left.schema["id"].dataType.simpleString(), left.count()

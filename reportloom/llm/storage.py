@@ -16,3 +16,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def batches_by_bytes(df: DataFrame, limit: str = "4m") -> None:
+    """Let Arrow batches of this session hold `limit` bytes, so that long rows do not decide a worker's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", limit)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .storage import batches_by_bytes
 from .tokens import encoder
 
 
@@ -22,6 +23,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int, id: str = "doc_id
     as they are; an empty table gives an empty one. Only `id` and `text` are read, so other columns of any
     name do not matter.
     """
+    batches_by_bytes(docs)
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .storage import batches_by_bytes
 from .tokens import encoder
 from .wavelet import NULL_ID, open_shard, pack_shard
 
@@ -29,6 +30,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id: s
     A null text is an empty document (the end id only). Null ids come first; rows with equal ids stay separate
     documents, in any order. An empty table gives no shard. Only `id` (whole numbers) and `text` are read.
     """
+    batches_by_bytes(docs)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, shard = encoder(vocabulary), TaskContext.get().partitionId(), 0

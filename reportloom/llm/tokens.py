@@ -19,7 +19,7 @@ from .hashing import lowered, running_sums, span_hashes, text_blocks
 
 SLOTS = 1 << 20  # entries of a worker's table
 LONG_BYTES = 8 << 20  # a longer text is looked up in parts
-FLAT_IDS = 12_000_000  # remembered ids before the table starts afresh
+FLAT_IDS = 6_000_000  # remembered ids before the table starts afresh
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True

@@ -22,7 +22,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .counting import summed_counts
 from .hashing import NOT_IN_WORD, folded, mixed, running_sums, span_hashes, text_blocks, word_spans
-from .storage import stored
+from .storage import batches_by_bytes, stored
 
 # Which letters a sign may stand for (fixed values).
 SIGNS = {
@@ -221,6 +221,7 @@ def score_toxicity(
     scored alike; labels other than 0 and 1, and ids with both labels, are not used. Empty tables give an
     empty one; without labels every score is that of a base rate of one half. Only the named columns are read.
     """
+    batches_by_bytes(docs)
     spark = docs.sparkSession
     rows = docs.select(docs[id].alias("id"), docs[text].cast("string").alias("text"))
     model = spark.sparkContext.broadcast(character_model(rows.select("text")))
