@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,6)"  # up to 10^22; sums of it are decimal(38,6)
 
 
 def column(c: Column | str) -> Column:
@@ -34,6 +34,11 @@ def to_money(c: Column | str) -> Column:
     return F.nullif(F.translate(F.trim(column(c)), "$,", ""), F.lit("")).try_cast(MONEY)
 
 
+def money_rejects(c: Column | str) -> Column:
+    """Aggregate: texts that are neither blank nor an amount, so that none is lost unseen."""
+    return F.count_if(blank_to_null(c).isNotNull() & to_money(c).isNull())
+
+
 def to_day(c: Column | str, pattern: str = "yyyy-MM-dd") -> Column:
     return F.try_to_date(blank_to_null(c), pattern)
 

@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.links import link_html
 from ..operators.filters import search_predicate
-from ..operators.ranking import recent
 
 
 def digest(items: DataFrame, query: str | None = None) -> DataFrame:
-    """Linked title, dates and description, newest first; `query` is a case-insensitive regex on any text."""
+    """Linked title, dates and description; `query` is a case-insensitive regex on any text.
+
+    Sorted by the date of the channel, where it was read, then by the item's own date, newest first.
+    """
     if query is not None:
         items = items.filter(search_predicate("item_title", query) | search_predicate("item_description", query))
-    rows = items.select(link_html("item_title", "item_link").alias("item"), "item_pub_date", "item_link", "item_description")
-    return recent(rows, "item_pub_date", "item_link").drop("item_link")
+    dates = [name for name in ("feed_pub_date", "item_pub_date") if name in items.columns]
+    rows = items.select(link_html("item_title", "item_link").alias("item"), *dates, "item_link", "item_description")
+    newest = [F.col(name).desc_nulls_last() for name in dates]
+    return rows.orderBy(*newest, "item_link").drop("item_link")
 
 
 def digest_page(items: DataFrame, query: str | None, number: int, size: int = 10) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.periods import quarter_label
 from ..operators.aggregates import date_bounds, monthly_summary, yearly_from_monthly
 from ..operators.cleaning import clean_reports
-from ..sources.delimited import newest_drop, read_delimited
+from ..sources.delimited import newest_drop, newest_file, read_delimited
 from ..sources.outputs import write_output
 
 
@@ -22,16 +23,22 @@ class Refined:
 
 
 def refine(
-    spark: SparkSession, drops: str, out: str, glob: str = "*.csv", country_sentinel: str | None = "Not Specified"
+    spark: SparkSession,
+    drops: str,
+    out: str,
+    glob: str = "*.tsv",
+    country_sentinel: str | None = "Not Specified",
+    delivery: bool = False,
 ) -> Refined:
-    """The drop's text is parsed once.
+    """Refine the newest file below `drops`, or with `delivery` the newest folder of part files.
 
-    The clean table is written to a staging folder as Parquet; bounds, label, CSV copy and both
-    summaries read that (and the yearly one reads the monthly one).
+    The text is parsed once. The clean table is written to a staging folder of this run as Parquet; bounds,
+    label, CSV copy and both summaries read that (and the yearly one reads the monthly one).
     """
-    raw = read_delimited(spark, newest_drop(spark, drops, glob))
-    staging = f"{out}/staging/clean"
-    clean_reports(raw, country_sentinel).write.mode("overwrite").parquet(staging)
+    newest = newest_drop(spark, drops, glob) if delivery else newest_file(spark, drops, glob)
+    raw = read_delimited(spark, newest, glob=glob)
+    staging = f"{out}/staging/{uuid.uuid4().hex}"
+    clean_reports(raw, country_sentinel).write.parquet(staging)
     clean = spark.read.parquet(staging)
 
     label = date_bounds(clean).select(quarter_label("max_date")).first()[0]

@@ -25,7 +25,7 @@ def heat_table(df: DataFrame, a: str = "province", b: str = "fraud_cat", top_a:
     cells = cross_freq(df, a, b)
     rows = top_k(cells.groupBy(a).agg(F.sum("n").alias("total")), "total", top_a, a).select(a)
     cols = top_k(cells.groupBy(b).agg(F.sum("n").alias("total")), "total", top_b, b).select(b)
-    return grid(rows, cols, tiles=1).join(row_pct(cells, a), [a, b], "left").na.fill(0, ["n", "pct"])
+    return grid(rows, cols).join(row_pct(cells, a), [a, b], "left").na.fill(0, ["n", "pct"])
 
 
 def population_of(dim: DataFrame, key: str | None = None, value: str | None = None) -> Column:

@@ -18,13 +18,21 @@ def read_search_docs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DOC_SCHEMA).option("multiLine", whole_files).json(path)
 
 
-def search_site(docs: DataFrame, query: str, key: str = "href", collapse_after: int = 3, limit: int = LIMIT) -> DataFrame:
+# Fixed value: share of a query's letters by which a match may differ.
+FUZZ = 0.1
+
+
+def search_site(
+    docs: DataFrame, query: str, key: str = "href", collapse_after: int = 3, limit: int = LIMIT, fuzz: float = FUZZ
+) -> DataFrame:
     """The best hits with their place, a link that carries the query, and the marked text around the hit.
 
+    Near matches count as hits; the snippet marks exact ones.
+
     The places are given after the limit, so their window holds at most `limit` rows.
     """
     place = F.row_number().over(Window.orderBy(F.col("score").desc(), key))
-    hits = search(docs, query, key, limit=limit).withColumn("place", place)
+    hits = search(docs, query, key, limit=limit, fuzz=fuzz).withColumn("place", place)
     linked = snippet(hits.withColumn("link", add_param("href", "q", query)), "text", query)
     return group_hits(linked, "link", "place", collapse_after)
 

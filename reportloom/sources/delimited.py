@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -56,22 +58,56 @@ def newest_file(spark: SparkSession, folder: str, glob: str = "*.tsv") -> str:
 
 
 def newest_drop(spark: SparkSession, folder: str, glob: str = "*.csv") -> str:
-    """The folder that holds the file modified last: a delivery made of many part files."""
+    """The folder that holds the file modified last, for deliveries made of many part files in a folder of their own."""
     return _newest(spark, folder, glob).rsplit("/", 1)[0]
 
 
-def read_parts(spark: SparkSession, *folders: str, schema: StructType | str | None = None) -> DataFrame:
+def _headers(spark: SparkSession, folders: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their header line. Only a file's first split can hold it, so the first line read is the header."""
+    lines = spark.read.option("recursiveFileLookup", True).text(list(folders)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    found = lines.filter("start = 0").groupBy("file").agg(F.first("value").alias("header"))
+    files: dict[str, list[str]] = {}
+    for row in found.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        files[row.header] = row.files
+    return files
+
+
+def read_parts(spark: SparkSession, *folders: str, schema: StructType | str | None = None, one_header: bool = False) -> DataFrame:
     """CSV part files of one or more folders, stacked by column name; absent columns become null.
 
-    Types are inferred, which costs an extra pass; give a schema for large inputs.
+    Files are grouped by their header line first, so that files of one folder may name their columns in any
+    order. That reads the text once more; `one_header` says that the files of each folder agree, and one that
+    does not is then an error. Types are inferred, which costs a pass; give a schema for large inputs.
     """
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return stack(*[reader.csv(folder) for folder in folders])
+    groups = [[folder] for folder in folders] if one_header else list(_headers(spark, folders).values())
+    if not groups:  # files without any line
+        groups = [[folder] for folder in folders]
+    parts = []
+    for paths in groups:
+        reader = spark.read.option("header", True).option("enforceSchema", False)
+        if schema is None:
+            parts.append(reader.option("inferSchema", True).csv(paths))
+            continue
+        wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        names = reader.csv(paths[0]).columns
+        known = {field.name: field for field in wanted}
+        stated = StructType([known.get(name, StructField(name, StringType())) for name in names])
+        parts.append(reader.schema(stated).csv(paths).select(*[name for name in names if name in known]))
+    return stack(*parts)
 
 
 def latest_label(df: DataFrame, label: str = "label") -> DataFrame:
-    """Rows of the greatest label. On a table partitioned by it, only that partition is read."""
+    """Rows of the greatest label.
+
+    On a table partitioned by it the label comes from the listing of the partitions, without a job, and only
+    that partition is read.
+    """
+    found = [re.search(rf"/{re.escape(label)}=([^/]+)/", path) for path in df.inputFiles()]
+    if found and all(found):
+        names = {unquote(match[1]) for match in found} - {"__HIVE_DEFAULT_PARTITION__"}
+        return df.filter(F.col(label) == max(names)) if names else df.limit(0)
     return df.filter(F.col(label) == df.agg(F.max(label)).scalar())
 
 

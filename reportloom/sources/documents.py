@@ -19,13 +19,3 @@ def with_sizes(documents: DataFrame, text: str = "text") -> DataFrame:
     """Letters and whitespace-separated words of each document."""
     words = F.when(F.trim(text) == "", 0).otherwise(F.size(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")))
     return documents.withColumns({"chars": F.length(text), "words": words})
-
-
-def spread(df: DataFrame, few: int = 64) -> DataFrame:
-    """Put all cores to work on expensive row-wise steps over a table that arrives in very few partitions.
-
-    Small tables are often one file with one row group, hence one task. A table with `few` or more
-    partitions is left as it is, so large inputs are never shuffled for this.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, few)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

@@ -26,21 +26,22 @@ def write_labelled(df: DataFrame, path: str, label: str = "label") -> str:
     return path
 
 
-def export_single(df: DataFrame, path: str, *order: str, max_rows: int = 1_000_000) -> int:
-    """Comma-separated download with header, sorted on request; one file when the table is small enough.
+def export_parts(df: DataFrame, path: str, *order: str) -> str:
+    """Comma-separated download with headers as part files written in parallel, in range order on request."""
+    out = df.orderBy(*order) if order else df
+    out.write.mode("overwrite").option("header", True).csv(path)
+    return path
+
 
-    A larger table is written as several files of at most `max_rows` rows each, in parallel, so
-    it never passes through one task. The rows of a small one are brought together by a shuffle,
-    which leaves the work before it parallel. Returns the number of rows.
+def export_single(df: DataFrame, path: str, *order: str) -> str:
+    """The same as one file. All rows pass through one task: for summaries that a person downloads.
+
+    They are brought together by a shuffle, which leaves the work before it parallel.
     """
-    rows = df.count()
-    if rows <= max_rows:
-        out = df.repartition(1)
-        out = out.sortWithinPartitions(*order) if order else out
-    else:
-        out = df.orderBy(*order) if order else df
-    out.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", max_rows).csv(path)
-    return rows
+    out = df.repartition(1)
+    out = out.sortWithinPartitions(*order) if order else out
+    out.write.mode("overwrite").option("header", True).csv(path)
+    return path
 
 
 def write_vectors(df: DataFrame, path: str) -> str:
@@ -49,8 +50,9 @@ def write_vectors(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_feed(items: DataFrame, path: str, order: str, *tie_break: str, newest: int = 20) -> str:
-    """Publish the newest items as one feed file; the feed is short by definition."""
-    top = items.orderBy(F.col(order).desc_nulls_last(), *tie_break).limit(newest)
-    top.coalesce(1).write.mode("overwrite").format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
+def write_feed(items: DataFrame, path: str, order: str, *tie_break: str, newest: int | None) -> str:
+    """Publish items as feed files, newest first: the `newest` ones in one file, or with None all of them, in parallel."""
+    ranked = items.orderBy(F.col(order).desc_nulls_last(), *tie_break)
+    out = ranked if newest is None else ranked.limit(newest).coalesce(1)
+    out.write.mode("overwrite").format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
     return path

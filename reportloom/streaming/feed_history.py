@@ -7,40 +7,49 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.feeds import ITEM_SCHEMA, as_items
 
+BUCKETS = 256  # folders of links by hash; a run reads those its own links fall into
 HISTORY_SCHEMA = (
-    "item_title string, item_link string, item_description string, item_pub_date timestamp, feed string, batch bigint"
+    "item_title string, item_link string, item_description string, item_pub_date timestamp, feed string, "
+    "bucket int, stream string, batch bigint"
 )
 
 
-# A run with at most this many links is shipped to the history instead of shuffling the history.
-FEW_LINKS = 200_000
-
-
 def read_history(spark: SparkSession, history: str) -> DataFrame:
     return spark.read.schema(HISTORY_SCHEMA).parquet(history)
 
 
+def unseen(links: DataFrame, history: DataFrame, stream: str, batch: int) -> DataFrame:
+    """Links that no other batch of any stream holds; only the buckets of these links are read."""
+    used = [row.bucket for row in links.select("bucket").distinct().collect()]  # BUCKETS numbers at most
+    others = (F.col("stream") != stream) | (F.col("batch") != batch)
+    known = history.filter(F.col("bucket").isin(used) & others).select("bucket", "item_link")
+    return links.join(known, ["bucket", "item_link"], "left_anti")
+
+
 def ingest_feed(spark: SparkSession, src: str, history: str, checkpoint: str) -> None:
     """Add the items of the feed files that arrived since the last run.
 
-    Exact for any age of item: links are compared with the whole history, not with a watermarked
-    window, so nothing late is lost. Only the link column of the history is scanned; unless the run
-    is very large (checked) it is not shuffled. Duplicates inside a batch are folded before the
-    shuffle. Each batch owns one folder and overwrites it, so a batch repeated after a failure
-    changes nothing.
+    Exact for any age of item: links are compared with the history, not with a watermarked window, so nothing
+    late is lost. The history is filed by link hash, so a small run reads few of its folders. Duplicates inside
+    a batch are folded before the shuffle. A batch owns the folders named by its stream (the id kept in the
+    checkpoint) and number: repeated after a failure it writes the same again, and a new checkpoint starts a
+    new stream beside the old ones.
     """
-    spark.createDataFrame([], HISTORY_SCHEMA).write.mode("ignore").partitionBy("batch").parquet(history)
+    spark.createDataFrame([], HISTORY_SCHEMA).write.mode("ignore").partitionBy("bucket", "stream", "batch").parquet(history)
 
     def add_unseen(rows: DataFrame, batch: int) -> None:
-        known = read_history(rows.sparkSession, history).filter(F.col("batch") < batch).select("item_link")
+        session = rows.sparkSession
+        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         newest = F.max_by(F.struct("item_title", "item_description", "item_pub_date", "feed"), F.struct("item_pub_date", "feed"))
-        links = rows.groupBy("item_link").agg(newest.alias("item")).select("item_link", "item.*")
+        links = rows.groupBy("item_link").agg(newest.alias("item")).select(
+            "item_link", "item.*", F.pmod(F.xxhash64("item_link"), F.lit(BUCKETS)).cast("int").alias("bucket")
+        )
         links = links.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            names = links.select("item_link")
-            names = F.broadcast(names) if links.count() <= FEW_LINKS else names
-            seen = known.join(names, "item_link", "left_semi")
-            links.join(seen, "item_link", "left_anti").write.mode("overwrite").parquet(f"{history}/batch={batch}")
+            new = unseen(links, read_history(session, history), stream, batch)
+            new = new.withColumns({"stream": F.lit(stream), "batch": F.lit(batch).cast("bigint")})
+            writer = new.hint("rebalance", F.col("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("bucket", "stream", "batch").parquet(history)
         finally:
             links.unpersist()
 

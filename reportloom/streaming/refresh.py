@@ -12,7 +12,7 @@ from ..operators.cleaning import clean_reports
 from ..sources.delimited import read_delimited
 
 UNDATED = "undated"
-MONTHLY_SCHEMA = "label string, year int, month int, total_loss decimal(28,2), total_victims bigint"
+MONTHLY_SCHEMA = "label string, year int, month int, total_loss decimal(38,6), total_victims bigint"
 
 
 def _replace(df: DataFrame, path: str) -> None:
@@ -37,11 +37,15 @@ def refresh_summaries(
     spark.createDataFrame([], MONTHLY_SCHEMA).write.mode("ignore").partitionBy("label").parquet(f"{out}/monthly")
     root = re.escape(src.rstrip("/").rsplit("/", 1)[-1])
 
-    def replace_quarters(batch: DataFrame, _: int) -> None:
+    def replace_quarters(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         rows = clean_reports(batch, country_sentinel).withColumn(
             "label", F.coalesce(quarter_label("date"), F.lit(UNDATED))
         )
+        # the text is parsed once, into a folder that a repeated batch overwrites
+        staging = f"{out}/staging/{session.sparkContext.getLocalProperty('sql.streaming.queryId')}/batch={number}"
+        rows.write.mode("overwrite").parquet(staging)
+        rows = session.read.schema(rows.schema).parquet(staging)
         # One row per calendar quarter in the drops, so collecting it is bounded.
         newest = rows.groupBy("label").agg(F.max("drop").alias("drop")).collect()
         if not newest:

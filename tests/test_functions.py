@@ -21,6 +21,13 @@ def test_to_int(spark):
 def test_to_money(spark):
     got = values(spark, ["$1,234.50", "($5)", "-$3", "", "N/A", " $7 ", None], "string", parsing.to_money)
     assert got == [Decimal("1234.50"), None, Decimal("-3.00"), None, None, Decimal("7.00"), None]
+    large = ["$99,999,999,999,999,999.00", "$1.005"]
+    assert values(spark, large, "string", parsing.to_money) == [Decimal("99999999999999999"), Decimal("1.005")]
+
+
+def test_rejected_money_is_counted(spark):
+    df = spark.createDataFrame([("$1",), ("x",), (" ",), (None,), ("($5)",)], "v string")
+    assert df.agg(parsing.money_rejects("v")).first()[0] == 2
 
 
 def test_to_day(spark):

@@ -76,24 +76,32 @@ def test_parts_are_stacked_by_name(spark, tmp_path):
     assert sorted(tuple(r) for r in got.select("a", "b").collect()) == [(1, "x"), (2, "y"), (3, None)]
 
 
+@pytest.mark.parametrize("schema", [None, "year int, month int, total int"])
+def test_files_of_one_folder_may_differ(spark, tmp_path, schema):
+    (tmp_path / "1.csv").write_text("year,month,total\n2025,2,7\n")
+    (tmp_path / "2.csv").write_text("month,year,total\n3,2024,8\n")
+    (tmp_path / "3.csv").write_text("total,year\n9,2023\n")
+    got = delimited.read_parts(spark, str(tmp_path), schema=schema).select("year", "month", "total").collect()
+    assert sorted(map(tuple, got)) == [(2023, None, 9), (2024, 3, 8), (2025, 2, 7)]
+
+
 def test_latest_label_reads_one_partition(spark, sf_dir, tmp_path):
     path = outputs.write_labelled(with_label(complaints(spark, sf_dir, "id", "date")), str(tmp_path / "t"))
     latest = delimited.latest_label(spark.read.parquet(path))
     assert {r.label for r in latest.collect()} == {"2001_Q3"}
     plan = final_plan(latest)
-    assert "PartitionFilters: [isnotnull(label" in plan and "subquery" in plan.lower()
+    assert "PartitionFilters: [isnotnull(label" in plan and "subquery" not in plan.lower()
+    plain = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "label string, v int")
+    assert sorted(r.v for r in delimited.latest_label(plain).collect()) == [2, 3]
 
 
-def test_export_is_one_file_or_several(spark, tmp_path):
+def test_exports(spark, tmp_path):
     df = spark.range(25).repartition(3)
-    assert outputs.export_single(df, str(tmp_path / "one")) == 25
-    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
-    outputs.export_single(df, str(tmp_path / "sorted"), "id")
-    (whole,) = (tmp_path / "sorted").glob("*.csv")
+    outputs.export_single(df, str(tmp_path / "one"), "id")
+    (whole,) = (tmp_path / "one").glob("*.csv")
     assert whole.read_text().split() == ["id", *map(str, range(25))]
-    outputs.export_single(df, str(tmp_path / "many"), "id", max_rows=4)
-    files = list((tmp_path / "many").glob("*.csv"))
-    assert len(files) > 3 and all(len(f.read_text().splitlines()) <= 5 for f in files)
+    outputs.export_parts(df, str(tmp_path / "many"))
+    assert len(list((tmp_path / "many").glob("*.csv"))) == 3
     assert delimited.read_parts(spark, str(tmp_path / "many")).count() == 25
 
 
@@ -144,16 +152,19 @@ def test_site_search_over_json(spark, tmp_path):
     assert read_search_docs(spark, str(tmp_path / "search.jsonl")).count() == 3
 
 
-def test_published_feed_keeps_the_newest(spark, tmp_path):
+def test_published_feed(spark, tmp_path):
     rows = [(f"t{i}", f"l{i}", i) for i in range(30)]
-    outputs.write_feed(spark.createDataFrame(rows, "title string, link string, n int"), str(tmp_path / "f"), "n", "link")
+    items = spark.createDataFrame(rows, "title string, link string, n int").repartition(3)
+    outputs.write_feed(items, str(tmp_path / "f"), "n", "link", newest=20)
     got = feeds.read_feed(spark, str(tmp_path / "f"), channel_date=False)
     assert [r.item_link for r in got.collect()] == [f"l{i}" for i in range(29, 9, -1)]
+    outputs.write_feed(items, str(tmp_path / "all"), "n", "link", newest=None)
+    assert feeds.read_feed(spark, str(tmp_path / "all"), channel_date=False).count() == 30
+    with pytest.raises(TypeError):
+        outputs.write_feed(items, str(tmp_path / "x"), "n", "link")
 
 
-@pytest.mark.parametrize("few", [0, 200_000])
-def test_feed_history_takes_unseen_links_only(spark, tmp_path, monkeypatch, few):
-    monkeypatch.setattr(feed_history, "FEW_LINKS", few)
+def test_feed_history_takes_unseen_links_only(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     run = (str(src), str(tmp_path / "history"), str(tmp_path / "checkpoint"))
@@ -168,6 +179,31 @@ def test_feed_history_takes_unseen_links_only(spark, tmp_path, monkeypatch, few)
     assert sorted(r.item_link for r in history.collect()) == [f"http://x/{n}" for n in (1, 2, 3, 4)]
 
 
+def test_feed_history_survives_a_new_checkpoint(spark, tmp_path):
+    src, history = tmp_path / "in", str(tmp_path / "history")
+    src.mkdir()
+    (src / "feed_1.xml").write_text(feed(1, 2))
+    ingest_feed(spark, str(src), history, str(tmp_path / "checkpoint_1"))
+    (src / "feed_1.xml").unlink()
+    (src / "feed_2.xml").write_text(feed(2, 3))
+    ingest_feed(spark, str(src), history, str(tmp_path / "checkpoint_2"))
+    rows = read_history(spark, history).collect()
+    assert sorted((r.item_link, r.batch) for r in rows) == [("http://x/1", 0), ("http://x/2", 0), ("http://x/3", 0)]
+    assert len({r.stream for r in rows}) == 2
+
+
+def test_a_run_reads_few_folders_of_the_history(spark, tmp_path):
+    src, history = tmp_path / "in", str(tmp_path / "history")
+    src.mkdir()
+    (src / "feed_1.xml").write_text(feed(*range(200)))
+    ingest_feed(spark, str(src), history, str(tmp_path / "checkpoint"))
+    links = spark.createDataFrame([("http://x/7",), ("http://x/new",)], "item_link string")
+    links = links.withColumn("bucket", F.pmod(F.xxhash64("item_link"), F.lit(feed_history.BUCKETS)).cast("int"))
+    new = feed_history.unseen(links, read_history(spark, history), "other", 0)
+    assert [r.item_link for r in new.collect()] == ["http://x/new"]
+    assert "PartitionFilters: [bucket" in final_plan(new) or "PartitionFilters: [isnotnull(bucket" in final_plan(new)
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
@@ -215,7 +251,8 @@ def test_refinery(spark, tmp_path):
     rows = reports(spark, report(dt.date(2025, 2, 1), 1, 1), report(dt.date(2025, 9, 1), 2, 2), report(dt.date(2025, 9, 2), 3, 3, None))
     assert raw_reports(rows).columns == [*CLEAN_NAMES, *FRENCH_COLUMNS]
     write_raw(rows, str(tmp_path / "drops" / "one"))
-    done = refine(spark, str(tmp_path / "drops"), str(tmp_path / "out"))
+    folder = {"glob": "*.csv", "delivery": True}
+    done = refine(spark, str(tmp_path / "drops"), str(tmp_path / "out"), **folder)
     assert done.label == "2025_Q3" and done.clean.count() == 2
     assert {(r.year, r.month): r.total_victims for r in done.monthly.collect()} == {(2025, 2): 1, (2025, 9): 2}
     assert float(done.yearly.first().total_loss) == 20.0
@@ -223,9 +260,20 @@ def test_refinery(spark, tmp_path):
         assert list((tmp_path / "out" / "outputs_2025_Q3" / name).glob("*.csv"))
     write_raw(reports(spark, report(None, 1, 1)), str(tmp_path / "undated" / "one"))
     with pytest.raises(ValueError):
-        refine(spark, str(tmp_path / "undated"), str(tmp_path / "none"))
-    everyone = refine(spark, str(tmp_path / "drops"), str(tmp_path / "all"), country_sentinel=None)
-    assert everyone.clean.count() == 3
+        refine(spark, str(tmp_path / "undated"), str(tmp_path / "none"), **folder)
+    everyone = refine(spark, str(tmp_path / "drops"), str(tmp_path / "out"), country_sentinel=None, **folder)
+    assert everyone.clean.count() == 3 and done.clean.count() == 2  # each run has its own staging
+
+
+def test_refinery_reads_the_newest_file_only(spark, tmp_path):
+    raw = raw_reports(reports(spark, report(dt.date(2025, 5, 1), 1, 1), report(dt.date(2025, 9, 1), 2, 2)))
+    header = "\t".join(raw.columns)
+    lines = ["\t".join("" if v is None else str(v) for v in row) for row in sorted(raw.collect(), key=lambda r: r[0])]
+    (tmp_path / "2025_Q2.tsv").write_text(f"{header}\n{lines[0]}\n")
+    time.sleep(0.05)
+    (tmp_path / "2025_Q3.tsv").write_text(f"{header}\n{lines[0]}\n{lines[1]}\n")
+    done = refine(spark, str(tmp_path), str(tmp_path / "out"))
+    assert {(r.month, r.total_victims) for r in done.monthly.collect()} == {(5, 1), (9, 2)}
 
 
 def session_with(settings, master):
