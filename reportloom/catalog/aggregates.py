@@ -135,6 +135,32 @@ def a09(spark, sf_dir):
     return decimals_to_double(loss_profile(rows, "age_range"))
 
 
+@query(
+    "a09_loss_profile_double",
+    "SELECT l_returnflag, median(l_extendedprice) AS median_loss, count(*) AS n FROM lineitem GROUP BY 1",
+)
+def a09_double(spark, sf_dir):
+    """A measure in double precision, whose values hardly repeat."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    return loss_profile(rows, "l_returnflag", "l_extendedprice").select("l_returnflag", "median_loss", "n")
+
+
+@query("a10_slice_stats_double", "SELECT median(l_extendedprice) AS median_loss, count(*) AS n FROM lineitem WHERE l_quantity < 10")
+def a10_double(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").filter("l_quantity < 10")
+    return slice_stats(rows, "l_extendedprice").select("median_loss", "n")
+
+
+@query(
+    "a11_compare_stats_double",
+    """SELECT 'all' AS scope, median(l_extendedprice) AS median_loss, count(*) AS n FROM lineitem
+       UNION ALL SELECT 'slice', median(l_extendedprice), count(*) FROM lineitem WHERE l_returnflag = 'R'""",
+)
+def a11_double(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem")
+    return compare_stats(rows, F.col("l_returnflag") == "R", "l_extendedprice").select("scope", "median_loss", "n")
+
+
 @query(
     "a10_slice_stats",
     over(f"SELECT {PROFILE} FROM complaints_v WHERE province = 'NATION_3' AND dollar_loss > 0"),
@@ -321,6 +347,13 @@ def a24(spark, sf_dir):
     return tag_counts(table(spark, sf_dir, "part"), "p_name", " ")
 
 
+@query("a24_tag_counts_pipe", "SELECT tag, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS tag FROM part) GROUP BY 1")
+def a24_pipe(spark, sf_dir):
+    """A separator that means something in a regular expression."""
+    piped = table(spark, sf_dir, "part").select(F.replace("p_name", F.lit(" "), F.lit("|")).alias("tags"))
+    return tag_counts(piped, "tags", "|")
+
+
 @query(
     "a25_group_hits",
     """WITH hits AS (SELECT doc_id, '/' || source || CASE WHEN n_chars < 400 THEN '' ELSE '#' || doc_id END AS href

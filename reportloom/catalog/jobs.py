@@ -18,13 +18,13 @@ from ..plans.feed_digest import digest_page
 from ..plans.refinery import refine, with_label
 from ..sources.delimited import latest_label, read_parts
 from ..sources.feeds import read_feed
-from ..sources.outputs import export_single, write_labelled
+from ..sources.outputs import export_parts, write_labelled
 from ..sources.tables import complaints, population, table
 from ..workspace import fresh_dir
 from .aggregates import IN_REGIONS, LABELS_SQL, PROFILE, REGIONS
 from .filters import COHORT, NEWEST_QUARTER, REGION, newest_quarter
 from .registry import MONTHLY, POPULATION, over, query
-from .sources import CHUNKS_SQL, ITEMS_SQL, dated_items, write_feed_file, write_raw
+from .sources import CHUNKS_SQL, ITEMS_SQL, append_raw_file, dated_items, write_dated_feeds, write_raw
 from .text import SLOTS_SQL, VECTOR_SQL, documents
 
 COHORT_SQL = """cohort_v AS (SELECT * FROM complaints_v WHERE age_range = '''10 - 19')"""
@@ -54,7 +54,26 @@ def rate(count: str, people: str) -> str:
 def e01(spark, sf_dir):
     base = fresh_dir(spark, "refinery")
     write_raw(complaints(spark, sf_dir), f"{base}/drops/drop_1")
-    done = refine(spark, f"{base}/drops", f"{base}/out", country_sentinel="ASIA")
+    done = refine(spark, f"{base}/drops", f"{base}/out", glob="*.csv", country_sentinel="ASIA", delivery=True)
+    monthly = decimals_to_double(done.monthly).withColumn("label", F.lit(done.label))
+    return monthly.select("label", "year", "month", "total_loss", "total_victims")
+
+
+@query(
+    "e01_refinery_newest_file",
+    over(
+        """SELECT (SELECT year(max(date)) || '_Q' || quarter(max(date)) FROM complaints_v WHERE country <> 'ASIA') AS label,
+                  CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+                  CAST(sum(dollar_loss) AS DOUBLE) AS total_loss, CAST(sum(num_victims) AS BIGINT) AS total_victims
+           FROM complaints_v WHERE country <> 'ASIA' GROUP BY ALL"""
+    ),
+)
+def e01_newest_file(spark, sf_dir):
+    """An older file of the same folder states some reports too; only the newer file counts."""
+    base, reports = fresh_dir(spark, "refinery"), complaints(spark, sf_dir)
+    append_raw_file(reports.filter("date < date '1998-01-01'"), f"{base}/drops")
+    append_raw_file(reports, f"{base}/drops")
+    done = refine(spark, f"{base}/drops", f"{base}/out", glob="*.csv", country_sentinel="ASIA")
     monthly = decimals_to_double(done.monthly).withColumn("label", F.lit(done.label))
     return monthly.select("label", "year", "month", "total_loss", "total_victims")
 
@@ -136,7 +155,7 @@ def e04(spark, sf_dir):
     labelled = with_label(reports)
     filed = spark.read.schema(labelled.schema).parquet(write_labelled(labelled, f"{base}/labelled"))
     merged = monthly_summary(latest_label(filed))
-    export_single(merged, f"{base}/download", "year", "month")
+    export_parts(merged, f"{base}/download", "year", "month")
     download = read_parts(spark, f"{base}/download", schema="year int, month int, total_loss double, total_victims bigint")
     return sample_head(download, "year", "month")
 
@@ -241,11 +260,12 @@ def years(first: int, last: int | None = None):
 
 
 def cohort(spark, sf_dir, *wanted, period=None):
-    return slice_rows(complaints(spark, sf_dir, "age_range", "province", *wanted, period=period), age_range=COHORT)
+    """Only the wanted columns' dimensions are joined."""
+    return slice_rows(complaints(spark, sf_dir, "age_range", *wanted, period=period), age_range=COHORT)
 
 
 def local_cohort(spark, sf_dir, *wanted, period=None):
-    return slice_rows(cohort(spark, sf_dir, *wanted, period=period), province=REGION)
+    return slice_rows(cohort(spark, sf_dir, "province", *wanted, period=period), province=REGION)
 
 
 def breakdown_sql(key: str) -> str:
@@ -273,7 +293,7 @@ def e07_categories(spark, sf_dir):
     ),
 )
 def e07_share(spark, sf_dir):
-    return cohorts.cohort_share(cohort(spark, sf_dir, "sol_method"), REGION, "sol_method", 5)
+    return cohorts.cohort_share(cohort(spark, sf_dir, "province", "sol_method"), REGION, "sol_method", 5)
 
 
 @query(
@@ -297,7 +317,7 @@ def e07_losses(spark, sf_dir):
     ),
 )
 def e07_comparison(spark, sf_dir):
-    return decimals_to_double(cohorts.cohort_loss_comparison(cohort(spark, sf_dir, "dollar_loss"), REGION))
+    return decimals_to_double(cohorts.cohort_loss_comparison(cohort(spark, sf_dir, "province", "dollar_loss"), REGION))
 
 
 LOCAL_LABELS = LABELS_SQL.replace("LEFT JOIN complaints_v", f"LEFT JOIN (SELECT * FROM cohort_v WHERE {LOCAL})")
@@ -308,7 +328,7 @@ LOCAL_LABELS = LABELS_SQL.replace("LEFT JOIN complaints_v", f"LEFT JOIN (SELECT
     over(f"SELECT bracket_no, bracket, n, {share('n', '(SELECT sum(n) FROM dist_v)')} AS pct FROM dist_v", COHORT_SQL, LOCAL_LABELS),
 )
 def e07_brackets(spark, sf_dir):
-    return cohorts.cohort_brackets(cohort(spark, sf_dir, "dollar_loss"), REGION)
+    return cohorts.cohort_brackets(cohort(spark, sf_dir, "province", "dollar_loss"), REGION)
 
 
 @query(
@@ -323,7 +343,7 @@ def e07_brackets(spark, sf_dir):
     ),
 )
 def e07_tails(spark, sf_dir):
-    dist = cohorts.cohort_brackets(cohort(spark, sf_dir, "dollar_loss"), REGION)
+    dist = cohorts.cohort_brackets(cohort(spark, sf_dir, "province", "dollar_loss"), REGION)
     return bracket_tail(dist, {"over_5000": ["$5001-10000", ">$10000"], "under_500": ["$1-100", "$101-500"]})
 
 
@@ -364,7 +384,7 @@ def e08_seasons(spark, sf_dir):
     ),
 )
 def e08_share(spark, sf_dir):
-    return cohorts.cohort_share_by_year(cohort(spark, sf_dir, "date"), REGION)
+    return cohorts.cohort_share_by_year(cohort(spark, sf_dir, "province", "date"), REGION)
 
 
 @query(
@@ -377,7 +397,7 @@ def e08_share(spark, sf_dir):
     ),
 )
 def e08_year_rates(spark, sf_dir):
-    rows = keep_in(cohort(spark, sf_dir, period=years(1997)), "province", REGIONS)
+    rows = keep_in(cohort(spark, sf_dir, "province", period=years(1997)), "province", REGIONS)
     return per_capita(rows, population(spark, sf_dir), "province")
 
 
@@ -392,7 +412,7 @@ def e08_year_rates(spark, sf_dir):
     ),
 )
 def e08_pooled(spark, sf_dir):
-    rows = cohort(spark, sf_dir, period=years(1997))
+    rows = cohort(spark, sf_dir, "province", period=years(1997))
     return pooled_rate(rows, population(spark, sf_dir), "province", REGIONS)
 
 
@@ -411,7 +431,7 @@ YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
     ),
 )
 def e08_rates(spark, sf_dir):
-    return cohorts.cohort_rates_wide(cohort(spark, sf_dir, "date"), population(spark, sf_dir), REGIONS, YEARS)
+    return cohorts.cohort_rates_wide(cohort(spark, sf_dir, "province", "date"), population(spark, sf_dir), REGIONS, YEARS)
 
 
 def decline_sql(key: str) -> str:
@@ -440,18 +460,20 @@ def e08_method_decline(spark, sf_dir):
 @query(
     "e09_feed_digest",
     f"""WITH {ITEMS_SQL},
-             t AS (SELECT item_day, item_link, item_description,
+             dated AS (SELECT *, max(item_day) OVER (PARTITION BY page_id // 50) AS feed_day FROM items_v),
+             t AS (SELECT feed_day, item_day, item_link, item_description,
                           replace(replace(replace(item_title, '&', '&amp;'), '<', '&lt;'), '''', '&#39;') AS title,
                           replace(replace(replace(item_link, '&', '&amp;'), '<', '&lt;'), '''', '&#39;') AS link
-                   FROM items_v WHERE regexp_matches(item_title, 'the|tion', 'i') OR regexp_matches(item_description, 'the|tion', 'i'))
+                   FROM dated WHERE regexp_matches(item_title, 'the|tion', 'i') OR regexp_matches(item_description, 'the|tion', 'i'))
         SELECT '<a target=''_blank'' title=''' || title || ''' href=''' || link || ''' rel=''noopener''>' || title || '</a>' AS item,
-               item_day, item_description FROM t ORDER BY item_day DESC, item_link LIMIT 10 OFFSET 10""",
+               feed_day, item_day, item_description FROM t ORDER BY feed_day DESC, item_day DESC, item_link LIMIT 10 OFFSET 10""",
 )
 def e09(spark, sf_dir):
-    path = write_feed_file(dated_items(spark, sf_dir), fresh_dir(spark, "feed"))
-    items = read_feed(spark, path, channel_date=False).withColumn("item_title", F.trim("item_title"))
+    path = write_dated_feeds(dated_items(spark, sf_dir), fresh_dir(spark, "feeds"))
+    items = read_feed(spark, path).withColumn("item_title", F.trim("item_title"))
     page = digest_page(items, "the|tion", 2)
-    return page.select("item", F.to_date("item_pub_date").alias("item_day"), "item_description")
+    days = [F.to_date("feed_pub_date").alias("feed_day"), F.to_date("item_pub_date").alias("item_day")]
+    return page.select("item", *days, "item_description")
 
 
 @query(

@@ -10,10 +10,10 @@ from ..operators.joins import left_dim, literal_dim
 from ..operators.retrieval import index_documents
 from ..plans.feed_digest import feed_items
 from ..plans.refinery import with_label
-from ..sources.delimited import RAW_SCHEMA, latest_label, newest_drop, read_delimited, read_parts, read_status
-from ..sources.documents import spread, with_sizes
+from ..sources.delimited import RAW_SCHEMA, latest_label, newest_drop, newest_file, read_delimited, read_parts, read_status
+from ..sources.documents import read_documents, with_sizes
 from ..sources.feeds import read_feed
-from ..sources.outputs import export_single, write_feed, write_labelled, write_output, write_vectors
+from ..sources.outputs import export_parts, export_single, write_feed, write_labelled, write_output, write_vectors
 from ..sources.tables import complaints, table
 from ..workspace import fresh_dir
 from .registry import MONTHLY, over, query
@@ -39,10 +39,16 @@ def write_raw(reports: DataFrame, path: str) -> str:
     return path
 
 
+def append_raw_file(reports: DataFrame, folder: str) -> str:
+    """One more raw file in the folder, as a publisher adds one per quarter."""
+    raw_reports(reports).repartition(1).write.mode("append").option("header", True).option("sep", "\t").csv(folder)
+    return folder
+
+
 def dated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed items from the web pages, one day apart in page order."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("page_id").cast("int"))
-    return feed_items(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).withColumn("day", day)
+    return feed_items(table(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn("day", day)
 
 
 def feed_rows(items: DataFrame, *more: str) -> DataFrame:
@@ -91,6 +97,22 @@ def s02(spark, sf_dir):
     )
 
 
+@query(
+    "s02_newest_file",
+    over(
+        """SELECT count(*) AS records, strftime(min(date), '%Y-%m-%d') AS first_day, strftime(max(date), '%Y-%m-%d') AS last_day
+           FROM complaints_v"""
+    ),
+)
+def s02_file(spark, sf_dir):
+    """Two files of one folder, the second written later."""
+    reports, folder = complaints(spark, sf_dir), fresh_dir(spark, "files")
+    append_raw_file(reports.filter("gender <> 'P'"), folder)
+    append_raw_file(reports, folder)
+    rows = rename_map(read_delimited(spark, newest_file(spark, folder, "*.csv"), schema=RAW_SCHEMA), CLEAN_NAMES)
+    return rows.agg(F.count("*").alias("records"), F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+
+
 @query(
     "s03_read_parts",
     over(
@@ -107,6 +129,21 @@ def s03(spark, sf_dir):
     return read_parts(spark, monthly, yearly).withColumn("total_victims", F.col("total_victims").cast("bigint"))
 
 
+@query(
+    "s03_mixed_headers",
+    over(
+        """SELECT id, fraud_cat, CAST(num_victims AS VARCHAR) AS num_victims FROM complaints_v WHERE id % 2 = 0
+           UNION ALL SELECT id, fraud_cat, NULL FROM complaints_v WHERE id % 2 = 1"""
+    ),
+)
+def s03_mixed(spark, sf_dir):
+    """One folder, two headers: the columns in another order, and one of them missing."""
+    reports, path = complaints(spark, sf_dir, "id", "fraud_cat", "num_victims"), fresh_dir(spark, "mixed")
+    reports.filter("id % 2 = 0").write.option("header", True).csv(path)
+    reports.filter("id % 2 = 1").select("fraud_cat", "id").write.mode("append").option("header", True).csv(path)
+    return read_parts(spark, path, schema="id bigint, num_victims string, fraud_cat string")
+
+
 @query(
     "s04_latest_label",
     over(
@@ -130,11 +167,23 @@ def s05(spark, sf_dir):
     return read_parts(spark, path, schema="year int, month int, total_loss double, total_victims bigint")
 
 
-@query("s06_export_single", over("SELECT id, fraud_cat, CAST(dollar_loss AS DOUBLE) AS dollar_loss FROM complaints_v"))
+@query("s06_export_parts", over("SELECT id, fraud_cat, CAST(dollar_loss AS DOUBLE) AS dollar_loss FROM complaints_v"))
+def s06_parts(spark, sf_dir):
+    path = export_parts(complaints(spark, sf_dir, "id", "fraud_cat", "dollar_loss"), fresh_dir(spark, "export"))
+    return read_parts(spark, path, schema="id bigint, fraud_cat string, dollar_loss double", one_header=True)
+
+
+@query(
+    "s06_export_single",
+    over("SELECT year, month, CAST(total_loss AS DOUBLE) AS total_loss, total_victims, CAST(1 AS BIGINT) AS files FROM monthly_v", MONTHLY),
+)
 def s06(spark, sf_dir):
-    path = fresh_dir(spark, "export")
-    export_single(complaints(spark, sf_dir, "id", "fraud_cat", "dollar_loss"), path)
-    return read_parts(spark, path, schema="id bigint, fraud_cat string, dollar_loss double")
+    """A summary as one file."""
+    monthly = monthly_summary(complaints(spark, sf_dir, "date", "dollar_loss", "num_victims"))
+    path = export_single(monthly, fresh_dir(spark, "export"), "year", "month")
+    rows = read_parts(spark, path, schema="year int, month int, total_loss double, total_victims bigint", one_header=True)
+    files = spark.read.text(path).select(F.countDistinct("_metadata.file_path")).scalar()
+    return rows.withColumn("files", files)
 
 
 ITEMS_SQL = """items_v AS (
@@ -156,6 +205,41 @@ def s07(spark, sf_dir):
     )
 
 
+FEED_ITEMS = 50  # items per feed file
+
+
+def write_dated_feeds(items: DataFrame, path: str) -> str:
+    """Feed files of FEED_ITEMS items, each with the date of its channel: the last item's day at noon."""
+    text = lambda c: F.replace(F.replace(F.replace(F.trim(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    stamp = lambda c, time: F.concat(F.date_format(c, "EEE, dd MMM yyyy"), F.lit(f" {time} +0000"))
+    tag = lambda name, value: F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
+    fields = [("title", text("title")), ("link", text("link")), ("description", text("description")), ("pubDate", stamp("day", "00:00:00"))]
+    item = tag("item", F.concat(*[tag(name, value) for name, value in fields]))
+    feeds = items.groupBy(F.floor(F.col("page_id") / FEED_ITEMS).alias("feed")).agg(
+        F.max("day").alias("day"), F.array_join(F.sort_array(F.collect_list(item)), "").alias("items")
+    )
+    channel = tag("channel", F.concat(tag("title", F.lit("Feed")), tag("pubDate", stamp("day", "12:00:00")), F.col("items")))
+    rss = F.concat(F.lit("<rss version='2.0'>"), channel, F.lit("</rss>"))
+    feeds.select("feed", rss.alias("value")).write.partitionBy("feed").text(path)
+    return path
+
+
+@query(
+    "s07_feed_dates",
+    f"""WITH {ITEMS_SQL}
+        SELECT item_title, item_link, item_day, max(item_day) OVER (PARTITION BY page_id // 50) AS feed_day FROM items_v""",
+)
+def s07_dates(spark, sf_dir):
+    """Items with the date of their channel beside their own."""
+    items = read_feed(spark, write_dated_feeds(dated_items(spark, sf_dir), fresh_dir(spark, "feeds")))
+    return items.select(
+        F.trim("item_title").alias("item_title"),
+        "item_link",
+        F.to_date("item_pub_date").alias("item_day"),
+        F.to_date("feed_pub_date").alias("feed_day"),
+    )
+
+
 @query(
     "s08_read_status",
     """SELECT count(*) AS records, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS INTEGER) AS flag,
@@ -174,7 +258,15 @@ def s08(spark, sf_dir):
        FROM documents""",
 )
 def s09(spark, sf_dir):
-    return with_sizes(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).drop("text")
+    """Documents as text files, one each, named by their id and filed by language; the reader finds them again."""
+    folder = fresh_dir(spark, "documents")
+    table(spark, sf_dir, "documents").select("lang", "doc_id", F.col("text").alias("value")).write.partitionBy("lang", "doc_id").text(folder)
+    found = read_documents(spark, folder).select(
+        F.regexp_extract("path", r"/doc_id=(\d+)/", 1).cast("bigint").alias("doc_id"),
+        F.regexp_extract("path", r"/lang=([^/]*)/", 1).alias("lang"),
+        F.regexp_replace("text", r"\n\z", "").alias("text"),  # the line end that the text writer adds
+    )
+    return with_sizes(found).drop("text")
 
 
 CHUNKS_SQL = """words_v AS (
@@ -190,7 +282,7 @@ chunks_v AS (
         SELECT doc_id, count(*) AS chunks, CAST(sum(len(cw)) AS DOUBLE) AS words FROM chunks_v GROUP BY doc_id""",
 )
 def s10(spark, sf_dir):
-    index = index_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
+    index = index_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
     stored = spark.read.parquet(write_vectors(index, fresh_dir(spark, "vectors")))
     words = F.aggregate("embedding", F.lit(0.0), lambda total, v: total + v)
     return stored.groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(words).alias("words"))
@@ -212,13 +304,24 @@ def s11(spark, sf_dir):
     return left_dim(freq(complaints(spark, sf_dir, "fraud_cat"), "fraud_cat"), dim, "fraud_cat")
 
 
-@query(
-    "s12_write_feed",
-    f"WITH {ITEMS_SQL} SELECT item_title, item_link, item_day FROM items_v ORDER BY item_day DESC, item_link LIMIT 20",
-)
-def s12(spark, sf_dir):
-    path = write_feed(feed_rows(dated_items(spark, sf_dir), "day"), fresh_dir(spark, "published"), "day", "link")
+def published_items(spark, sf_dir, newest: int | None) -> DataFrame:
+    path = fresh_dir(spark, "published")
+    write_feed(feed_rows(dated_items(spark, sf_dir), "day"), path, "day", "link", newest=newest)
     published = read_feed(spark, path, channel_date=False)
     return published.select(
         F.trim("item_title").alias("item_title"), "item_link", F.to_date("item_pub_date").alias("item_day")
     )
+
+
+@query("s12_write_feed", f"WITH {ITEMS_SQL} SELECT item_title, item_link, item_day FROM items_v")
+def s12(spark, sf_dir):
+    return published_items(spark, sf_dir, None)
+
+
+@query(
+    "s12_write_feed_newest",
+    f"WITH {ITEMS_SQL} SELECT item_title, item_link, item_day FROM items_v ORDER BY item_day DESC, item_link LIMIT 20",
+)
+def s12_newest(spark, sf_dir):
+    """A feed of a stated length: the newest 20 items."""
+    return published_items(spark, sf_dir, 20)

@@ -10,7 +10,6 @@ from ..operators.retrieval import index_documents, retrieve
 from ..operators.search import highlight, search, sections, snippet
 from ..plans.feed_digest import feed_items
 from ..plans.site_search import search_site
-from ..sources.documents import spread
 from ..sources.tables import table
 from .registry import query
 from .sources import CHUNKS_SQL, ITEMS_SQL
@@ -24,13 +23,19 @@ search_v AS (SELECT page_id, lower(regexp_extract(html, '(?s)<title>(.*?)</title
 )
 
 
+def near_sql(field: str, wanted: str) -> str:
+    """One word of the field within one edit of the word."""
+    words = f"string_split(trim(regexp_replace({field}, '\\s+', ' ', 'g')), ' ')"
+    return f"(contains({field}, '{wanted}') OR len(list_filter({words}, lambda x: levenshtein(x, '{wanted}') <= 1)) > 0)"
+
+
 def documents(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def search_docs(spark, sf_dir):
     """Pages as search documents: title, first heading, body text."""
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     heading = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
     return feed_items(pages.withColumn("section", heading), "section").withColumnRenamed("description", "text")
 
@@ -80,6 +85,21 @@ def t01_site(spark, sf_dir):
     return found.select("page_id", "place", "score", "link", "document", "hits", "snippet")
 
 
+@query(
+    "t01_site_search_misspelt",
+    f"""WITH {PAGES_SQL}
+        SELECT page_id, CAST(row_number() OVER (ORDER BY score DESC, page_id) AS INTEGER) AS place, score FROM (
+          SELECT page_id, CAST(CASE WHEN {near_sql("title", "byanthblaly")} THEN 20 ELSE 0 END
+            + CASE WHEN {near_sql("section", "byanthblaly")} THEN 20 ELSE 0 END
+            + CASE WHEN {near_sql("body", "byanthblaly")} THEN 10 ELSE 0 END AS INTEGER) AS score FROM search_v)
+        WHERE score > 0 ORDER BY score DESC, page_id LIMIT 50""",
+)
+def t01_misspelt(spark, sf_dir):
+    """Site search forgives one wrong letter in ten."""
+    docs = search_docs(spark, sf_dir).withColumnRenamed("link", "href")
+    return search_site(docs, "byanthblaly", "page_id", collapse_after=50).select("page_id", "place", "score")
+
+
 @query(
     "t02_search_fuzzy",
     """WITH d AS (SELECT doc_id, lower(text) AS t, string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ') AS w FROM documents),
@@ -93,6 +113,20 @@ def t02(spark, sf_dir):
     return search(documents(spark, sf_dir), "thetion and", "doc_id", fuzz=0.1).select("doc_id", "score")
 
 
+@query(
+    "t02_near_match",
+    """WITH d AS (SELECT doc_id, lower(text) AS t, string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ') AS w FROM documents),
+            g AS (SELECT doc_id, t, list_transform(range(1, greatest(len(w) - 1, 1) + 1),
+                                                   lambda i: array_to_string(w[i : i + 1], ' ')) AS grams FROM d)
+       SELECT doc_id, 10 AS score FROM g
+       WHERE contains(t, 'to thanedbla') OR len(list_filter(grams, lambda x: levenshtein(x, 'to thanedbla') <= 1)) > 0
+       ORDER BY doc_id LIMIT 50""",
+)
+def t02_near(spark, sf_dir):
+    """A misspelt query: every hit is a near match."""
+    return search(documents(spark, sf_dir), "to thanedbla", "doc_id", fuzz=0.1).select("doc_id", "score")
+
+
 @query(
     "t03_snippet",
     """WITH f AS (SELECT doc_id, text, instr(lower(text), 'tionth') AS found FROM documents),

@@ -47,3 +47,22 @@ def kmeans_sweep(df: DataFrame, x: str, y: str, ks: Iterable[int] = range(1, 10)
     finally:
         points.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, cost double")
+
+
+def kmeans_checks(df: DataFrame, x: str, y: str, key: str, k: int, seed: int = 1) -> DataFrame:
+    """Facts that hold for any labelling: rows, clusters, rows not at their nearest centre, and the cost.
+
+    A row is at its nearest centre when no other is nearer; the cost is summed again from the labels.
+    """
+    rows, centres, cost = kmeans(df, x, y, k, seed)
+    table = F.array(*[F.array(F.lit(float(a)), F.lit(float(b))) for a, b in centres])
+    away = F.transform(table, lambda c: F.pow(F.col(x) - c[0], F.lit(2)) + F.pow(F.col(y) - c[1], F.lit(2)))
+    measured = rows.select(key, x, y, "cluster", away.alias("away")).withColumn("own", F.col("away")[F.col("cluster")])
+    return measured.agg(
+        F.lit(k).alias("k"),
+        F.count("*").alias("n_rows"),
+        F.countDistinct("cluster").alias("n_clusters"),
+        F.count_if(F.col("own") > F.array_min("away") * (1 + 1e-9) + 1e-9).alias("n_misplaced"),
+        F.max(F.abs(F.lit(float(cost)))).alias("cost"),
+        F.sum("own").alias("summed_cost"),
+    )

@@ -61,14 +61,16 @@ def semi_topk(df: DataFrame, key: str, totals: DataFrame, measure: str, k: int)
     return df.join(F.broadcast(top_k(totals, measure, k, key).select(key)), key, "left_semi")
 
 
-def grid(left: DataFrame, right: DataFrame, tiles: int = 4) -> DataFrame:
-    """Every combination of two level lists, as an equi-join over `tiles` x `tiles` tiles (a power of two).
+def grid(left: DataFrame, right: DataFrame, cells: int = 1_000_000) -> DataFrame:
+    """Every combination of two level lists: |left| x |right| rows are the result by definition.
 
-    Each side is hashed into tiles and copied along the other axis, so the result is spread over
-    the cluster and neither list passes through one task.
+    It is an equi-join over tiles. Each side is hashed into tiles and copied along the other axis, with so many
+    tiles (from the two counts) that one makes about `cells` rows; neither list passes through one task.
     """
-    axis = F.sequence(F.lit(0), F.lit(tiles - 1))
-    tile = lambda side: F.hash(*side.columns).bitwiseAND(tiles - 1)
+    sizes = left.agg(F.count("*")).scalar() * right.agg(F.count("*")).scalar()
+    tiles = F.greatest(F.lit(1), F.ceil(F.sqrt(sizes / F.lit(cells)))).cast("int")
+    axis = F.sequence(F.lit(0), tiles - 1)
+    tile = lambda side: F.pmod(F.hash(*side.columns), tiles)
     rows = left.withColumn("_i", tile(left)).withColumn("_j", F.explode(axis))
     cols = right.withColumn("_j", tile(right)).withColumn("_i", F.explode(axis))
     return rows.join(cols, ["_i", "_j"]).drop("_i", "_j")

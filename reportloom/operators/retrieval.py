@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -105,62 +103,38 @@ def retrieve(
     ids: list[str],
     query_id: str = "query_id",
     vector: str = "embedding",
-    max_broadcast: int = 4096,
+    block_queries: int = 4096,
     block_rows: int = 20000,
 ) -> DataFrame:
     """The k most similar rows per query by exact cosine; ties go to the smaller id.
 
-    Up to `max_broadcast` queries are shipped to the tasks: every task scores its Arrow batches as
-    matrix products and keeps k rows per query, so only tasks x queries x k rows are shuffled. More
-    queries are matched block against block: both sides are cut into hashed blocks of bounded
-    size, each pair of blocks is one group, and again only k rows per query leave a group. Both
-    ways are exact. Rows and queries without a vector are left out.
+    Both sides are cut into hashed blocks of bounded size (two counts decide how many), each pair of blocks
+    is one group, scored as a matrix product, and only k rows per query leave a group. Every vector is sent
+    once per block of queries, so few queries mean one pass. Rows and queries without a vector are left out.
     """
     vectors, queries = vectors.filter(F.col(vector).isNotNull()), queries.filter(F.col(vector).isNotNull())
-    few = queries.select(query_id, vector).limit(max_broadcast + 1).collect()
     id_type = {f.name: f.dataType.simpleString() for f in (*vectors.schema, *queries.schema)}
     schema = ", ".join(f"`{c}` {id_type[c]}" for c in [*ids, query_id]) + ", score double"
     order = [*ids, query_id, "score"]
-    if not few:
-        return vectors.sparkSession.createDataFrame([], schema + ", rank int")
-
     matrix, best, local_top = _matcher(query_id, ids, vector, k)
-    if len(few) <= max_broadcast:
-        shipped = vectors.sparkSession.sparkContext.broadcast(
-            ([row[0] for row in few], matrix([row[1] for row in few]))
-        )
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            names, asked = shipped.value
-            kept = None
-            for batch in batches:
-                if len(batch):
-                    top = local_top(names, asked, batch)
-                    kept = top if kept is None else best(pd.concat([kept, top]))
-            if kept is not None:
-                yield kept[order]
-
-        local = vectors.select(*ids, vector).mapInPandas(scan, schema)
-    else:
-        query_blocks = -(-queries.count() // max_broadcast)
-        vector_blocks = -(-vectors.count() // block_rows)
-        left = (
-            vectors.select(*ids, vector)
-            .withColumn("_v", F.pmod(F.xxhash64(*ids), F.lit(vector_blocks)))
-            .withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>")))
-        )
-        right = (
-            queries.select(query_id, vector)
-            .withColumn("_q", F.pmod(F.xxhash64(query_id), F.lit(query_blocks)))
-            .withColumn("_v", F.explode(F.sequence(F.lit(0), F.lit(vector_blocks - 1)).cast("array<bigint>")))
-        )
-
-        def match(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-            if rows.empty or asked.empty:
-                return pd.DataFrame({c: pd.Series(dtype=object) for c in order})
-            return local_top(asked[query_id], matrix(asked[vector]), rows)[order]
-
-        local = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInPandas(match, schema)
+    query_blocks = max(1, -(-queries.count() // block_queries))
+    vector_blocks = max(1, -(-vectors.count() // block_rows))
+    left = (
+        vectors.select(*ids, vector)
+        .withColumn("_v", F.pmod(F.xxhash64(*ids), F.lit(vector_blocks)))
+        .withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>")))
+    )
+    right = (
+        queries.select(query_id, vector)
+        .withColumn("_q", F.pmod(F.xxhash64(query_id), F.lit(query_blocks)))
+        .withColumn("_v", F.explode(F.sequence(F.lit(0), F.lit(vector_blocks - 1)).cast("array<bigint>")))
+    )
+
+    def match(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or asked.empty:
+            return pd.DataFrame({c: pd.Series(dtype=object) for c in order})
+        return local_top(asked[query_id], matrix(asked[vector]), rows)[order]
 
+    local = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInPandas(match, schema)
     ranked = Window.partitionBy(query_id).orderBy(F.col("score").desc(), *ids)
     return local.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import change_pct, share_pct
@@ -90,29 +88,31 @@ def peak_divergence(df: DataFrame, first: str, second: str, order: str, *more: C
 def loess(df: DataFrame, x: str, y: str, by: str | None = None, span: float = 0.75) -> DataFrame:
     """Local quadratic trend line per series, evaluated at each period.
 
-    `df` holds one row per series and period. Each group is one such series, so its size is the
-    number of periods. Points need a numeric `x`; rows with nulls are left out.
+    `df` holds one row per series and period, so a series is as long as the calendar. Around each period the
+    nearest `span` of the points get tricube weights; the weighted least-squares parabola at the period itself
+    comes from weighted sums in closed form (a line or a mean, where there are only two points or one). Points
+    need a numeric `x`; rows with nulls are left out.
     """
-    series = by or "_series"
-    points = df if by else df.withColumn("_series", F.lit(0))
-    points = points.select(series, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), x, y).dropna()
-    kind = dict(points.dtypes)
-
-    def smooth(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_x")
-        xs, ys = group["_x"].to_numpy(), group["_y"].to_numpy()
-        near = min(len(xs), max(2, int(np.floor(span * len(xs) + 1e-5))))
-        fitted = np.empty(len(xs))
-        for i, at in enumerate(xs):
-            gap = np.abs(xs - at)
-            reach = np.partition(gap, near - 1)[near - 1]
-            weight = np.clip(1 - (gap / reach) ** 3, 0, None) ** 3 if reach > 0 else (gap == 0).astype(float)
-            used = weight > 0
-            terms = np.vander((xs[used] - at), min(3, len(np.unique(xs[used]))), increasing=True)
-            root = np.sqrt(weight[used])[:, None]
-            fitted[i] = np.linalg.lstsq(terms * root, ys[used] * root[:, 0], rcond=None)[0][0]
-        return group.assign(trend=fitted).drop(columns=["_x", "_y"])
-
-    schema = f"`{series}` {kind[series]}, `{x}` {kind[x]}, `{y}` {kind[y]}, trend double"
-    out = points.groupBy(series).applyInPandas(smooth, schema)
-    return out if by else out.drop("_series")
+    series = [by] if by else []
+    points = df.select(*series, F.col(x).alias("_px"), F.col(y).alias("_py"))
+    points = points.dropna().groupBy(*series).agg(F.sort_array(F.collect_list(F.struct("_px", "_py"))).alias("_all"))
+    near = F.least(F.size("_all"), F.greatest(F.lit(2), F.floor(F.size("_all") * span + 1e-5).cast("int")))
+    pairs = points.select(*series, "_all", near.alias("_near"), F.posexplode("_all").alias("_no", "_at"))
+    gap = lambda p: F.abs(p["_px"].cast("double") - F.col("_at._px").cast("double"))
+    reach = F.sort_array(F.transform("_all", gap))[F.col("_near") - 1]
+    pairs = pairs.select(*series, "_no", "_at", reach.alias("_reach"), F.explode("_all").alias("_p"))
+    step = (F.col("_p._px").cast("double") - F.col("_at._px").cast("double")) / F.when(F.col("_reach") > 0, F.col("_reach")).otherwise(1.0)
+    pairs = pairs.select(*series, "_no", "_at", step.alias("_d"), F.col("_p._py").cast("double").alias("_v"))
+    weight = F.when(F.abs("_d") < 1, F.pow(1 - F.pow(F.abs("_d"), F.lit(3)), F.lit(3))).otherwise(0.0)
+    pairs = pairs.withColumn("_w", weight)
+    sums = {f"_s{i}": F.sum(F.col("_w") * F.pow("_d", F.lit(i))) for i in range(5)}
+    sums |= {f"_t{i}": F.sum(F.col("_w") * F.pow("_d", F.lit(i)) * F.col("_v")) for i in range(3)}
+    used = F.size(F.collect_set(F.when(F.col("_w") > 0, F.col("_d")))).alias("_used")
+    found = pairs.groupBy(*series, "_no", "_at").agg(used, *[value.alias(name) for name, value in sums.items()])
+    line = F.expr("(_t0 * _s2 - _s1 * _t1) / (_s0 * _s2 - _s1 * _s1)")
+    parabola = F.expr(
+        "(_t0 * (_s2 * _s4 - _s3 * _s3) - _s1 * (_t1 * _s4 - _s3 * _t2) + _s2 * (_t1 * _s3 - _s2 * _t2))"
+        " / (_s0 * (_s2 * _s4 - _s3 * _s3) - _s1 * (_s1 * _s4 - _s3 * _s2) + _s2 * (_s1 * _s3 - _s2 * _s2))"
+    )
+    trend = F.when(F.col("_used") > 2, parabola).when(F.col("_used") == 2, line).otherwise(F.expr("_t0 / _s0"))
+    return found.select(*series, F.col("_at._px").alias(x), F.col("_at._py").alias(y), trend.alias("trend"))

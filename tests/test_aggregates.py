@@ -5,7 +5,7 @@ import statistics
 from decimal import Decimal
 
 import pytest
-from conftest import final_plan
+from conftest import final_plan, plan_of
 from pyspark.sql import functions as F
 
 from reportloom.operators import aggregates, joins, reshape
@@ -22,15 +22,14 @@ def random_losses(spark, n, seed=3):
     return rows, spark.createDataFrame(rows, "g string, dollar_loss decimal(18,2)")
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 7, 400, 401])
-@pytest.mark.parametrize("width, few", [(10000, 10000), (100, 10000), (0.5, 1)])
-def test_median_is_exact(spark, n, width, few):
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 400, 401, 30001])
+def test_median_is_exact(spark, n):
     rows, df = random_losses(spark, n)
     groups = {}
     for g, v in rows:
         if g is not None and v is not None:
             groups.setdefault(g, []).append(float(v))
-    got = {r.g: r for r in aggregates.median_profile(df, ["g"], "dollar_loss", width, few).collect()}
+    got = {r.g: r for r in aggregates.median_profile(df, ["g"], "dollar_loss").collect()}
     assert got.keys() == groups.keys()
     for g, vs in groups.items():
         assert got[g].n == len(vs) and got[g].median_loss == pytest.approx(statistics.median(vs))
@@ -60,16 +59,26 @@ def test_approximate_median_option(spark):
     assert sorted(hot)[len(hot) // 4] <= got["hot"].median_loss <= sorted(hot)[3 * len(hot) // 4]
 
 
-def test_median_shuffles_middle_buckets_only(spark, sf_dir, tmp_path):
-    path = str(tmp_path / "clean")
-    complaints(spark, sf_dir, "age_range", "dollar_loss").write.parquet(path)
-    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
-    try:
-        plan = final_plan(aggregates.loss_profile(spark.read.parquet(path), "age_range"))
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert "GreaterThanOrEqual(dollar_loss," in plan and "LessThanOrEqual(dollar_loss," in plan
+def test_medians_of_doubles(spark):
+    nan = float("nan")
+    groups = {"nan": [20000.0, 30000.0, nan], "all_nan": [nan, nan], "mostly_nan": [1.0, nan, nan], "small": [i / 1e4 for i in range(777)], "large": [1e30 * i for i in range(1, 6)], "inf": [1.0, float("inf"), float("inf")], "mixed": [-1e300, 0.0, 1e-300, 5.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    got = {r.g: r for r in aggregates.median_profile(df, ["g"], "v").collect()}
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    for g, vs in groups.items():
+        assert got[g].n == len(vs) and got[g].median_loss == pytest.approx(want[g], nan_ok=True), g
+    assert aggregates.slice_stats(df.filter("g = 'large'"), "v").first().median_loss == pytest.approx(3e30)
+
+
+def test_medians_scan_twice_and_rank_a_few(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(200_000).selectExpr("id % 3 AS g", "CAST(hash(id) AS DOUBLE) AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    profile = aggregates.median_profile(df, ["g"], "v")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r.g: r.median_loss for r in profile.collect()} == want
+    plan = final_plan(aggregates.median_profile(df, ["g"], "v"))
+    assert plan.count("FileScan") == 2 and "Collect" not in plan
 
 
 def test_sparse_cross_is_completed(spark):
@@ -82,13 +91,18 @@ def test_sparse_cross_is_completed(spark):
 
 def test_dense_grid_reads_its_input_once(spark, sf_dir):
     cells = aggregates.cross_freq(complaints(spark, sf_dir, "age_range", "fraud_cat"), "age_range", "fraud_cat")
-    plan = final_plan(joins.complete(cells, "age_range", "fraud_cat"))
-    assert plan.count("FileScan") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan
+    dense = joins.complete(cells, "age_range", "fraud_cat")
+    dense.collect()
+    plan = plan_of(dense)
+    # the tile counts are subqueries; they and the join take the shuffle of the cells again
+    assert "ReusedExchange" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
 def test_grid_is_complete_for_many_levels(spark):
     left, right = spark.range(37).withColumnRenamed("id", "a"), spark.range(53).withColumnRenamed("id", "b")
-    assert joins.grid(left, right).distinct().count() == 37 * 53
+    for cells in (1, 40, 1_000_000):
+        assert joins.grid(left, right, cells).distinct().count() == 37 * 53
+    assert joins.grid(left, right.limit(0)).count() == 0
 
 
 def test_brackets_partition_positive_values(spark):
@@ -134,6 +148,11 @@ def test_tag_counts(spark):
     assert {r.tag: r.n for r in aggregates.tag_counts(df, "tags").collect()} == {"R": 1, "Spark": 2}
 
 
+def test_tags_are_split_literally(spark):
+    df = spark.createDataFrame([("ab|cd",), ("cd|ab|ab",)], "tags string")
+    assert {r.tag: r.n for r in aggregates.tag_counts(df, "tags", "|").collect()} == {"ab": 3, "cd": 2}
+
+
 def test_reshape(spark):
     df = spark.createDataFrame([("x", "a", 1), ("x", "b", 2), ("y", "a", 3)], "i string, c string, v int")
     wide = reshape.widen(df, "i", "c", "v", ["b", "a"])

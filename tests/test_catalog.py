@@ -7,6 +7,7 @@ from conftest import plan_of
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from reportloom.catalog import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +15,14 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_the_contract_holds_the_catalog():
+    assert QUERIES.items() <= contract.queries().items() and ORACLE.items() <= contract.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
-    df = contract.queries()[name](spark, sf_dir)
-    sql = contract.oracle_sql().get(name)
+    df = QUERIES[name](spark, sf_dir)
+    sql = ORACLE.get(name)
     if sql is None:
         assert df.count() > 0
     else:
@@ -33,5 +38,5 @@ def test_entry(spark):
 
 def test_inventory_is_covered():
     counts = {"s": 12, "p": 21, "f": 17, "j": 5, "a": 25, "w": 7, "l": 6, "u": 4, "t": 7, "m": 2, "x": 2, "e": 10}
-    ids = {name.split("_")[0] for name in contract.queries()}
+    ids = {name.split("_")[0] for name in QUERIES}
     assert ids == {f"{family}{i:02d}" for family, n in counts.items() for i in range(1, n + 1)}

@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 
 from reportloom.operators import clustering, retrieval
-from reportloom.sources.documents import spread
 
 
 def brute_top(vectors, queries, k):
@@ -18,8 +17,8 @@ def brute_top(vectors, queries, k):
     return out
 
 
-@pytest.mark.parametrize("max_broadcast", [100, 3])
-def test_retrieve_both_ways_against_brute_force(spark, max_broadcast):
+@pytest.mark.parametrize("block_queries", [100, 3])
+def test_retrieve_against_brute_force(spark, block_queries):
     rng = np.random.default_rng(1)
     vectors = {i: rng.normal(size=8).round(3) for i in range(150)}
     vectors.update({i: vectors[7] for i in range(150, 220)})  # a third of all rows are copies
@@ -29,7 +28,7 @@ def test_retrieve_both_ways_against_brute_force(spark, max_broadcast):
     asked = spark.createDataFrame([(q, [float(x) for x in v]) for q, v in queries.items()], "query_id int, embedding array<double>")
     table = table.union(spark.createDataFrame([(999, None)], table.schema))
     asked = asked.union(spark.createDataFrame([(99, None)], asked.schema))
-    rows = retrieval.retrieve(table, asked, 6, ["id"], max_broadcast=max_broadcast, block_rows=40).orderBy("query_id", "rank").collect()
+    rows = retrieval.retrieve(table, asked, 6, ["id"], block_queries=block_queries, block_rows=40).orderBy("query_id", "rank").collect()
     got = {}
     for r in rows:
         got.setdefault(r.query_id, []).append(r.id)
@@ -58,10 +57,6 @@ def test_encoded_counts(spark):
     assert sum(got[1]) == 3.0 and max(got[1]) >= 2.0 and sum(got[2]) == 1.0 and len(got[3]) == 16 and sum(got[3]) == 0.0
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 8
-    assert spread(spark.range(100).repartition(70)).rdd.getNumPartitions() == 70
-
 
 def test_kmeans_cost_falls_with_k(spark):
     rng = np.random.default_rng(2)
