@@ -50,15 +50,20 @@ def jaccard_classes(docs: DataFrame, words: int, percent: int, id: str = "doc_id
     "Rarest" goes by a sketch of token counts over all documents. The sketch has a fixed size; it only decides
     the order, so that coarse counts cost time and never results.
 
-    Null and empty texts have an empty set. Rows with a null id are left out. Repeated ids are one document,
-    with the largest of their sets. An empty table gives an empty one. Only `id` and `text` are read.
+    Null and empty texts have an empty set. Rows with a null id are left out. Repeated ids are one document, that
+    of the longest text (of equally long ones, by a hash). An empty table gives an empty one. Only `id` and
+    `text` are read.
     """
     batches_by_bytes(docs)
-    rows = docs.select(docs[id].cast("long").alias("id"), docs[text].cast("string").alias("text")).where("id is not null")
+    rows = docs.select(docs[id].cast("long").alias("id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
+    rows = rows.where("id is not null")
     order = _frequency_sketch(rows, words)
-    signed = rows.mapInArrow(_signatures(words, order), "id long, n long, fp1 long, fp2 long, common long, keys array<long>")
+    signed = rows.select("id", "text", F.length("text").alias("length"), F.xxhash64("text").alias("mark")).mapInArrow(
+        _signatures(words, order), "id long, length int, mark long, n long, fp1 long, fp2 long, common long, keys array<long>"
+    )
     signed = stored(signed, "signatures")
-    one = signed.groupBy("id").agg(F.max(F.struct("n", "fp1", "fp2", "common", "keys")).alias("s")).select("id", "s.*")
+    one = signed.groupBy("id").agg(F.max(F.struct("length", "mark", "n", "fp1", "fp2", "common", "keys")).alias("s"))
+    one = one.select("id", "s.*").drop("length", "mark")
     classes = one.where("n > 0").groupBy("n", "fp1", "fp2").agg(
         F.min("id").alias("rep"), F.first("common").alias("common"), F.first("keys").alias("keys")
     )
@@ -104,8 +109,8 @@ def _signatures(words: int, order: Broadcast):
                 else:
                     keys.append([])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, numbers), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "n", "fp1", "fp2", "common", "keys"],
+                [*(batch.column(i) for i in (0, 2, 3)), *map(pa.array, numbers), pa.array(keys, pa.list_(pa.int64()))],
+                ["id", "length", "mark", "n", "fp1", "fp2", "common", "keys"],
             )
 
     return signatures
@@ -124,7 +129,7 @@ def _bucketed_texts(rows: DataFrame, classes: DataFrame, signed: DataFrame) -> D
 
 
 def _largest_texts(rows: DataFrame) -> DataFrame:
-    """One text per id, where ids repeat: the one whose word set is the largest is among the longest by hash."""
+    """One text per id, where ids repeat: the longest, of equally long ones by a hash."""
     return rows.groupBy("id").agg(F.max_by("text", F.struct(F.length("text"), F.xxhash64("text"))).alias("text"))
 
 
