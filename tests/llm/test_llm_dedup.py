@@ -127,6 +127,12 @@ def test_jaccard_without_families_uses_the_matrix_alone(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_jaccard(rows, 4, 85)
 
 
+def test_jaccard_of_repeated_ids_takes_the_longest_text(spark):
+    rows = [(1, "a b c d e f"), (1, "x x x x x x x x"), (2, "x x x x x x x x"), (3, "a b c d e f"), (4, "a b c d e f g"), (4, "a b c d e f g")]
+    got = jaccard_classes(documents(spark, rows), 4, 70).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 3, 3), (4, 4, 3)]
+
+
 def test_jaccard_of_empty_and_repeated_rows(spark):
     assert jaccard_classes(documents(spark, []), 4, 85).count() == 0
     got = jaccard_classes(documents(spark, [(2, "a b c d e"), (2, "a b c d e"), (1, None), (3, "")]), 4, 85).collect()
