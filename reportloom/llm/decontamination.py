@@ -21,7 +21,7 @@ BLOCKS = (21, 21, 22)  # bits per block: within the radius, one block differs in
 GRID = 2  # windows begin and end at multiples of so many words of a block (1 for items of a few words)
 SHORT = 8  # words of an item from which the grid is used
 CLASS_RATIO = 1.2  # items of one size class differ in length by this factor at most
-BATCH_BYTES = 32 << 20  # benchmark text sent to the tasks at once; more goes in further rounds
+BATCH_BYTES = 256 << 10  # benchmark text sent to the tasks at once, so that the tables stay sparse; more goes in further rounds
 SLACK = 3  # words by which a verified span may begin or end off the found place
 
 def word_hashes(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -146,8 +146,8 @@ def find_benchmark(
     looked up in tables that hold all values within a third of the radius. Only those are compared in full,
     with the spans around the found place.
 
-    One pass over the texts and no shuffle of them; benchmark text is sent to the tasks in rounds of
-    BATCH_BYTES at most. Null and empty texts or items match nothing; null ids are kept; repeated rows give
+    No shuffle of the texts, and one pass over them for each round of BATCH_BYTES of benchmark text (about a
+    thousand items), which is what is sent to the tasks. Null and empty texts or items match nothing; null ids are kept; repeated rows give
     repeated rows; empty tables give an empty one. Only the named columns are read.
     """
     batches_by_bytes(docs)

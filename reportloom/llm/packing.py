@@ -77,7 +77,8 @@ def pack_documents(
     done, level = [], 0
     while True:
         groups = max(1, -(-count // GROUP_PIECES))
-        salt = F.pmod(F.xxhash64(F.lit(level), "id", "piece", "ids_crc32", F.lit(level)), F.lit(groups))
+        # by the place in the stored table, so that repeated rows spread as well
+        salt = F.pmod(F.xxhash64(F.lit(level), F.monotonically_increasing_id()), F.lit(groups))
         packed = left.withColumn("group", salt).groupBy("group").applyInPandas(_packer(capacity, level, groups == 1), schema)
         packed = stored(packed, "packed")
         done.append(packed.where("settled"))
@@ -85,7 +86,7 @@ def pack_documents(
             break
         left = packed.where("not settled").drop("sequence_id", "offset", "settled")
         fewer = left.count()
-        if fewer >= count:  # nothing could be settled: then each piece fills a bin badly, and these bins stand
+        if 2 * fewer > count:  # most pieces fill bins badly, in any company: these bins stand
             done.append(packed.where("not settled"))
             break
         count, level = fewer, level + 1
@@ -103,7 +104,7 @@ def _packer(capacity: int, level: int, last: bool):
         settled = np.ones(len(pdf), bool)
         for number, members in enumerate(bins):
             sizes = lengths[members]
-            sequence[members] = (int(key[0]) * 16 + level) * (1 << 20) + number
+            sequence[members] = (int(key[0]) * 64 + level) * (1 << 20) + number
             offset[members] = np.cumsum(sizes) - sizes
             settled[members] = last or sizes.sum() >= 0.98 * capacity
         return pdf.drop(columns="group").assign(sequence_id=sequence, offset=offset, settled=settled)
