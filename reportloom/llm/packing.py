@@ -86,7 +86,7 @@ def pack_documents(
             break
         left = packed.where("not settled").drop("sequence_id", "offset", "settled")
         fewer = left.count()
-        if 2 * fewer > count:  # most pieces fill bins badly, in any company: these bins stand
+        if 10 * fewer > 9 * count or level == 60:  # what is left fills bins badly in any company: these bins stand
             done.append(packed.where("not settled"))
             break
         count, level = fewer, level + 1
