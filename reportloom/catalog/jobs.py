@@ -12,7 +12,7 @@ from ..operators.filters import keep_in, slice_rows
 from ..operators.ranking import sample_head
 from ..plans import cohort as cohorts
 from ..plans import regional
-from ..plans.bulletin import bulletin_facts, category_matrix, category_trend
+from ..plans.bulletin import NARRATIVE, bulletin_facts, category_matrix, category_trend
 from ..plans.doc_retrieval import answer, rebuild_index
 from ..plans.feed_digest import digest_page
 from ..plans.refinery import refine, with_label
@@ -78,16 +78,24 @@ def e01_newest_file(spark, sf_dir):
     return monthly.select("label", "year", "month", "total_loss", "total_victims")
 
 
+def narrative_sql() -> str:
+    """The bulletin's sentence with its blanks filled by SQL."""
+    blanks = (
+        "label", "'reporting centre'", "loss_month", "peak_loss", "victims_month", "peak_victims",
+        "CASE WHEN loss_month = victims_month THEN 'a parallel spike' ELSE 'a strong divergence' END",
+    )
+    pieces = [f"'{piece}'" for piece in NARRATIVE.split("%s")]
+    return pieces[0] + "".join(f" || {blank} || {piece}" for blank, piece in zip(blanks, pieces[1:]))
+
+
 @query(
     "e02_bulletin_facts",
     over(
         """SELECT label, min_date, max_date, peak_loss, loss_month, peak_victims, victims_month,
                   CASE WHEN loss_month = victims_month THEN 'parallel spike' ELSE 'strong divergence' END AS divergence,
-                  'In ' || label || ', the reporting centre recorded its highest monthly financial loss in ' || loss_month
-                  || ' at ' || peak_loss || '. The month with the largest number of reported victims was ' || victims_month
-                  || ', with ' || peak_victims || ' individuals impacted. This quarter shows '
-                  || CASE WHEN loss_month = victims_month THEN 'a parallel spike' ELSE 'a strong divergence' END
-                  || ', highlighting potential changes in fraud targeting patterns.' AS narrative
+                  """
+        + narrative_sql()
+        + """ AS narrative
            FROM (SELECT year(hi) || '_Q' || quarter(hi) AS label, lo AS min_date, hi AS max_date,
                         '$' || format('{:,}', CAST(round_even(CAST(l.total_loss AS DOUBLE), 0) AS BIGINT)) AS peak_loss,
                         strftime(l.month_date, '%B %Y') AS loss_month, format('{:,}', v.total_victims) AS peak_victims,
@@ -435,8 +443,8 @@ def e08_rates(spark, sf_dir):
 
 
 def decline_sql(key: str) -> str:
-    return f"""SELECT *, CASE WHEN change_pct < -70 THEN 'Major Decline (>70%)' WHEN change_pct < -50 THEN 'Large Decline (50-70%)'
-                      ELSE 'Moderate Decline (<50%)' END AS severity
+    cases = " ".join(f"WHEN change_pct < {below} THEN '{label}'" for below, label in cohorts.DECLINES)
+    return f"""SELECT *, CASE {cases} ELSE '{cohorts.OTHER_DECLINE}' END AS severity
                FROM (SELECT {key}, n_before, n_after, (CAST(n_after AS DOUBLE) - CAST(n_before AS DOUBLE)) / CAST(n_before AS DOUBLE) * 100 AS change_pct
                      FROM (SELECT {key}, count(*) FILTER (year(date) = 1996) AS n_before, count(*) FILTER (year(date) = 1997) AS n_after
                            FROM cohort_v WHERE {LOCAL} AND {key} IS NOT NULL GROUP BY 1) WHERE n_before > 0)"""
