@@ -182,7 +182,8 @@ def _candidates(matrix: DataFrame, percent: int) -> DataFrame:
     # an entry counts if a document of another family has made it
     hits = matrix.join(groups, "token").where("family <> low or family <> high")
     shared = hits.groupBy("id", "n", "family", "grp", "g").agg(F.count("*").alias("common"))
-    ranges = matrix.groupBy(F.col("grp").alias("g")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    # stored, so that the join below has plain sides and Spark can split a group with very many queries
+    ranges = stored(matrix.groupBy(F.col("grp").alias("g")).agg(F.min("n").alias("least"), F.max("n").alias("most")), "group-sizes")
 
     def need(n: str) -> str:
         return f"(({n} * {percent} + 99) div 100)"
