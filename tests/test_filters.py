@@ -54,6 +54,13 @@ def test_table_search_looks_everywhere(spark):
     assert sorted(r.n for r in filters.table_search(rows, "17").collect()) == [2, 17]
 
 
+def test_an_empty_query_keeps_everything(spark):
+    rows = spark.createDataFrame([("a",), (None,)], "t string")
+    for query in ("", "  "):
+        assert filters.column_search(rows, "t", query).count() == 2 and filters.table_search(rows, query).count() == 2
+        assert filters.column_search(rows, "t", query, regex=False).count() == 2
+
+
 def test_tag_filter(spark):
     rows = spark.createDataFrame([("R,Spark",), ("Sparkling",), (None,)], "tags string")
     assert filters.tag_filter(rows, "tags", "Spark").count() == 1
