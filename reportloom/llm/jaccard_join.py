@@ -162,7 +162,9 @@ def _grouped(classes: DataFrame, families: DataFrame, pairs: DataFrame) -> DataF
         F.struct(F.col("component").isNotNull().alias("verified"), F.coalesce("component", "leader", "rep").alias("of")).alias("cluster"),
         F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_BAND))).alias("band"),
     )
-    sizes = reps.groupBy("cluster", "band").agg(F.count("*").alias("members"))
+    # both stored, so that Spark can split a cluster of very many documents in the join
+    reps = stored(reps, "clusters")
+    sizes = stored(reps.groupBy("cluster", "band").agg(F.count("*").alias("members")), "cluster-sizes")
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / F.lit(GROUP_DOCS)))
     grp = F.xxhash64("cluster", "band", part)
     return stored(reps.join(sizes, ["cluster", "band"]).select("rep", "n", "family", grp.alias("grp")), "groups")
