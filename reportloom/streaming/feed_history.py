@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.feeds import ITEM_SCHEMA, as_items
 
-BUCKETS = 256  # folders of links by hash; a run reads those its own links fall into
+BUCKETS = 64  # folders of links by hash; a run reads those its own links fall into
 HISTORY_SCHEMA = (
     "item_title string, item_link string, item_description string, item_pub_date timestamp, feed string, "
     "bucket int, stream string, batch bigint"
