@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from .hashing import lowered, running_sums, span_hashes, text_blocks
 
-SLOTS = 1 << 20  # entries of a worker's table
+SLOTS = 1 << 21  # entries of a worker's table
 LONG_BYTES = 8 << 20  # a longer text is looked up in parts
 FLAT_IDS = 12_000_000  # remembered ids before the table starts afresh
 
