@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
@@ -17,10 +18,15 @@ from reportloom.workspace import fresh_dir
 BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
-def library_ids(name: str, text: str | None) -> list[int]:
+@functools.cache
+def library(name: str):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(vocabulary_path(name)).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(vocabulary_path(name))
+
+
+def library_ids(name: str, text: str | None) -> list[int]:
+    return library(name).encode(text or "", add_special_tokens=False).ids
 
 
 ODD = [
