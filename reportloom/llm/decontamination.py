@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +22,6 @@ GRID = 2  # windows begin and end at multiples of so many words of a block (1 fo
 SHORT = 8  # words of an item from which the grid is used
 CLASS_RATIO = 1.2  # items of one size class differ in length by this factor at most
 BATCH_BYTES = 256 << 10  # benchmark text sent to the tasks at once, so that the tables stay sparse; more goes in further rounds
-SLACK = 3  # words by which a verified span may begin or end off the found place
 
 def word_hashes(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, end row, word hashes, word lengths in bytes, first word of each row) per block of texts."""
@@ -66,8 +65,10 @@ class Items:
                     self.ids.append(items[row][0])
                     self.hashes.append(hashes[span])
                     self.sizes.append(sizes[span])
-        self.shingles = [Counter(shingles(h, words).tolist()) for h in self.hashes]
-        self.known = np.unique(np.concatenate([shingles(h, words) for h in self.hashes])) if self.hashes else np.zeros(0, np.uint64)
+        found = [np.unique(shingles(h, words), return_counts=True) for h in self.hashes]
+        self.known = np.unique(np.concatenate([f for f, _ in found])) if found else np.zeros(0, np.uint64)
+        # per item, the places of its shingles in `known`, and how often it has each
+        self.shingles = [(np.searchsorted(self.known, f), n) for f, n in found]
         self.short = {len(h) for h in self.hashes if len(h) < words}
         self.classes = self._classes()
 
@@ -81,7 +82,7 @@ class Items:
             grid = 1 if least < SHORT else GRID
             step = grid * max(1, least // (4 * grid))
             window = (least - step + 1) // grid * grid
-            prints, item, shift = [], [], []
+            prints, item = [], []
             for i in members:
                 # The windows of any text that begin at multiples of `step` have one at each run of `step` places;
                 # both ends of the item are covered, and a verbatim passage has equal fingerprints at both.
@@ -92,10 +93,7 @@ class Items:
                     sums = sign_sums(self.hashes[i][cut], self.sizes[i][cut], grid)
                     prints.append(simhashes(sums, np.array([0]), np.array([len(sums) - 1])))
                 item += [i] * len(shifts)
-                shift += shifts
-            classes.append(
-                {"grid": grid, "step": step, "window": window, "prints": np.concatenate(prints), "item": np.array(item), "shift": np.array(shift)}
-            )
+            classes.append({"grid": grid, "step": step, "window": window, "prints": np.concatenate(prints), "item": np.array(item)})
         return classes
 
     def tables(self, prints: np.ndarray) -> list[np.ndarray]:
@@ -118,12 +116,6 @@ def shingles(hashes: np.ndarray, words: int) -> np.ndarray:
     return chained(hashes, min(words, len(hashes))) if len(hashes) else hashes
 
 
-def weighted_similarity(a: Counter, b: Counter) -> float:
-    """Sum of the smaller counts over the sum of the larger ones."""
-    common = sum((a & b).values())
-    return common / (sum(a.values()) + sum(b.values()) - common) if common else 0.0
-
-
 def find_benchmark(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -143,8 +135,8 @@ def find_benchmark(
     Items of about equal length form a size class. A document's windows of the class's size begin every few
     words; each item is fingerprinted at as many shifts, so a verbatim passage always has a window with an
     equal fingerprint. Fingerprints within RADIUS bits of an item's are found without loss: three blocks are
-    looked up in tables that hold all values within a third of the radius. Only those are compared in full,
-    with the spans around the found place.
+    looked up in tables that hold all values within a third of the radius. The texts of those are compared in full,
+    with the spans of every length that can reach the threshold.
 
     No shuffle of the texts, and one pass over them for each round of BATCH_BYTES of benchmark text (about a
     thousand items), which is what is sent to the tasks. Null and empty texts or items match nothing; null ids are kept; repeated rows give
@@ -205,13 +197,19 @@ def _block_matches(items: Items, tables: list, hashes: np.ndarray, sizes: np.nda
     if not len(hashes) or not items.ids:
         return []
     sums = {grid: sign_sums(hashes, sizes, grid) for grid in {c["grid"] for c in items.classes}}
-    runs = {n: chained(hashes, n) if len(hashes) >= n else hashes[:0] for n in {items.words, *items.short}}
     known = np.zeros(len(hashes), bool)
-    for found in runs.values():
-        at = np.minimum(np.searchsorted(items.known, found), len(items.known) - 1)
-        known[: len(found)] |= items.known[at] == found
+    places: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # per shingle size: word, place in items.known, first one per text
+    for n in {items.words, *items.short}:
+        if len(hashes) < n:
+            continue
+        runs = chained(hashes, n)
+        code = np.minimum(np.searchsorted(items.known, runs), len(items.known) - 1)
+        at = np.flatnonzero(items.known[code] == runs)
+        at = at[at + n <= firsts[np.searchsorted(firsts, at, "right")]]
+        known[at] = True
+        places[n] = at, code[at], np.searchsorted(at, firsts)
     near = np.concatenate([[0], np.cumsum(known)])
-    spots: set[tuple[int, int, int]] = set()
+    pairs: set[tuple[int, int]] = set()
     for size_class, blocks in zip(items.classes, tables):
         grid, step, window = size_class["grid"], size_class["step"], size_class["window"]
         starts = np.arange(0, len(hashes), step)
@@ -233,32 +231,48 @@ def _block_matches(items: Items, tables: list, hashes: np.ndarray, sizes: np.nda
                 # a span with no shingle of the benchmark is like no item
                 used = near[ends[place]] > near[starts[place]]
                 place, entry = place[used], entry[used]
-                spots.update(zip(doc[place].tolist(), size_class["item"][entry].tolist(), (starts[place] - size_class["shift"][entry]).tolist()))
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for d, item, start in sorted(spots):
-        known_best = best.get((d, item), (0.0, 0, 0))
-        if known_best[0] < 1.0:
-            best[d, item] = max(known_best, _best_span(items, item, runs, int(firsts[d]), int(firsts[d + 1]), start))
-    return [(d, item, s, -start - int(firsts[d]), n) for (d, item), (s, start, n) in sorted(best.items()) if s >= threshold]
-
-
-def _best_span(items: Items, item: int, runs: dict[int, np.ndarray], low: int, high: int, start: int) -> tuple[float, int, int]:
-    """(similarity, -start, words) of the most similar span whose ends are within SLACK words of the place.
-
-    Spans near the place are tried first; an equal one ends the search.
+                pairs.update(zip(doc[place].tolist(), size_class["item"][entry].tolist()))
+    out = []
+    for d, item in sorted(pairs):
+        k = min(items.words, len(items.hashes[item]))
+        if k in places:
+            at, code, first = places[k]
+            span = slice(first[d], first[d + 1])
+            similarity, start, n = _best_span(*items.shingles[item], at[span], code[span], threshold)
+            if similarity >= threshold:
+                out.append((d, item, similarity, start - int(firsts[d]), n + k - 1))
+    return out
+
+
+def _best_span(want: np.ndarray, wanted: np.ndarray, at: np.ndarray, code: np.ndarray, threshold: float) -> tuple[float, int, int]:
+    """(similarity, first word, shingles) of the text's most similar span, of any length that can reach the threshold.
+
+    `want` and `wanted` are the item's shingles and their counts; `at` and `code` the text's shingles that any item
+    has. A best span begins and ends with a shingle of the item, as cutting off another one raises the similarity. Of equal
+    spans the first counts, then the longest.
     """
-    want, n = items.shingles[item], len(items.hashes[item])
-    total, best = sum(want.values()), (0.0, 0, 0)
-    off = sorted(range(-SLACK, SLACK + 1), key=abs)
-    for a in (start + x for x in off):
-        for b in (start + n + x for x in off):
-            k = min(items.words, b - a)
-            if a < low or b > high or k not in runs:
-                continue
-            got = b - a - k + 1
-            if k <= 0 or min(got, total) <= max(got, total) * best[0]:
-                continue
-            best = max(best, (weighted_similarity(want, Counter(runs[k][a : b - k + 1].tolist())), -a, b - a))
-            if best[0] == 1.0:
-                return best
+    total, best = int(wanted.sum()), (0.0, 0, 0)
+    number = np.minimum(np.searchsorted(want, code), len(want) - 1)
+    shared = want[number] == code
+    at, number = at[shared], number[shared]
+    ends = np.searchsorted(at, at + math.floor(total / threshold + 1e-9))
+    room = ends - np.arange(len(at))
+    usable = np.flatnonzero(room >= threshold * total - 1e-9)
+    if not len(usable):
+        return best
+    # a shingle counts in a span if the span begins after the one that comes as many times before it as the item has it
+    order = np.argsort(number, kind="stable")
+    before = np.arange(len(at)) - wanted[number[order]]
+    same = (before >= 0) & (number[order[np.maximum(before, 0)]] == number[order])
+    blocker = np.full(len(at), -1)
+    blocker[order[same]] = order[before[same]]
+    for i in usable.tolist():
+        if min(room[i], total) <= best[0] * total:
+            continue
+        common = np.cumsum(blocker[i : ends[i]] < i)
+        length = at[i : ends[i]] - at[i] + 1
+        similarity = common / (length + total - common)
+        j = len(similarity) - 1 - int(np.argmax(similarity[::-1]))
+        if similarity[j] > best[0]:
+            best = float(similarity[j]), int(at[i]), int(length[j])
     return best

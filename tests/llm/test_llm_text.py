@@ -62,6 +62,48 @@ def test_benchmark_passages_against_plain_search(spark):
     assert len(got) == len(want) and (531, 3) not in want and (530, 3) in want
 
 
+def plain_leaks_of_any_length(docs, items, k=5, least=0.8):
+    """Best similarity of any span whatever."""
+    out = {}
+    for i, text in docs:
+        words = plain_words(text)
+        for item, item_text in items:
+            want = plain_shingles(plain_words(item_text), k)
+            total, spans = sum(want.values()), []
+            for a in range(len(words)):
+                for b in range(a + 1, len(words) + 1):
+                    got = plain_shingles(words[a:b], k)
+                    common = sum((got & want).values())
+                    spans.append(common / (sum(got.values()) + total - common))
+            if max(spans, default=0) >= least:
+                out[i, item] = max(spans)
+    return out
+
+
+def test_benchmark_passages_much_shorter_or_longer_than_the_item(spark):
+    items = [(1, prose(610, 59)), (2, prose(611, 24)), (3, " ".join([prose(612, 9)] * 3))]
+    docs = []
+    for n, (_, text) in enumerate(items):
+        words = text.split()
+        cut = len(words) - (len(words) - 4) // 5
+        for place, (before, behind) in enumerate([(0, 0), (25, 0), (0, 25), (25, 25)]):
+            around = prose(620 + place, before), prose(630 + place, behind)
+            middle = len(words) // 2
+            passages = [words[:cut], words[-cut:], words[: cut - 1], [*words[:middle], *prose(640, 7).split(), *words[middle:]]]
+            for kind, passage in enumerate(passages):
+                docs.append((1000 * n + 10 * place + kind, " ".join([around[0], *passage, around[1]])))
+    got = find_benchmark(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = plain_leaks_of_any_length(docs, items)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    assert {(i, 1) for i in (0, 1, 10, 11, 20, 21, 30, 31)} <= set(want) and (2, 1) not in want
+    texts, plain = dict(docs), dict(items)
+    for r in got:  # the reported span has the reported similarity
+        span = plain_shingles(plain_words(texts[r.doc_id])[r.start_word : r.start_word + r.n_words], 5)
+        whole = plain_shingles(plain_words(plain[r.item_id]), 5)
+        common = sum((span & whole).values())
+        assert r.similarity == common / (sum(span.values()) + sum(whole.values()) - common)
+
+
 def test_benchmark_edge_cases(spark, monkeypatch):
     items = spark.createDataFrame([(1, prose(600, 20)), (2, prose(601, 25))], "item_id long, text string")
     rows = [(None, prose(600, 20)), (5, prose(601, 25)), (5, prose(601, 25))]
