@@ -1,4 +1,4 @@
-"""Benchmark passages in documents: SimHash windows, multi-index Hamming search, exact verification."""
+"""Benchmark passages in documents: SimHash windows, multi-index Hamming search, short exact windows, exact verification."""
 
 from __future__ import annotations
 
@@ -54,7 +54,7 @@ def simhashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 class Items:
     """The benchmark as the tasks need it: size classes with their windows and block tables, and shingles."""
 
-    def __init__(self, items: list[tuple[int, str]], words: int):
+    def __init__(self, items: list[tuple[int, str]], words: int, threshold: float):
         self.words = words
         self.ids, self.hashes, self.sizes = [], [], []
         texts = pa.array([text or "" for _, text in items], pa.string())
@@ -71,6 +71,24 @@ class Items:
         self.shingles = [(np.searchsorted(self.known, f), n) for f, n in found]
         self.short = {len(h) for h in self.hashes if len(h) < words}
         self.classes = self._classes()
+        self.seed_first, self.seed_item = self._seeds(threshold)
+
+    def _seeds(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(first entry per known shingle, items): per item so many of its shingles that no similar span lacks all of them.
+
+        A similar span holds `threshold` of the item's shingles at least. Those that fewest items have are taken.
+        """
+        holders = np.bincount(np.concatenate([f for f, _ in self.shingles]), minlength=len(self.known)) if self.shingles else []
+        codes, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, (found, n) in enumerate(self.shingles):
+            order = np.argsort(holders[found], kind="stable")
+            spare = n.sum() - max(1, math.ceil(threshold * n.sum() - 1e-9))
+            chosen = found[order[: np.searchsorted(np.cumsum(n[order]), spare, "right") + 1]]
+            codes.append(chosen)
+            items.append(np.full(len(chosen), i))
+        code, item = np.concatenate(codes), np.concatenate(items)
+        order = np.argsort(code, kind="stable")
+        return np.searchsorted(code[order], np.arange(len(self.known) + 1)), item[order]
 
     def _classes(self) -> list[dict]:
         order = sorted(range(len(self.ids)), key=lambda i: len(self.hashes[i]))
@@ -135,8 +153,11 @@ def find_benchmark(
     Items of about equal length form a size class. A document's windows of the class's size begin every few
     words; each item is fingerprinted at as many shifts, so a verbatim passage always has a window with an
     equal fingerprint. Fingerprints within RADIUS bits of an item's are found without loss: three blocks are
-    looked up in tables that hold all values within a third of the radius. The texts of those are compared in full,
-    with the spans of every length that can reach the threshold.
+    looked up in tables that hold all values within a third of the radius. A similar passage may differ by more than
+    the radius (a block of words in its middle is new or gone), so items have short windows of `words` words as well,
+    looked up by their whole hash: at so many places that a similar passage leaves one of them untouched.
+    The texts found by either are compared in full, with the spans of every length that can reach the threshold, so
+    that no passage is missed but for collisions of 64 bits.
 
     No shuffle of the texts, and one pass over them for each round of BATCH_BYTES of benchmark text (about a
     thousand items), which is what is sent to the tasks. Null and empty texts or items match nothing; null ids are kept; repeated rows give
@@ -169,7 +190,7 @@ def _matches(shared: Broadcast, words: int, threshold: float):
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _prepared:  # the worker keeps the tables of one round
             _prepared.clear()
-            items = Items(shared.value, words)
+            items = Items(shared.value, words, threshold)
             _prepared[key] = items, [items.tables(c["prints"]) for c in items.classes]
         items, tables = _prepared[key]
         for batch in batches:
@@ -210,6 +231,12 @@ def _block_matches(items: Items, tables: list, hashes: np.ndarray, sizes: np.nda
         places[n] = at, code[at], np.searchsorted(at, firsts)
     near = np.concatenate([[0], np.cumsum(known)])
     pairs: set[tuple[int, int]] = set()
+    for at, code, _ in places.values():
+        n = items.seed_first[code + 1] - items.seed_first[code]
+        entry = np.repeat(items.seed_first[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        doc = np.repeat(np.searchsorted(firsts, at, "right") - 1, n)
+        found = np.unique(doc * len(items.ids) + items.seed_item[entry])
+        pairs.update(zip((found // len(items.ids)).tolist(), (found % len(items.ids)).tolist()))
     for size_class, blocks in zip(items.classes, tables):
         grid, step, window = size_class["grid"], size_class["step"], size_class["window"]
         starts = np.arange(0, len(hashes), step)

@@ -104,6 +104,37 @@ def test_benchmark_passages_much_shorter_or_longer_than_the_item(spark):
         assert r.similarity == common / (sum(span.values()) + sum(whole.values()) - common)
 
 
+def rare_words(seed, n):
+    """Words that hardly ever come twice, so that texts are alike by nothing but the planted passages."""
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 11))) for _ in range(n))
+
+
+def test_benchmark_passages_with_a_block_changed(spark):
+    rng = np.random.default_rng(8)
+    items = [(i, rare_words(650 + i, n)) for i, n in enumerate([200, 200, 120, 59, 40, 300])]
+    docs = []
+    for item, text in items:
+        words = text.split()
+        for kind in range(12):
+            n = int(0.08 * len(words)) + 1 + kind % 3
+            place = int(rng.integers(1, len(words) - n)) if kind > 5 else (len(words) - n) // 2
+            new = rare_words(700 + kind, n).split()
+            passage = [words[:place] + new + words[place + n :], words[:place] + words[place + n :], words[:place] + new + words[place:]][kind // 2 % 3]
+            docs.append((100 * item + kind, " ".join([rare_words(800 + kind, 15), *passage, rare_words(820 + kind, 15)])))
+    got = find_benchmark(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found, similar = {(r.doc_id, r.item_id): r.similarity for r in got}, 0
+    for doc, text in docs:
+        words, want = plain_words(text), plain_shingles(plain_words(items[doc // 100][1]), 5)
+        got = plain_shingles(words[15 : len(words) - 15], 5)  # the passage as planted
+        common = sum((got & want).values())
+        planted = common / (sum(got.values()) + sum(want.values()) - common)
+        if planted >= 0.8:
+            similar += 1
+            assert found[doc, doc // 100] >= planted
+    assert similar >= 40 and min(found.values()) >= 0.8
+
+
 def test_benchmark_edge_cases(spark, monkeypatch):
     items = spark.createDataFrame([(1, prose(600, 20)), (2, prose(601, 25))], "item_id long, text string")
     rows = [(None, prose(600, 20)), (5, prose(601, 25)), (5, prose(601, 25))]
