@@ -92,13 +92,17 @@ class Restorer:
 
     def text(self, text: str) -> str:
         """The text in lower case with disguised words restored."""
-        text = _SPACED.sub(lambda m: self.run(re.sub(r"[ .\-_*]", "", m[0])), text.lower())
+        text = _SPACED.sub(lambda m: self.run(m[0]), text.lower())
         return _WORD.sub(lambda m: self.word(m[0]), text)
 
-    def run(self, letters: str) -> str:
-        """Letters that stood apart: one word, or one with a word of one letter before or behind it."""
+    def run(self, spaced: str) -> str:
+        """Letters that stood apart, as the likeliest words, and once more as one word (or one beside a word of one letter)."""
+        letters = re.sub(r"[ .\-_*]", "", spaced)
+        if not re.search(r"[^\W\d_]", letters):
+            return spaced
         whole, first, last = self.word(letters), self.word(letters[1:]), self.word(letters[:-1])
-        return max(whole, f"{letters[0]} {first}", f"{last} {letters[-1]}", key=self.likelihood)
+        joined = max(whole, f"{letters[0]} {first}", f"{last} {letters[-1]}", key=self.likelihood)
+        return " ".join(dict.fromkeys([self._decode(letters, True), joined]))
 
     def likelihood(self, text: str) -> float:
         padded = [0, 0, *map(_symbol, text), 0]
@@ -111,23 +115,32 @@ class Restorer:
             self.known[word] = self._decode(word) if _disguised(word) else word
         return self.known[word]
 
-    def _decode(self, word: str) -> str:
-        """The likeliest letters. A run of equal letters is read as one or two of them."""
+    def _decode(self, word: str, spaced: bool = False) -> str:
+        """The likeliest letters. A run of equal letters is read as one or two of them.
+
+        Of letters that stood apart, a word may end after each. Two equal ones stay two, if nothing else is disguised.
+        """
         word = word.rstrip("!|$@") or word
+        exact = spaced and not _disguised(word)
         columns: list[list[tuple[str, float]]] = []
         for char, run in itertools.groupby(word):
             n = len(list(run))
             letters = SIGNS.get(char, "") if not char.isalpha() else char
             reading = [(x, -SIGN_COST * (not char.isalpha())) for x in letters] or [("", 0.0)]
-            if n == 1:
-                columns.append(reading)
-            else:
-                columns.append([r for x, cost in reading for r in ((x, cost - DROP_COST * (n == 2)), (2 * x, 2 * cost))])
-        # state: the last two symbols; value: log probability and the letters so far
-        states = {(0, 0): (0.0, "")}
+            if n > 1:
+                once = [] if exact and n == 2 else [(x, cost - DROP_COST * (n == 2)) for x, cost in reading]
+                apart = [(x + " " + x, 2 * cost) for x, cost in reading if x and spaced]
+                if spaced and n > 2:
+                    apart += [(y, 3 * cost) for x, cost in reading if x for y in (2 * x + " " + x, x + " " + 2 * x)]
+                reading = [*once, *((2 * x, 2 * cost) for x, cost in reading), *apart]
+            if spaced and columns:
+                reading += [(" " + x, cost) for x, cost in reading if x]
+            columns.append(reading)
+        # state: the last two symbols; value: log probability and the letters so far, as a chain
+        states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for column in columns:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in states.items():
+            after: dict[tuple[int, int], tuple[float, tuple]] = {}
+            for (a, b), (score, path) in states.items():
                 for letters, cost in column:
                     x, y, total = a, b, score + cost
                     for letter in letters:
@@ -135,9 +148,13 @@ class Restorer:
                         total += self.model[x][y][s]
                         x, y = y, s
                     if (x, y) not in after or after[x, y][0] < total:
-                        after[x, y] = total, text + letters
+                        after[x, y] = total, (path, letters)
             states = after
-        return max((score + self.model[a][b][0], text) for (a, b), (score, text) in states.items())[1]
+        path, out = max((score + self.model[a][b][0], i, path) for i, ((a, b), (score, path)) in enumerate(states.items()))[2], []
+        while path:
+            path, letters = path
+            out.append(letters)
+        return "".join(reversed(out))
 
 
 def _symbol(letter: str) -> int:

@@ -199,6 +199,17 @@ def test_toxicity_on_held_out_and_disguised_texts(spark):
     assert sorted(r.predicted for r in got[5000]) == [1, 1] and got[None][0].predicted == 1
 
 
+def test_toxicity_of_several_words_in_spaced_letters(spark):
+    rows, labels = labelled()
+    tests = [("".join(w + " " for w in "amber birch vilething ocean".replace(" ", "")), 1), ("m a r s h n a s t y o n e g r u b w o r d", 1)]
+    tests += [("see s.l.o.p.e.s.c.h.l.i.m.m.w.o.r.t.t.a.r.n", 1), ("q u a r t z r i d g e n o r t h", 0), ("1 2 3 4 5", 0)]
+    tests += [(" ".join(prose(9, 3000).replace(" ", "")) + " v i l e t h i n g " + " ".join(prose(10, 3000).replace(" ", "")), 1)]
+    docs = documents(spark, rows + [(5000 + k, t) for k, (t, _) in enumerate(tests)])
+    scored = score_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), 10_000)
+    got = {r.doc_id: r.predicted for r in scored.where("doc_id >= 5000").collect()}
+    assert [got[5000 + k] for k in range(len(tests))] == [y for _, y in tests]
+
+
 def test_toxicity_without_labels_or_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert {(r.score, r.predicted) for r in score_toxicity(documents(spark, [(1, "x"), (2, None)]), labels, 100).collect()} == {(0.5, 1)}
