@@ -35,16 +35,23 @@ LETTERS = 59  # a-z, U+00E0 to U+00FF, and 0 for everything between words
 PREFIX_BYTES = (4, 5)  # words of more bytes also count by these beginnings
 LEAST_SHARE = 0.9  # share of a listed word's texts that have label 1
 CAUTION = 3.0  # standard errors by which the share of a word's texts with label 1 is lowered
-LONGEST = 64  # characters of a word that may be disguised
+REMEMBERED = 64  # characters of the words whose reading is remembered
+MARKS = "!|$@"  # signs that may be punctuation as well
+TAIL = MARKS + "0123456789"  # what a disguised word may end with, read as letters or dropped
 
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_@$!|][ .\-_*]|[@$!|][ .\-_*]){3,}[^\W_](?![^\W_])")
-_WORD = re.compile(rf"(?<!\S)[^\w\s@$!|]*(?=\S*[^\W\d_])[\w@$!|]{{3,{LONGEST}}}")
+_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_@$!|][ .\-_*]|[@$!|][ .\-_*]){3,}(?:[^\W_]|[@$!|])(?![^\W_])")
+_WORD = re.compile(r"[\w@$!|]{2,}")
+_DISGUISED = re.compile(r"[^\W\d_][0134578 9@$!|]+[^\W\d_]|^[0134578 9@$!|]+[^\W\d_]{2}|[^\W\d_][0-9@$!|]+$|([^\W\d_])\1\1")
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[97:123] = np.arange(1, 27)
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = _LETTER[128:] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in SIGNS]] = True
+_TAIL = np.zeros(256, bool)
+_TAIL[[ord(c) for c in TAIL]] = True
+_NOT_IN_RUN = NOT_IN_WORD.copy()  # as in _SPACED, signs count as letters
+_NOT_IN_RUN[[ord(c) for c in MARKS]] = False
 
 
 # Character model
@@ -100,27 +107,36 @@ class Restorer:
         letters = re.sub(r"[ .\-_*]", "", spaced)
         if not re.search(r"[^\W\d_]", letters):
             return spaced
-        whole, first, last = self.word(letters), self.word(letters[1:]), self.word(letters[:-1])
+        whole, first, last = (self._decode(x) if _disguised(x) else x for x in (letters, letters[1:], letters[:-1]))
         joined = max(whole, f"{letters[0]} {first}", f"{last} {letters[-1]}", key=self.likelihood)
-        return " ".join(dict.fromkeys([self._decode(letters, True), joined]))
+        ends = dict.fromkeys([letters, letters.rstrip(MARKS), letters.rstrip(TAIL)])
+        return " ".join(dict.fromkeys([*(self._decode(x, True) for x in ends), joined]))
 
     def likelihood(self, text: str) -> float:
         padded = [0, 0, *map(_symbol, text), 0]
         return sum(self.model[a][b][c] for a, b, c in zip(padded, padded[1:], padded[2:]))
 
     def word(self, word: str) -> str:
+        if len(word) > REMEMBERED:
+            return self._readings(word) if _disguised(word) else word
         if len(self.known) > 200_000:
             self.known.clear()
         if word not in self.known:
-            self.known[word] = self._decode(word) if _disguised(word) else word
+            self.known[word] = self._readings(word) if _disguised(word) else word
         return self.known[word]
 
+    def _readings(self, word: str) -> str:
+        """All distinct readings: with the signs at the ends as letters, without them, and of the parts between marks."""
+        forms = [word, word.rstrip("!"), word.rstrip(MARKS), word.rstrip(TAIL)]
+        forms += [form.lstrip(MARKS) for form in forms]
+        forms += [part for part in re.split(r"[!|$@_]+", word) if len(part) > 2]
+        return " ".join(dict.fromkeys(self._decode(form) if _disguised(form) else form for form in dict.fromkeys(forms) if form))
+
     def _decode(self, word: str, spaced: bool = False) -> str:
         """The likeliest letters. A run of equal letters is read as one or two of them.
 
         Of letters that stood apart, a word may end after each. Two equal ones stay two, if nothing else is disguised.
         """
-        word = word.rstrip("!|$@") or word
         exact = spaced and not _disguised(word)
         columns: list[list[tuple[str, float]]] = []
         for char, run in itertools.groupby(word):
@@ -163,21 +179,23 @@ def _symbol(letter: str) -> int:
 
 
 def _disguised(word: str) -> bool:
-    """Signs between letters, a sign before letters, or a letter three times in a row."""
-    inner = word.strip("!|$@")
-    return bool(re.search(r"[^\W\d_][0134578 9@$!|]+[^\W\d_]|^[0134578 9@$!|]+[^\W\d_]{2}|([^\W\d_])\1\1", inner)) or (
-        inner != word and word[0] in "@$!|" and len(inner) > 2
-    )
+    """Signs between letters, before letters or behind them, or a letter three times in a row."""
+    return bool(_DISGUISED.search(word)) or (word[:1] in tuple(MARKS) and len(word.strip(MARKS)) > 2)
 
 
 def suspicious_rows(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Which texts of a block (folded bytes) may hold a disguised word."""
-    letter, sign = _LETTER[raw], _SIGN[raw]
+    letter, sign, tail = _LETTER[raw], _SIGN[raw], _TAIL[raw]
     hit = np.zeros(len(raw) + 1, bool)
+    if len(raw) > 1:
+        hit[: len(raw) - 1] |= (sign[:-1] & letter[1:]) | (letter[:-1] & tail[1:])
     if len(raw) > 2:
-        hit[: len(raw) - 1] |= sign[:-1] & letter[1:]
         hit[: len(raw) - 2] |= letter[2:] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])
-    starts, ends, _ = word_spans(raw, offsets, NOT_IN_WORD)
+    for size in (2, 3, 4):  # bytes of a letter beyond ASCII that comes three times
+        if len(raw) >= 3 * size:
+            again = np.concatenate([[0], np.cumsum(raw[size:] == raw[:-size])])
+            hit[: len(again) - 2 * size] |= (raw[: len(again) - 2 * size] >= 0xC2) & (again[2 * size :] - again[: -2 * size] == 2 * size)
+    starts, ends, _ = word_spans(raw, offsets, _NOT_IN_RUN)
     if len(starts) > 3:
         lone = (ends - starts == 1) | ((ends - starts == 2) & (raw[starts] >= 0xC2))
         near = np.append((starts[1:] - ends[:-1]) == 1, False)

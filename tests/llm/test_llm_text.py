@@ -210,6 +210,25 @@ def test_toxicity_of_several_words_in_spaced_letters(spark):
     assert [got[5000 + k] for k in range(len(tests))] == [y for _, y in tests]
 
 
+def test_toxicity_of_disguises_anywhere_in_a_word(spark):
+    rows, labels = labelled()
+    bad = ["such a nastyon3", "GRUBW0RD|", "schlimmwor7!", "schlimmw0r7", "grubword99", "grubword$!", "you-v1l3thing", "amber,gru8word", "(x)nasty0ne"]
+    bad += ["n" + "a" * 70 + "styone", "vilethi" + "n" * 5000 + "g", "v i l e t h ! n g", "gr" + "u" * 64 + "8word" + "!" * 80, "ridge|vilething", "marsh_v1l3thing"]
+    clean = ["amber! birch 1234 cedar7", "you-r1dge", "o" + "c" * 70 + "ean", "x" * 200 + "1" * 200, "a" * 70]
+    tests = [(t, 1) for t in bad] + [(t, 0) for t in clean]
+    docs = documents(spark, rows + [(5000 + k, t) for k, (t, _) in enumerate(tests)])
+    scored = score_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), 10_000)
+    got = {r.doc_id: r.predicted for r in scored.where("doc_id >= 5000").collect()}
+    assert [t for k, (t, y) in enumerate(tests) if got[5000 + k] != y] == []
+
+
+def test_suspicious_rows_cover_the_disguises():
+    texts = ["a55", "dumba55", "you-1d1ot", "i d ! o t", "mééérde", "idiot!", "plain words, twoo.", "12 345 - a b"]
+    (block,) = decontamination.text_blocks(pa.array(texts))
+    raw, offsets = toxicity.folded(block[2]), block[3]
+    assert toxicity.suspicious_rows(raw, offsets).tolist() == [True] * 6 + [False] * 2
+
+
 def test_toxicity_without_labels_or_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert {(r.score, r.predicted) for r in score_toxicity(documents(spark, [(1, "x"), (2, None)]), labels, 100).collect()} == {(0.5, 1)}
