@@ -16,6 +16,7 @@ from .storage import batches_by_bytes, stored
 LEAST_PAGES = 4  # pages of a host before a template is deduced
 FREQUENT = 0.5  # share of a host's pages that a template token is on
 FIXED_TEXT = 0.3  # share of a host's pages on which a text must be at one place to be part of the template
+COPIED = 0.5  # a repeated text whose pages have less than this share of the usual text of their own comes from a copied article
 MAIN_SHARE = 0.6  # share of a host's variable text that the main slot holds
 
 ARTICLE = ("article", "main")
@@ -35,7 +36,9 @@ def extract_main_text(pages: DataFrame, id: str = "page_id", url: str = "url", s
     host's pages. Tokens of a host with equal vectors form an equivalence class. Frequent classes whose elements
     are on a page once at most are valid and nest by their paths; they are the host's template. The slot for the
     article is the innermost element of a valid class that still holds MAIN_SHARE of the host's variable text
-    outside asides. Places that mostly hold fixed text (the same on many of the host's pages) are template text.
+    outside asides. In places that mostly hold fixed text (the same on many of the host's pages) the fixed texts are
+    template text, but for those of copied articles, whose pages have little text of their own; variable texts
+    and fixed texts in other places stay.
 
     From each page come the blocks in that slot, without asides (menus, page headers, footers, sidebars, notices,
     adverts, forms, comments, scripts, styles) and without template text. Pages without the slot, of hosts with
@@ -52,14 +55,14 @@ def extract_main_text(pages: DataFrame, id: str = "page_id", url: str = "url", s
     templates = stored(deduced_templates(rows), "templates")
     return (
         rows.join(templates, "host", "left")
-        .select("id", "url", "html", "slot", "fixed")
+        .select("id", "url", "html", "slot", "fixed", "texts")
         .mapInArrow(_extract, f"id {kind}, url string, text string, n_chars long")
         .withColumnsRenamed({"id": id, "url": url})
     )
 
 
 def deduced_templates(rows: DataFrame) -> DataFrame:
-    """(host, slot, fixed): path of the main slot, and the paths below it that hold template text."""
+    """(host, slot, fixed, texts): path of the main slot, paths that hold template text only, and further template texts at a path."""
     hosted = rows.where("host is not null and html is not null")
     tokens = stored(
         hosted.select("host", F.xxhash64("id", "url").alias("page"), "html").mapInArrow(
@@ -78,18 +81,27 @@ def deduced_templates(rows: DataFrame) -> DataFrame:
     tokens = stored(tokens, "host-tokens")
     sizes = hosted.groupBy("host").agg(F.count("*").alias("host_pages")).where(F.col("host_pages") >= LEAST_PAGES)
     sizes = stored(sizes, "host-sizes")
+    texts = tokens.where("text <> 0").join(sizes, "host")
+    texts = texts.withColumn("is_fixed", (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= FIXED_TEXT * F.col("host_pages")))
     places = (
-        tokens.where("text <> 0")
-        .join(sizes, "host")
-        .withColumn("is_fixed", (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= FIXED_TEXT * F.col("host_pages")))
-        .groupBy("host", "path")
+        texts.groupBy("host", "path")
         .agg(
             F.sum("chars").alias("chars"),
             F.sum(F.when(F.col("is_fixed"), F.col("chars")).otherwise(0)).alias("fixed_chars"),
             F.max("aside").alias("aside"),
         )
         .withColumn("fixed", 2 * F.col("fixed_chars") > F.col("chars"))
+        .withColumn("pure", F.col("fixed_chars") == F.col("chars"))
     )
+    places = stored(places, "host-places")
+    mixed = places.where("fixed and not pure").select("host", "path", F.col("aside").alias("place_aside"))
+    mixed = texts.where("is_fixed").join(mixed, ["host", "path"]).select("host", "path", "text", "chars", "place_aside")
+    mixed = stored(mixed, "mixed-texts")
+    own = _without_copies(hosted, texts, mixed.where("not place_aside"))
+    template = stored(mixed.where("place_aside").drop("place_aside").unionByName(own), "template-texts")
+    dropped = template.groupBy("host", "path").agg(F.sum("chars").alias("dropped"))
+    variable = places.where("not (fixed and pure) and not aside").join(dropped, ["host", "path"], "left")
+    variable = variable.select("host", "path", (F.col("chars") - F.coalesce("dropped", F.lit(0))).alias("chars"))
     # equivalence classes of elements: equal occurrence vectors; the largest occurrence is part of the vector
     elements = tokens.where("text = 0").join(sizes, "host").where(F.col("pages") >= FREQUENT * F.col("host_pages"))
     classes = Window.partitionBy("host", "pages", "vector")
@@ -99,9 +111,9 @@ def deduced_templates(rows: DataFrame) -> DataFrame:
         F.sequence(F.lit(1), F.size(F.split("path", " "))),
         lambda n: F.array_join(F.slice(F.split("path", " "), 1, n), " "),
     )
-    masses = places.where("not fixed and not aside").select("host", F.explode(around).alias("path"), "chars")
+    masses = variable.select("host", F.explode(around).alias("path"), "chars")
     masses = masses.groupBy("host", "path").agg(F.sum("chars").alias("mass"))
-    whole = places.where("not fixed and not aside").groupBy("host").agg(F.sum("chars").alias("whole"))
+    whole = variable.groupBy("host").agg(F.sum("chars").alias("whole"))
     slots = (
         valid.select("host", "path")
         .join(masses, ["host", "path"])
@@ -110,8 +122,44 @@ def deduced_templates(rows: DataFrame) -> DataFrame:
         .groupBy("host")
         .agg(F.max(F.struct(F.size(F.split("path", " ")), "mass", "path"))["path"].alias("slot"))
     )
-    fixed = places.where("fixed").groupBy("host").agg(F.collect_set("path").alias("fixed"))
-    return slots.join(fixed, "host", "left")
+    fixed = places.where("fixed and pure").groupBy("host").agg(F.collect_set("path").alias("fixed"))
+    further = template.groupBy("host").agg(F.collect_set(F.struct("path", "text")).alias("texts"))
+    return slots.join(fixed, "host", "left").join(further, "host", "left")
+
+
+def _without_copies(hosted: DataFrame, texts: DataFrame, doubtful: DataFrame) -> DataFrame:
+    """(host, path, text, chars) of the doubtful fixed texts that stand on pages with usual amounts of text of their own.
+
+    Only pages of hosts with doubtful texts are read again.
+    """
+    token = F.struct("path", "text")
+    hosts = doubtful.groupBy("host").agg(F.collect_list(token).alias("doubtful"))
+    fixed = texts.where("is_fixed").groupBy("host").agg(F.collect_list(token).alias("fixed"))
+    hosts = stored(hosts.join(fixed, "host"), "doubtful-hosts")
+    seen = hosted.select("host", "html").join(hosts, "host").mapInArrow(_own_text, "host string, path string, text long, n long, own long")
+    seen = stored(seen.groupBy("host", "path", "text").agg(F.sum("n").alias("n"), F.sum("own").alias("own")), "own-text")
+    usual = seen.where("text = 0").select("host", (F.col("own") / F.col("n")).alias("usual"))
+    kept = seen.where("text <> 0").join(usual, "host").where(F.col("own") >= COPIED * F.col("usual") * F.col("n"))
+    return doubtful.select("host", "path", "text", "chars").join(kept.select("host", "path", "text"), ["host", "path", "text"])
+
+
+def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per doubtful text, and per host (text = 0): pages, and characters on them outside asides that are no fixed text."""
+    for batch in batches:
+        total: dict[tuple[str, str, int], list[int]] = defaultdict(lambda: [0, 0])
+        for host, source, doubtful, fixed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            known = {(t["path"], t["text"]) for t in fixed}
+            blocks = [(_step(b.path), _text_hash(b.text), len(b.text), any(b.asides)) for b in page_blocks(source)[0]]
+            own = sum(n for path, text, n, aside in blocks if not aside and (path, text) not in known)
+            here = {(path, text) for path, text, _, _ in blocks}
+            for path, text in [("", 0), *here.intersection((t["path"], t["text"]) for t in doubtful)]:
+                entry = total[host, path, text]
+                entry[0] += 1
+                entry[1] += own
+        keys, values = list(total), list(total.values())
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string())]
+        columns += [pa.array(x, pa.int64()) for x in ([k[2] for k in keys], [v[0] for v in values], [v[1] for v in values])]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "path", "text", "n", "own"])
 
 
 def _step(path: tuple[str, ...]) -> str:
@@ -170,21 +218,26 @@ def _vector_part(page: int, count: int) -> int:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for source, slot, fixed in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-            texts.append("\n".join(main_blocks(page_blocks(source or "")[0], slot, fixed)))
+        for source, slot, fixed, further in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
+            further = {(t["path"], t["text"]) for t in further or ()}
+            texts.append("\n".join(main_blocks(page_blocks(source or "")[0], slot, fixed, further)))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(sizes)], ["id", "url", "text", "n_chars"]
         )
 
 
-def main_blocks(blocks: list[Block], slot: str | None, fixed: list[str] | None) -> list[str]:
+def main_blocks(
+    blocks: list[Block], slot: str | None, fixed: list[str] | None, further: set[tuple[str, int]] | frozenset = frozenset()
+) -> list[str]:
     """The texts of the article; see `extract_main_text`."""
     if slot is not None:
         depth, dropped = len(slot.split(" ")), set(fixed or ())
         inside = [b for b in blocks if _step(b.path[:depth]) == slot]
         if inside:
-            return [b.text for b in inside if not any(b.asides[depth:]) and _step(b.path) not in dropped]
+            left = [(b, _step(b.path)) for b in inside if not any(b.asides[depth:])]
+            left = [(b, path) for b, path in left if path not in dropped]
+            return [b.text for b, path in left if not further or (path, _text_hash(b.text)) not in further]
     for name in ARTICLE:
         found = []
         for block in blocks:

@@ -288,6 +288,22 @@ def test_main_text_of_hosts_with_and_without_template(spark):
     assert sorted((r.page_id, str(r.url), r.text, r.n_chars) for r in got.collect()) == sorted((i, str(u), t, len(t)) for i, u, _, t in rows)
 
 
+def test_fixed_texts_leave_the_variable_ones_at_their_place(spark):
+    rows = []
+    html = "<body><div class=wrap><article><h1>{}</h1><span class=by>{}</span>{}</article></div></body>"
+    disclaimer = "This disclaimer stands below each article. " * 20
+    for i in range(20):  # short articles, each with the same long paragraph behind
+        text = f"Short article {i} " + prose(i, 12)
+        rows.append((i, f"http://short.example/{i}", html.format(f"Title {i}", f"By {i}", f"<p>{text}<p>{disclaimer}"), f"Title {i}\nBy {i}\n{text}"))
+    copied = [prose(900 + k, 150) for k in range(4)]
+    for i in range(20):  # most pages hold one article, under dates of their own
+        parts = copied if i % 20 < 14 else [prose(1000 + 10 * i + k, 40) for k in range(3)]
+        rows.append((100 + i, f"http://copies.example/{i}", html.format(f"Title {i}", f"Day {i}", "".join(f"<p>{x}" for x in parts)), "\n".join([f"Title {i}", f"Day {i}", *parts])))
+    table = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in extract_main_text(table).collect()}
+    assert got == {i: text for i, _, _, text in rows}
+
+
 def test_template_of_a_host(spark):
     rows = [(i, f"http://h.example/{i}", page(i)[0]) for i in range(12)]
     table = spark.createDataFrame(rows, "id long, url string, html string").withColumn("host", host_of(F.col("url")))
