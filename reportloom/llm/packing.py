@@ -193,7 +193,7 @@ def _complete_bins(counts: Counter, capacity: int, incumbent: int, bound: int) -
 
 
 def _fillings(left: dict[int, int], sizes: list[int], first: int, room: int) -> list[list[int]]:
-    """Undominated ways to fill `room` with up to three pieces, the fullest first.
+    """Undominated ways to fill `room`, the fullest first: a piece, and behind it the largest that fit.
 
     A filling is dropped when another one holds a piece at least as large in place of each of its pieces.
     """
@@ -203,20 +203,15 @@ def _fillings(left: dict[int, int], sizes: list[int], first: int, room: int) ->
     free = dict(left)
     free[first] -= 1
 
-    def largest(limit: int, held: tuple[int, ...]) -> int | None:
-        at = bisect.bisect_right(usable, limit) - 1
-        while at >= 0 and free[usable[at]] <= held.count(usable[at]):
-            at -= 1
-        return usable[at] if at >= 0 else None
-
     found: dict[tuple[int, ...], int] = {}
     for a in reversed(usable[-64:]):
-        b = largest(min(a, room - a), (a,))
-        if b is None:
-            found[(a,)] = a
-            continue
-        c = largest(min(b, room - a - b), (a, b))
-        held = (a, b) if c is None else (a, b, c)
+        held, space, at = (a,), room - a, bisect.bisect_right(usable, min(a, room - a)) - 1
+        while at >= 0:
+            size = usable[at]
+            n = min(free[size] - (size == a), space // size)
+            held += (size,) * n
+            space -= n * size
+            at = min(at, bisect.bisect_right(usable, space)) - 1
         found[held] = sum(held)
         if sum(held) == room and len(found) >= FILLINGS:
             break

@@ -165,3 +165,11 @@ def test_bin_completion_against_exhaustive_search():
     assert equal >= 58
     # best fit decreasing needs three bins here, bin completion two
     assert len(pack_lengths(np.array([4, 4, 3, 3, 3, 3]), 10)) == 2
+
+
+def test_bin_completion_of_pieces_shorter_than_a_quarter():
+    for seed in (22, 23, 25, 29, 31):  # best fit decreasing needs one bin more
+        lengths = np.random.default_rng(seed).integers(30, 56, 38)
+        bins = pack_lengths(lengths, 260)
+        assert sorted(i for b in bins for i in b) == list(range(38)) and all(lengths[b].sum() <= 260 for b in bins)
+        assert len(bins) == -(-int(lengths.sum()) // 260)
