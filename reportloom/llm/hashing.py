@@ -14,25 +14,45 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 19  # bytes of text hashed at once; a longer single text is one block
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_TABLE = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+PRIME = (1 << 61) - 1
+_BASE = 0x0B7E151628AED2A6 % PRIME  # any fixed number below PRIME would do
+_INVERSE = pow(_BASE, -1, PRIME)
+LONG_SPAN = 1 << 22  # bytes; the sum of a longer span could pass 64 bits and is put together from parts
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 NOT_IN_WORD = np.ones(256, bool)  # ASCII other than letters and digits
 NOT_IN_WORD[48:58] = NOT_IN_WORD[65:91] = NOT_IN_WORD[97:123] = NOT_IN_WORD[128:] = False
+_halves = [np.zeros(0, np.uint64)] * 2
 _powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
+_P, _LOW31, _LOW30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_S30, _S31, _S61 = np.uint64(30), np.uint64(31), np.uint64(61)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for any 64-bit x."""
+    x = (x & _P) + (x >> _S61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, for a and b below PRIME, in halves of 31 bits (2**61 counts as 1)."""
+    a1, a0, b1, b0 = a >> _S31, a & _LOW31, b >> _S31, b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    return _reduced(np.uint64(2) * a1 * b1 + (middle >> _S30) + ((middle & _LOW30) << _S31) + a0 * b0)
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls."""
-    if len(_powers[base]) < n:
-        steps = np.full(max(n, BLOCK_BYTES + 1), base, np.uint64)
-        steps[0] = 1
-        _powers[base] = np.multiply.accumulate(steps)
-    return _powers[base][:n]
+    """base**0 .. base**(n-1) modulo PRIME, kept between calls."""
+    known = _powers[base]
+    if len(known) < n:
+        size = max(n, BLOCK_BYTES + 1)
+        while len(known) < size:
+            step = np.uint64(pow(base, len(known), PRIME))
+            known = np.concatenate([known, _times(known, step)])
+        _powers[base] = known
+    return known[:n]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -65,16 +85,38 @@ def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int
         first = end
 
 
-def running_sums(raw: np.ndarray) -> np.ndarray:
-    """Prefix sums of the polynomial; see `span_hashes`."""
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_TABLE[raw] * powers(_BASE, len(raw)), out=sums[1:])
-    return sums
-
-
-def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte span; equal bytes give equal hashes wherever they stand."""
-    return mixed((sums[ends] - sums[starts]) * powers(_INVERSE, len(sums))[starts] + (ends - starts).astype(np.uint64))
+def running_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums, modulo 2**64, of the bytes (plus one) times the upper and the lower half of the powers; see `span_hashes`."""
+    if len(_halves[0]) < len(raw):
+        power = powers(_BASE, max(len(raw), BLOCK_BYTES))
+        _halves[:] = power >> _S31, power & _LOW31
+    values = raw.astype(np.uint64)
+    values += np.uint64(1)
+    sums = np.zeros((2, len(raw) + 1), np.uint64)
+    for part, half in zip(sums, _halves):
+        np.multiply(values, half[: len(raw)], out=part[1:])
+        np.cumsum(part[1:], out=part[1:])
+    return sums[0], sums[1]
+
+
+def span_hashes(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each byte span; equal bytes give equal hashes wherever they stand.
+
+    It is the value at _BASE of the polynomial whose coefficients are the bytes, modulo the prime 2**61 - 1. Two
+    different spans of n bytes have equal values for at most n of all bases, so no pattern of bytes collides by its
+    structure, as it would modulo a power of two.
+    """
+    sizes = ends - starts
+    value = _span_sums(sums, starts, ends)
+    for i in np.flatnonzero(sizes > LONG_SPAN):
+        cuts = np.append(np.arange(starts[i], ends[i], LONG_SPAN), ends[i])
+        value[i] = np.uint64(int(_span_sums(sums, cuts[:-1], cuts[1:]).astype(object).sum()) % PRIME)
+    return mixed(_times(value, powers(_INVERSE, len(sums[0]))[starts]) + (sizes.astype(np.uint64) << _S61))
+
+
+def _span_sums(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    high, low = _reduced(sums[0][ends] - sums[0][starts]), _reduced(sums[1][ends] - sums[1][starts])
+    return _reduced((high >> _S30) + ((high & _LOW30) << _S31) + low)
 
 
 def lowered(raw: np.ndarray) -> np.ndarray:

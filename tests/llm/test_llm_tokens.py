@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from corpus_fixtures import awkward_documents, clashing, documents
 
-from reportloom.llm import packing, tokens
+from reportloom.llm import hashing, packing, tokens
+from reportloom.llm.jaccard_join import jaccard_classes
 from reportloom.llm.packing import pack_documents, pack_lengths
 from reportloom.llm.token_counts import count_tokens
 from reportloom.llm.token_shards import read_shards, write_shards
@@ -51,6 +52,37 @@ def test_pieces_give_the_ids_of_whole_texts(name, long_bytes, monkeypatch):
         assert got == [library_ids(name, t) for t in column.to_pylist()]
 
 
+def test_words_whose_sums_agree_modulo_powers_of_two(spark):
+    """The Thue-Morse word and its complement: equal polynomial sums modulo 2**64, whatever the base."""
+    sign = np.array([0])
+    for _ in range(11):
+        sign = np.concatenate([sign, 1 - sign])
+    words = ["".join("ab"[x] for x in w) for w in (sign, 1 - sign)]
+    rows = [(i, w[:n] + tail) for n in (512, 1024, 2048) for i, (w, tail) in enumerate((w, t) for w in words for t in ("", " x"))]
+    rows = [(10 * k + i, t) for k, (i, t) in enumerate(rows)]
+    got = {r.doc_id: r.n_tokens for r in count_tokens(documents(spark, rows), vocabulary_path(BYTE), 100).collect()}
+    assert got == {i: len(library_ids(BYTE, t)) for i, t in rows}
+    check_packing(rows, pack_documents(documents(spark, rows), vocabulary_path(WORD), 0, 256).collect(), 256)
+    classes = jaccard_classes(documents(spark, rows), 4, 85).collect()
+    assert all(r.component_id == r.doc_id for r in classes) and len(classes) == len(rows)
+
+
+def test_span_hashes_against_plain_numbers(monkeypatch):
+    rng = np.random.default_rng(0)
+    raw = rng.integers(0, 256, 3000).astype(np.uint8)
+    starts = rng.integers(0, 1500, 40)
+    ends = starts + rng.integers(0, 1500, 40)
+
+    def plain(span):
+        value = sum((x + 1) * pow(hashing._BASE, i, hashing.PRIME) for i, x in enumerate(span)) % hashing.PRIME
+        return int(hashing.mixed(np.array([(value + (len(span) << 61)) % 2**64], np.uint64))[0])
+
+    want = [plain(raw[a:b].tobytes()) for a, b in zip(starts, ends)]
+    assert hashing.span_hashes(hashing.running_sums(raw), starts, ends).tolist() == want
+    monkeypatch.setattr(hashing, "LONG_SPAN", 100)
+    assert hashing.span_hashes(hashing.running_sums(raw), starts, ends).tolist() == want
+
+
 def test_token_counts(spark):
     rows = awkward_documents() + [(7, "again"), (None, "no id")]
     got = count_tokens(clashing(documents(spark, rows)), vocabulary_path(BYTE), 100)
