@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from typing import NamedTuple
 
 # Element kinds (fixed values of HTML).
@@ -44,6 +45,9 @@ _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true)""", re.I)
 
 
+DEEPEST = 64  # steps of a path; elements further in count as part of the element there, and their text belongs to it
+
+
 class Block(NamedTuple):
     """A run of text: its element path, whether an aside holds it, and the text with references decoded."""
 
@@ -57,8 +61,9 @@ def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
     blocks: list[Block] = []
     seen: dict[tuple[str, ...], int] = {}
     names: list[str] = []  # open elements
-    path: tuple[str, ...] = ()
-    asides: tuple[bool, ...] = ()
+    opened: dict[str, int] = defaultdict(int)  # how many of a name are open
+    # per open element, and outside all: path, asides, steps up to the innermost block element, article around it
+    states: list[tuple[tuple[str, ...], tuple[bool, ...], int, bool]] = [((), (), 0, False)]
     held: list[str] = []
     at, end = 0, len(source)
 
@@ -68,14 +73,21 @@ def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
                 # inline elements do not make slots: the block belongs to the innermost block element
-                depth = max((i + 1 for i, name in enumerate(names) if name in BLOCK), default=0)
+                path, asides, depth, _ = states[-1]
                 blocks.append(Block(path[:depth], asides[:depth] + (any(asides[depth:]),), text))
             held = []
 
+    def last(name: str) -> int:
+        """Place of the innermost open element of a name that is open."""
+        place = len(names) - 1
+        while names[place] != name:
+            place -= 1
+        return place
+
     def pop_to(size: int) -> None:
-        nonlocal path, asides
-        del names[size:]
-        path, asides = path[:size], asides[:size]
+        for name in names[size:]:
+            opened[name] -= 1
+        del names[size:], states[size + 1 :]
 
     while at < end:
         match = _TOKEN.match(source, at)
@@ -91,10 +103,10 @@ def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
         if name == "br":
             held.append(" ")
         elif closing:
-            if name in names:
+            if opened[name]:
                 if name in BLOCK:
                     flush()
-                pop_to(len(names) - 1 - names[::-1].index(name))
+                pop_to(last(name))
             elif name == "p":
                 flush()
         elif name in RAW:
@@ -105,8 +117,8 @@ def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
         else:
             if name in BLOCK:
                 flush()
-            if name in CLOSES_P and "p" in names:
-                size = len(names) - 1 - names[::-1].index("p")
+            if name in CLOSES_P and opened["p"]:
+                size = last("p")
                 if not any(x in ("td", "th", "button", "object") for x in names[size:]):
                     pop_to(size)
             if name in SIBLINGS:
@@ -119,12 +131,19 @@ def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
             if name in VOID:
                 continue
             step, aside = _element(name, attributes)
+            path, asides, depth, in_article = states[-1]
             if name == "header":  # a page's header, not that of an article
-                aside = aside or not any(x in ("article", "main") for x in names)
+                aside = aside or not in_article
+            if len(path) < DEEPEST:
+                path, asides = (*path, step), (*asides, aside)
+                if name in BLOCK:
+                    depth = len(path)
+                    seen[path] = seen.get(path, 0) + 1
+            elif aside:
+                asides = (*asides[:-1], True)
             names.append(name)
-            path, asides = (*path, step), (*asides, aside)
-            if name in BLOCK:
-                seen[path] = seen.get(path, 0) + 1
+            opened[name] += 1
+            states.append((path, asides, depth, in_article or name in ("article", "main")))
             if attributes.endswith("/") and name not in BLOCK:
                 pop_to(len(names) - 1)
     flush()

@@ -20,6 +20,10 @@ COPIED = 0.5  # a repeated text whose pages have less than this share of the usu
 MAIN_SHARE = 0.6  # share of a host's variable text that the main slot holds
 
 ARTICLE = ("article", "main")
+# Elements that hold a paragraph, a heading or an item and so are never the slot themselves.
+LEAVES = r"(?:^| )(?:p|h[1-6]|li|dt|dd|td|th|tr|pre|figcaption|legend|summary|option|address|blockquote)(?:[.#][^ ]*)?$"
+# Parts of an article's text that need no name of their own; fixed text in such a place is the article's.
+TEXT_PARTS = frozenset("ul ol li dl dt dd table thead tbody tfoot tr td th h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption".split())
 
 
 def host_of(url):
@@ -35,8 +39,9 @@ def extract_main_text(pages: DataFrame, id: str = "page_id", url: str = "url", s
     with it give an occurrence vector, kept as a sum of hashes of (page, count), so that no task gathers a
     host's pages. Tokens of a host with equal vectors form an equivalence class. Frequent classes whose elements
     are on a page once at most are valid and nest by their paths; they are the host's template. The slot for the
-    article is the innermost element of a valid class that still holds MAIN_SHARE of the host's variable text
-    outside asides. In places that mostly hold fixed text (the same on many of the host's pages) the fixed texts are
+    article is the innermost container of a valid class that still holds MAIN_SHARE of the host's variable text
+    outside asides, and the headline if that varies; within an article element it is that element. A list, table
+    or subheading without a name of its own in the slot is the article's, also where its text repeats. In other places that mostly hold fixed text (the same on many of the host's pages) the fixed texts are
     template text, but for those of copied articles, whose pages have little text of their own; variable texts
     and fixed texts in other places stay.
 
@@ -114,13 +119,23 @@ def deduced_templates(rows: DataFrame) -> DataFrame:
     masses = variable.select("host", F.explode(around).alias("path"), "chars")
     masses = masses.groupBy("host", "path").agg(F.sum("chars").alias("mass"))
     whole = variable.groupBy("host").agg(F.sum("chars").alias("whole"))
+    # the headline, where it varies, belongs to the slot; an article element around the slot is the slot
+    headline = F.when(F.col("path").rlike(r"(?:^| )h1(?:[.#][^ ]*)?$"), F.col("chars"))
+    headlines = variable.withColumn("chars", headline).where("chars > 0").select("host", F.explode(around).alias("path"), "chars")
+    headlines = headlines.groupBy("host", "path").agg(F.sum("chars").alias("headline"))
+    outer = F.col("path").rlike("^html(?:[.#][^ ]*)?(?: body(?:[.#][^ ]*)?)?$|^body(?:[.#][^ ]*)?$")
+    steps = F.size(F.split("path", " "))
     slots = (
-        valid.select("host", "path")
+        valid.where(~F.col("path").rlike(LEAVES))
+        .select("host", "path")
         .join(masses, ["host", "path"])
         .join(whole, "host")
         .where(F.col("mass") >= MAIN_SHARE * F.col("whole"))
+        .join(headlines, ["host", "path"], "left")
         .groupBy("host")
-        .agg(F.max(F.struct(F.size(F.split("path", " ")), "mass", "path"))["path"].alias("slot"))
+        .agg(F.max(F.struct(F.when(~outer, F.coalesce("headline", F.lit(0))).otherwise(0), steps, "mass", "path"))["path"].alias("slot"))
+        .withColumn("article", F.regexp_extract("slot", r"^(?:.* )?(?:article|main)(?:[.#][^ ]*)?(?= |$)", 0))
+        .select("host", F.when(F.col("article") != "", F.col("article")).otherwise(F.col("slot")).alias("slot"))
     )
     fixed = places.where("fixed and pure").groupBy("host").agg(F.collect_set("path").alias("fixed"))
     further = template.groupBy("host").agg(F.collect_set(F.struct("path", "text")).alias("texts"))
@@ -227,6 +242,11 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _is_text_part(steps: tuple[str, ...]) -> bool:
+    """Whether a place inside the slot is a list, a table or a heading without names."""
+    return bool(steps) and all(step in TEXT_PARTS for step in steps)
+
+
 def main_blocks(
     blocks: list[Block], slot: str | None, fixed: list[str] | None, further: set[tuple[str, int]] | frozenset = frozenset()
 ) -> list[str]:
@@ -236,7 +256,7 @@ def main_blocks(
         inside = [b for b in blocks if _step(b.path[:depth]) == slot]
         if inside:
             left = [(b, _step(b.path)) for b in inside if not any(b.asides[depth:])]
-            left = [(b, path) for b, path in left if path not in dropped]
+            left = [(b, path) for b, path in left if path not in dropped or _is_text_part(b.path[depth:])]
             return [b.text for b, path in left if not further or (path, _text_hash(b.text)) not in further]
     for name in ARTICLE:
         found = []

@@ -312,6 +312,28 @@ def test_template_of_a_host(spark):
     assert "html body div.cookie-notice" in found.fixed and extract_main_text(table.limit(0), "id").count() == 0
 
 
+def test_articles_of_lists_and_single_paragraphs(spark):
+    rows = []
+    for i in range(30):  # recipes: repeated subheadings and ingredients, one long paragraph
+        parts = [f"Dish {i}", "Ingredients", "salt", f"spice {i}", "Method", "Do so. " + prose(i, 60)]
+        body = "<h1>{}</h1><h2>{}</h2><ul><li>{}<li>{}</ul><h2>{}</h2><p>{}</p>".format(*parts)
+        rows.append((i, f"http://recipes.example/{i}", f"<html><body><div class=top>All recipes</div><article>{body}</article></body>", "\n".join(parts)))
+    for i in range(20):  # no article element: the headline stands beside the container of the text
+        parts = [f"Report {i}", prose(100 + i, 50), prose(200 + i, 50)]
+        body = "<div id=page><h1>{}</h1><div class=text><p>{}</p><p>{}</p></div></div>".format(*parts)
+        rows.append((100 + i, f"http://reports.example/{i}", f"<html><body><div class=top>Welcome</div>{body}<div class=end>Imprint</div></body>", "\n".join(parts)))
+    table = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in extract_main_text(table).collect()} == {i: text for i, _, _, text in rows}
+
+
+def test_reader_of_deep_pages():
+    deep = "<body>" + "<div>" * 50_000 + "text" + "</div>x" * 50_000
+    blocks, seen = page_blocks(deep)
+    assert len(blocks) == 50_001 and len(seen) == 64 and sum(map(len, seen)) < 10_000
+    blocks, _ = page_blocks("<body>" + "<div>" * 100 + "a<nav>menu</nav>b" + "</div>" * 100 + "c")
+    assert [(b.text, any(b.asides)) for b in blocks] == [("a", False), ("menu", True), ("b", False), ("c", False)]
+
+
 def test_page_reader_and_slots():
     blocks, seen = page_blocks(page(3)[0])
     assert seen["html", "body", "div#wrap", "article.post-0", "p"] == 2
