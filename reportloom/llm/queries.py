@@ -14,6 +14,8 @@ from .line_dedup import dedup_lines
 from .near_vectors import link_vectors
 from .packing import pack_documents
 from .registry import ORACLE, QUERIES, query, table
+from .resampling import importance_resample
+from .sql import crc32_sql, lowered_sql
 from .token_counts import count_tokens
 from .storage import stored
 from .token_shards import read_shards, write_shards
@@ -174,3 +176,33 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_html_main_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+RESAMPLING = f"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all({lowered_sql("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM documents),
+wanted AS (
+  SELECT unnest(regexp_extract_all({lowered_sql("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark),
+known AS (SELECT w, {crc32_sql("w")} % 10000 AS bucket FROM (SELECT w FROM words UNION SELECT w FROM wanted)),
+have AS (SELECT bucket, count(*) AS s FROM words JOIN known USING (w) GROUP BY 1),
+want AS (SELECT bucket, count(*) AS t FROM wanted JOIN known USING (w) GROUP BY 1),
+gains AS (
+  SELECT bucket, floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * ((SELECT count(*) FROM words) + 10000.0::DOUBLE)
+           / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * ((SELECT count(*) FROM wanted) + 10000.0::DOUBLE)))) AS gain
+  FROM have FULL JOIN want USING (bucket)),
+weights AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain) AS weight FROM words JOIN known USING (w) JOIN gains USING (bucket) GROUP BY 1),
+scores AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+              / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights USING (doc_id)),
+places AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scores LEFT JOIN places USING (doc_id)
+"""
+
+
+@query("op13_importance_resampling", RESAMPLING)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20).drop("n_words")
