@@ -13,8 +13,10 @@ from .jaccard_join import jaccard_classes
 from .line_dedup import dedup_lines
 from .near_vectors import link_vectors
 from .packing import pack_documents
+from .prefix_trie import prefix_trie, shared_history_paths
 from .registry import ORACLE, QUERIES, query, table
 from .resampling import importance_resample
+from .secret_scan import find_secrets, secret_digests
 from .sql import crc32_sql, lowered_sql
 from .token_counts import count_tokens
 from .storage import stored
@@ -206,3 +208,45 @@ FROM scores LEFT JOIN places USING (doc_id)
 @query("op13_importance_resampling", RESAMPLING)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20).drop("n_words")
+
+
+TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT i.conv_id, place, role, text FROM ids i JOIN turns t ON t.conv_id = i.conv_id - i.conv_id % 5 WHERE place <= h
+  UNION ALL SELECT conv_id, place, role, text FROM ids JOIN turns USING (conv_id) WHERE place > h),
+paths AS (
+  SELECT conv_id, row_number() OVER begins AS depth, strlen(text) AS size,
+         string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER begins AS path
+  FROM rebuilt WINDOW begins AS (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+members AS (
+  SELECT conv_id, depth, size, min(conv_id) OVER (PARTITION BY depth, path) AS node, max(depth) OVER (PARTITION BY conv_id) = depth AS ends
+  FROM paths),
+nodes AS (
+  SELECT node, depth, any_value(size) AS size, count(*) AS n,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids FROM members GROUP BY ALL),
+linked AS (
+  SELECT n.*, p.node AS parent FROM nodes n LEFT JOIN members p ON p.conv_id = n.node AND p.depth = n.depth - 1),
+families AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS children FROM linked WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT l.*, coalesce(children, 0) AS children FROM linked l LEFT JOIN families USING (node, depth)),
+subtrees AS (
+  SELECT a.node, a.depth, count(*) FILTER (c.children = 0) AS leaves, sum((c.n - 1) * c.size) AS saved
+  FROM counted c JOIN members a ON a.conv_id = c.node AND a.depth <= c.depth GROUP BY ALL)
+SELECT node AS conv_id, CAST(depth AS BIGINT) AS depth, parent AS parent_conv_id, n AS n_convs, CAST(children AS BIGINT) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(ids) AS ends_sha256
+FROM counted JOIN subtrees USING (node, depth)
+"""
+
+
+@query("op12_conversation_trie", TRIE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(shared_history_paths(table(spark, sf_dir, "conversations"), family=5, longest=9))
+
+
+@query("op11_secret_scan")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(find_secrets(table(spark, sf_dir, "documents")))
