@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import batches_by_bytes
+from .storage import batches_by_bytes, stored
 
 
 def _either_case(word: str) -> str:
@@ -42,6 +42,7 @@ LONGEST_NAME = 40
 _NAME = re.compile(rf"(?<![A-Za-z])[A-Za-z]{{3,{LONGEST_NAME}}}(?![A-Za-z])")
 # Stands at the end of the dictionary and before each candidate, so that a block is never stored as it is.
 _FILLER = b"# a line of plain words that the dictionary knows by heart, here"
+SLICE_NAMES = 512
 HELD_NAMES = 100_000  # names a task counts before it sends them on
 
 
@@ -83,14 +84,29 @@ def identifier_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def identifier_dictionary(docs: DataFrame, text: str = "text", least_texts: int = 2, size: int = DICTIONARY_BYTES) -> bytes:
-    """The identifiers in most texts, ties in alphabetical order, as many as fit in `size` bytes; the commonest last.
+    """The identifiers in most texts, as many as fit in `size` bytes; the commonest last.
 
-    All texts are counted; the dictionary holds at most `size` bytes, which is what one compressor window takes.
+    All texts are counted; the dictionary holds at most `size` bytes, which is what one compressor window takes. Names are
+    taken by classes of their number of texts (eight classes for each doubling), in the last class by hash. Sizes of classes
+    come first, so that not many more names reach the driver than a dictionary can hold.
     """
-    names = identifier_counts(docs, text).where(F.col("n") >= least_texts)
-    top = names.orderBy(F.desc("n"), "name").limit(size // 4).select("name").collect()
+    frequency = F.floor(F.log2("n") * 8).cast("int")
+    counted = identifier_counts(docs, text).where(F.col("n") >= least_texts)
+    names = stored(counted.select("name", frequency.alias("class"), F.xxhash64("name").alias("hash")), "identifiers")
+    left, least, slices = size // 4, None, {}
+    for row in names.groupBy("class").count().orderBy(F.desc("class")).collect():  # eight classes a doubling
+        if row["count"] > left:
+            slices = {row["class"]: -(-row["count"] // SLICE_NAMES)}
+            break
+        least, left = row["class"], left - row["count"]
+    wanted = F.lit(False) if least is None else F.col("class") >= least
+    for last, n in slices.items():
+        # a slice holds about SLICE_NAMES names, so these are `left` names and a slice or two
+        some = F.pmod("hash", F.lit(n)) < -(-left // SLICE_NAMES) + 1
+        wanted = wanted | ((F.col("class") == last) & some)
+    rows = sorted(names.where(wanted).collect(), key=lambda r: (-r["class"], r["hash"] % slices.get(r["class"], 1), r["hash"], r["name"]))
     chosen, used = [], len(_FILLER)
-    for row in top:
+    for row in rows:
         used += len(row["name"]) + 1
         if used > size:
             break

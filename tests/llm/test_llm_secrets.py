@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import string
@@ -105,6 +107,20 @@ def test_identifiers_of_the_corpus(spark, monkeypatch):
     assert len(identifier_dictionary(documents(spark, rows), least_texts=1, size=len(secret_scan._FILLER) + 12)) <= len(secret_scan._FILLER) + 12
 
 
+def test_dictionary_of_many_identifiers(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SLICE_NAMES", 16)
+    names = ["".join(p) for p in itertools.product("abcdefgh", repeat=4)]  # 4,096
+    rows = [(i, " ".join(names[: 8 * (i + 1)] if i < 40 else names)) for i in range(42)]
+    docs = documents(spark, rows)
+    counts = {r["name"]: r["n"] for r in identifier_counts(docs).collect()}
+    assert len(counts) == 4096 and set(counts.values()) == set(range(2, 43))
+    size = 4096 + len(secret_scan._FILLER)
+    found = identifier_dictionary(docs, size=size)[: -len(secret_scan._FILLER)].decode().split()
+    assert len(found) == len(set(found)) == 819 and identifier_dictionary(docs, size=size).decode().split()[:819] == found
+    classes = [math.floor(math.log2(counts[name]) * 8) for name in found]
+    assert classes == sorted(classes) and {n for n in names if counts[n] > 2} <= set(found)
+
+
 def test_novel_strings_and_identifiers(spark):
     rng = random.Random(9)
     alphabet = string.ascii_letters + string.digits
