@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.clustering import kmeans, kmeans_checks, kmeans_sweep
+from ..operators.clustering import kmeans, kmeans_checks, kmeans_sweep, silhouette
 from ..sources.tables import table
 from .registry import query
 
@@ -74,3 +74,17 @@ def m02_checks(spark, sf_dir):
     return with_one.select(
         "k", F.when(F.col("k") == 1, F.round("cost", 2)).alias("cost_of_one"), (F.col("cost") <= one * (1 + 1e-9)).alias("not_above_one")
     )
+
+
+@query(
+    "m02_silhouette",
+    """WITH p AS (SELECT p_partkey AS id, p_brand AS label, CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y FROM part),
+            means AS (SELECT a.id, a.label AS own, b.label, sum((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))
+                             / nullif(count(*) - max(CASE WHEN a.label = b.label THEN 1 ELSE 0 END), 0) AS away FROM p a, p b GROUP BY ALL),
+            sides AS (SELECT id, max(away) FILTER (own = label) AS a, min(away) FILTER (own <> label) AS b FROM means GROUP BY id)
+       SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 8) AS silhouette, count(*) AS n FROM sides""",
+)
+def m02_silhouette(spark, sf_dir):
+    """How well the brand of a part follows from its size and price; the SQL compares all pairs."""
+    parts = table(spark, sf_dir, "part")
+    return silhouette(parts, "p_size", "p_retailprice", "p_brand").select(F.round("silhouette", 8).alias("silhouette"), "n")

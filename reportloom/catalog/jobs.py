@@ -13,7 +13,7 @@ from ..operators.ranking import sample_head
 from ..plans import cohort as cohorts
 from ..plans import regional
 from ..plans.bulletin import NARRATIVE, bulletin_facts, category_matrix, category_trend
-from ..plans.doc_retrieval import answer, rebuild_index
+from ..plans.doc_retrieval import answer, cited_answers, rebuild_cited_index, rebuild_index
 from ..plans.feed_digest import digest_page
 from ..plans.refinery import refine, with_label
 from ..sources.delimited import latest_label, read_parts
@@ -500,3 +500,41 @@ def e10(spark, sf_dir):
     index = rebuild_index(documents(spark, sf_dir), "doc_id", "text", fresh_dir(spark, "index"))
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     return answer(index, questions, "doc_id").select("query_id", "doc_id", "chunk_no", "rank")
+
+
+WORDS_SQL = "string_split(trim(regexp_replace(lower({text}), '\\s+', ' ', 'g')), ' ')"
+
+
+@query(
+    "e10_cited_retrieval",
+    f"""WITH lines_v AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS section
+                         FROM documents WHERE regexp_replace(text, '\\s+', '', 'g') <> ''),
+             words_v AS (SELECT doc_id, list_filter(list_transform(string_split(trim(regexp_replace(line, '\\s+', ' ', 'g')), ' '),
+                                lambda x: {{'w': x, 's': section}}), lambda x: x.w <> '') AS w, section FROM lines_v),
+             texts_v AS (SELECT doc_id, flatten(list(w ORDER BY section)) AS w FROM words_v GROUP BY 1),
+             chunks_v AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, w[i * 180 + 1 : i * 180 + 200] AS cw FROM (
+                          SELECT doc_id, w, unnest(range(CAST(greatest(ceil((len(w) - 20) / 180.0), 1) AS BIGINT))) AS i FROM texts_v)),
+             terms_v AS (SELECT doc_id, chunk_no, lower(unnest(cw).w) AS term FROM chunks_v),
+             known_v AS (SELECT term, ln((1 + (SELECT count(*) FROM chunks_v)) / (1.0::DOUBLE + count(DISTINCT (doc_id, chunk_no)))) + 1 AS weight
+                         FROM terms_v GROUP BY 1),
+             asked_v AS (SELECT item_id AS query_id, unnest({WORDS_SQL.format(text="text")}) AS term FROM benchmark),
+             q_v AS (SELECT query_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS slot,
+                            sum(coalesce(weight, ln(1.0::DOUBLE + (SELECT count(*) FROM chunks_v)) + 1)) AS q
+                     FROM asked_v LEFT JOIN known_v USING (term) GROUP BY ALL),
+             v_v AS (SELECT doc_id, chunk_no, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS slot, sum(weight) AS v
+                     FROM terms_v JOIN known_v USING (term) GROUP BY ALL),
+             scored AS (SELECT query_id, doc_id, chunk_no, round(coalesce(sum(q * v), 0) / (any_value(ql) * any_value(vl)), 9) AS score
+                        FROM (SELECT DISTINCT doc_id, chunk_no FROM chunks_v) CROSS JOIN (SELECT DISTINCT query_id FROM q_v)
+                        JOIN (SELECT query_id, sqrt(sum(q * q)) AS ql FROM q_v GROUP BY 1) USING (query_id)
+                        JOIN (SELECT doc_id, chunk_no, sqrt(sum(v * v)) AS vl FROM v_v GROUP BY ALL) USING (doc_id, chunk_no)
+                        JOIN v_v USING (doc_id, chunk_no) LEFT JOIN q_v USING (query_id, slot) GROUP BY ALL),
+             best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_no) AS rank FROM scored)
+        SELECT query_id, doc_id, chunk_no, CAST(cw[1].s AS INTEGER) AS first_section, CAST(cw[-1].s AS INTEGER) AS last_section,
+               CAST(rank AS INTEGER) AS rank FROM best JOIN chunks_v USING (doc_id, chunk_no) WHERE rank <= 5""",
+)
+def e10_cited(spark, sf_dir):
+    """Rare words weigh more, and each hit names the sections (lines) that its chunk covers."""
+    path = fresh_dir(spark, "cited-index")
+    rebuild_cited_index(documents(spark, sf_dir), "doc_id", "text", path, cells=32)
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    return cited_answers(path, questions, "doc_id").select("query_id", "doc_id", "chunk_no", "first_section", "last_section", "rank")

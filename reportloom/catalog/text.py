@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from ..operators.retrieval import index_documents, retrieve
 from ..operators.search import highlight, search, sections, snippet
+from ..operators.text_index import search_index, write_index
+from ..operators.vector_cells import retrieve_from_cells, write_cells
 from ..plans.feed_digest import feed_items
 from ..plans.site_search import search_site
 from ..sources.tables import table
-from .registry import query
+from ..workspace import fresh_dir
+from .registry import ORACLE, query
 from .sources import CHUNKS_SQL, ITEMS_SQL
 
 PAGES_SQL = (
@@ -127,6 +130,48 @@ def t02_near(spark, sf_dir):
     return search(documents(spark, sf_dir), "to thanedbla", "doc_id", fuzz=0.1).select("doc_id", "score")
 
 
+def indexed(spark, docs, key):
+    """The folder of an index made from the search documents."""
+    path = fresh_dir(spark, "text-index")
+    write_index(docs, path, key)
+    return path
+
+
+@query("t01_search_index", ORACLE["t01_search"])
+def t01_index(spark, sf_dir):
+    """The same hits from stored postings."""
+    docs = search_docs(spark, sf_dir)
+    return search_index(docs, indexed(spark, docs, "page_id"), "Heon", "page_id").select("page_id", "score")
+
+
+@query("t01_site_search_index", ORACLE["t01_site_search"])
+def t01_site_index(spark, sf_dir):
+    docs = search_docs(spark, sf_dir).withColumnRenamed("link", "href")
+    found = search_site(docs, "heon", "page_id", index=indexed(spark, docs, "page_id"))
+    return found.select("page_id", "place", "score", "link", "document", "hits", "snippet")
+
+
+@query("t01_site_search_misspelt_index", ORACLE["t01_site_search_misspelt"])
+def t01_misspelt_index(spark, sf_dir):
+    """One wrong letter in ten: words that share enough three-letter pieces with the query."""
+    docs = search_docs(spark, sf_dir).withColumnRenamed("link", "href")
+    path = indexed(spark, docs, "page_id")
+    return search_site(docs, "byanthblaly", "page_id", collapse_after=50, index=path).select("page_id", "place", "score")
+
+
+@query("t02_search_fuzzy_index", ORACLE["t02_search_fuzzy"])
+def t02_index(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return search_index(docs, indexed(spark, docs, "doc_id"), "thetion and", "doc_id", fuzz=0.1).select("doc_id", "score")
+
+
+@query("t02_near_match_index", ORACLE["t02_near_match"])
+def t02_near_index(spark, sf_dir):
+    """Runs of words that share enough pieces with the query are confirmed in their documents, no others are read."""
+    docs = documents(spark, sf_dir)
+    return search_index(docs, indexed(spark, docs, "doc_id"), "to thanedbla", "doc_id", fuzz=0.1).select("doc_id", "score")
+
+
 @query(
     "t03_snippet",
     """WITH f AS (SELECT doc_id, text, instr(lower(text), 'tionth') AS found FROM documents),
@@ -198,6 +243,14 @@ def t06(spark, sf_dir):
     return retrieve(vectors, label_centres(vectors), 10, ["vec_id"]).select("query_id", "vec_id", "rank")
 
 
+@query("t06_retrieve_cells", ORACLE["t06_retrieve"])
+def t06_cells(spark, sf_dir):
+    """The same rows from a stored index of cells, of which a question opens those that can hold one of its best rows."""
+    vectors, path = table(spark, sf_dir, "embeddings"), fresh_dir(spark, "cells")
+    write_cells(vectors, path, ["vec_id"], cells=64)
+    return retrieve_from_cells(spark, path, label_centres(vectors), 10, ["vec_id"]).select("query_id", "vec_id", "rank")
+
+
 @query(
     "t07_sections",
     """SELECT doc_id, CAST(unnest(range(len(s))) AS INTEGER) AS section_no, unnest(s) AS section

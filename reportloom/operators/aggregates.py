@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import LOSS_EDGES, LOSS_LABELS, bracket_no, change_pct, rate_per, share_pct
 from ..functions.periods import month_start
+from ..workspace import written
 from .filters import keep_in, positive
 from .joins import left_dim, literal_dim
 
@@ -103,49 +104,76 @@ def margins(df: DataFrame, a: str, b: str) -> DataFrame:
 # ---------------------------------------------------------------- medians
 
 
-ACCURACY = 10000  # of the quantile sketch; about 6 values in 10,000 of a group are ranked exactly
+ACCURACY = 10000  # of the quantile sketch; about 6 values in 10,000 of a group lie in the bracket
 MARGIN = 3 / ACCURACY
+RANKED = 4096  # distinct values of a group that one task may rank
+CUTS = 512  # values by which a bracket that holds more is cut
+
+
+def middle_bracket(value: Column) -> Column:
+    """Aggregate: two values with the middle of a group between them, or so a sketch says; counts check it."""
+    return F.percentile_approx(value, [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY)
 
 
 def median_profile(df: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
-    """Mean, exact median, total and count per group, as one lazy plan for every size.
+    """Mean, exact median, total and count per group.
 
     A first pass sums and counts, and a quantile sketch gives two values of each group with the middle between
     them: MARGIN on either side, three times the sketch's error. A second pass counts what lies below, drops
-    what lies above and folds the equal values between; only these few are ranked. Sketch, counts and folds are
-    partial aggregations, so no task gathers a group. Join strategy and skew are left to Spark.
+    what lies above and folds the equal values between. The counts then show whether the middle ranks lie in the bracket.
+    Where they do not, all values of the group are folded; where a group has more than RANKED values left, its bracket
+    is narrowed by counts between sampled values until it has not. So one task ranks RANKED values of a group at most, and
+    the result does not rest on the sketch. Sketch, counts and folds are partial aggregations, so no task gathers a group.
 
-    NaN counts as the greatest value, as in Spark's own median. Without keys there is always one row, with
-    n = 0 for empty input. Null keys and null measures are left out.
+    Runs when called (the folded values are written once). NaN counts as the greatest value, as in Spark's own median.
+    Without keys there is always one row, with n = 0 for empty input. Null keys and null measures are left out.
     """
     present = F.col(measure).isNotNull()
     for key in by:
         present = present & F.col(key).isNotNull()
-    rows = df.filter(present).select(*by, measure)
+    groups = list(by) or ["_all"]
+    rows = df.filter(present).select(*(by or [F.lit(0).alias("_all")]), F.col(measure).alias("_value"))
     infinite = F.lit(float("inf"))
     floating = dict(df.dtypes)[measure] in ("double", "float")
-    known = F.when(F.isnan(measure), infinite).otherwise(F.col(measure)) if floating else F.col(measure)
-    marks = rows.groupBy(*by).agg(
-        F.percentile_approx(known, [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("_near"),
-        F.count("*").alias("_total"),
-        F.sum(measure).alias("_grand"),
-    )
-    top = F.when(F.col("_near")[1] < infinite, F.col("_near")[1]).otherwise(float("nan")) if floating else F.col("_near")[1]
-    marks = marks.select(*by, F.col("_near")[0].alias("_from"), top.alias("_to"), "_total", "_grand")
-    names = ["_from", "_to", "_total", "_grand"]
-    if by:
-        marked = rows.join(marks, list(by))
-    else:
-        marked = rows.select("*", *[marks.select(name).scalar().alias(name) for name in names])
-    middle = F.when(F.col(measure) >= F.col("_from"), F.col(measure)).alias("_value")
-    folded = marked.filter(F.col(measure) <= F.col("_to")).groupBy(*by, middle).agg(
-        F.count("*").alias("_n"), *[F.first(name).alias(name) for name in ("_total", "_grand")]
+    known = F.when(F.isnan("_value"), infinite).otherwise(F.col("_value")) if floating else F.col("_value")
+    marks = rows.groupBy(*groups).agg(
+        middle_bracket(known).alias("_near"), F.min(known).alias("_least"), F.count("*").alias("_total"), F.sum("_value").alias("_grand")
     )
-    running = Window.partitionBy(*by).orderBy(F.col("_value").asc_nulls_first())
-    ranked = folded.withColumn("_rank", F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    ranked = ranked.filter("_value is not null")
-    low = F.min(F.when(F.expr("_rank >= (_total + 1) div 2"), F.col("_value"))).cast("double")
-    high = F.min(F.when(F.expr("_rank >= _total div 2 + 1"), F.col("_value"))).cast("double")
+    # at least a group's smallest value is below or in its bracket, so that no group is lost from sight
+    end = F.greatest(F.col("_near")[1], F.col("_least"))
+    top = F.when(end < infinite, end).otherwise(float("nan")) if floating else end
+    marked = rows.join(marks.select(*groups, F.col("_near")[0].alias("_from"), top.alias("_to"), "_total", "_grand"), groups)
+    middle = F.when(F.col("_value") >= F.col("_from"), F.col("_value")).alias("_value")
+    sums = [F.first(c).alias(c) for c in ("_total", "_grand")]
+    folded = marked.filter(F.col("_value") <= F.col("_to")).groupBy(*groups, middle).agg(F.count("*").alias("_n"), *sums)
+    folded = written(folded, "median-values")
+    below, within = (F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0)) for c in (F.col("_value").isNull(), F.col("_value").isNotNull()))
+    state = folded.groupBy(*groups).agg(below.alias("_below"), within.alias("_within"), F.count("_value").alias("_distinct"), *sums)
+    state = state.withColumns({"_low": F.expr("(_total + 1) div 2"), "_high": F.expr("_total div 2 + 1")})
+    state = state.withColumn("_missed", ~F.expr("_below < _low and _below + _within >= _high"))
+    values = folded.filter("_value is not null").select(*groups, "_value", "_n")
+    missed, large = state.agg(F.count_if("_missed"), F.count_if(F.col("_distinct") > RANKED)).first()
+    if missed or large:
+        state = written(state, "median-state")
+    if missed:
+        lost = state.filter("_missed").select(*groups)
+        again = rows.join(lost, groups, "left_semi").groupBy(*groups, "_value").agg(F.count("*").alias("_n"))
+        values = written(values.join(lost, groups, "left_anti").unionByName(again), "median-values")
+        sizes = values.groupBy(*groups).agg(F.count("*").alias("_size"))
+        state = written(
+            state.join(sizes, groups, "left").withColumns(
+                {"_below": F.when(F.col("_missed"), 0).otherwise(F.col("_below")), "_distinct": F.coalesce("_size", F.lit(0))}
+            ).drop("_size"),
+            "median-state",
+        )
+        large = state.filter(F.col("_distinct") > RANKED).count()
+    turn = 0
+    while large:
+        values, state = _narrowed(values, state, groups, turn)
+        large, turn = state.filter(F.col("_distinct") > RANKED).count(), turn + 1
+    running = Window.partitionBy(*groups).orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = values.join(state, groups).withColumn("_rank", F.col("_below") + F.sum("_n").over(running))
+    low, high = (F.min(F.when(F.col("_rank") >= F.col(c), F.col("_value"))).cast("double") for c in ("_low", "_high"))
     return ranked.groupBy(*by).agg(
         exact_mean(F.first("_grand"), F.first("_total")).alias("avg_loss"),
         ((low + high) / 2).alias("median_loss"),
@@ -154,6 +182,34 @@ def median_profile(df: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
     )
 
 
+def _narrowed(values: DataFrame, state: DataFrame, groups: list[str], turn: int) -> tuple[DataFrame, DataFrame]:
+    """Cut the values of each large group at about CUTS of them and keep the cells that hold a middle rank.
+
+    The cuts are the values whose hash falls in one of as many slots as leave about CUTS of them; each turn draws anew. Counts
+    per cell are exact, so whatever the cuts are, the kept cells hold the middle.
+    """
+    facts = ["_below", "_low", "_high"]
+    large = state.filter(F.col("_distinct") > RANKED)
+    rows = values.join(large.select(*groups, "_distinct", *facts), groups)
+    slots = F.ceil(F.col("_distinct") / CUTS)
+    cuts = rows.filter(F.pmod(F.xxhash64("_value", F.lit(turn)), slots) == 0)
+    cuts = cuts.groupBy(*groups).agg(F.sort_array(F.collect_list("_value")).alias("_cuts"))
+    cell = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= F.col("_value"))), F.lit(0))
+    rows = rows.join(cuts, groups, "left").select(*groups, "_value", "_n", *facts, cell.alias("_cell"))
+    cells = rows.groupBy(*groups, "_cell").agg(
+        F.sum("_n").alias("_n"), F.count("*").alias("_distinct"), *[F.first(c).alias(c) for c in facts]
+    )
+    before = Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumn("_upto", F.col("_below") + F.sum("_n").over(before))  # a row per cell: about CUTS of a group
+    kept = written(cells.filter("_upto >= _low and _upto - _n < _high"), "median-cells")
+    facts_now = kept.groupBy(*groups).agg(F.min(F.expr("_upto - _n")).alias("_below"), F.sum("_distinct").alias("_distinct"))
+    narrowed = rows.join(kept.select(*groups, "_cell"), [*groups, "_cell"], "left_semi").select(*groups, "_value", "_n")
+    small = state.filter(F.col("_distinct") <= RANKED)
+    others = values.join(large.select(*groups), groups, "left_anti").select(*groups, "_value", "_n")
+    state = small.unionByName(large.drop("_below", "_distinct").join(facts_now, groups))
+    return written(others.unionByName(narrowed), "median-values"), written(state, "median-state")
+
+
 def loss_profile(df: DataFrame, key: str, measure: str = "dollar_loss", approx: int | None = None) -> DataFrame:
     """Mean, median, total and count per key; `approx` trades the exact median for a sketch of that accuracy."""
     if approx is None:

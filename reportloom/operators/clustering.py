@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _features(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -39,14 +39,51 @@ def kmeans(df: DataFrame, x: str, y: str, k: int = 3, seed: int = 1) -> tuple[Da
     return model.transform(featured).drop("features"), centres, model.summary.trainingCost
 
 
+def silhouette(df: DataFrame, x: str, y: str, label: str) -> DataFrame:
+    """One row: mean silhouette of the labelled points under squared distance, and their number.
+
+    A point's silhouette is (b - a) / max(a, b): a is its mean distance to the others of its cluster, b the least mean
+    distance to another cluster; 0 for the only point of a cluster, null where there is one cluster only. No pairs are
+    formed: the summed squared distance of a point to a cluster follows from the cluster's count, sums and squared
+    length. There is a row of sums per label, so labels must be few; rows with a null are left out. Sums are taken around
+    the mean of all points, which keeps the differences exact enough for points far from zero.
+    """
+    rows = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), F.col(label).alias("_label")).dropna()
+    middle = rows.agg(F.avg("_x").alias("x"), F.avg("_y").alias("y")).first()
+    here = rows.select(F.col("_x") - F.lit(middle.x), F.col("_y") - F.lit(middle.y), "_label").toDF("_x", "_y", "_label")
+    square = F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y")
+    clusters = here.groupBy("_label").agg(
+        F.count("*").alias("n"), F.sum("_x").alias("sx"), F.sum("_y").alias("sy"), F.sum(square).alias("sq")
+    )
+    table = clusters.agg(F.collect_list(F.struct("_label", "n", "sx", "sy", "sq"))).scalar()
+
+    def away(c: Column) -> Column:
+        return F.greatest(c["n"] * square - 2 * (F.col("_x") * c["sx"] + F.col("_y") * c["sy"]) + c["sq"], F.lit(0.0))
+
+    placed = here.withColumn("_clusters", table)
+    own = F.element_at(F.filter("_clusters", lambda c: c["_label"] == F.col("_label")), 1)
+    others = F.transform(F.filter("_clusters", lambda c: c["_label"] != F.col("_label")), lambda c: away(c) / c["n"])
+    measured = placed.withColumn("_own", own).select(
+        (away(F.col("_own")) / F.when(F.col("_own.n") > 1, F.col("_own.n") - 1)).alias("_a"), F.array_min(others).alias("_b")
+    )
+    value = F.when(F.col("_a").isNull() | (F.greatest("_a", "_b") == 0), 0.0).otherwise((F.col("_b") - F.col("_a")) / F.greatest("_a", "_b"))
+    return measured.agg(F.avg(F.when(F.col("_b").isNotNull(), value)).alias("silhouette"), F.count("*").alias("n"))
+
+
 def kmeans_sweep(df: DataFrame, x: str, y: str, ks: Iterable[int] = range(1, 10), seed: int = 1) -> DataFrame:
-    """Cost per k, to choose one. The assembled points are kept, so every fit works on the same copy."""
+    """Cost and mean silhouette per k, to choose one. The assembled points are kept, so every fit works on the same copy."""
     points = _features(df.select(x, y), x, y).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = []
     try:
-        rows = [(k, float(_one_centre(points, x, y).cost if k == 1 else _fit(points, k, seed).summary.trainingCost)) for k in ks]
+        for k in ks:
+            if k == 1:
+                rows.append((k, float(_one_centre(points, x, y).cost), None))
+                continue
+            model = _fit(points, k, seed)
+            rows.append((k, float(model.summary.trainingCost), silhouette(model.transform(points), x, y, "cluster").first()[0]))
     finally:
         points.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, cost double")
+    return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
 
 
 def kmeans_checks(df: DataFrame, x: str, y: str, key: str, k: int, seed: int = 1) -> DataFrame:

@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..workspace import written
 from .retrieval import _matcher
 
 CELL_ROWS = 4096  # vectors a cell should hold
@@ -177,22 +178,13 @@ def retrieve_from_cells(
     stored = spark.read.parquet(f"{path}/vectors")
     asked = queries.filter(F.col(vector).isNotNull()).select(query_id, vector)
     first = _best_in_cells(stored, cells_to_open(asked, cells, k, vector), cells, k, ids, query_id, vector, block_queries, block_rows)
-    first = _kept(first, query_id)
+    first = written(first, "first-cells")  # at most k rows a question, which both later steps need
     least = first.groupBy(query_id).agg(F.when(F.count("*") >= k, F.min("score")).alias("_least"))
     rest = cells_to_open(asked.join(least, query_id, "left"), cells, k, vector, "_least")
     more = _best_in_cells(stored, rest, cells, k, ids, query_id, vector, block_queries, block_rows)
     return _top(first.unionByName(more), k, ids, query_id)
 
 
-def _kept(df: DataFrame, query_id: str) -> DataFrame:
-    """At most k rows a question; written below the checkpoint folder, because both later steps need them."""
-    from ..workspace import fresh_dir
-
-    path = fresh_dir(df.sparkSession, "first-cells")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _top(df: DataFrame, k: int, ids: list[str], query_id: str) -> DataFrame:
     ranked = Window.partitionBy(query_id).orderBy(F.col("score").desc(), *ids)
     return df.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)

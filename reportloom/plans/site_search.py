@@ -8,6 +8,7 @@ from ..functions.links import add_param
 from ..operators.filters import tag_filter
 from ..operators.ranking import recent
 from ..operators.search import LIMIT, group_hits, search, snippet
+from ..operators.text_index import search_index
 
 DOC_SCHEMA = "title string, section string, text string, href string, crumbs array<string>"
 
@@ -23,16 +24,27 @@ FUZZ = 0.1
 
 
 def search_site(
-    docs: DataFrame, query: str, key: str = "href", collapse_after: int = 3, limit: int = LIMIT, fuzz: float = FUZZ
+    docs: DataFrame,
+    query: str,
+    key: str = "href",
+    collapse_after: int = 3,
+    limit: int = LIMIT,
+    fuzz: float = FUZZ,
+    index: str | None = None,
 ) -> DataFrame:
     """The best hits with their place, a link that carries the query, and the marked text around the hit.
 
-    Near matches count as hits; the snippet marks exact ones.
+    Near matches count as hits; the snippet marks exact ones. With `index`, the folder that `write_index` has filled from
+    `docs`, the hits come from there and only their rows are taken from `docs`.
 
     The places are given after the limit, so their window holds at most `limit` rows.
     """
     place = F.row_number().over(Window.orderBy(F.col("score").desc(), key))
-    hits = search(docs, query, key, limit=limit, fuzz=fuzz).withColumn("place", place)
+    if index is None:
+        hits = search(docs, query, key, limit=limit, fuzz=fuzz)
+    else:
+        hits = search_index(docs, index, query, key, limit=limit, fuzz=fuzz)
+    hits = hits.withColumn("place", place)
     linked = snippet(hits.withColumn("link", add_param("href", "q", query)), "text", query)
     return group_hits(linked, "link", "place", collapse_after)
 

@@ -70,15 +70,64 @@ def test_medians_of_doubles(spark):
     assert aggregates.slice_stats(df.filter("g = 'large'"), "v").first().median_loss == pytest.approx(3e30)
 
 
-def test_medians_scan_twice_and_rank_a_few(spark, sf_dir, tmp_path):
-    path = str(tmp_path / "t")
+@pytest.fixture
+def steps(monkeypatch):
+    """Every table that the medians write, by name, with the plan that made it."""
+    found = []
+
+    def recorded(df, name, write=aggregates.written):
+        out = write(df, name)
+        found.append((name, plan_of(df), out))
+        return out
+
+    monkeypatch.setattr(aggregates, "written", recorded)
+    return found
+
+
+def test_medians_scan_twice_and_rank_a_few(spark, sf_dir, tmp_path, steps):
+    path = str(tmp_path / "base-table")
     spark.range(200_000).selectExpr("id % 3 AS g", "CAST(hash(id) AS DOUBLE) AS v").write.parquet(path)
     df = spark.read.parquet(path)
     profile = aggregates.median_profile(df, ["g"], "v")
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
     assert {r.g: r.median_loss for r in profile.collect()} == want
-    plan = final_plan(aggregates.median_profile(df, ["g"], "v"))
-    assert plan.count("FileScan") == 2 and "Collect" not in plan
+    plan = final_plan(profile)
+    base = "ReadSchema: struct<g:bigint,v:double>"
+    assert plan.count("FileScan") == 2 and "Collect" not in plan and base not in plan
+    ((name, made, _),) = steps
+    assert name == "median-values" and made.split("== Initial Plan ==")[0].count(base) == 2
+
+
+BRACKETS = {
+    "below": lambda v: F.array(F.min(v), F.min(v)),
+    "above": lambda v: F.array(F.max(v), F.max(v)),
+    "all": lambda v: F.array(F.min(v), F.max(v)),
+    "upper half": lambda v: F.array(F.percentile_approx(v, 0.6), F.max(v)),
+}
+
+
+@pytest.mark.parametrize("bracket", sorted(BRACKETS))
+def test_medians_do_not_rest_on_the_sketch(spark, monkeypatch, steps, bracket):
+    """Whatever the sketch says, the median is right, and no task ranks more values than stated."""
+    monkeypatch.setattr(aggregates, "middle_bracket", BRACKETS[bracket])
+    monkeypatch.setattr(aggregates, "RANKED", 40)
+    monkeypatch.setattr(aggregates, "CUTS", 6)
+    rng = random.Random(5)
+    groups = {"many": [rng.gauss(0, 1) for _ in range(3000)], "even": [float(i) for i in range(900)] * 2, "one": [7.0], "two": [1.0, 2.0]}
+    groups |= {"flat": [3.0] * 500, "skew": [rng.paretovariate(0.3) for _ in range(1001)], "odd": [float("nan"), float("inf"), 0.0, -0.0, 1e-300] * 30}
+    rows = [(g, v, Decimal(repr(v)) if abs(v) < 1e12 else None) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v double, m decimal(28,6)").repartition(5)
+    for measure in ("v", "m"):
+        steps.clear()
+        profile = aggregates.median_profile(df, ["g"], measure)
+        assert max(r["_distinct"] for r in [s for name, _, s in steps if name == "median-state"][-1].collect()) <= 40
+        got = {r.g: (r.median_loss, r.n) for r in profile.collect()}
+        want = {r.g: (r.median, r.n) for r in df.filter(f"{measure} is not null").groupBy("g").agg(F.median(measure).alias("median"), F.count("*").alias("n")).collect()}
+        assert got.keys() == want.keys()
+        for g in want:
+            assert got[g][1] == want[g][1] and got[g][0] == pytest.approx(float(want[g][0]), nan_ok=True), (g, measure)
+    whole = aggregates.slice_stats(df, "v").first()
+    assert whole.median_loss == pytest.approx(df.agg(F.median("v")).first()[0]) and whole.n == len(rows)
 
 
 def test_sparse_cross_is_completed(spark):

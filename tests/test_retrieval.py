@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
+from conftest import plan_of
 
 from reportloom.operators import clustering, retrieval
+from reportloom.operators.weighted_chunks import cited_chunks, term_weights, weighted_vectors
 
 
 def brute_top(vectors, queries, k):
@@ -58,11 +62,62 @@ def test_encoded_counts(spark):
 
 
 
+def test_chunks_name_the_sections_they_touch(spark):
+    lines = ["one two", "", "three   four\tfive", "  ", "six seven eight nine ten", "eleven"]
+    rows = [(1, "\n".join(lines)), (2, " \n\t"), (3, None), (4, "word")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    got = cited_chunks(df, "id", "t", size=4, overlap=1)
+    plain = retrieval.chunks(df, "id", "t", size=4, overlap=1)
+    found = sorted(tuple(r) for r in got.collect())
+    assert [r[:3] for r in found] == sorted(tuple(r) for r in plain.collect() if r["chunk"].strip())
+    section = {w: i for i, line in enumerate(lines) for w in line.split()} | {"word": 0}
+    assert [(r[3], r[4]) for r in found] == [(section[r[2].split()[0]], section[r[2].split()[-1]]) for r in found]
+    assert "Exchange" not in plan_of(got)
+
+
+def test_weighted_vectors(spark):
+    chunks = spark.createDataFrame([(0, "a b a"), (1, "a c"), (2, "a")], "id int, chunk string")
+    weights = {r["term"]: (r["n_chunks"], r["weight"]) for r in term_weights(chunks).collect()}
+    assert {t: n for t, (n, _) in weights.items()} == {"a": 3, "b": 1, "c": 1}
+    assert weights["a"][1] == pytest.approx(1) and weights["b"][1] == pytest.approx(math.log(4 / 2) + 1)
+    table = spark.createDataFrame([(t, w) for t, (_, w) in weights.items()], "term string, weight double")
+    texts = spark.createDataFrame([(0, "a b a"), (7, "unknown A")], "id int, chunk string")
+    got = {r["id"]: r["embedding"] for r in weighted_vectors(texts, ["id"], "chunk", table, 3, dim=64).collect()}
+    slot = {r["w"]: r["s"][0] for r in spark.createDataFrame([(w,) for w in ("a", "b", "unknown")], "w string").select("w", retrieval.term_slots("w", 64).alias("s")).collect()}
+    want = [0.0] * 64
+    for word, weight in (("a", 2.0), ("b", math.log(2) + 1)):
+        want[slot[word]] += weight
+    assert got[0] == pytest.approx(want)
+    assert sum(got[7]) == pytest.approx(1 + math.log(4) + 1) and len(got[7]) == 64
+
+
+@pytest.mark.parametrize("labels", [1, 2, 4])
+def test_silhouette_against_all_pairs(spark, labels):
+    rng = np.random.default_rng(4)
+    points = rng.normal([1e6, -3], 2, (80, 2))
+    label = rng.integers(0, labels, 80)
+    label[0] = 99 if labels > 1 else 0  # a cluster of one point
+    df = spark.createDataFrame([(float(x), float(y), int(c)) for (x, y), c in zip(points, label)] + [(None, 1.0, 0), (1.0, 1.0, None)], "x double, y double, c int")
+    away = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    values = []
+    for i in range(80):
+        own = (label == label[i]) & (np.arange(80) != i)
+        means = [away[i, label == c].mean() for c in set(label.tolist()) - {label[i]}]
+        a = away[i, own].mean() if own.any() else None
+        values.append(None if not means else 0.0 if a is None else (min(means) - a) / max(min(means), a))
+    got = clustering.silhouette(df, "x", "y", "c").first()
+    assert got.n == 80
+    assert got.silhouette is None if labels == 1 else got.silhouette == pytest.approx(np.mean(values), abs=1e-7)
+
+
 def test_kmeans_cost_falls_with_k(spark):
     rng = np.random.default_rng(2)
     points = [(float(x), float(y)) for c in ((0, 0), (10, 0), (0, 10)) for x, y in rng.normal(c, 0.3, (40, 2))]
     df = spark.createDataFrame(points + [(None, 1.0)], "x double, y double")
-    costs = {r.k: r.cost for r in clustering.kmeans_sweep(df, "x", "y", [1, 2, 3]).collect()}
+    sweep = clustering.kmeans_sweep(df, "x", "y", [1, 2, 3, 5]).collect()
+    quality = {r.k: r.silhouette for r in sweep}
+    assert quality[1] is None and max((2, 3, 5), key=quality.get) == 3 and quality[3] > 0.95
+    costs = {r.k: r.cost for r in sweep}
     assert costs[1] > costs[2] > costs[3]
     assert costs[1] == pytest.approx(((np.array(points) - np.array(points).mean(axis=0)) ** 2).sum())
     rows, centres, _ = clustering.kmeans(df, "x", "y", 3)
