@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.parsing import feed_time_rejects
 from ..operators.aggregates import freq, monthly_summary, yearly_summary
 from ..operators.cleaning import CLEAN_NAMES, FRENCH_COLUMNS, rename_map
 from ..operators.joins import left_dim, literal_dim
@@ -240,6 +241,32 @@ def s07_dates(spark, sf_dir):
     )
 
 
+# Ways to write the same day at noon, UTC.
+DATE_FORMS = [
+    ("EEE, dd MMM yyyy", " 12:00:00 +0000"), ("d MMM yy", " 12:00 GMT"), ("EEEE, d MMMM yyyy", " 12:00:00 UT"), ("EEE, dd MMM yyyy", " 07:00:00 EST"),
+    ("dd MMM yyyy", " 05:00 PDT"), ("EEE, dd MMM yyyy", " 14:00:00 +02:00"), ("dd-MMM-yyyy", " 12:00:00 Z (noon)"), ("EEE, dd MMM yyyy", " 12:00:00"),
+]
+
+
+@query(
+    "s07_feed_date_forms",
+    """SELECT url AS item_link, CASE WHEN page_id % 8 < 7 THEN CAST(DATE '2024-01-01' + CAST(page_id AS INTEGER) AS VARCHAR) || ' 12:00:00' END AS item_time,
+              count(*) FILTER (page_id % 8 = 7) OVER () AS unread FROM pages""",
+)
+def s07_forms(spark, sf_dir):
+    """Dates in all forms that the standard allows; those without a zone are null and counted."""
+    items = dated_items(spark, sf_dir)
+    written = F.element_at(
+        F.array(*[F.concat(F.date_format("day", pattern), F.lit(rest)) for pattern, rest in DATE_FORMS]), (F.col("page_id") % 8 + 1).cast("int")
+    )
+    folder = fresh_dir(spark, "forms")
+    items.select("title", "link", "description", written.alias("pubDate")).write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(folder)
+    raw = spark.read.format("xml").option("rowTag", "item").schema("pubDate string").load(folder)
+    unread = raw.agg(feed_time_rejects("pubDate")).scalar()
+    time = F.date_format("item_pub_date", "yyyy-MM-dd HH:mm:ss").alias("item_time")
+    return read_feed(spark, folder, channel_date=False).select("item_link", time, unread.alias("unread"))
+
+
 @query(
     "s08_read_status",
     """SELECT count(*) AS records, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS INTEGER) AS flag,

@@ -29,12 +29,11 @@ def read_feed(spark: SparkSession, path: str, channel_date: bool = True) -> Data
     items = as_items(xml.option("rowTag", "item").schema(ITEM_SCHEMA).load(path))
     if not channel_date:
         return items
-    channels = (
-        xml.option("rowTag", "channel")
-        .schema("pubDate string")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("feed"), to_feed_time("pubDate").alias("feed_pub_date"))
-        .groupBy("feed")
-        .agg(F.max("feed_pub_date").alias("feed_pub_date"))
-    )
-    return items.join(channels, "feed", "left")
+    return items.join(channel_dates(spark, path), "feed", "left")
+
+
+def channel_dates(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(feed, feed_pub_date): the date of the channel in each feed file; the latest, should a file hold several."""
+    channels = spark.read.format("xml").option("mode", "PERMISSIVE").option("rowTag", "channel").schema("pubDate string").load(path)
+    dated = channels.select(F.col("_metadata.file_path").alias("feed"), to_feed_time("pubDate").alias("feed_pub_date"))
+    return dated.groupBy("feed").agg(F.max("feed_pub_date").alias("feed_pub_date"))

@@ -41,6 +41,22 @@ def test_to_feed_time(spark):
     assert got == ["2025-09-01 04:00:00", "2025-09-02 10:30:00", "2025-09-09 01:02:03", None, None]
 
 
+def test_all_forms_of_feed_dates(spark):
+    forms = {
+        "Wed, 02 Oct 2024 13:00:00 EST": "2024-10-02 18:00:00", "Wed, 02 Oct 2024 13:00:00 PDT": "2024-10-02 20:00:00",
+        "2 Oct 24 13:00 GMT": "2024-10-02 13:00:00", "2 Oct 94 13:00 UT": "1994-10-02 13:00:00", "2 Oct 124 13:00 Z": "2024-10-02 13:00:00",
+        "Wednesday, 2 October 2024 3:05 +02:00": "2024-10-02 01:05:00", "wed 2-OCT-2024 03:05:09 cdt": "2024-10-02 08:05:09",
+        " Wed,  02 Oct 2024\n13:00:00 (noon (ish)) +0000 ": None, "Wed, 02 Oct 2024 13:00:00 (noon) +0000": "2024-10-02 13:00:00",
+        "02 Oct 2024 13:00:00.250 M": "2024-10-02 13:00:00", "02 Oct 2024 13:00:00 J": None, "02 Oct 2024 13:00:00": None,
+        "02 Oct 2024 13:00:00 XYZ": None, "31 Feb 2024 13:00:00 GMT": None, "02 Okt 2024 13:00:00 GMT": None, "2024-10-02": None,
+        "Wed, 02 Oct 2024 25:00:00 GMT": None, "": None, "  ": None, "02 Oct 49 00:00 +1400": "2049-10-01 10:00:00",
+    }
+    got = values(spark, list(forms), "string", lambda c: F.date_format(parsing.to_feed_time(c), "yyyy-MM-dd HH:mm:ss"))
+    assert dict(zip(forms, got)) == forms
+    df = spark.createDataFrame([(f,) for f in forms] + [(None,)], "v string")
+    assert df.agg(parsing.feed_time_rejects("v")).first()[0] == sum(w is None and bool(f.strip()) for f, w in forms.items())
+
+
 def test_let_binds_once(spark):
     assert values(spark, [3], "int", lambda c: parsing.let(c + 1, lambda v: v * v)) == [16]
 

@@ -17,9 +17,9 @@ from reportloom.plans.refinery import refine, with_label
 from reportloom.plans.site_search import read_search_docs, search_site
 from reportloom.sources import delimited, documents, feeds, outputs
 from reportloom.sources.tables import complaints
-from reportloom.streaming import feed_history
+from reportloom.streaming import feed_history, refresh
 from reportloom.streaming.feed_history import ingest_feed, read_history
-from reportloom.streaming.refresh import read_clean, read_monthly, refresh_summaries
+from reportloom.streaming.refresh import published_drops, read_clean, read_monthly, refresh_summaries
 
 ITEM = "<item><title>{t}</title><link>{l}</link><description>d {t}</description>{d}</item>"
 DATE = "<pubDate>Mon, 01 Sep 2025 00:00:00 -0400</pubDate>"
@@ -201,7 +201,106 @@ def test_a_run_reads_few_folders_of_the_history(spark, tmp_path):
     links = links.withColumn("bucket", F.pmod(F.xxhash64("item_link"), F.lit(feed_history.BUCKETS)).cast("int"))
     new = feed_history.unseen(links, read_history(spark, history), "other", 0)
     assert [r.item_link for r in new.collect()] == ["http://x/new"]
-    assert "PartitionFilters: [bucket" in final_plan(new) or "PartitionFilters: [isnotnull(bucket" in final_plan(new)
+    assert "bucket#" in final_plan(new).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+def dated_feed(day, *links):
+    items = "".join(f"<item><title>T</title><link>http://x/{n}</link><pubDate>0{n} Sep 2025 00:00 GMT</pubDate></item>" for n in links)
+    return f"<rss><channel><title>c</title><pubDate>{day} Sep 2025 12:00:00 EST</pubDate>{items}</channel></rss>"
+
+
+def test_history_keeps_item_and_channel_dates(spark, tmp_path):
+    src = tmp_path / "feeds of a day"
+    src.mkdir()
+    run = (str(src), str(tmp_path / "history"), str(tmp_path / "checkpoint"))
+    (src / "feed 1.xml").write_text(dated_feed(10, 1, 2))
+    (src / "feed 2.xml").write_text("<rss><channel><item><link>http://x/9</link></item></channel></rss>")
+    ingest_feed(spark, *run)
+    (src / "feed 3.xml").write_text(dated_feed(11, 2, 3))
+    ingest_feed(spark, *run)
+    want = {1: (1, 10), 2: (2, 10), 3: (3, 11), 9: (None, None)}
+    rows = {int(r.item_link[-1]): (r.item_pub_date and r.item_pub_date.day, r.feed_pub_date and r.feed_pub_date.day) for r in read_history(spark, run[1]).collect()}
+    assert rows == want
+
+
+def written_batches(spark, history, batches, links=30, stream="s"):
+    """A history of many small batches, as that many runs would have left it."""
+    rows = spark.range(batches * links).select(
+        F.concat(F.lit("http://x/"), F.col("id")).alias("item_link"), (F.col("id") % batches).alias("batch"), F.lit(stream).alias("stream")
+    )
+    empty = spark.createDataFrame([], feed_history.HISTORY_SCHEMA)
+    rows = empty.unionByName(rows.withColumn("bucket", feed_history._bucket("item_link", feed_history.BUCKETS)), allowMissingColumns=True)
+    rows.repartition(4, "bucket").write.mode("append").partitionBy("bucket", "stream", "batch").parquet(history)
+
+
+def files_of(history):
+    return sorted(history.rglob("*.parquet"))
+
+
+def test_compaction_of_a_hundred_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed_history, "BUCKETS", 8)
+    history, src = tmp_path / "history", tmp_path / "in"
+    written_batches(spark, str(history), 100)
+    want = sorted(r.item_link for r in read_history(spark, str(history)).collect())
+    before = len(files_of(history))
+    assert before > 700 and feed_history.compact_history(spark, str(history), least_batches=101) == 0
+    assert feed_history.compact_history(spark, str(history)) == 100
+    data = [f for f in files_of(history) if "_manifest" not in str(f)]
+    assert len(data) <= 16 and all("stream=merged" in str(f) for f in data)
+    assert sorted(r.item_link for r in read_history(spark, str(history)).collect()) == want
+    # a run after it reads few files, adds only what is new, and a few links are looked up by value
+    src.mkdir()
+    (src / "feed.xml").write_text(feed(1, 2, 5000, 5001))
+    ingest_feed(spark, str(src), str(history), str(tmp_path / "checkpoint"))
+    assert sorted(r.item_link for r in read_history(spark, str(history)).collect()) == sorted([*want, "http://x/5000", "http://x/5001"])
+    links = spark.createDataFrame([("http://x/7",), ("http://x/new",)], "item_link string")
+    new = feed_history.unseen(links, read_history(spark, str(history)), "other", 0)
+    plan = final_plan(new)
+    assert [r.item_link for r in new.collect()] == ["http://x/new"] and "http://x/7" in plan.split("PushedFilters")[1]
+
+
+def test_compaction_in_levels_with_more_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed_history, "BUCKETS", 4)
+    monkeypatch.setattr(feed_history, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(feed_history, "LEVELS", 2)
+    history = str(tmp_path / "history")
+    want = set()
+    for turn in range(4):
+        stream = f"s{turn}"
+        written_batches(spark, history, 3 + turn, links=20, stream=stream)
+        fresh = read_history(spark, history).filter(F.col("stream") == stream)
+        want |= {r.item_link for r in fresh.collect()}
+        feed_history.compact_history(spark, history, least_batches=1)
+    state = feed_history._State(spark, history)
+    assert state.buckets > 4 and len(state.live) <= 2
+    assert {r.item_link for r in read_history(spark, history).collect()} == want
+    asked = spark.createDataFrame([(f"http://x/{n}",) for n in (0, 5, 50, 119, 777)], "item_link string")
+    new = feed_history.unseen(asked, read_history(spark, history), "other", 0, state.buckets)
+    assert [r.item_link for r in new.collect()] == ["http://x/777"]
+
+
+@pytest.mark.parametrize("step", ["publish", "_delete_batches"])
+def test_a_crash_during_compaction_is_not_seen(spark, tmp_path, monkeypatch, step):
+    monkeypatch.setattr(feed_history, "BUCKETS", 4)
+    history = str(tmp_path / "history")
+    written_batches(spark, history, 5)
+    want = sorted(r.item_link for r in read_history(spark, history).collect())
+    kept, calls = getattr(feed_history, step), []
+
+    def crash(*args):
+        if step == "_delete_batches" and not calls:  # the first call clears what an earlier crash has left
+            calls.append(1)
+            return kept(*args)
+        raise OSError("lost")
+
+    monkeypatch.setattr(feed_history, step, crash)
+    with pytest.raises(OSError):
+        feed_history.compact_history(spark, history, least_batches=1)
+    monkeypatch.setattr(feed_history, step, kept)
+    assert sorted(r.item_link for r in read_history(spark, history).collect()) == want
+    assert feed_history.compact_history(spark, history, least_batches=1) == (5 if step == "publish" else 0)
+    assert sorted(r.item_link for r in read_history(spark, history).collect()) == want
+    assert not list((tmp_path / "history").rglob("stream=s/batch=*"))
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
@@ -247,6 +346,49 @@ def test_refresh_replaces_whole_quarters(spark, tmp_path):
     assert sorted(r.id for r in read_clean(spark, run[1]).collect()) == ["1", "2", "4", "9"]
 
 
+def test_an_older_drop_that_arrives_later_does_not_win(spark, tmp_path):
+    q1, q2 = dt.date(2025, 2, 1), dt.date(2025, 5, 1)
+    run = (str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    write_raw(reports(spark, report(q1, 5, 1), report(q2, 6, 2)), f"{run[0]}/drop_2")
+    refresh_summaries(spark, *run)
+    write_raw(reports(spark, report(q1, 1, 1), report(dt.date(2024, 2, 1), 3, 7)), f"{run[0]}/drop_1")
+    refresh_summaries(spark, *run)
+    assert {r.label: r.total_victims for r in read_monthly(spark, run[1]).collect()} == {"2024_Q1": 3, "2025_Q1": 5, "2025_Q2": 6}
+    drops = {r.label: r["drop"] for r in published_drops(spark, run[1]).collect()}
+    assert drops == {"2024_Q1": "drop_1", "2025_Q1": "drop_2", "2025_Q2": "drop_2"}
+
+
+@pytest.mark.parametrize("step", ["monthly_summary", "publish"])
+def test_a_crash_between_the_tables_is_not_seen(spark, tmp_path, monkeypatch, step):
+    q1, q2 = dt.date(2025, 2, 1), dt.date(2025, 5, 1)
+    run = (str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    write_raw(reports(spark, report(q1, 5, 1), report(q2, 6, 2)), f"{run[0]}/drop_1")
+    refresh_summaries(spark, *run)
+
+    def state():
+        clean = sorted((r.id, r.num_victims) for r in read_clean(spark, run[1]).collect())
+        return clean, {r.label: r.total_victims for r in read_monthly(spark, run[1]).collect()}
+
+    before = state()
+    assert before == ([("1", 5), ("2", 6)], {"2025_Q1": 5, "2025_Q2": 6})
+    write_raw(reports(spark, report(q1, 7, 1), report(q1, 1, 3)), f"{run[0]}/drop_2")
+    kept = getattr(refresh, step)
+
+    def crash(*args, **kwargs):
+        raise OSError("lost")
+
+    monkeypatch.setattr(refresh, step, crash)
+    with pytest.raises(Exception, match="lost"):
+        refresh_summaries(spark, *run)
+    assert state() == before
+    monkeypatch.setattr(refresh, step, kept)
+    refresh_summaries(spark, *run)
+    assert state() == ([("1", 7), ("2", 6), ("3", 1)], {"2025_Q1": 8, "2025_Q2": 6})
+    refresh_summaries(spark, *run)  # the next run deletes what was replaced, not what counts
+    assert state() == ([("1", 7), ("2", 6), ("3", 1)], {"2025_Q1": 8, "2025_Q2": 6})
+    assert len(list((tmp_path / "out" / "clean" / "label=2025_Q1").glob("version=*"))) == 1
+
+
 def test_refinery(spark, tmp_path):
     rows = reports(spark, report(dt.date(2025, 2, 1), 1, 1), report(dt.date(2025, 9, 1), 2, 2), report(dt.date(2025, 9, 2), 3, 3, None))
     assert raw_reports(rows).columns == [*CLEAN_NAMES, *FRENCH_COLUMNS]
