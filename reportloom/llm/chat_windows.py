@@ -33,13 +33,14 @@ def estimated_tokens(escaped_text: Column) -> Column:
 
 
 def chat_windows(turns: DataFrame, budget: int, history: int, tokens=estimated_tokens) -> DataFrame:
-    """(conv_id, window, n_tokens, n_repeated, formatted, loss): one row per training window.
-
-    `turns` has conv_id, turn, role, text. Prefix sums of the turns' tokens place each turn on a line that is cut
-    every B = budget - system turn - `history` tokens. Turns inside one piece make a window, a turn across a cut
-    makes one by itself, so windows are runs of whole turns and hold at most `budget` tokens, unless one turn is
-    longer. Each window begins with the conversation's system turn (its first turn, if the role is "system") and
-    the turns before it that fit into `history` tokens; these n_repeated segments are not trained on again. `loss`
+    """(conv_id, window, n_tokens, n_new, n_repeated, n_history, formatted, loss): one row per training window.
+
+    `turns` has conv_id, turn, role, text. Prefix sums of the turns' tokens place each turn on a line that is cut every B
+    tokens: what the budget leaves beside the system turn, less `history` or a quarter of it. Turns inside one piece make
+    a window, a turn across a cut makes one by itself, so windows are runs of whole turns. Each window begins with the
+    conversation's system turn (its first turn, if the role is "system") and the turns before it that fit into `history`
+    tokens and into what system turn and new turns leave of the budget; these n_repeated segments, n_history of them beside the
+    system turn, are not trained on again. So a window holds at most `budget` tokens, unless the system turn and its only new turn alone are longer. `loss`
     lists (start, length) in code points of `formatted` for the texts of new assistant turns: each is a target in
     exactly one window.
 
@@ -63,24 +64,27 @@ def chat_windows(turns: DataFrame, budget: int, history: int, tokens=estimated_t
     everything = Window.partitionBy("conv_id")
     upto = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     line = F.when(F.col("is_system"), 0).otherwise(F.col("tokens"))
-    piece = F.greatest(F.lit(1), F.lit(budget - history) - F.sum(F.when(F.col("is_system"), F.col("tokens")).otherwise(0)).over(everything))
-    rows = rows.withColumns({"piece": piece, "ends": F.sum(line).over(upto)}).withColumn("starts", F.col("ends") - line)
+    system = F.sum(F.when(F.col("is_system"), F.col("tokens")).otherwise(0)).over(everything)
+    room = F.greatest(F.lit(1), F.lit(budget) - system)
+    piece = F.greatest(F.lit(1), room - F.least(F.lit(history), F.floor(room / 4)))
+    rows = rows.withColumns({"system": system, "piece": piece, "ends": F.sum(line).over(upto)}).withColumn("starts", F.col("ends") - line)
     first, last = F.floor(F.col("starts") / F.col("piece")), F.floor((F.col("ends") - 1) / F.col("piece"))
     rows = rows.withColumn("window", F.when(F.col("is_system"), 0).otherwise(2 * first + (last > first).cast("long")))
 
     body = rows.where("not is_system")
-    spans = body.groupBy("conv_id", "window").agg(F.min("starts").alias("span_starts"))
+    left = F.greatest(F.lit(0), F.least(F.lit(history), F.lit(budget) - F.first("system") - F.sum("tokens")))
+    spans = body.groupBy("conv_id", "window").agg(F.min("starts").alias("span_starts"), left.alias("reach"))
     whole = spans.join(rows.where("is_system").select("conv_id", "role_out", "text_out", "tokens", "place"), "conv_id")
     alone = rows.where("is_system").join(spans, "conv_id", "left_anti")
     # turns of the last `history` tokens before a window lie in its own or the neighbouring stretch of that length
-    reach = max(1, history)
-    stretch = F.floor(F.col("span_starts") / reach)
+    longest = max(1, history)
+    stretch = F.floor(F.col("span_starts") / longest)
     wanted = spans.withColumn("stretch", F.explode(F.array(stretch - 1, stretch)))
     earlier = body.select(
-        "conv_id", "role_out", "text_out", "tokens", "place", "starts", "ends", F.floor(F.col("starts") / reach).alias("stretch")
+        "conv_id", "role_out", "text_out", "tokens", "place", "starts", "ends", F.floor(F.col("starts") / longest).alias("stretch")
     )
     repeated = earlier.join(wanted, ["conv_id", "stretch"]).where(
-        (F.col("ends") <= F.col("span_starts")) & (F.col("starts") >= F.col("span_starts") - F.lit(history))
+        (F.col("ends") <= F.col("span_starts")) & (F.col("starts") >= F.col("span_starts") - F.col("reach"))
     )
 
     def segments(df: DataFrame, kind: int, target: Column) -> DataFrame:
@@ -101,11 +105,13 @@ def chat_windows(turns: DataFrame, budget: int, history: int, tokens=estimated_t
         parts.groupBy("conv_id", "window")
         .agg(
             F.sum("tokens").alias("n_tokens"),
+            F.count_if(F.col("kind") == 2).alias("n_new"),
             F.count_if(F.col("kind") < 2).alias("n_repeated"),
+            F.count_if(F.col("kind") == 1).alias("n_history"),
             F.sort_array(F.collect_list(F.struct("kind", "place", "segment"))).alias("all"),
             F.sort_array(F.collect_list(F.when(F.col("target"), F.struct("start", "length")))).alias("loss"),
         )
-        .select("conv_id", "window", "n_tokens", "n_repeated", F.array_join("all.segment", "").alias("formatted"), "loss")
+        .select("conv_id", "window", "n_tokens", "n_new", "n_repeated", "n_history", F.array_join("all.segment", "").alias("formatted"), "loss")
     )
 
 
@@ -134,8 +140,11 @@ def loss_texts(windows: DataFrame) -> DataFrame:
     return windows.select("conv_id", "window", unescaped(F.array_join(masked, "")).alias("text"))
 
 
-def conversation_digests(windows: DataFrame) -> DataFrame:
-    """Per conversation, what can be read back from its windows: see the query of this operator."""
+def conversation_digests(windows: DataFrame, budget: int) -> DataFrame:
+    """Per conversation, what can be read back from its windows: see the query of this operator.
+
+    n_over_budget counts windows over the budget that hold more than one new turn, or history.
+    """
     turns = read_turns(windows).groupBy("conv_id").agg(
         F.count("*").alias("n_turns"),
         F.array_join(
@@ -149,7 +158,10 @@ def conversation_digests(windows: DataFrame) -> DataFrame:
     loss = loss_texts(windows).groupBy("conv_id").agg(
         F.array_join(F.sort_array(F.collect_list(F.struct("window", "text")))["text"], "").alias("loss")
     )
-    size = windows.groupBy("conv_id").agg(F.sum(F.length("formatted")).alias("formatted_chars"))
+    over = (F.col("n_tokens") > budget) & ((F.col("n_new") > 1) | (F.col("n_history") > 0))
+    size = windows.groupBy("conv_id").agg(
+        F.sum(F.length("formatted")).alias("formatted_chars"), F.count_if(over).alias("n_over_budget")
+    )
     return turns.join(loss, "conv_id").join(size, "conv_id").select(
         "conv_id",
         "n_turns",
@@ -157,4 +169,5 @@ def conversation_digests(windows: DataFrame) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
+        "n_over_budget",
     )

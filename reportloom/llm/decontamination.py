@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import NOT_IN_WORD, chained, folded, running_sums, span_hashes, text_blocks, word_spans
 from .storage import batches_by_bytes
@@ -173,7 +174,7 @@ def find_benchmark(
         chosen = items if rounds == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(rounds)) == part)
         shared = spark.sparkContext.broadcast([tuple(r) for r in chosen.collect()])
         more = docs.select(docs[id].alias("id"), docs[text].cast("string").alias("text")).mapInArrow(
-            _matches(shared, words, threshold),
+            _matches(shared, words, threshold, to_arrow_type(items.schema["item"].dataType)),
             f"id {docs.select(id).schema[0].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, "
             "similarity double, start_word long, n_words long",
         )
@@ -184,7 +185,7 @@ def find_benchmark(
 _prepared: dict[str, tuple[Items, list[list[np.ndarray]]]] = {}
 
 
-def _matches(shared: Broadcast, words: int, threshold: float):
+def _matches(shared: Broadcast, words: int, threshold: float, item_type: pa.DataType):
     key = uuid.uuid4().hex
 
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +203,7 @@ def _matches(shared: Broadcast, words: int, threshold: float):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())),
-                    pa.array([f[0] for f in found], pa.int64()),
+                    pa.array([f[0] for f in found], item_type),
                     pa.array([f[1] for f in found], pa.float64()),
                     pa.array([f[2] for f in found], pa.int64()),
                     pa.array([f[3] for f in found], pa.int64()),

@@ -141,24 +141,26 @@ sized AS (
   SELECT *, (strlen(text_out) + 3) // 4 + 4 AS tokens, place = 1 AND role = 'system' AS is_system,
          11 + length(text_out) + length(role_out) AS chars FROM out),
 line AS (
-  SELECT *, greatest(1, 1536 - sum(CASE WHEN is_system THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id)) AS piece,
+  SELECT *, sum(CASE WHEN is_system THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS system,
          sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY place) AS ends FROM sized),
-placed AS (SELECT *, ends - tokens AS starts FROM line WHERE NOT is_system),
+placed AS (
+  SELECT *, ends - tokens AS starts, greatest(1, greatest(1, 2048 - system) - least(512, greatest(1, 2048 - system) // 4)) AS piece
+  FROM line WHERE NOT is_system),
 body AS (
   SELECT *, 2 * (starts // piece) + CAST((ends - 1) // piece > starts // piece AS INTEGER) AS win FROM placed),
-spans AS (SELECT conv_id, win, min(starts) AS s FROM body GROUP BY ALL),
+spans AS (SELECT conv_id, win, min(starts) AS s, greatest(0, least(512, 2048 - any_value(system) - sum(tokens))) AS reach FROM body GROUP BY ALL),
 formatted AS (
   SELECT conv_id, chars FROM body
   UNION ALL SELECT s.conv_id, chars FROM spans s JOIN line l ON s.conv_id = l.conv_id AND l.is_system
   UNION ALL SELECT l.conv_id, chars FROM line l WHERE is_system AND conv_id NOT IN (SELECT conv_id FROM spans)
   UNION ALL SELECT b.conv_id, chars FROM body b JOIN spans s
-    ON b.conv_id = s.conv_id AND b.ends <= s.s AND b.starts >= s.s - 512),
+    ON b.conv_id = s.conv_id AND b.ends <= s.s AND b.starts >= s.s - s.reach),
 total AS (SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM formatted GROUP BY 1)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
        CAST(length(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       any_value(formatted_chars) AS formatted_chars
+       any_value(formatted_chars) AS formatted_chars, CAST(0 AS BIGINT) AS n_over_budget
 FROM sized JOIN total USING (conv_id) GROUP BY conv_id"""
 
 
@@ -172,7 +174,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     windows = chat_windows(turns.unionByName(probe), budget=2048, history=512)
-    return conversation_digests(stored(windows, "chat-windows"))
+    return conversation_digests(stored(windows, "chat-windows"), budget=2048)
 
 
 @query("op3_html_main_text")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -142,6 +143,10 @@ def test_benchmark_edge_cases(spark, monkeypatch):
         monkeypatch.setattr(decontamination, "BATCH_BYTES", size)
         got = sorted((str(r.doc_id), r.item_id, r.similarity) for r in find_benchmark(documents(spark, rows), items).collect())
         assert got == [("5", 2, 1.0), ("5", 2, 1.0), ("None", 1, 1.0)]
+        for kind in ("string", "int", "decimal(9,0)"):
+            other = find_benchmark(documents(spark, rows), items.withColumn("item_id", F.col("item_id").cast(kind)))
+            assert dict(other.dtypes)["item_id"] == kind
+            assert sorted((str(r.doc_id), str(r.item_id), r.similarity) for r in other.collect()) == sorted((i, str(k), s) for i, k, s in got)
     assert find_benchmark(documents(spark, []), items).count() == 0
     assert find_benchmark(documents(spark), items.limit(0)).count() == 0
 
@@ -375,10 +380,11 @@ def test_windows_give_every_turn_and_target_once(spark, budget, history):
     for r in sorted(loss_texts(windows).collect(), key=lambda r: (r.conv_id, r.window)):
         loss[r.conv_id] = loss.get(r.conv_id, "") + r.text
     assert loss == {c: "".join(t for role, t in turns if role == "assistant") for c, turns in want.items()}
-    for r in conversation_digests(windows).collect():
+    for r in conversation_digests(windows, budget).collect():
         turns, answer = want[r.conv_id], loss[r.conv_id]
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
         assert (r.n_turns, r.loss_chars, r.loss_sha256) == (len(turns), len(answer), hashlib.sha256(answer.encode()).hexdigest())
+        assert r.n_over_budget == 0
     if budget == 120:
         sizes = windows.where("conv_id < 50").select("n_tokens", "n_repeated", "formatted").collect()
         assert all(r.n_tokens <= budget or r.formatted.count("<|end|>") - r.n_repeated == 1 for r in sizes)
@@ -387,6 +393,29 @@ def test_windows_give_every_turn_and_target_once(spark, budget, history):
         assert any(r.n_repeated > 1 for r in sizes)
 
 
+@pytest.mark.parametrize(("budget", "history"), [(200, 50), (200, 190), (90, 40), (50, 10)])
+def test_windows_keep_the_budget(spark, budget, history):
+    """Long turns behind short ones, and system turns that leave little room: counted from the formatted text itself."""
+    rng = random.Random(budget + history)
+    rows = []
+    for c in range(60):
+        if c % 2:
+            rows.append((c, 0, "system", "s" * rng.choice([4, 100, 4 * budget - 60, 4 * budget + 100])))
+        rows += [(c, t, rng.choice(["user", "assistant"]), "x" * rng.choice([1, 20, 60, 4 * budget // 3, 4 * budget - 40, 5 * budget])) for t in range(1, rng.randint(2, 15))]
+    windows = chat_windows(turns_of(spark, rows), budget, history).collect()
+    repeated = 0
+    for r in windows:
+        turns = re.findall(r"<\|([^|]*)\|>([^<]*)<\|end\|>", r.formatted)
+        tokens = [-(-len(text) // 4) + 4 for _, text in turns]
+        assert sum(tokens) == r.n_tokens and len(turns) == r.n_new + r.n_repeated
+        assert sum(tokens) <= budget or (r.n_new == 1 and r.n_history == 0), (r.conv_id, r.window)
+        system = turns[0][0] == "system" and r.n_repeated > r.n_history
+        assert sum(tokens[system : r.n_repeated]) <= history and r.n_history == r.n_repeated - system
+        repeated += r.n_history
+    assert sum(r.n_new for r in windows) + sum(r.n_repeated > r.n_history for r in {r.conv_id: r for r in windows}.values()) == len(rows)
+    assert repeated > 10
+
+
 def test_windows_of_nothing_and_escapes(spark):
     assert chat_windows(turns_of(spark, []), 100, 10).count() == 0
     texts = ["", "&amp;", "&lt;|&", "<|end|>", "&amp;lt;", "a|b>c", "&#124;"]
@@ -397,7 +426,7 @@ def test_windows_of_nothing_and_escapes(spark):
 
 def test_windows_run_without_python(spark):
     windows = chat_windows(turns_of(spark, chat_rows()[:4]), 100, 10)
-    plan = conversation_digests(windows)._jdf.queryExecution().optimizedPlan().toString()
+    plan = conversation_digests(windows, 100)._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
 
 
