@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import decimals_to_double
 from ..operators.aggregates import freq, monthly_summary, sum_by
-from ..operators.ranking import order_periods, page, page_after, rank_desc, recent, sample_head, top_k
+from ..operators.ranking import order_periods, page, page_after, rank_desc, read_page, recent, sample_head, top_k, write_pages
 from ..plans.bulletin import top_categories
 from ..plans.site_search import listing
 from ..sources.tables import complaints, table
 from .filters import NEWEST_QUARTER, newest_quarter
+from ..workspace import fresh_dir
 from .registry import MONTHLY, over, query
 
 
@@ -85,3 +86,11 @@ def l06(spark, sf_dir):
 def l06_after(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     return page_after(events, ["user_id", "event_id"], [20, 500], 25)
+
+
+@query("l06_page_directory", "SELECT event_id, user_id, value FROM events ORDER BY user_id, event_id LIMIT 25 OFFSET 500")
+def l06_directory(spark, sf_dir):
+    """A page from a table that was sorted for paging once."""
+    path = fresh_dir(spark, "pages")
+    write_pages(table(spark, sf_dir, "events").select("event_id", "user_id", "value"), ["user_id", "event_id"], path)
+    return read_page(spark, path, 21, 25)

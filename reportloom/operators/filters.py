@@ -130,15 +130,15 @@ def search_predicate(c: Column | str, query: str, regex: bool = True, ignore_cas
 
 
 def column_search(df: DataFrame, name: str, query: str, regex: bool = True, ignore_case: bool = True) -> DataFrame:
-    """Rows whose column matches; an empty query keeps everything, nulls included."""
-    if not query.strip():
+    """Rows whose column matches; an empty query (as plain text, blanks too) keeps everything, nulls included."""
+    if not (query if regex else query.strip()):
         return df
     return df.filter(search_predicate(name, query, regex, ignore_case))
 
 
 def table_search(df: DataFrame, query: str, regex: bool = True, ignore_case: bool = True) -> DataFrame:
-    """Rows in which any column, read as text, matches; an empty query keeps everything."""
-    if not query.strip():
+    """Rows in which any column, read as text, matches; an empty query (as plain text, blanks too) keeps everything."""
+    if not (query if regex else query.strip()):
         return df
     hits = [F.coalesce(search_predicate(F.col(n).cast("string"), query, regex, ignore_case), F.lit(False)) for n in df.columns]
     return df.filter(reduce(or_, hits))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.cleaning import CLEAN_NAMES, FRENCH_COLUMNS
 from ..operators.reshape import stack
+from .manifests import children
 
 
 def all_strings(names: Sequence[str]) -> StructType:
@@ -101,13 +102,19 @@ def read_parts(spark: SparkSession, *folders: str, schema: StructType | str | No
 def latest_label(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows of the greatest label.
 
-    On a table partitioned by it the label comes from the listing of the partitions, without a job, and only
-    that partition is read.
+    On a table partitioned by it first, the label comes from the names of the table's folders (one file's path shows where
+    they are), so no file list is made, and only that partition is read.
     """
-    found = [re.search(rf"/{re.escape(label)}=([^/]+)/", path) for path in df.inputFiles()]
-    if found and all(found):
-        names = {unquote(match[1]) for match in found} - {"__HIVE_DEFAULT_PARTITION__"}
-        return df.filter(F.col(label) == max(names)) if names else df.limit(0)
+    spark = df.sparkSession
+    mark = f"/{label}="
+    try:
+        some = df.select(F.col("_metadata.file_path")).first()
+    except AnalysisException:  # not a table of files
+        some = None
+    if some is not None and mark in some[0] and "=" not in some[0].split(mark)[0].rsplit("/", 1)[-1]:
+        names = [unquote(name.removeprefix(mark[1:])) for name in children(spark, unquote(some[0].split(mark)[0])) if name.startswith(mark[1:])]
+        known = [name for name in names if name != "__HIVE_DEFAULT_PARTITION__"]
+        return df.filter(F.col(label) == max(known)) if known else df.limit(0)
     return df.filter(F.col(label) == df.agg(F.max(label)).scalar())
 
 

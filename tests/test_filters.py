@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
-from conftest import final_plan
+import pytest
+from conftest import final_plan, plan_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -49,6 +51,13 @@ def test_plain_search_needs_all_words(spark):
     assert filters.column_search(rows, "t", "red", ignore_case=False).count() == 1
 
 
+def test_a_pattern_of_blanks_is_a_pattern(spark):
+    rows = spark.createDataFrame([("a b", 1), ("ab", 2), (None, 3)], "t string, n int")
+    for search in (lambda *a, **k: filters.column_search(rows, "t", *a, **k), lambda *a, **k: filters.table_search(rows, *a, **k)):
+        assert [r.n for r in search(" ").collect()] == [1]
+        assert search("").count() == search(" ", regex=False).count() == 3
+
+
 def test_table_search_looks_everywhere(spark):
     rows = spark.createDataFrame([(17, "a", None), (2, "x17", "b"), (3, "c", "d")], "n int, s string, t string")
     assert sorted(r.n for r in filters.table_search(rows, "17").collect()) == [2, 17]
@@ -132,3 +141,29 @@ def test_ties_and_nulls_in_rank(spark):
     rows = spark.createDataFrame([("b", 5), ("a", 5), ("c", None)], "k string, m int")
     assert [r.k for r in ranking.rank_desc(rows, "m", "k").collect()] == ["a", "b", "c"]
     assert [r.k for r in ranking.recent(rows, "m", F.col("k").desc()).collect()] == ["b", "a", "c"]
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 1000])
+def test_pages_from_a_directory(spark, tmp_path, size):
+    rng = random.Random(size)
+    rows = [(rng.choice([None, "a", "b", "hot", "hot", "hot"]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(5)
+    path, order = str(tmp_path / "pages"), [F.desc_nulls_last("k"), F.col("i")]
+    ranking.write_pages(df, order, path)
+    want = [tuple(r) for r in df.orderBy(*order).collect()]
+    numbers = sorted({1, 2, 3, -(-400 // size), max(1, 200 // size)})
+    for number in numbers:
+        got = ranking.read_page(spark, path, number, size)
+        assert [tuple(r) for r in got.collect()] == want[(number - 1) * size : number * size] and got.columns == ["k", "i"]
+    assert ranking.read_page(spark, path, 401, size).count() == 0
+    ranking.write_pages(df.limit(0), order, path)
+    assert ranking.read_page(spark, path, 1, size).count() == 0
+
+
+def test_a_deep_page_reads_its_range_only(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    ranking.write_pages(spark.range(100_000).selectExpr("hash(id) AS k", "id"), ["k", "id"], path)
+    page = ranking.read_page(spark, path, 1000, 10)
+    plan = plan_of(page)
+    assert "Limit" not in plan and "TakeOrdered" not in plan and "EqualTo(_range" in plan and "GreaterThanOrEqual(_place" in plan
+    assert [tuple(r) for r in page.collect()] == [tuple(r) for r in spark.range(100_000).selectExpr("hash(id) AS k", "id").orderBy("k", "id").offset(9990).limit(10).collect()]

@@ -91,6 +91,11 @@ def test_latest_label_reads_one_partition(spark, sf_dir, tmp_path):
     assert {r.label for r in latest.collect()} == {"2001_Q3"}
     plan = final_plan(latest)
     assert "PartitionFilters: [isnotnull(label" in plan and "subquery" not in plan.lower()
+    odd = spark.createDataFrame([("a b:1", 1), ("a b:2", 2), (None, 3)], "label string, v int")
+    odd.write.partitionBy("label").parquet(str(tmp_path / "folder of files"))
+    assert [r.v for r in delimited.latest_label(spark.read.parquet(str(tmp_path / "folder of files"))).collect()] == [2]
+    odd.withColumn("k", F.lit(1)).write.partitionBy("k", "label").parquet(str(tmp_path / "second"))
+    assert [r.v for r in delimited.latest_label(spark.read.parquet(str(tmp_path / "second"))).collect()] == [2]
     plain = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "label string, v int")
     assert sorted(r.v for r in delimited.latest_label(plain).collect()) == [2, 3]
 
