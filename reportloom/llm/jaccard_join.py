@@ -68,8 +68,23 @@ def jaccard_classes(docs: DataFrame, words: int, percent: int, id: str = "doc_id
         F.min("id").alias("rep"), F.first("common").alias("common"), F.first("keys").alias("keys")
     )
     classes = stored(classes, "classes")
-    texts = _bucketed_texts(rows, classes, signed)
+    texts, name = _bucketed_texts(rows, classes, signed)
+    try:
+        links = stored(_links(texts, classes, words, percent, order), "links")
+    finally:
+        texts.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
+    component = connected_components(links, "a", "b")
+    named = classes.join(component, classes["rep"] == component["node"], "left").select(
+        "n", "fp1", "fp2", F.coalesce("component", "rep").alias("component_id")
+    )
+    return one.join(named, ["n", "fp1", "fp2"], "left").select(
+        F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
+    )
+
+
+def _links(texts: DataFrame, classes: DataFrame, words: int, percent: int, order: Broadcast) -> DataFrame:
+    """(a, b): links between representatives, as many as their components need; see `jaccard_classes`."""
     keyed = classes.select("rep", "common", F.posexplode("keys").alias("i", "key"))
     leaders = keyed.groupBy("i", "key").agg(F.max(F.struct("common", -F.col("rep")))["col2"].alias("leader"), F.count("*").alias("size"))
     leaders = leaders.where("size > 1").select("i", "key", (-F.col("leader")).alias("leader"))
@@ -81,15 +96,7 @@ def jaccard_classes(docs: DataFrame, words: int, percent: int, id: str = "doc_id
     reps = _grouped(classes, connected_components(close, "a", "b"), pairs)
     matrix = _matrix_rows(texts, reps, words, percent, order)
     pairs = stored(_candidates(matrix, percent), "candidates")
-    links = close.unionByName(_verified(texts, pairs, words, percent))
-
-    component = connected_components(links, "a", "b")
-    named = classes.join(component, classes["rep"] == component["node"], "left").select(
-        "n", "fp1", "fp2", F.coalesce("component", "rep").alias("component_id")
-    )
-    return one.join(named, ["n", "fp1", "fp2"], "left").select(
-        F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
-    )
+    return close.unionByName(_verified(texts, pairs, words, percent))
 
 
 def _signatures(words: int, order: Broadcast):
@@ -116,8 +123,12 @@ def _signatures(words: int, order: Broadcast):
     return signatures
 
 
-def _bucketed_texts(rows: DataFrame, classes: DataFrame, signed: DataFrame) -> DataFrame:
-    """(id, text) of the representatives, bucketed and sorted by id in shared storage."""
+def _bucketed_texts(rows: DataFrame, classes: DataFrame, signed: DataFrame) -> tuple[DataFrame, str]:
+    """(id, text) of the representatives, bucketed and sorted by id in shared storage, and the table's name.
+
+    Buckets need a table of the catalog; the caller drops it when the links are stored. Its files lie below the folder of
+    intermediate tables.
+    """
     spark = rows.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"texts_{uuid.uuid4().hex}"
@@ -125,7 +136,7 @@ def _bucketed_texts(rows: DataFrame, classes: DataFrame, signed: DataFrame) -> D
     reps = largest.join(classes.select(F.col("rep").alias("id"), "n"), "id").select("id", "n", "text")
     writer = reps.repartition(buckets, "id").write.bucketBy(buckets, "id").sortBy("id")
     writer.option("path", fresh_dir(spark, "texts")).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def _largest_texts(rows: DataFrame) -> DataFrame:

@@ -70,6 +70,96 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, end_id: int, id: s
     source.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(shards, SHARDS).write.parquet(path)
 
 
+def _shard_starts(shards: DataFrame) -> DataFrame:
+    """(part, shard, shard_start): ids in all shards before, from sums per shard and per range."""
+    ranges = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("part", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("range_start"))
+    in_range = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    places = shards.select("part", "shard", F.coalesce(F.sum("n_tokens").over(in_range), F.lit(0)).alias("in_range"))
+    return places.join(ranges, "part").select("part", "shard", (F.col("range_start") + F.col("in_range")).alias("shard_start"))
+
+
+def count_tokens_in_shards(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """(token, n): how often each of a few ids occurs in all shards; a shard walks from the id to its range in each plane."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload in batch.column(0):
+                matrix, _, _ = open_shard(payload.as_py())
+                n = [matrix.count(token) for token in tokens]
+                yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(n, pa.int64())], ["token", "n"])
+
+    shards = spark.read.schema(SHARDS).parquet(path).select("payload")
+    found = shards.mapInArrow(counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    asked = spark.createDataFrame([(t,) for t in sorted(set(tokens))], "token long")
+    return asked.join(found, "token", "left").na.fill(0, ["n"])
+
+
+def locate_token(spark: SparkSession, path: str, token: int, context: int = 0) -> DataFrame:
+    """(position, doc_id, offset, around): every occurrence of an id, its place among all ids and in its document.
+
+    `around` has the `context` ids before and after it, within its shard. A shard goes from its k-th occurrence back to the
+    position (select), and from positions to ids (access); the other ids are not unpacked.
+    """
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, shard, payload in zip(*(batch.column(i) for i in range(3))):
+                matrix, doc_ids, lengths = open_shard(payload.as_py())
+                places = [matrix.occurrence(token, k) for k in range(matrix.count(token))]
+                ends = np.cumsum(lengths)
+                doc = np.searchsorted(ends, places, "right")
+                around = [[matrix.access(j) for j in range(max(0, i - context), min(matrix.n, i + context + 1))] if context else [] for i in places]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part.as_py()] * len(places), pa.int32()),
+                        pa.array([shard.as_py()] * len(places), pa.int32()),
+                        pa.array(places, pa.int64()),
+                        pa.array(doc_ids[doc], mask=doc_ids[doc] == NULL_ID),
+                        pa.array(np.array(places, np.int64) - (ends - lengths)[doc]),
+                        pa.array(around, pa.list_(pa.int64())),
+                    ],
+                    ["part", "shard", "place", "doc_id", "offset", "around"],
+                )
+
+    shards = spark.read.schema(SHARDS).parquet(path)
+    found = shards.select("part", "shard", "payload").mapInArrow(
+        occurrences, "part int, shard int, place long, doc_id long, offset long, around array<long>"
+    )
+    return found.join(_shard_starts(shards), ["part", "shard"]).select(
+        (F.col("shard_start") + F.col("place")).alias("position"), "doc_id", "offset", "around"
+    )
+
+
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """(position, token) for each row of `positions` (position: place among all ids); places beyond the ids are left out.
+
+    Positions go to the shard that holds them; each is read by a walk through the planes.
+    """
+    shards = spark.read.schema(SHARDS).parquet(path)
+    starts = _shard_starts(shards).join(shards.select("part", "shard", "n_tokens"), ["part", "shard"])
+    # a row per 2**16 positions that a shard touches, so that the range join is an equi-join on these pieces
+    step = 1 << 16
+    touched = starts.where("n_tokens > 0").withColumn(
+        "piece", F.explode(F.sequence(F.floor(F.col("shard_start") / step), F.floor((F.col("shard_start") + F.col("n_tokens") - 1) / step)))
+    )
+    asked = positions.select(F.col("position").cast("long").alias("position")).withColumn("piece", F.floor(F.col("position") / step))
+    placed = asked.join(touched, "piece").where("position >= shard_start and position < shard_start + n_tokens")
+    wanted = placed.select("part", "shard", "position", (F.col("position") - F.col("shard_start")).alias("place"))
+
+    def read(key, asked: pa.Table, held: pa.Table) -> pa.Table:
+        if not asked.num_rows or not held.num_rows:
+            return pa.table({"position": pa.array([], pa.int64()), "token": pa.array([], pa.int64())})
+        matrix, _, _ = open_shard(held.column("payload")[0].as_py())
+        tokens = [matrix.access(place) for place in asked.column("place").to_pylist()]
+        return pa.table({"position": asked.column("position").combine_chunks(), "token": pa.array(tokens, pa.int64())})
+
+    keys = ["part", "shard"]
+    payloads = spark.read.schema(SHARDS).parquet(path).select(*keys, "payload")  # read anew: `wanted` is derived from `shards`
+    return wanted.groupBy(*keys).cogroup(payloads.groupBy(*keys)).applyInArrow(read, "position long, token long")
+
+
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, part, shard, offset) per document of written shards.
 
@@ -77,16 +167,10 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     only one row per range meets in one task.
     """
     shards = spark.read.schema(SHARDS).parquet(path)
-    ranges = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("part", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("range_start"))
-    in_range = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    places = shards.select("part", "shard", F.coalesce(F.sum("n_tokens").over(in_range), F.lit(0)).alias("in_range"))
-    places = places.join(ranges, "part").select("part", "shard", (F.col("range_start") + F.col("in_range")).alias("shard_start"))
     read = shards.select("part", "shard", "payload").mapInArrow(
         _documents, "part int, shard int, doc_id long, offset long, n_tokens long, ids_crc32 long"
     )
-    return read.join(places, ["part", "shard"]).select(
+    return read.join(_shard_starts(shards), ["part", "shard"]).select(
         "doc_id", (F.col("shard_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "part", "shard", "offset"
     )
 

@@ -2,36 +2,57 @@
 
 The ids of a shard are kept as bit-planes, highest bit first. Below each plane the ids with a 0 bit come
 before those with a 1 bit, in their old order, so that `rank` and `select` on the planes walk from a position
-to its id and from an id to its positions. Each plane is compressed on its own, next to a directory of counts.
+to its id and from an id to its positions. Each plane is compressed on its own, next to a directory of counts, so that a
+look-up opens the planes it walks through and counts at most WORD bits in each.
 
 Layout (little endian): magic, then a zstd frame per section, each with a 32-bit length before it:
 header int64 [tokens, documents, planes], document ids int64 (smallest value for null), document lengths int64, then per
-plane the packed bits.
+plane the rank directory (uint32, the 1 bits before each run of WORD bits and their number) and the packed bits.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable
+from functools import cached_property, partial
 
 import numpy as np
 import zstandard
 
-MAGIC = b"WMX1"
+MAGIC = b"WMX2"
 NULL_ID = np.iinfo(np.int64).min
 WORD = 512  # bits per entry of a rank directory
 
 
+def rank_directory(packed: np.ndarray) -> np.ndarray:
+    """1 bits before each run of WORD bits, and in all."""
+    per = WORD // 8
+    padded = np.zeros(-(-len(packed) // per) * per, np.uint8)
+    padded[: len(packed)] = packed
+    return np.concatenate([[0], np.cumsum(np.bitwise_count(padded).reshape(-1, per).sum(1, dtype=np.int64))])
+
+
 class BitPlane:
-    """Bits with rank and select."""
+    """Bits with rank and select; directory and bits are unpacked when they are first needed."""
+
+    def __init__(self, directory: Callable[[], np.ndarray], packed: Callable[[], np.ndarray], n: int):
+        self._directory, self._packed, self.n = directory, packed, n
+
+    @cached_property
+    def before(self) -> np.ndarray:
+        return self._directory()
 
-    def __init__(self, packed: np.ndarray, n: int):
-        self.packed, self.n = packed, n
-        per = WORD // 8
-        padded = np.zeros(-(-len(packed) // per) * per, np.uint8)
-        padded[: len(packed)] = packed
-        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(padded).reshape(-1, per).sum(1, dtype=np.int64))])
-        self.ones = int(self.before[-1])
-        self.zeros = n - self.ones
+    @cached_property
+    def packed(self) -> np.ndarray:
+        return self._packed()
+
+    @property
+    def ones(self) -> int:
+        return int(self.before[-1])
+
+    @property
+    def zeros(self) -> int:
+        return self.n - self.ones
 
     def bits(self) -> np.ndarray:
         return np.unpackbits(self.packed, count=self.n, bitorder="little").view(bool)
@@ -127,7 +148,9 @@ class WaveletMatrix:
 
 def pack_shard(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray) -> bytes:
     planes = WaveletMatrix.planes_of(ids)
-    sections = [np.array([len(ids), len(doc_ids), len(planes)], "<i8"), doc_ids.astype("<i8"), lengths.astype("<i8"), *planes]
+    sections = [np.array([len(ids), len(doc_ids), len(planes)], "<i8"), doc_ids.astype("<i8"), lengths.astype("<i8")]
+    for plane in planes:
+        sections += [rank_directory(plane).astype("<u4"), plane]
     press = zstandard.ZstdCompressor(level=1)
     out = [MAGIC]
     for section in sections:
@@ -140,11 +163,18 @@ def open_shard(payload: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
     """(ids, document ids, document lengths) of a shard."""
     if payload[:4] != MAGIC:
         raise ValueError("not a token shard")
-    unpress, at, sections = zstandard.ZstdDecompressor(), 4, []
+    at, frames = 4, []
     while at < len(payload):
         (size,) = struct.unpack_from("<I", payload, at)
-        sections.append(unpress.decompress(payload[at + 4 : at + 4 + size]))
+        frames.append((at + 4, at + 4 + size))
         at += 4 + size
-    n, _, width = np.frombuffer(sections[0], "<i8").tolist()
-    planes = [BitPlane(np.frombuffer(s, np.uint8), n) for s in sections[3 : 3 + width]]
-    return WaveletMatrix(planes, n), np.frombuffer(sections[1], "<i8"), np.frombuffer(sections[2], "<i8")
+
+    def section(number: int, kind: str) -> np.ndarray:
+        start, end = frames[number]
+        return np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[start:end]), kind)
+
+    n, _, width = section(0, "<i8").tolist()
+    planes = [
+        BitPlane(lambda i=i: section(3 + 2 * i, "<u4").astype(np.int64), partial(section, 4 + 2 * i, np.uint8), n) for i in range(width)
+    ]
+    return WaveletMatrix(planes, n), section(1, "<i8"), section(2, "<i8")

@@ -202,3 +202,9 @@ def test_recall_of_the_filters_at_the_limit(n):
     y = 0.93 * x + math.sqrt(1 - 0.93**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
     shared = [len(np.intersect1d(a, b)) > 0 for a, b in zip(near_vectors.decode(x, size), near_vectors.decode(y, size))]
     assert np.mean(shared) >= 0.99
+
+
+def test_no_table_is_left_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    jaccard_classes(documents(spark), 5, 80).count()
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -11,9 +11,9 @@ from reportloom.llm import hashing, packing, tokens
 from reportloom.llm.jaccard_join import jaccard_classes
 from reportloom.llm.packing import pack_documents, pack_lengths
 from reportloom.llm.token_counts import count_tokens
-from reportloom.llm.token_shards import read_shards, write_shards
+from reportloom.llm.token_shards import count_tokens_in_shards, locate_token, read_shards, tokens_at, write_shards
 from reportloom.llm.tokens import vocabulary_path
-from reportloom.llm.wavelet import open_shard, pack_shard
+from reportloom.llm.wavelet import open_shard, pack_shard, rank_directory
 from reportloom.workspace import fresh_dir
 
 BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -129,6 +129,42 @@ def test_wavelet_matrix_against_plain_arrays():
         assert [matrix.access(i) for i in range(0, n, 97)] == ids[::97].tolist()
 
 
+def test_look_ups_in_shards(spark, monkeypatch):
+    from reportloom.llm import token_shards
+
+    monkeypatch.setattr(token_shards, "SHARD_TOKENS", 300)
+    rows, path = awkward_documents(), fresh_dir(spark, "shards")
+    write_shards(documents(spark, rows), path, vocabulary_path(WORD), end_id=1)
+    every, places = [], []
+    for i, t in sorted(rows):
+        ids = [*library_ids(WORD, t), 1]
+        places += [(i, offset) for offset in range(len(ids))]
+        every += ids
+    assert spark.read.parquet(path).count() > 10
+    asked = [1, every[3], every[40], 49407, 60_000]
+    got = {r["token"]: r["n"] for r in count_tokens_in_shards(spark, path, asked).collect()}
+    assert got == {t: every.count(t) for t in asked}
+    for token in asked[:3] + asked[4:]:
+        found = sorted((r.position, r.doc_id, r.offset) for r in locate_token(spark, path, token).collect())
+        assert found == [(p, *places[p]) for p, t in enumerate(every) if t == token]
+    around = locate_token(spark, path, every[3], context=2).collect()
+    assert all(every[3] in r.around and set(r.around) <= set(every[r.position - 2 if r.position > 1 else 0 : r.position + 3]) for r in around)
+    wanted = [0, 5, 299, 300, 301, len(every) - 1, len(every), -1, 5]
+    positions = spark.createDataFrame([(p,) for p in wanted], "position long")
+    got = sorted((r["position"], r["token"]) for r in tokens_at(spark, path, positions).collect())
+    assert got == sorted((p, every[p]) for p in wanted if 0 <= p < len(every))
+
+
+def test_planes_are_opened_when_they_are_needed():
+    ids = np.random.default_rng(2).integers(0, 1 << 12, 40_000).astype(np.uint32)
+    matrix, _, lengths = open_shard(pack_shard(ids, np.array([1]), np.array([40_000])))
+    assert not any("packed" in plane.__dict__ for plane in matrix.planes) and lengths.tolist() == [40_000]
+    assert matrix.planes[0].ones == int((ids >= 1 << 11).sum()) and "packed" not in matrix.planes[0].__dict__
+    assert matrix.count(1 << 13) == 0 and matrix.access(77) == ids[77]
+    for plane in matrix.planes:
+        assert (plane.before == rank_directory(plane.packed)).all()
+
+
 def check_packing(rows, got, capacity):
     by_doc, by_sequence = {}, {}
     for r in got:
