@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -204,6 +205,49 @@ def test_toxicity_on_held_out_and_disguised_texts(spark):
     assert sorted(r.predicted for r in got[5000]) == [1, 1] and got[None][0].predicted == 1
 
 
+def plain_scores(rows, labels, restorer):
+    """Word list and scores by their definition: sets of words and beginnings per text, counts, intervals, sums."""
+    folds = {c: c + 32 for c in [*range(65, 91), *range(0xC0, 0xDF)] if c != 0xD7}
+
+    def features(text):
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", restorer.text((text or "").translate(folds)).translate(folds).encode())
+        return {(0, w) for w in words} | {(n, w[:n]) for n in toxicity.PREFIX_BYTES for w in words if len(w) > n}
+
+    found = {(t or "", labels[i]): features(t) for i, t in rows if i in labels}
+    totals = [sum(y == label for _, y in found) for label in (0, 1)]
+    base = math.log((totals[1] + 1) / (totals[0] + 1))
+    counts = {}
+    for (_, y), some in found.items():
+        for f in some:
+            counts.setdefault(f, [0, 0])[y] += 1
+    weights, z2 = {}, toxicity.CAUTION**2
+    for f, (zeros, ones) in counts.items():
+        n, share = zeros + ones, ones / (zeros + ones)
+        low = (share + z2 / (2 * n) - toxicity.CAUTION * math.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+        if share >= toxicity.LEAST_SHARE and low >= 0.5:
+            weights[f] = math.log(low / (1 - low)) - base
+    logits = [base + sum(weights.get(f, 0) for f in features(t)) for _, t in rows]
+    return [1 / (1 + math.exp(-min(30, max(-30, x)))) for x in logits], weights
+
+
+def test_toxicity_scores_against_a_plain_version(spark):
+    rows, labels = labelled(400)
+    rng = random.Random(3)
+    signs = {"o": "0", "i": "1", "e": "3", "a": "4", "s": "5", "t": "7", "b": "8"}
+    for k in range(0, 400, 8):  # disguised in several ways, also where the label says so
+        i, text = rows[k]
+        words = [rng.choice(BAD)] + text.split()
+        change = rng.choice([lambda w: "".join(signs.get(c, c) for c in w), lambda w: " ".join(w), lambda w: w[0] + w[1] * 4 + w[2:], str.upper])
+        rows[k] = (i, " ".join(words[1:]) + " " + change(words[0]))
+    rows += [(2000 + i, t) for i, t in enumerate([None, "", "  ", "É école vilething ÈÉ", "a" * 90 + " 12 34", prose(77, 400), rows[8][1]])]
+    docs = documents(spark, rows)
+    restorer = Restorer(toxicity.character_model(docs.select("text")))
+    want, weights = plain_scores(rows, dict(labels), restorer)
+    assert {w.encode() for w in BAD} <= {f[1] for f in weights}
+    got = {r.doc_id: r.score for r in score_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), 10_000).collect()}
+    assert [got[i] for i, _ in rows] == pytest.approx(want, abs=1e-9)
+
+
 def test_toxicity_of_several_words_in_spaced_letters(spark):
     rows, labels = labelled()
     tests = [("".join(w + " " for w in "amber birch vilething ocean".replace(" ", "")), 1), ("m a r s h n a s t y o n e g r u b w o r d", 1)]
