@@ -50,12 +50,16 @@ def _words(text: Column) -> Column:
 
 
 def _grams(term: Column) -> Column:
-    marked = F.concat(F.lit(BEGIN), term, F.lit(END))
+    """The distinct pieces of two and three letters of the marked word, in time linear in its length."""
 
-    def pieces(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i: F.substring(marked, i, F.lit(n)))
+    def pieces(letters: Column) -> Column:
+        def of(n: int) -> Column:
+            starts = F.sequence(F.lit(1), F.size(letters) - n + 1)  # a marked word has three letters at least
+            return F.transform(starts, lambda i: F.concat(*[F.element_at(letters, i + k) for k in range(n)]))
 
-    return F.array_distinct(F.concat(pieces(2), pieces(3)))  # a marked word has three letters at least
+        return F.array_distinct(F.concat(of(2), of(3)))
+
+    return let(F.split(F.concat(F.lit(BEGIN), term, F.lit(END)), ""), pieces)
 
 
 def write_index(docs: DataFrame, path: str, key: str, fields: Sequence[str] = tuple(WEIGHTS), folders: int = FOLDERS) -> None:

@@ -21,7 +21,9 @@ from .retrieval import _matcher
 
 CELL_ROWS = 4096  # vectors a cell should hold
 MOST_CELLS = 4096  # rows of the table of cells, which every task that plans questions holds
+CENTRE_BYTES = 16 << 20  # size of their centres; long vectors mean fewer cells
 SAMPLE_PER_CELL = 24  # vectors looked at for each centre
+SAMPLE_BYTES = 64 << 20  # and the size of all of them, which the driver holds
 ROUNDS = 4  # of moving the centres to the mean of their sample
 NO_DIRECTION = -1  # cell of vectors of length zero, whose score is 0
 SLACK = 1e-8  # scores are rounded to nine places and angles have rounding errors; bounds are raised by this
@@ -41,9 +43,9 @@ def _units(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows / np.where(some, norms, 1)[:, None], some
 
 
-def _centres(vectors: DataFrame, vector: str, n: int, cells: int, seed: int) -> np.ndarray:
-    """Unit centres from a bounded sample: at most SAMPLE_PER_CELL * MOST_CELLS vectors reach the driver."""
-    wanted = cells * SAMPLE_PER_CELL
+def _centres(vectors: DataFrame, vector: str, n: int, dim: int, cells: int, seed: int) -> np.ndarray:
+    """Unit centres from a bounded sample: at most SAMPLE_PER_CELL vectors a cell, and SAMPLE_BYTES, reach the driver."""
+    wanted = max(cells, min(cells * SAMPLE_PER_CELL, SAMPLE_BYTES // (8 * dim)))
     sample = vectors.select(vector).sample(min(1.0, 1.2 * wanted / n), seed=seed).limit(wanted).toArrow()
     units, some = _units(_matrix(sample.column(0)))
     units = np.unique(units[some], axis=0)
@@ -71,9 +73,9 @@ def write_cells(
     """
     spark = vectors.sparkSession
     known = vectors.filter(F.col(vector).isNotNull()).select(*ids, vector)
-    n = known.count()
-    wanted = min(MOST_CELLS, cells or max(1, -(-n // CELL_ROWS)))
-    centres = _centres(known, vector, max(n, 1), wanted, seed) if n else np.zeros((0, 0))
+    n, dim = known.agg(F.count("*"), F.max(F.size(vector))).first()
+    wanted = max(1, min(MOST_CELLS, CENTRE_BYTES // (8 * max(1, dim or 1)), cells or -(-n // CELL_ROWS)))
+    centres = _centres(known, vector, n, max(1, dim), wanted, seed) if n else np.zeros((0, 0))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,9 +6,10 @@ import random
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from reportloom.operators.search import search
-from reportloom.operators.text_index import TextIndex, search_index, write_index
+from reportloom.operators.text_index import BEGIN, END, TextIndex, _grams, search_index, write_index
 
 WORDS = "harbour harbor harbours labour arbour a b ab the thee Bay BAY bay-side über été x1 international internationally".split()
 GAPS = [" ", " ", " ", " ", "  ", "\n", "\t", " \n"]
@@ -85,6 +86,14 @@ def test_only_the_folders_of_the_query_are_read(spark, indexed):
     assert "levenshtein(term" in near and "levenshtein(text" not in near
 
 
+def test_pieces_of_words(spark):
+    words = ["a", "ab", "über", "aaaa", "x" * 300_000 + "yz", "e\u0301\U0001f600"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", _grams(F.col("w")).alias("g")).collect()
+    for r in got:
+        marked = BEGIN + r["w"] + END
+        assert sorted(r["g"]) == sorted({marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)})
+
+
 def test_index_of_an_empty_table(spark, tmp_path):
     docs = documents(spark).limit(0)
     write_index(docs, str(tmp_path / "i"), "id")

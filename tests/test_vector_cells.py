@@ -67,6 +67,17 @@ def test_few_cells_are_opened(spark, tmp_path):
     assert opened < 0.15 * len(cells) * len(centres)
 
 
+def test_long_vectors_mean_fewer_cells(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(vector_cells, "CENTRE_BYTES", 5 * 8 * 16)
+    monkeypatch.setattr(vector_cells, "SAMPLE_BYTES", 9 * 8 * 16)
+    vectors, centres = clustered(300)
+    table, questions = frame(spark, vectors), asked(spark, centres[:3])
+    write_cells(table, str(tmp_path / "c"), ["doc", "part"], cells=64)
+    assert len(read_cells(spark, str(tmp_path / "c"))) <= 5
+    got = retrieve_from_cells(spark, str(tmp_path / "c"), questions, 4, ["doc", "part"])
+    assert rows(got) == rows(retrieve(table, questions, 4, ["doc", "part"]))
+
+
 def test_bounds_hold_for_every_vector(spark, tmp_path):
     vectors, centres = clustered(1500, 12, 20)
     path = str(tmp_path / "c")
