@@ -63,31 +63,33 @@ def newest_drop(spark: SparkSession, folder: str, glob: str = "*.csv") -> str:
     return _newest(spark, folder, glob).rsplit("/", 1)[0]
 
 
-def _headers(spark: SparkSession, folders: Sequence[str]) -> dict[str, list[str]]:
-    """Files by their header line. Only a file's first split can hold it, so the first line read is the header."""
+def _headers(spark: SparkSession, folders: Sequence[str]) -> list[list[str]]:
+    """Paths to read together: the folders, if all files begin with the same line, else the files of each header line.
+
+    Only a file's first split can hold its header, so the first line read there is the header. File names reach the driver
+    only where headers differ.
+    """
     lines = spark.read.option("recursiveFileLookup", True).text(list(folders)).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
     found = lines.filter("start = 0").groupBy("file").agg(F.first("value").alias("header"))
-    files: dict[str, list[str]] = {}
-    for row in found.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
-        files[row.header] = row.files
-    return files
+    if len(found.select("header").distinct().limit(2).collect()) < 2:
+        return [list(folders)]
+    names = found.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [row.files for row in names.orderBy("header").collect()]
 
 
 def read_parts(spark: SparkSession, *folders: str, schema: StructType | str | None = None, one_header: bool = False) -> DataFrame:
-    """CSV part files of one or more folders, stacked by column name; absent columns become null.
+    """CSV part files of one or more folders, at any depth, stacked by column name; absent columns become null.
 
     Files are grouped by their header line first, so that files of one folder may name their columns in any
     order. That reads the text once more; `one_header` says that the files of each folder agree, and one that
     does not is then an error. Types are inferred, which costs a pass; give a schema for large inputs.
     """
-    groups = [[folder] for folder in folders] if one_header else list(_headers(spark, folders).values())
-    if not groups:  # files without any line
-        groups = [[folder] for folder in folders]
+    groups = [[folder] for folder in folders] if one_header else _headers(spark, folders)
     parts = []
     for paths in groups:
-        reader = spark.read.option("header", True).option("enforceSchema", False)
+        reader = spark.read.option("header", True).option("enforceSchema", False).option("recursiveFileLookup", True)
         if schema is None:
             parts.append(reader.option("inferSchema", True).csv(paths))
             continue
