@@ -92,15 +92,25 @@ def loess(df: DataFrame, x: str, y: str, by: str | None = None, span: float = 0.
     nearest `span` of the points get tricube weights; the weighted least-squares parabola at the period itself
     comes from weighted sums in closed form (a line or a mean, where there are only two points or one). Points
     need a numeric `x`; rows with nulls are left out.
+
+    The k nearest points are a run of the sorted series. It begins behind as many points as there are middles, between
+    a point and the one k further on, that lie before the period; only the run is unfolded.
     """
     series = [by] if by else []
     points = df.select(*series, F.col(x).alias("_px"), F.col(y).alias("_py"))
     points = points.dropna().groupBy(*series).agg(F.sort_array(F.collect_list(F.struct("_px", "_py"))).alias("_all"))
     near = F.least(F.size("_all"), F.greatest(F.lit(2), F.floor(F.size("_all") * span + 1e-5).cast("int")))
-    pairs = points.select(*series, "_all", near.alias("_near"), F.posexplode("_all").alias("_no", "_at"))
-    gap = lambda p: F.abs(p["_px"].cast("double") - F.col("_at._px").cast("double"))
-    reach = F.sort_array(F.transform("_all", gap))[F.col("_near") - 1]
-    pairs = pairs.select(*series, "_no", "_at", reach.alias("_reach"), F.explode("_all").alias("_p"))
+    points = points.withColumn("_near", near)
+    place = lambda i: F.element_at("_all", i)["_px"].cast("double")
+    numbers = F.sequence(F.lit(1), F.size("_all") - F.col("_near"))
+    middles = F.when(F.size("_all") > F.col("_near"), F.transform(numbers, lambda i: (place(i) + place(i + F.col("_near"))) / 2))
+    points = points.withColumn("_middles", F.coalesce(middles, F.array().cast("array<double>")))
+    pairs = points.select(*series, "_all", "_near", "_middles", F.posexplode("_all").alias("_no", "_at"))
+    at = F.col("_at._px").cast("double")
+    run = F.slice("_all", F.size(F.filter("_middles", lambda m: m < at)) + 1, F.col("_near"))
+    pairs = pairs.select(*series, "_no", "_at", run.alias("_run"))
+    ends = [F.abs(F.element_at("_run", i)["_px"].cast("double") - at) for i in (1, -1)]
+    pairs = pairs.select(*series, "_no", "_at", F.greatest(*ends).alias("_reach"), F.explode("_run").alias("_p"))
     step = (F.col("_p._px").cast("double") - F.col("_at._px").cast("double")) / F.when(F.col("_reach") > 0, F.col("_reach")).otherwise(1.0)
     pairs = pairs.select(*series, "_no", "_at", step.alias("_d"), F.col("_p._py").cast("double").alias("_v"))
     weight = F.when(F.abs("_d") < 1, F.pow(1 - F.pow(F.abs("_d"), F.lit(3)), F.lit(3))).otherwise(0.0)
