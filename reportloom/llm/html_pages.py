@@ -45,25 +45,32 @@ _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true)""", re.I)
 
 
+# Elements that divide a page. Of equal siblings the k-th is "name:k" in a place, so that it is an element of its own.
+CONTAINERS = frozenset("div section article main aside nav form header footer center fieldset details dialog figure hgroup".split())
 DEEPEST = 64  # steps of a path; elements further in count as part of the element there, and their text belongs to it
 
 
 class Block(NamedTuple):
-    """A run of text: its element path, whether an aside holds it, and the text with references decoded."""
+    """A run of text: its element path, whether an aside holds it, the text with references decoded, and its place.
+
+    The place is the path with containers numbered among equal siblings.
+    """
 
     path: tuple[str, ...]
     asides: tuple[bool, ...]
     text: str
+    place: tuple[str, ...]
 
 
 def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
-    """Text blocks in page order, and how often each element path occurs."""
+    """Text blocks in page order, and how often each place has an element."""
     blocks: list[Block] = []
     seen: dict[tuple[str, ...], int] = {}
     names: list[str] = []  # open elements
     opened: dict[str, int] = defaultdict(int)  # how many of a name are open
-    # per open element, and outside all: path, asides, steps up to the innermost block element, article around it
-    states: list[tuple[tuple[str, ...], tuple[bool, ...], int, bool]] = [((), (), 0, False)]
+    # per open element, and outside all: path, place, asides, steps up to the innermost block element, article around it
+    states: list[tuple[tuple[str, ...], tuple[str, ...], tuple[bool, ...], int, bool]] = [((), (), (), 0, False)]
+    siblings: list[dict[str, int]] = [{}]  # containers inside the open element so far, by step
     held: list[str] = []
     at, end = 0, len(source)
 
@@ -73,8 +80,8 @@ def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
                 # inline elements do not make slots: the block belongs to the innermost block element
-                path, asides, depth, _ = states[-1]
-                blocks.append(Block(path[:depth], asides[:depth] + (any(asides[depth:]),), text))
+                path, place, asides, depth, _ = states[-1]
+                blocks.append(Block(path[:depth], asides[:depth] + (any(asides[depth:]),), text, place[:depth]))
             held = []
 
     def last(name: str) -> int:
@@ -87,7 +94,7 @@ def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
     def pop_to(size: int) -> None:
         for name in names[size:]:
             opened[name] -= 1
-        del names[size:], states[size + 1 :]
+        del names[size:], states[size + 1 :], siblings[size + 1 :]
 
     while at < end:
         match = _TOKEN.match(source, at)
@@ -131,19 +138,23 @@ def page_blocks(source: str) -> tuple[list[Block], dict[tuple[str, ...], int]]:
             if name in VOID:
                 continue
             step, aside = _element(name, attributes)
-            path, asides, depth, in_article = states[-1]
+            path, place, asides, depth, in_article = states[-1]
             if name == "header":  # a page's header, not that of an article
                 aside = aside or not in_article
             if len(path) < DEEPEST:
-                path, asides = (*path, step), (*asides, aside)
+                number = 1
+                if name in CONTAINERS:
+                    number = siblings[-1][step] = siblings[-1].get(step, 0) + 1
+                path, place, asides = (*path, step), (*place, step if number == 1 else f"{step}:{number}"), (*asides, aside)
                 if name in BLOCK:
                     depth = len(path)
-                    seen[path] = seen.get(path, 0) + 1
+                    seen[place] = seen.get(place, 0) + 1
             elif aside:
                 asides = (*asides[:-1], True)
             names.append(name)
             opened[name] += 1
-            states.append((path, asides, depth, in_article or name in ("article", "main")))
+            states.append((path, place, asides, depth, in_article or name in ("article", "main")))
+            siblings.append({})
             if attributes.endswith("/") and name not in BLOCK:
                 pop_to(len(names) - 1)
     flush()

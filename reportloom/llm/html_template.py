@@ -37,7 +37,8 @@ def extract_main_text(pages: DataFrame, id: str = "page_id", url: str = "url", s
 
     Tokens are element paths (names with class and id) and texts at a path. For each host and token the pages
     with it give an occurrence vector, kept as a sum of hashes of (page, count), so that no task gathers a
-    host's pages. Tokens of a host with equal vectors form an equivalence class. Frequent classes whose elements
+    host's pages. Equal siblings are elements of their own, by number, where all pages have as many of them. Tokens of
+    a host with equal vectors form an equivalence class. Frequent classes whose elements
     are on a page once at most are valid and nest by their paths; they are the host's template. The slot for the
     article is the innermost container of a valid class that still holds MAIN_SHARE of the host's variable text
     outside asides, and the headline if that varies; within an article element it is that element. A list, table
@@ -67,16 +68,16 @@ def extract_main_text(pages: DataFrame, id: str = "page_id", url: str = "url", s
 
 
 def deduced_templates(rows: DataFrame) -> DataFrame:
-    """(host, slot, fixed, texts): path of the main slot, paths that hold template text only, and further template texts at a path."""
+    """(host, slot, fixed, texts): place of the main slot, paths that hold template text only, and further template texts at a path."""
     hosted = rows.where("host is not null and html is not null")
     tokens = stored(
         hosted.select("host", F.xxhash64("id", "url").alias("page"), "html").mapInArrow(
-            _page_tokens, "host string, path string, text long, pages long, vector long, most int, chars long, aside boolean"
+            _page_tokens, "host string, place string, path string, text long, pages long, vector long, most int, chars long, aside boolean"
         ),
         "page-tokens",
     )
     # text = 0 stands for the element itself
-    tokens = tokens.groupBy("host", "path", "text").agg(
+    tokens = tokens.groupBy("host", "place", "path", "text").agg(
         F.sum("pages").alias("pages"),
         F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"),
         F.max("most").alias("most"),
@@ -86,7 +87,10 @@ def deduced_templates(rows: DataFrame) -> DataFrame:
     tokens = stored(tokens, "host-tokens")
     sizes = hosted.groupBy("host").agg(F.count("*").alias("host_pages")).where(F.col("host_pages") >= LEAST_PAGES)
     sizes = stored(sizes, "host-sizes")
-    texts = tokens.where("text <> 0").join(sizes, "host")
+    standing = tokens.where("text <> 0").select("host", "place", "path", "text", "pages", "chars", "aside").join(sizes, "host")
+    texts = standing.groupBy("host", "path", "text").agg(
+        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.max("aside").alias("aside"), F.first("host_pages").alias("host_pages")
+    )
     texts = texts.withColumn("is_fixed", (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= FIXED_TEXT * F.col("host_pages")))
     places = (
         texts.groupBy("host", "path")
@@ -104,37 +108,54 @@ def deduced_templates(rows: DataFrame) -> DataFrame:
     mixed = stored(mixed, "mixed-texts")
     own = _without_copies(hosted, texts, mixed.where("not place_aside"))
     template = stored(mixed.where("place_aside").drop("place_aside").unionByName(own), "template-texts")
-    dropped = template.groupBy("host", "path").agg(F.sum("chars").alias("dropped"))
-    variable = places.where("not (fixed and pure) and not aside").join(dropped, ["host", "path"], "left")
-    variable = variable.select("host", "path", (F.col("chars") - F.coalesce("dropped", F.lit(0))).alias("chars"))
+    pure = places.where("fixed and pure").select("host", "path")
+    variable = standing.where("not aside").join(pure, ["host", "path"], "left_anti")
+    variable = variable.join(template.select("host", "path", "text"), ["host", "path", "text"], "left_anti")
+    variable = stored(variable.groupBy("host", "place").agg(F.sum("chars").alias("chars")), "variable-text")
     # equivalence classes of elements: equal occurrence vectors; the largest occurrence is part of the vector
-    elements = tokens.where("text = 0").join(sizes, "host").where(F.col("pages") >= FREQUENT * F.col("host_pages"))
+    elements = tokens.where("text = 0").join(sizes, "host")
+    # numbers of equal siblings mean something only where all pages have as many of them
+    family = F.regexp_replace("place", ":[1-9][0-9]*$", "")
+    unstable = elements.groupBy("host", family.alias("family")).agg(F.count_distinct("pages", "vector").alias("n")).where("n > 1")
+    elements = elements.where(F.col("pages") >= FREQUENT * F.col("host_pages"))
     classes = Window.partitionBy("host", "pages", "vector")
     valid = elements.withColumn("class_size", F.count("*").over(classes)).where("most = 1 and class_size > 1")
-    # a path's text counts for all elements around it
+    # a place's text counts for all elements around it
     around = F.transform(
-        F.sequence(F.lit(1), F.size(F.split("path", " "))),
-        lambda n: F.array_join(F.slice(F.split("path", " "), 1, n), " "),
+        F.sequence(F.lit(1), F.size(F.split("place", " "))),
+        lambda n: F.array_join(F.slice(F.split("place", " "), 1, n), " "),
     )
-    masses = variable.select("host", F.explode(around).alias("path"), "chars")
-    masses = masses.groupBy("host", "path").agg(F.sum("chars").alias("mass"))
+    families = F.transform(around, lambda p: F.regexp_replace(p, ":[1-9][0-9]*$", ""))
+    masses = variable.select("host", F.explode(around).alias("place"), "chars")
+    masses = masses.groupBy("host", "place").agg(F.sum("chars").alias("mass"))
     whole = variable.groupBy("host").agg(F.sum("chars").alias("whole"))
     # the headline, where it varies, belongs to the slot; an article element around the slot is the slot
-    headline = F.when(F.col("path").rlike(r"(?:^| )h1(?:[.#][^ ]*)?$"), F.col("chars"))
-    headlines = variable.withColumn("chars", headline).where("chars > 0").select("host", F.explode(around).alias("path"), "chars")
-    headlines = headlines.groupBy("host", "path").agg(F.sum("chars").alias("headline"))
-    outer = F.col("path").rlike("^html(?:[.#][^ ]*)?(?: body(?:[.#][^ ]*)?)?$|^body(?:[.#][^ ]*)?$")
-    steps = F.size(F.split("path", " "))
-    slots = (
-        valid.where(~F.col("path").rlike(LEAVES))
-        .select("host", "path")
-        .join(masses, ["host", "path"])
+    headline = F.when(F.col("place").rlike(r"(?:^| )h1(?:[.#][^ ]*)?$"), F.col("chars"))
+    headlines = variable.withColumn("chars", headline).where("chars > 0").select("host", F.explode(around).alias("place"), "chars")
+    headlines = headlines.groupBy("host", "place").agg(F.sum("chars").alias("headline"))
+    outer = F.col("place").rlike("^html(?:[.#][^ ]*)?(?: body(?:[.#][^ ]*)?)?$|^body(?:[.#][^ ]*)?$")
+    steps = F.size(F.split("place", " "))
+    # a container without a name that holds its text itself is a paragraph of the one around it
+    unnamed = F.col("place").rlike("(?:^| )[a-z]+(?::[0-9]+)?$")
+    paragraph = unnamed & (2 * F.coalesce("chars", F.lit(0)) >= F.col("mass"))
+    candidates = (
+        valid.where(~F.col("place").rlike(LEAVES))
+        .select("host", "place")
+        .join(masses, ["host", "place"])
         .join(whole, "host")
         .where(F.col("mass") >= MAIN_SHARE * F.col("whole"))
-        .join(headlines, ["host", "path"], "left")
+        .join(variable, ["host", "place"], "left")
+        .where(~paragraph | outer)
+        .drop("chars")
+        .join(headlines, ["host", "place"], "left")
+    )
+    candidates = stored(candidates, "slots")
+    loose = candidates.select("host", "place", F.explode(families).alias("family")).join(unstable, ["host", "family"], "left_semi")
+    slots = (
+        candidates.join(loose.select("host", "place"), ["host", "place"], "left_anti")
         .groupBy("host")
-        .agg(F.max(F.struct(F.when(~outer, F.coalesce("headline", F.lit(0))).otherwise(0), steps, "mass", "path"))["path"].alias("slot"))
-        .withColumn("article", F.regexp_extract("slot", r"^(?:.* )?(?:article|main)(?:[.#][^ ]*)?(?= |$)", 0))
+        .agg(F.max(F.struct(F.when(~outer, F.coalesce("headline", F.lit(0))).otherwise(0), steps, "mass", "place"))["place"].alias("slot"))
+        .withColumn("article", F.regexp_extract("slot", r"^(?:.* )?(?:article|main)(?:[.#:][^ ]*)?(?= |$)", 0))
         .select("host", F.when(F.col("article") != "", F.col("article")).otherwise(F.col("slot")).alias("slot"))
     )
     fixed = places.where("fixed and pure").groupBy("host").agg(F.collect_set("path").alias("fixed"))
@@ -184,20 +205,20 @@ def _step(path: tuple[str, ...]) -> str:
 def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens of the pages of a batch, added up per host."""
     for batch in batches:
-        total: dict[tuple[str, str, int], list] = defaultdict(lambda: [0, 0, 0, 0, False])
+        total: dict[tuple[str, str, str, int], list] = defaultdict(lambda: [0, 0, 0, 0, False])
         hosts, pages, sources = (batch.column(i).to_pylist() for i in range(3))
         for host, page, source in zip(hosts, pages, sources):
             blocks, seen = page_blocks(source)
-            texts: dict[tuple[str, int], list] = defaultdict(lambda: [0, 0, False])
+            texts: dict[tuple[str, str, int], list] = defaultdict(lambda: [0, 0, False])
             for block in blocks:
-                found = texts[_step(block.path), _text_hash(block.text)]
+                found = texts[_step(block.place), _step(block.path), _text_hash(block.text)]
                 found[0] += 1
                 found[1] += len(block.text)
                 found[2] |= any(block.asides)
-            for path, count in seen.items():
-                texts[_step(path), 0][0] += count
-            for (path, text), (count, chars, aside) in texts.items():
-                entry = total[host, path, text]
+            for place, count in seen.items():
+                texts[_step(place), "", 0][0] += count
+            for (place, path, text), (count, chars, aside) in texts.items():
+                entry = total[host, place, path, text]
                 entry[0] += 1
                 entry[1] += _vector_part(page, count)
                 entry[2] = max(entry[2], count)
@@ -207,14 +228,15 @@ def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [
             pa.array([k[0] for k in keys], pa.string()),
             pa.array([k[1] for k in keys], pa.string()),
-            pa.array([k[2] for k in keys], pa.int64()),
+            pa.array([k[2] for k in keys], pa.string()),
+            pa.array([k[3] for k in keys], pa.int64()),
             pa.array([v[0] for v in values], pa.int64()),
             pa.array([(v[1] + (1 << 63)) % (1 << 64) - (1 << 63) for v in values], pa.int64()),
             pa.array([v[2] for v in values], pa.int32()),
             pa.array([v[3] for v in values], pa.int64()),
             pa.array([v[4] for v in values], pa.bool_()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "path", "text", "pages", "vector", "most", "chars", "aside"])
+        yield pa.RecordBatch.from_arrays(columns, ["host", "place", "path", "text", "pages", "vector", "most", "chars", "aside"])
 
 
 def _text_hash(text: str) -> int:
@@ -253,7 +275,7 @@ def main_blocks(
     """The texts of the article; see `extract_main_text`."""
     if slot is not None:
         depth, dropped = len(slot.split(" ")), set(fixed or ())
-        inside = [b for b in blocks if _step(b.path[:depth]) == slot]
+        inside = [b for b in blocks if _step(b.place[:depth]) == slot]
         if inside:
             left = [(b, _step(b.path)) for b in inside if not any(b.asides[depth:])]
             left = [(b, path) for b, path in left if path not in dropped or _is_text_part(b.path[depth:])]

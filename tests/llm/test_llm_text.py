@@ -375,6 +375,33 @@ def test_articles_of_lists_and_single_paragraphs(spark):
     assert {r.page_id: r.text for r in extract_main_text(table).collect()} == {i: text for i, _, _, text in rows}
 
 
+STRIPPED = "<html><body><div><ul><li>{a}<li>{b}</ul></div><div>{ad}</div><div><h1>{title}</h1><p>{one}<p>{two}</div><div>{foot}</div></body></html>"
+
+
+def test_pages_without_names_are_told_by_their_template(spark):
+    """No class, no id, no telling element: menus and adverts vary, too, and only occurrences tell the article."""
+    rows, numbered = [], []
+    for i in range(24):
+        parts = {"title": f"Title {i} " + prose(i, 3), "one": prose(100 + i, 70), "two": prose(200 + i, 40)}
+        rest = {"a": prose(300 + i, 1), "b": prose(400 + i, 1), "ad": prose(500 + i, 9), "foot": prose(600 + i, 4)}
+        text = "\n".join(parts.values())
+        rows.append((i, f"http://stripped.example/{i}", STRIPPED.format(**parts, **rest), text))
+        # a host on which the advert is not on all pages: numbers say nothing there, so nothing is lost
+        html = STRIPPED.format(**parts, **rest)
+        if i % 2:
+            html = html.replace(f"<div>{rest['ad']}</div>", "")
+        rows.append((100 + i, f"http://changing.example/{i}", html, None))
+        numbered.append((100 + i, text))
+    table = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in extract_main_text(table).collect()}
+    assert {i: got[i] for i in range(24)} == {i: t for i, _, _, t in rows if t is not None}
+    assert all(text in got[i] for i, text in numbered)
+    blocks, _ = page_blocks(rows[0][2])
+    assert "\n".join(main_blocks(blocks, None, None)) != rows[0][3]  # the words for asides alone do not tell
+    slots = {r.host: r.slot for r in deduced_templates(table.withColumnRenamed("page_id", "id").withColumn("host", host_of(F.col("url")))).collect()}
+    assert slots == {"stripped.example": "html body div:3", "changing.example": "html body"}
+
+
 def test_reader_of_deep_pages():
     deep = "<body>" + "<div>" * 50_000 + "text" + "</div>x" * 50_000
     blocks, seen = page_blocks(deep)
