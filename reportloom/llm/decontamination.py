@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .hashing import NOT_IN_WORD, chained, folded, running_sums, span_hashes, text_blocks, word_spans
+from .hashing import NOT_IN_WORD, chained, folded, span_hashes, text_blocks, word_spans
 from .storage import batches_by_bytes
 
 RADIUS = 8  # differing bits of 64 that are always found
@@ -29,7 +29,7 @@ def word_hashes(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     for first, end, raw, offsets in text_blocks(texts):
         raw = folded(raw)
         starts, ends, firsts = word_spans(raw, offsets, NOT_IN_WORD)
-        yield first, end, span_hashes(running_sums(raw), starts, ends), ends - starts, firsts
+        yield first, end, span_hashes(raw, starts, ends), ends - starts, firsts
 
 
 def sign_sums(hashes: np.ndarray, sizes: np.ndarray, grid: int) -> np.ndarray:

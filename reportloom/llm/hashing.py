@@ -1,7 +1,7 @@
 """64-bit hashes of words and word shingles for whole Arrow columns, as numpy arrays.
 
-The text is never turned into Python strings: words are found in the UTF-8 bytes, and their hashes come
-from one running polynomial sum over a block of texts.
+The text is never turned into Python strings: words are found in the UTF-8 bytes, and their hashes are made from eight bytes
+at a time, or, for long spans, from running sums of a polynomial over their bytes.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ BLOCK_BYTES = 1 << 19  # bytes of text hashed at once; a longer single text is o
 PRIME = (1 << 61) - 1
 _BASE = 0x0B7E151628AED2A6 % PRIME  # any fixed number below PRIME would do
 _INVERSE = pow(_BASE, -1, PRIME)
+SHORT_SPAN = 64
 LONG_SPAN = 1 << 22  # bytes; the sum of a longer span could pass 64 bits and is put together from parts
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -27,6 +28,8 @@ NOT_IN_WORD[48:58] = NOT_IN_WORD[65:91] = NOT_IN_WORD[97:123] = NOT_IN_WORD[128:
 _halves = [np.zeros(0, np.uint64)] * 2
 _powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
 _P, _LOW31, _LOW30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of the first n bytes
 _S30, _S31, _S61 = np.uint64(30), np.uint64(31), np.uint64(61)
 
 
@@ -85,8 +88,55 @@ def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int
         first = end
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each byte span; equal bytes give equal hashes wherever they stand.
+
+    Up to SHORT_SPAN bytes, eight bytes at a time are mixed into the hash. Longer spans take the value at _BASE of the
+    polynomial whose coefficients are the bytes, modulo the prime 2**61 - 1: two different spans of n bytes have equal
+    values for at most n of all bases. Neither way lets a pattern of bytes collide by its structure, as a sum modulo a power of
+    two does.
+    """
+    sizes = ends - starts
+    out = mixed(sizes.astype(np.uint64))
+    if not len(raw):
+        return out
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    eights = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    at, left, value, some = starts, np.where(sizes > SHORT_SPAN, 0, sizes), out, None  # long spans follow below
+    while True:
+        value = mixed(value ^ (eights[at] & _FIRST_BYTES[np.minimum(left, 8)])) + _STEP
+        if some is None:
+            out = np.where(left > 0, value, out)
+        else:
+            out[some] = value
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        some = more if some is None else some[more]
+        at, left, value = at[more] + 8, left[more] - 8, value[more]
+    long = np.flatnonzero(sizes > SHORT_SPAN)
+    if len(long):
+        out[long] = _long_hashes(raw, starts[long], ends[long])
+    return out
+
+
+def _long_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    sizes = ends - starts
+    if 2 * int(sizes.sum()) < len(raw):  # few of the bytes: only these are summed
+        upto = np.cumsum(sizes)
+        raw = raw[np.repeat(starts - (upto - sizes), sizes) + np.arange(upto[-1])]
+        starts, ends = upto - sizes, upto
+    sums = running_sums(raw)
+    value = _span_sums(sums, starts, ends)
+    for i in np.flatnonzero(sizes > LONG_SPAN):
+        cuts = np.append(np.arange(starts[i], ends[i], LONG_SPAN), ends[i])
+        value[i] = np.uint64(int(_span_sums(sums, cuts[:-1], cuts[1:]).astype(object).sum()) % PRIME)
+    return mixed(_times(value, powers(_INVERSE, len(sums[0]))[starts]) + (sizes.astype(np.uint64) << _S61))
+
+
 def running_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix sums, modulo 2**64, of the bytes (plus one) times the upper and the lower half of the powers; see `span_hashes`."""
+    """Prefix sums, modulo 2**64, of the bytes (plus one) times the upper and the lower half of the powers."""
     if len(_halves[0]) < len(raw):
         power = powers(_BASE, max(len(raw), BLOCK_BYTES))
         _halves[:] = power >> _S31, power & _LOW31
@@ -99,21 +149,6 @@ def running_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums[0], sums[1]
 
 
-def span_hashes(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each byte span; equal bytes give equal hashes wherever they stand.
-
-    It is the value at _BASE of the polynomial whose coefficients are the bytes, modulo the prime 2**61 - 1. Two
-    different spans of n bytes have equal values for at most n of all bases, so no pattern of bytes collides by its
-    structure, as it would modulo a power of two.
-    """
-    sizes = ends - starts
-    value = _span_sums(sums, starts, ends)
-    for i in np.flatnonzero(sizes > LONG_SPAN):
-        cuts = np.append(np.arange(starts[i], ends[i], LONG_SPAN), ends[i])
-        value[i] = np.uint64(int(_span_sums(sums, cuts[:-1], cuts[1:]).astype(object).sum()) % PRIME)
-    return mixed(_times(value, powers(_INVERSE, len(sums[0]))[starts]) + (sizes.astype(np.uint64) << _S61))
-
-
 def _span_sums(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     high, low = _reduced(sums[0][ends] - sums[0][starts]), _reduced(sums[1][ends] - sums[1][starts])
     return _reduced((high >> _S30) + ((high & _LOW30) << _S31) + low)
@@ -172,6 +207,6 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     for _, _, raw, offsets in text_blocks(texts):
         raw = lowered(raw)
         starts, ends, firsts = word_spans(raw, offsets)
-        words = span_hashes(running_sums(raw), starts, ends)
+        words = span_hashes(raw, starts, ends)
         for hashes in document_shingles(words, firsts, k):
             yield np.unique(hashes)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import lowered, running_sums, span_hashes, text_blocks
+from .hashing import lowered, span_hashes, text_blocks
 from .storage import batches_by_bytes, stored
 
 SLICE_BITS = 22  # bits of one slice of either filter
@@ -107,7 +107,7 @@ def _block_hashes(min_chars: int):
                 points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80, dtype=np.int64)])
                 keep = points[ends] - points[starts] >= min_chars
                 docs, numbers = docs[keep].astype("<i4"), numbers[keep].astype("<i4")
-                keys = span_hashes(running_sums(raw), starts[keep], ends[keep])
+                keys = span_hashes(raw, starts[keep], ends[keep])
                 ids, marks = batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first)
                 yield pa.RecordBatch.from_arrays(
                     [

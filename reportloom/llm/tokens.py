@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .hashing import lowered, running_sums, span_hashes, text_blocks
+from .hashing import lowered, span_hashes, text_blocks
 
 SLOTS = 1 << 21  # entries of a worker's table
 LONG_BYTES = 8 << 20  # a longer text is looked up in parts
@@ -147,7 +147,7 @@ class PieceEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         # Case is folded for the table where the tokenizer folds it anyway and no combining mark (U+0300 on) is near.
         fold = self.cut == "space" and int(raw.max()) < 0xCC
-        hashes = span_hashes(running_sums(lowered(raw) if fold else raw), starts, ends)
+        hashes = span_hashes(lowered(raw) if fold else raw, starts, ends)
         if self.used > FLAT_IDS:
             self._forget()
         slots = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)

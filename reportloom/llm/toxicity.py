@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .counting import summed_counts
-from .hashing import NOT_IN_WORD, folded, mixed, running_sums, span_hashes, text_blocks, word_spans
+from .hashing import NOT_IN_WORD, folded, mixed, span_hashes, text_blocks, word_spans
 from .storage import batches_by_bytes, stored
 
 # Which letters a sign may stand for (fixed values).
@@ -220,12 +220,11 @@ def restored_words(texts: pa.Array, restorer: Restorer) -> Iterator[tuple[int, i
             raw = folded(np.frombuffer(b"".join(parts), np.uint8))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         starts, ends, firsts = word_spans(raw, offsets, NOT_IN_WORD)
-        sums = running_sums(raw)
-        features = [span_hashes(sums, starts, ends)]
+        features = [span_hashes(raw, starts, ends)]
         for size in PREFIX_BYTES:
             long = ends - starts > size
             heads = np.zeros(len(starts), np.uint64)
-            heads[long] = mixed(span_hashes(sums, starts[long], starts[long] + size) ^ np.uint64(0xA5A5))
+            heads[long] = mixed(span_hashes(raw, starts[long], starts[long] + size) ^ np.uint64(0xA5A5))
             features.append(heads)
         yield first, end, features, firsts
 

@@ -70,17 +70,30 @@ def test_words_whose_sums_agree_modulo_powers_of_two(spark):
 def test_span_hashes_against_plain_numbers(monkeypatch):
     rng = np.random.default_rng(0)
     raw = rng.integers(0, 256, 3000).astype(np.uint8)
-    starts = rng.integers(0, 1500, 40)
-    ends = starts + rng.integers(0, 1500, 40)
+    starts = rng.integers(0, 1500, 200)
+    ends = starts + np.concatenate([rng.integers(0, 70, 150), rng.integers(0, 1500, 50)])
+    starts[:3], ends[:3] = [2990, 0, 3000], [3000, 3000, 3000]
+
+    def mixed(x):
+        return int(hashing.mixed(np.array([x % 2**64], np.uint64))[0])
 
     def plain(span):
-        value = sum((x + 1) * pow(hashing._BASE, i, hashing.PRIME) for i, x in enumerate(span)) % hashing.PRIME
-        return int(hashing.mixed(np.array([(value + (len(span) << 61)) % 2**64], np.uint64))[0])
+        if len(span) > hashing.SHORT_SPAN:
+            value = sum((x + 1) * pow(hashing._BASE, i, hashing.PRIME) for i, x in enumerate(span)) % hashing.PRIME
+            return mixed(value + (len(span) << 61))
+        value = mixed(len(span))
+        for i in range(0, len(span), 8):
+            value = (mixed(value ^ int.from_bytes(span[i : i + 8], "little")) + int(hashing._STEP)) % 2**64
+        return value
 
     want = [plain(raw[a:b].tobytes()) for a, b in zip(starts, ends)]
-    assert hashing.span_hashes(hashing.running_sums(raw), starts, ends).tolist() == want
+    assert hashing.span_hashes(raw, starts, ends).tolist() == want
+    assert hashing.span_hashes(raw, starts[:30], ends[:30]).tolist() == want[:30]
     monkeypatch.setattr(hashing, "LONG_SPAN", 100)
-    assert hashing.span_hashes(hashing.running_sums(raw), starts, ends).tolist() == want
+    assert hashing.span_hashes(raw, starts, ends).tolist() == want
+    assert hashing.span_hashes(raw[:0], starts[:0], ends[:0]).tolist() == []
+    empty = np.zeros(2, np.int64)
+    assert hashing.span_hashes(raw[:0], empty, empty).tolist() == [mixed(0)] * 2
 
 
 def test_token_counts(spark):
