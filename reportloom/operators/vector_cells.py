@@ -85,7 +85,7 @@ def write_cells(
                 scores = units @ centres.T
                 best = scores.argmax(axis=1)
                 cell = np.where(some, best, NO_DIRECTION).astype(np.int32)
-                cosine = np.where(some, scores[np.arange(len(units)), best], 0.0)
+                cosine = np.where(some, np.clip(scores[np.arange(len(units)), best], -1, 1), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(cosine)], [*batch.schema.names, "cell", "cosine"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known.schema)

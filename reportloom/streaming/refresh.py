@@ -24,7 +24,7 @@ def _published(spark: SparkSession, out: str) -> dict[str, tuple[str, str]]:
     return {row["label"]: (row["drop"], row["version"]) for row in rows}
 
 
-def _write(df: DataFrame, path: str) -> None:
+def _replace(df: DataFrame, path: str) -> None:
     """Write the label and version folders that occur in `df`; AQE splits a label with very many rows."""
     writer = df.hint("rebalance", F.col("label")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("label", "version").parquet(path)
@@ -87,11 +87,11 @@ def refresh_summaries(
             return
         stated = session.createDataFrame(list(newest.items()), "label string, drop string")
         taken = rows.join(F.broadcast(stated), ["label", "drop"], "left_semi").drop("drop").withColumn("version", F.lit(version))
-        _write(taken, f"{out}/clean")
+        _replace(taken, f"{out}/clean")
         published |= {label: (drop, version) for label, drop in newest.items()}
         changed = {label: published[label] for label in newest}
         sums = monthly_summary(_current(session.read.parquet(f"{out}/clean"), changed), "date", "label", "version")
-        _write(sums, f"{out}/monthly")
+        _replace(sums, f"{out}/monthly")
         publish(session.createDataFrame([(label, *entry) for label, entry in published.items()], _MANIFEST), f"{out}/_manifest")
 
     stream = (

@@ -65,8 +65,8 @@ def test_table_search_looks_everywhere(spark):
 
 def test_an_empty_query_keeps_everything(spark):
     rows = spark.createDataFrame([("a",), (None,)], "t string")
-    for query in ("", "  "):
-        assert filters.column_search(rows, "t", query).count() == 2 and filters.table_search(rows, query).count() == 2
+    for query, regex in (("", True), ("", False), ("  ", False)):
+        assert filters.column_search(rows, "t", query, regex).count() == 2 and filters.table_search(rows, query, regex).count() == 2
         assert filters.column_search(rows, "t", query, regex=False).count() == 2
 
 
