@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import LOSS_EDGES, LOSS_LABELS, bracket_no, change_pct, rate_per, share_pct
@@ -108,6 +109,8 @@ ACCURACY = 10000  # of the quantile sketch; about 6 values in 10,000 of a group
 MARGIN = 3 / ACCURACY
 RANKED = 4096  # distinct values of a group that one task may rank
 CUTS = 512  # values by which a bracket that holds more is cut
+FEW_GROUPS = 50_000  # groups whose brackets every task may hold
+SALTS = 64  # parts of a group that meet its bracket in different tasks, where there are more groups
 
 
 def middle_bracket(value: Column) -> Column:
@@ -124,6 +127,8 @@ def median_profile(df: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
     Where they do not, all values of the group are folded; where a group has more than RANKED values left, its bracket
     is narrowed by counts between sampled values until it has not. So one task ranks RANKED values of a group at most, and
     the result does not rest on the sketch. Sketch, counts and folds are partial aggregations, so no task gathers a group.
+    Nor does the join with the brackets: a row per group is sent to all tasks, or with very many groups the distinct
+    values of a group meet its bracket in SALTS parts.
 
     Runs when called (the folded values are written once). NaN counts as the greatest value, as in Spark's own median.
     Without keys there is always one row, with n = 0 for empty input. Null keys and null measures are left out.
@@ -138,15 +143,20 @@ def median_profile(df: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
     known = F.when(F.isnan("_value"), infinite).otherwise(F.col("_value")) if floating else F.col("_value")
     marks = rows.groupBy(*groups).agg(
         middle_bracket(known).alias("_near"), F.min(known).alias("_least"), F.count("*").alias("_total"), F.sum("_value").alias("_grand")
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     # at least a group's smallest value is below or in its bracket, so that no group is lost from sight
     end = F.greatest(F.col("_near")[1], F.col("_least"))
     top = F.when(end < infinite, end).otherwise(float("nan")) if floating else end
-    marked = rows.join(marks.select(*groups, F.col("_near")[0].alias("_from"), top.alias("_to"), "_total", "_grand"), groups)
+    brackets = marks.select(*groups, F.col("_near")[0].alias("_from"), top.alias("_to"), "_total", "_grand")
+    if marks.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        marked = rows.withColumn("_n", F.lit(1)).join(F.broadcast(brackets), groups)
+    else:
+        marked = _salted(rows.groupBy(*groups, "_value").agg(F.count("*").alias("_n")), brackets, groups)
     middle = F.when(F.col("_value") >= F.col("_from"), F.col("_value")).alias("_value")
     sums = [F.first(c).alias(c) for c in ("_total", "_grand")]
-    folded = marked.filter(F.col("_value") <= F.col("_to")).groupBy(*groups, middle).agg(F.count("*").alias("_n"), *sums)
+    folded = marked.filter(F.col("_value") <= F.col("_to")).groupBy(*groups, middle).agg(F.sum("_n").alias("_n"), *sums)
     folded = written(folded, "median-values")
+    marks.unpersist()
     below, within = (F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0)) for c in (F.col("_value").isNull(), F.col("_value").isNotNull()))
     state = folded.groupBy(*groups).agg(below.alias("_below"), within.alias("_within"), F.count("_value").alias("_distinct"), *sums)
     state = state.withColumns({"_low": F.expr("(_total + 1) div 2"), "_high": F.expr("_total div 2 + 1")})
@@ -182,6 +192,13 @@ def median_profile(df: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
     )
 
 
+def _salted(values: DataFrame, brackets: DataFrame, groups: list[str]) -> DataFrame:
+    """The distinct values of the groups with their brackets; a group is spread over SALTS keys of the join."""
+    salted = values.withColumn("_salt", F.pmod(F.xxhash64("_value"), F.lit(SALTS)))
+    every = brackets.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return salted.join(every, [*groups, "_salt"]).drop("_salt")
+
+
 def _narrowed(values: DataFrame, state: DataFrame, groups: list[str], turn: int) -> tuple[DataFrame, DataFrame]:
     """Cut the values of each large group at about CUTS of them and keep the cells that hold a middle rank.
 

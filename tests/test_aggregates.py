@@ -210,3 +210,20 @@ def test_reshape(spark):
     assert nulls.columns == ["i", "c_a", "c_b"] and {tuple(r) for r in nulls.collect()} == {("x", 1, 2), ("y", 3, None)}
     assert reshape.lengthen(wide, ["i"], ["a", "b"]).count() == 4
     assert reshape.stack(df, df.drop("v")).count() == 6
+
+
+@pytest.mark.parametrize("few", [None, 1])
+def test_no_task_reads_a_group_to_meet_its_bracket(spark, monkeypatch, steps, few):
+    """Rows meet a row per group without a shuffle; with very many groups, distinct values do in SALTS parts of a group."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        if few:
+            monkeypatch.setattr(aggregates, "FEW_GROUPS", few)
+        df = spark.createDataFrame([(i % 2 == 0, float(i % 701)) for i in range(3000)], "hot boolean, v double")
+        got = {r.scope: (r.median_loss, r.n) for r in aggregates.compare_stats(df, F.col("hot"), "v").collect()}
+        made = steps[0][1]
+        assert ("_salt" in made) if few else ("SortMergeJoin" not in made)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = {"all": [float(i % 701) for i in range(3000)], "slice": [float(i % 701) for i in range(0, 3000, 2)]}
+    assert got == {scope: (statistics.median(vs), len(vs)) for scope, vs in want.items()}
