@@ -41,8 +41,15 @@ def write_raw(reports: DataFrame, path: str) -> str:
 
 
 def append_raw_file(reports: DataFrame, folder: str) -> str:
-    """One more raw file in the folder, as a publisher adds one per quarter."""
-    raw_reports(reports).repartition(1).write.mode("append").option("header", True).option("sep", "\t").csv(folder)
+    """One more raw file in the folder, as a publisher adds one per quarter.
+
+    The texts are made in parallel and stored column by column, so that the task that writes the file reads little.
+    """
+    spark, staged = reports.sparkSession, fresh_dir(reports.sparkSession, "raw-texts")
+    raw = raw_reports(reports)
+    raw.write.option("compression", "zstd").parquet(staged)
+    texts = spark.read.schema(raw.schema).parquet(staged)
+    texts.coalesce(1).write.mode("append").option("header", True).option("sep", "\t").csv(folder)
     return folder
 
 

@@ -10,7 +10,7 @@ from conftest import final_plan
 from pyspark.sql import functions as F
 
 from reportloom import workspace
-from reportloom.catalog.sources import raw_reports, write_raw
+from reportloom.catalog.sources import append_raw_file, raw_reports, write_raw
 from reportloom.operators.cleaning import CLEAN_NAMES, FRENCH_COLUMNS
 from reportloom.plans.feed_digest import digest
 from reportloom.plans.refinery import refine, with_label
@@ -438,3 +438,13 @@ def test_shared_folder_comes_from_the_session():
 def test_money_text_of_the_raw_file(spark, sf_dir):
     raw = raw_reports(complaints(spark, sf_dir))
     assert raw.filter(F.col("Dollar Loss /pertes financieres").startswith("$")).count() > 0
+
+
+def test_a_raw_file_is_written_without_a_shuffle_of_its_rows(spark, tmp_path, monkeypatch):
+    rows = reports(spark, report(dt.date(2025, 5, 1), 1, 1), report(dt.date(2025, 9, 1), 2, 2)).repartition(2)
+    monkeypatch.setattr(type(rows), "repartition", None)
+    for n in (1, 2):
+        append_raw_file(rows, str(tmp_path / "in"))
+        assert len(list((tmp_path / "in").glob("*.csv"))) == n
+    newest = delimited.read_delimited(spark, delimited.newest_file(spark, str(tmp_path / "in"), "*.csv"))
+    assert sorted(map(tuple, newest.collect()), key=str) == sorted(map(tuple, raw_reports(rows).collect()), key=str)
