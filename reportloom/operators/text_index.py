@@ -20,10 +20,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.parsing import let
+from ..workspace import written
+from .arrays import runs_of
 from .ranking import top_k
 from .search import LIMIT, MIN_QUERY, WEIGHTS, near, search
 
 FOLDERS = 64
+GRAM_TERMS = 200_000  # words whose grams one task files
 BEGIN, END = "\x02", "\x03"  # marks around a word in its grams
 MASK_BITS = 63
 
@@ -66,27 +69,52 @@ def write_index(docs: DataFrame, path: str, key: str, fields: Sequence[str] = tu
     """Index the `fields` of `docs` that exist below `path`, in place of an index that is there already.
 
     `key` names a document (rows of one key count as one document). Null fields have no words. Every word's list of
-    documents is a row per document, so a very common word is many rows, which AQE spreads over files; equal (word, field,
-    document) rows are folded before the shuffle.
+    documents is a row per document, so a very common word is many rows, which AQE spreads over files. A word's places are
+    brought together within its row of `docs`, so each posting is shuffled once, to be filed; only those of keys that
+    repeat are folded by a grouping. The words, one row each, are dealt out evenly and their grams filed where they are made.
     """
     spark = docs.sparkSession
     named = [name for name in fields if name in docs.columns]
-    cells = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), _words(F.col(name)).alias("words")) for name in named]))
-    rows = docs.select(F.col(key).alias("key"), cells.alias("cell")).select("key", "cell.field", F.inline("cell.words"))
-    postings = rows.groupBy("term", "field", "key").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    postings = _postings(docs, key, named)
+    repeated = docs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("_n")).where("_n > 1").select("key")
+    repeated = written(repeated, "repeated-keys")
+    if not repeated.isEmpty():
+        again = F.col("here.key").eqNullSafe(F.col("twice.key"))
+        once, more = (postings.alias("here").join(repeated.alias("twice"), again, how) for how in ("left_anti", "left_semi"))
+        places = F.sort_array(F.flatten(F.collect_list("places"))).alias("places")
+        postings = once.unionByName(more.groupBy("term", "field", "key").agg(places))
     postings = postings.withColumn("folder", _folder(F.col("term"), folders))
     _file(postings, f"{path}/postings", "term")
     stored = spark.read.schema(postings.schema).parquet(f"{path}/postings")
     terms = stored.groupBy("term").agg(F.count("*").alias("documents"))
+    terms = written(terms, "index-terms")
+    terms = terms.repartition(max(1, -(-terms.count() // GRAM_TERMS)), "term")
     grams = terms.select(F.explode(_grams(F.col("term"))).alias("gram"), "term", "documents")
-    _file(grams.withColumn("folder", _folder(F.col("gram"), folders)), f"{path}/grams", "gram")
+    _stored(grams.withColumn("folder", _folder(F.col("gram"), folders)), f"{path}/grams", "gram")
     kind = postings.schema["key"].dataType.simpleString()
     spark.createDataFrame([(folders, kind)], "folders int, kind string").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
 
 
+def _postings(docs: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """(term, field, key, places) of every row of `docs`; a narrow step."""
+    cells = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), _words(F.col(name)).alias("words")) for name in fields]))
+    rows = docs.select(F.col(key).alias("key"), cells.alias("cell"))
+
+    def posting(run: Column) -> Column:
+        return F.struct(run[0]["term"].alias("term"), run["place"].alias("places"))  # a run is sorted by term and place
+
+    found = F.transform(runs_of(F.col("cell.words"), "term"), posting)
+    return rows.select("key", "cell.field", F.inline(found)).select("term", "field", "key", "places")
+
+
 def _file(df: DataFrame, path: str, order: str) -> None:
+    """A folder per hash, its rows brought together in few files."""
+    _stored(df.hint("rebalance", F.col("folder")), path, order)
+
+
+def _stored(df: DataFrame, path: str, order: str) -> None:
     """A folder per hash, its files sorted, so that row groups without the wanted values are skipped."""
-    df.hint("rebalance", F.col("folder")).sortWithinPartitions("folder", order).write.mode("overwrite").partitionBy("folder").parquet(path)
+    df.sortWithinPartitions("folder", order).write.mode("overwrite").partitionBy("folder").parquet(path)
 
 
 class TextIndex:
@@ -119,12 +147,15 @@ class TextIndex:
         whole = F.concat(F.lit(BEGIN), F.col("term"), F.lit(END))
         return found.where(whole.contains(marked))
 
-    def postings(self, terms: DataFrame) -> DataFrame:
-        """Postings of the given words; of the table only the folders of these words are read."""
+    def postings(self, terms: DataFrame, within: DataFrame | None = None) -> DataFrame:
+        """Postings of the given words, or those of them in the (key, field) of `within`; only the folders of these words are read."""
         named = terms.withColumn("folder", _folder(F.col("term"), self.folders))
         used = [row["folder"] for row in named.select("folder").distinct().collect()]  # `folders` numbers at most
         table = self.spark.read.schema(self.schemas["postings"]).parquet(f"{self.path}/postings")
-        return table.where(F.col("folder").isin(used)).join(named, ["folder", "term"]).drop("folder")
+        table = table.where(F.col("folder").isin(used))
+        if within is not None:
+            table = table.join(within, ["key", "field"], "left_semi")
+        return table.join(named, ["folder", "term"]).drop("folder")
 
     def near_terms(self, query: str, allowed: int) -> DataFrame | None:
         """Words within `allowed` edits of a word: they share all but three grams an edit with it. None if that says nothing."""
@@ -142,7 +173,8 @@ class TextIndex:
 
         Grams hold the marks of words, and an edit (of a blank, too) changes three of them at most, so no run within
         `allowed` edits is missed. Every word of the index that has a gram of the query adds the grams it has to the runs
-        around its places.
+        around its places. One word of such a run has at least an even share of its grams. Few words have as many, so their
+        documents are looked up first, and the places of all other words only in these.
         """
         grams = _trigrams(words)
         least = len(grams) - 3 * allowed
@@ -155,12 +187,14 @@ class TextIndex:
         shares = rows.groupBy("term").agg(
             *[F.bit_or(F.when(F.floor(F.col("_bit") / MASK_BITS) == i, one).otherwise(F.lit(0).cast("long"))).alias(m) for i, m in enumerate(masks)]
         )
-        width = len(words)
-        found = self.postings(shares).select("key", "field", *masks, F.explode("places").alias("place"))
+        shares, width = written(shares, "near-terms"), len(words)
+        shared = reduce(lambda a, b: a + b, [F.bit_count(m) for m in masks])
+        strong = written(shares.where(shared >= -(-least // width)), "near-terms")
+        documents = written(self.postings(strong).select("key", "field").distinct(), "near-documents")
+        found = self.postings(shares, documents).select("key", "field", *masks, F.explode("places").alias("place"))
         number_of = F.floor(F.col("place") / 2)
         starts = F.explode(F.sequence(number_of - (width - 1), number_of)).alias("start")
         runs = found.select("key", "field", *masks, starts).groupBy("key", "field", "start").agg(*[F.bit_or(m).alias(m) for m in masks])
-        shared = reduce(lambda a, b: a + b, [F.bit_count(m) for m in masks])
         return runs.where(shared >= least).select("key", "field").distinct()
 
     def phrase(self, pieces: Sequence[str]) -> DataFrame:
@@ -224,7 +258,8 @@ def search_index(
 
 
 def _confirmed(docs: DataFrame, runs: DataFrame, key: str, fields: Mapping[str, int], query: str, fuzz: float) -> DataFrame:
-    """The candidates whose field is a near match."""
+    """The candidates whose field is a near match. They are stored first: with few of them no text is shuffled."""
+    runs = written(runs, "near-runs")
     texts = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), F.col(name).alias("_text")) for name in fields]))
     cells = docs.select(F.col(key).alias("key"), texts.alias("_cell")).select("key", "_cell.*")
     return cells.join(runs, ["key", "field"]).where(near(F.col("_text"), query, fuzz)).select("key", "field")

@@ -9,7 +9,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from reportloom.operators.search import search
-from reportloom.operators.text_index import BEGIN, END, TextIndex, _grams, search_index, write_index
+from reportloom.operators.text_index import BEGIN, END, TextIndex, _grams, _postings, search_index, write_index
 
 WORDS = "harbour harbor harbours labour arbour a b ab the thee Bay BAY bay-side über été x1 international internationally".split()
 GAPS = [" ", " ", " ", " ", "  ", "\n", "\t", " \n"]
@@ -99,3 +99,31 @@ def test_index_of_an_empty_table(spark, tmp_path):
     write_index(docs, str(tmp_path / "i"), "id")
     assert search_index(docs, str(tmp_path / "i"), "harbour", "id").count() == 0
     assert search_index(docs, str(tmp_path / "i"), "harbour bay", "id", fuzz=0.1).count() == 0
+
+
+def test_postings_need_no_shuffle_unless_keys_repeat(spark, tmp_path):
+    rows = [(1, "b a  b", "a"), (2, None, "c a"), (2, "a", "a"), (None, "d", ""), (None, "d", None)]
+    docs = spark.createDataFrame(rows, "id int, title string, text string")
+    assert "Exchange" not in plan_of(_postings(docs, "id", ["title", "text"]))
+    write_index(docs, str(tmp_path / "i"), "id", folders=4)
+    stored = spark.read.parquet(str(tmp_path / "i" / "postings")).collect()
+    got = {(r.term, r.field, r.key): r.places for r in stored}
+    assert len(stored) == len(got)
+    assert got == {
+        ("a", "title", 1): [3], ("b", "title", 1): [0, 4], ("a", "text", 1): [0], ("c", "text", 2): [0], ("a", "text", 2): [0, 3],
+        ("a", "title", 2): [0], ("d", "title", None): [0, 0],
+    }
+    counts = {(r.term, r.documents) for r in spark.read.parquet(str(tmp_path / "i" / "grams")).select("term", "documents").collect()}
+    assert counts == {("a", 4), ("b", 1), ("c", 1), ("d", 1)}
+
+
+def test_places_of_common_words_are_read_in_few_documents(spark, indexed, monkeypatch):
+    """Only the documents of a word with an even share of the grams are looked at for the rest of a run."""
+    docs, path = indexed
+    asked, index = [], TextIndex(spark, path)
+    look = TextIndex.postings
+    monkeypatch.setattr(TextIndex, "postings", lambda self, terms, within=None: asked.append((terms, within)) or look(self, terms, within))
+    runs = index.near_runs(["the", "internationl", "bay"], 1)
+    (strong, everywhere), (every, documents_of) = asked
+    assert everywhere is None and documents_of is not None and runs.count() > 0
+    assert {"the", "bay"}.isdisjoint(r.term for r in strong.collect()) and {"the", "bay"} <= {r.term for r in every.collect()}
