@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.parsing import column, let
+from .arrays import runs_of
 from .retrieval import term_slots, words_of
 
 
@@ -57,14 +58,17 @@ def term_weights(chunks: DataFrame, text: str = "chunk") -> DataFrame:
 def weighted_vectors(texts: DataFrame, ids: list[str], text: str, weights: DataFrame, total: int | Column, dim: int = 64) -> DataFrame:
     """(ids, embedding): per text, the weights of its words added up in the words' slots.
 
-    A word without a weight (in no indexed text) gets ln(1 + texts) + 1. Words meet their weights in a join by word, in which
-    a very common word is left to AQE's skew handling, since the weights have one row per word.
+    A word without a weight (in no indexed text) gets ln(1 + texts) + 1. Words are counted within their text, and meet their
+    weights and slots in a join by word, in which a very common word is left to AQE's skew handling, since the weights have
+    one row per word. A text's weights then meet in one shuffle and are added up in a sum per slot.
     """
-    pairs = F.arrays_zip(_terms(text).alias("term"), term_slots(text, dim).alias("slot"))
-    words = texts.select(*ids, F.inline(pairs))
-    unknown = F.log(F.lit(1.0) + total) + 1
-    weighed = words.join(weights.select("term", "weight"), "term", "left").withColumn("weight", F.coalesce("weight", unknown))
-    slots = weighed.groupBy(*ids, "slot").agg(F.sum("weight").alias("weight"))
-    found = slots.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("slot", "weight"))).alias("_slots"))
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(dim - 1).cast("bigint"))
-    return found.select(*ids, F.transform(every, lambda d: F.coalesce(F.try_element_at("_slots", d), F.lit(0.0))).alias("embedding"))
+    counted = F.transform(runs_of(_terms(text)), lambda run: F.struct(run[0].alias("term"), F.size(run).alias("n")))
+    words = texts.select(*ids, F.inline(counted))
+    known = weights.select("term", "weight", term_slots("term", dim)[0].alias("slot"))
+    weighed = words.join(known.hint("shuffle_hash"), "term", "left").select(
+        *ids,
+        F.coalesce("slot", term_slots("term", dim)[0]).alias("_slot"),
+        (F.coalesce("weight", F.log(F.lit(1.0) + total) + 1) * F.col("n")).alias("_weight"),
+    )
+    sums = [F.sum(F.when(F.col("_slot") == d, F.col("_weight")).otherwise(0.0)).alias(f"_{d}") for d in range(dim)]
+    return weighed.repartition(*ids).groupBy(*ids).agg(*sums).select(*ids, F.array(*[f"_{d}" for d in range(dim)]).alias("embedding"))
