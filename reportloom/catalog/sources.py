@@ -12,7 +12,7 @@ from ..operators.retrieval import index_documents
 from ..plans.feed_digest import feed_items
 from ..plans.refinery import with_label
 from ..sources.delimited import RAW_SCHEMA, latest_label, newest_drop, newest_file, read_delimited, read_parts, read_status
-from ..sources.documents import read_documents, with_sizes
+from ..sources.documents import read_documents, with_sizes, write_documents
 from ..sources.feeds import read_feed
 from ..sources.outputs import export_parts, export_single, write_feed, write_labelled, write_output, write_vectors
 from ..sources.tables import complaints, table
@@ -293,10 +293,9 @@ def s08(spark, sf_dir):
 )
 def s09(spark, sf_dir):
     """Documents as text files, one each, named by their id and filed by language; the reader finds them again."""
-    folder = fresh_dir(spark, "documents")
-    table(spark, sf_dir, "documents").select("lang", "doc_id", F.col("text").alias("value")).write.partitionBy("lang", "doc_id").text(folder)
+    folder = write_documents(table(spark, sf_dir, "documents"), fresh_dir(spark, "documents"), "lang", "doc_id", "text")
     found = read_documents(spark, folder).select(
-        F.regexp_extract("path", r"/doc_id=(\d+)/", 1).cast("bigint").alias("doc_id"),
+        F.regexp_extract("path", r"/doc_id=(\d+)[/.]", 1).cast("bigint").alias("doc_id"),
         F.regexp_extract("path", r"/lang=([^/]*)/", 1).alias("lang"),
         F.regexp_replace("text", r"\n\z", "").alias("text"),  # the line end that the text writer adds
     )

@@ -1,20 +1,79 @@
-"""Documents in."""
+"""Documents in and out."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import os
+import re
+import uuid
+from collections.abc import Callable, Iterator
+from itertools import groupby
+from urllib.parse import unquote, urlsplit
+
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+
+SHELF = 1000  # files per folder
+READERS = 200  # tasks that read a folder, at least, if it has so many files
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """One row per file of a folder tree: path and whole text."""
+    """One row per file of a folder tree: path and whole text.
+
+    Spark counts 4 MB for opening a file, so that a task would have a few small files only and starting tasks took longer than reading.
+    """
     return (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+        .coalesce(max(READERS, 8 * spark.sparkContext.defaultParallelism))
     )
 
 
+def write_documents(documents: DataFrame, folder: str, by: str, id: str, text: str) -> str:
+    """Text files of a line end more than their text, named <id>=... and filed below folders <by>=...; read_documents finds them.
+
+    Rows of the same names share a file if one task writes them. Spark's writers name folders, not files, so one file each takes a
+    folder each there, made, moved and listed one by one; tasks name the files themselves where the folder is mounted on all machines.
+    """
+    spark = documents.sparkSession
+    rows = documents.select(F.col(by).alias("by"), F.col(id).alias("id"), F.col(text).cast("string").alias("value"))
+    made = f"{folder}/_made"  # Spark makes the folder, and tells where it is; names with _ are not read
+    spark.range(1).select(F.lit("").alias("value")).coalesce(1).write.text(made)
+    at = urlsplit(spark.read.text(made).inputFiles()[0].rsplit("/_made/", 1)[0])
+    if at.scheme == "file":
+        ordered = rows.withColumn("value", F.col("value").cast("binary")).sortWithinPartitions("by", "id")
+        ordered.foreachPartition(_files(unquote(at.path), by, id))
+    else:
+        rows.withColumnsRenamed({"by": by, "id": id}).write.mode("append").partitionBy(by, id).text(folder)
+    return folder
+
+
+def _named(key: str, value: object) -> str:
+    """A name as Spark's writers give it to the folder of a value."""
+    escaped = re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""", lambda c: f"%{ord(c[0]):02X}", "" if value is None else str(value))
+    return f"{key}={escaped or '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def _files(root: str, by: str, id: str) -> Callable[[Iterator[Row]], None]:
+    """Writes the ordered rows of a task. A task that runs again writes the same files, each of them whole or not at all."""
+
+    def write(rows: Iterator[Row]) -> None:
+        if not os.path.isdir(root):
+            raise FileNotFoundError(f"{root} is not mounted here")
+        task, run = TaskContext.get().partitionId(), uuid.uuid4().hex
+        for under, shelved in groupby(rows, lambda row: _named(by, row.by)):
+            for n, (name, same) in enumerate(groupby(shelved, lambda row: _named(id, row.id))):
+                shelf = f"{root}/{under}/shelf={task:05d}-{n // SHELF:05d}"
+                if n % SHELF == 0:
+                    os.makedirs(shelf, exist_ok=True)
+                with open(f"{shelf}/.{run}", "wb") as file:
+                    file.writelines((row.value or b"") + b"\n" for row in same)
+                os.replace(f"{shelf}/.{run}", f"{shelf}/{name}.txt")
+
+    return write
+
+
 def with_sizes(documents: DataFrame, text: str = "text") -> DataFrame:
     """Letters and whitespace-separated words of each document."""
     words = F.when(F.trim(text) == "", 0).otherwise(F.size(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")))

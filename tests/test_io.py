@@ -10,6 +10,7 @@ from conftest import final_plan
 from pyspark.sql import functions as F
 
 from reportloom import workspace
+from reportloom.catalog import sources
 from reportloom.catalog.sources import append_raw_file, raw_reports, write_raw
 from reportloom.operators.cleaning import CLEAN_NAMES, FRENCH_COLUMNS
 from reportloom.plans.feed_digest import digest
@@ -123,6 +124,69 @@ def test_documents_folder(spark, tmp_path):
     assert sorted((r.path.rsplit("/", 1)[1], r.chars, r.words) for r in docs.collect()) == [("a.txt", 13, 3), ("b.txt", 2, 0)]
 
 
+def test_documents_take_no_folder_and_no_task_each(spark, tmp_path, monkeypatch):
+    langs = ("en", "de", None)
+    rows = [(i, langs[i % 3], f"word {i}\nlast ") for i in range(2500)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    folder = tmp_path / "folder"
+    monkeypatch.setattr(sources, "fresh_dir", lambda _, name: str(folder))
+    monkeypatch.setattr(documents, "READERS", 20)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        found = sources.s09(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+        got = sorted(map(tuple, found.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(i, lang or "__HIVE_DEFAULT_PARTITION__", len(text), 3) for i, lang, text in rows]
+    files = [f for f in folder.rglob("doc_id=*") if f.is_file()]
+    assert {f.name for f in files} == {f"doc_id={i}.txt" for i in range(2500)}
+    assert (folder / "lang=de").is_dir() and files[0].read_bytes().startswith(b"word ")
+    assert len({f.parent for f in files}) == 3
+    monkeypatch.setattr(documents, "SHELF", 100)
+    shelved = documents.write_documents(spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path / "shelved"), "lang", "doc_id", "text")
+    assert len({f.parent for f in (tmp_path / "shelved").rglob("doc_id=*.txt")}) == 27
+    assert documents.read_documents(spark, shelved).select("text").distinct().count() == 2500
+
+
+def test_documents_elsewhere_are_written_by_spark(spark, tmp_path):
+    odd = ["en", None, "", "a b", "x/y=%", "q'\"#?*:", "[^]{}", "back\\slash", "t\tab", "é"]
+    rows = [(i, lang, text) for i, (lang, text) in enumerate((a, b) for a in odd for b in ("one two", "", None, "l\n", "ü\r\n ")) for _ in range(1 + i % 2)]
+    docs = spark.createDataFrame(rows, "id long, lang string, text string").coalesce(1)
+    spark.conf.set("fs.viewfs.mounttable.store.link./out", f"file://{tmp_path}")
+    try:
+        found = []
+        for base in (f"{tmp_path}/a b%", "viewfs://store/out/far"):
+            read = documents.read_documents(spark, documents.write_documents(docs, base, "lang", "id", "text"))
+            place = [F.regexp_extract("path", r"/lang=([^/]*)/", 1), F.regexp_extract("path", r"/id=(\d+)[/.]", 1).cast("int")]
+            found.append(sorted(map(tuple, read.select(*place, "text").collect())))
+    finally:
+        spark.conf.unset("fs.viewfs.mounttable.store.link./out")
+    assert found[0] == found[1] and len(found[0]) == 50
+    assert not list((tmp_path / "far").rglob("shelf=*")) and list((tmp_path / "a b%").rglob("shelf=*"))
+    none = documents.write_documents(docs.where("id < 0"), str(tmp_path / "none"), "lang", "id", "text")
+    assert documents.read_documents(spark, none).collect() == []
+
+
+def test_a_task_that_runs_again_leaves_the_same_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "to").mkdir()
+    monkeypatch.setattr(documents.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 3))
+    rows = [SimpleNamespace(by="en", id=i, value=b"text %d" % i) for i in range(5)]
+    write = documents._files(str(tmp_path / "to"), "lang", "id")
+
+    def cut():
+        yield from rows[:3]
+        raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        write(cut())
+    write(iter(rows))
+    assert {f.name: f.read_bytes() for f in (tmp_path / "to").rglob("id=*")} == {f"id={i}.txt": b"text %d\n" % i for i in range(5)}
+    assert all(f.parent.name == "shelf=00003-00000" for f in (tmp_path / "to").rglob("id=*"))
+    with pytest.raises(FileNotFoundError, match="not mounted"):
+        documents._files(str(tmp_path / "away"), "lang", "id")(iter(rows))
+
+
 def test_feeds(spark, tmp_path):
     (tmp_path / "ok.xml").write_text(feed(1, 2) .replace(DATE, "", 1))
     (tmp_path / "bad.xml").write_text("<rss><channel><item><title>cut")
