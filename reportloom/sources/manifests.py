@@ -13,6 +13,14 @@ def _folder(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def mounted_at(spark: SparkSession, path: str) -> str | None:
+    """Where a folder of files is found by all machines themselves; None if only Spark reaches it, or it is no folder."""
+    system, place = _folder(spark, path)
+    place = system.makeQualified(place)
+    found = place.toUri().getScheme() == "file" and system.exists(place) and system.getFileStatus(place).isDirectory()
+    return place.toUri().getPath() if found else None
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; none if it does not exist."""
     system, place = _folder(spark, path)

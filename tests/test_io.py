@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import json
 import time
 from types import SimpleNamespace
@@ -168,6 +169,32 @@ def test_documents_elsewhere_are_written_by_spark(spark, tmp_path):
     assert documents.read_documents(spark, none).collect() == []
 
 
+def test_names_of_documents_stay_off_the_driver(spark, tmp_path, monkeypatch):
+    """Tasks list a mounted folder and find the files that Spark's reader finds, under the same paths."""
+    root = tmp_path / "a b%#ü"
+    names = ["a.txt", "b c.txt", "_hidden.txt", "_k=v.txt", ".dot.txt", "c._COPYING_", "d%41[x]^`|.txt", "q'\"?#.md", "x\u3000y\u200b\U0001f600", "new\nline", "empty"]
+    for sub in ("", "sub/deep", "_hidden", "_p=1", "x=1/y=2", ".git"):
+        (root / sub).mkdir(parents=True, exist_ok=True)
+        for name in names:
+            (root / sub / name).write_bytes(b"" if name == "empty" else f"{sub} {name}\r\n".encode() + b"\xff\x00")
+    (root / "nowhere").symlink_to(root / "gone")
+    (root / "again").symlink_to(root / "sub")
+    monkeypatch.setattr(documents, "BATCH_BYTES", 64, raising=False)
+
+    def rows(df):
+        return sorted((r.path, bytes(r.text)) for r in df.withColumn("text", F.col("text").cast("binary")).collect())
+
+    for glob, n in (("*", 35), ("*.txt", 20), ("[!a]*.{txt,md}", 20)):
+        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(str(root), wholetext=True)
+        found = documents.read_documents(spark, str(root), glob)
+        assert found.inputFiles() and all("/listing-" in name for name in found.inputFiles())
+        assert rows(found) == rows(reader.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))) and found.count() == n
+    (root / "z.txt.gz").write_bytes(gzip.compress(b"packed"))
+    assert [r.text for r in documents.read_documents(spark, str(root), "z*").collect()] == ["packed"]
+    assert documents.read_documents(spark, str(root / ".git"), "no*").collect() == []
+    assert documents.read_documents(spark, f"{root}/sub/de*", "a.txt").count() == documents.read_documents(spark, str(root / "a.txt")).count() == 1
+
+
 def test_a_task_that_runs_again_leaves_the_same_files(spark, tmp_path, monkeypatch):
     (tmp_path / "to").mkdir()
     monkeypatch.setattr(documents.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 3))
