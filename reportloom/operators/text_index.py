@@ -14,19 +14,27 @@ near matches of several words.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from operator import or_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from ..functions.parsing import let
 from ..workspace import written
-from .arrays import runs_of
 from .ranking import top_k
 from .search import LIMIT, MIN_QUERY, WEIGHTS, near, search
 
 FOLDERS = 64
-GRAM_TERMS = 200_000  # words whose grams one task files
+GRAM_TERMS = 200_000  # words whose grams one task files, at most
+GRAM_TERMS_LEAST = 50_000  # and as long as there are fewer tasks than twice the cores
+TEXT_BYTES = 8 << 20  # of texts that are cut into words together
+RARE = 8  # times the postings of a phrase's rarest piece, if those of all pieces are more
+SHORT = 64  # letters of a word whose pieces are counted off from its start
 BEGIN, END = "\x02", "\x03"  # marks around a word in its grams
 MASK_BITS = 63
 
@@ -35,21 +43,76 @@ def _folder(value: Column, folders: int) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(folders)).cast("int")
 
 
-def _words(text: Column) -> Column:
-    """(word, place) of the lower-cased text. A place is twice the word's number, plus one if a single blank is before it."""
-    blank = F.regexp_replace(F.lower(text), r"[\t\n\x0B\f\r]", "  ")  # anything but one blank separates by more than one piece
-    pieces = F.filter(
-        F.transform(F.split(blank, " "), lambda w, i: F.struct(w.alias("word"), i.alias("piece"))), lambda p: p["word"] != ""
-    )
+def _blank(text: Column) -> Column:
+    """The lower-cased text with single blanks where one blank is; anything else separates by more than one."""
+    return F.regexp_replace(F.lower(text), r"[\t\n\x0B\f\r]", "  ")
+
+
+def _gatherer(fields: Sequence[str], most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(key, a text per field) to a row per word of a field in some rows: its keys, its places, and where those of each key end.
+
+    A place is twice the word's number in the text, plus one if a single blank is before it.
+    """
 
-    def numbered(found: Column) -> Column:
-        def place(p: Column, i: Column) -> Column:
-            before = F.when(i > 0, F.element_at(found, F.greatest(i, F.lit(1)))["piece"])
-            return F.struct(p["word"].alias("term"), (2 * i + F.coalesce((p["piece"] - before == 1).cast("int"), F.lit(0))).alias("place"))
+    def starts_of(changes: np.ndarray) -> np.ndarray:
+        return np.append(np.flatnonzero(changes), len(changes)).astype(np.int32)
 
-        return F.transform(found, place)
+    def changed(values: np.ndarray) -> np.ndarray:
+        return np.append(True, values[1:] != values[:-1])[: len(values)]
 
-    return let(pieces, numbered)
+    def words_of(field: str, keys: pa.Array, texts: pa.Array) -> pa.RecordBatch | None:
+        pieces = pc.split_pattern(texts, " ")
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(pieces), 0))
+        found, row = pieces.flatten(), np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+        kept = np.flatnonzero(np.asarray(pc.not_equal(found, "")))
+        if not len(kept):
+            return None
+        row, found = row[kept], found.take(pa.array(kept)).dictionary_encode()
+        first = changed(row)
+        begins = starts_of(first)
+        places = 2 * (np.arange(len(row)) - np.repeat(begins[:-1], np.diff(begins)))
+        places += ~first & (np.diff(kept, prepend=0) == 1)
+        word = np.asarray(found.indices)
+        order = np.argsort(word, kind="stable")  # rows stay in order, and places within them
+        word, row, places = word[order], row[order], places[order].astype(np.int32)
+        posting = starts_of(changed(word) | changed(row))
+        at, ends = posting[:-1], posting[1:]
+        of_term, terms = starts_of(changed(word[at])), found.dictionary  # words by number, each occurs
+        before = posting[of_term]  # places of the words before
+        lists = [
+            pa.ListArray.from_arrays(of_term, keys.take(pa.array(row[at]))),
+            pa.ListArray.from_arrays(of_term, ends - np.repeat(before[:-1], np.diff(of_term))),
+            pa.ListArray.from_arrays(before, places),
+        ]
+        return pa.RecordBatch.from_arrays([terms, pa.array([field] * len(terms)), *lists], ["term", "field", "keys", "ends", "places"])
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for field, texts in zip(fields, batch.columns[1:]):
+                behind = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)), dtype=np.int64)
+                cuts = np.flatnonzero(changed(behind // most)).tolist() + [len(texts)]
+                for lo, hi in zip(cuts, cuts[1:]):
+                    if (made := words_of(field, batch.column(0)[lo:hi], texts[lo:hi])) is not None:
+                        yield made
+
+    return gathered
+
+
+def _gathered(docs: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """(term, field, keys, ends, places): the postings of `docs`, those of a word in rows of one batch together; a narrow step."""
+    rows = docs.select(F.col(key).alias("key"), *[_blank(F.col(name)).alias(f"_{i}") for i, name in enumerate(fields)])
+    numbers = ArrayType(IntegerType())
+    made = StructType().add("term", StringType()).add("field", StringType()).add("keys", ArrayType(rows.schema["key"].dataType))
+    return rows.mapInArrow(_gatherer(fields, TEXT_BYTES), made.add("ends", numbers).add("places", numbers))
+
+
+def _unfolded(gathered: DataFrame) -> DataFrame:
+    """A row for each key of a gathered row; the columns besides stay."""
+    rows = gathered.select("*", F.posexplode("keys").alias("_at", "key"))
+    begin = F.coalesce(F.get("ends", F.col("_at") - 1), F.lit(0))
+    own = F.slice("places", begin + 1, F.get("ends", F.col("_at")) - begin)
+    besides = [c for c in gathered.columns if c not in ("term", "field", "keys", "ends", "places")]
+    return rows.select("term", "field", "key", own.alias("places"), *besides)
 
 
 def _grams(term: Column) -> Column:
@@ -62,7 +125,28 @@ def _grams(term: Column) -> Column:
 
         return F.array_distinct(F.concat(of(2), of(3)))
 
-    return let(F.split(F.concat(F.lit(BEGIN), term, F.lit(END)), ""), pieces)
+    def counted(marked: Column) -> Column:
+        of = lambda n: F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i: F.substring(marked, i, F.lit(n)))
+        return F.array_distinct(F.concat(of(2), of(3)))
+
+    marked = F.concat(F.lit(BEGIN), term, F.lit(END))
+    return F.when(F.length(term) <= SHORT, let(marked, counted)).otherwise(let(F.split(marked, ""), pieces))
+
+
+def _by_gram() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(grams, term, documents) to a row per gram of some words, with these words."""
+
+    def turned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, word = batch["grams"].flatten().dictionary_encode(), np.asarray(pc.list_parent_indices(batch["grams"]))
+            number = np.asarray(grams.indices)
+            order = np.argsort(number, kind="stable")
+            ends = np.append(0, np.cumsum(np.bincount(number, minlength=len(grams.dictionary)))).astype(np.int32)
+            at = pa.array(word[order])
+            entries = pa.StructArray.from_arrays([batch["term"].take(at), batch["documents"].take(at)], ["term", "documents"])
+            yield pa.RecordBatch.from_arrays([grams.dictionary, pa.ListArray.from_arrays(ends, entries)], ["gram", "found"])
+
+    return turned
 
 
 def write_index(docs: DataFrame, path: str, key: str, fields: Sequence[str] = tuple(WEIGHTS), folders: int = FOLDERS) -> None:
@@ -72,49 +156,48 @@ def write_index(docs: DataFrame, path: str, key: str, fields: Sequence[str] = tu
     documents is a row per document, so a very common word is many rows, which AQE spreads over files. A word's places are
     brought together within its row of `docs`, so each posting is shuffled once, to be filed; only those of keys that
     repeat are folded by a grouping. The words, one row each, are dealt out evenly and their grams filed where they are made.
+    Postings are shuffled and sorted, and grams sorted, in lists as they were made from a batch, and unfolded to be written.
     """
     spark = docs.sparkSession
     named = [name for name in fields if name in docs.columns]
-    postings = _postings(docs, key, named)
-    repeated = docs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("_n")).where("_n > 1").select("key")
+    repeated = docs.groupBy(F.col(key).alias("_again")).agg(F.count("*").alias("_n")).where("_n > 1").select("_again")
     repeated = written(repeated, "repeated-keys")
-    if not repeated.isEmpty():
-        again = F.col("here.key").eqNullSafe(F.col("twice.key"))
-        once, more = (postings.alias("here").join(repeated.alias("twice"), again, how) for how in ("left_anti", "left_semi"))
+    if repeated.isEmpty():
+        gathered = _gathered(docs, key, named)
+    else:
+        again = docs[key].eqNullSafe(repeated["_again"])
+        once, more = (docs.join(repeated, again, how) for how in ("left_anti", "left_semi"))
         places = F.sort_array(F.flatten(F.collect_list("places"))).alias("places")
-        postings = once.unionByName(more.groupBy("term", "field", "key").agg(places))
-    postings = postings.withColumn("folder", _folder(F.col("term"), folders))
-    _file(postings, f"{path}/postings", "term")
-    stored = spark.read.schema(postings.schema).parquet(f"{path}/postings")
+        folded = _postings(more, key, named).groupBy("term", "field", "key").agg(places)
+        alone = [F.array("key").alias("keys"), F.array(F.size("places")).alias("ends"), "places"]
+        gathered = _gathered(once, key, named).unionByName(folded.select("term", "field", *alone))
+    rows = gathered.withColumn("folder", _folder(F.col("term"), folders)).hint("rebalance", F.col("folder"))
+    _stored(rows, f"{path}/postings", "term", _unfolded)
+    stored = spark.read.schema("term string, folder int").parquet(f"{path}/postings")
     terms = stored.groupBy("term").agg(F.count("*").alias("documents"))
     terms = written(terms, "index-terms")
-    terms = terms.repartition(max(1, -(-terms.count() // GRAM_TERMS)), "term")
-    grams = terms.select(F.explode(_grams(F.col("term"))).alias("gram"), "term", "documents")
-    _stored(grams.withColumn("folder", _folder(F.col("gram"), folders)), f"{path}/grams", "gram")
-    kind = postings.schema["key"].dataType.simpleString()
+    n = terms.count()
+    tasks = max(1, -(-n // GRAM_TERMS), min(2 * spark.sparkContext.defaultParallelism, -(-n // GRAM_TERMS_LEAST)))
+    pieces = terms.repartition(tasks, "term").select(_grams(F.col("term")).alias("grams"), "term", "documents")
+    grams = pieces.mapInArrow(_by_gram(), "gram string, found array<struct<term: string, documents: bigint>>")
+    rows = grams.withColumn("folder", _folder(F.col("gram"), folders))
+    _stored(rows, f"{path}/grams", "gram", lambda lists: lists.select("gram", F.inline("found"), "folder"))
+    kind = docs.schema[key].dataType.simpleString()
     spark.createDataFrame([(folders, kind)], "folders int, kind string").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
 
 
 def _postings(docs: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """(term, field, key, places) of every row of `docs`; a narrow step."""
-    cells = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), _words(F.col(name)).alias("words")) for name in fields]))
-    rows = docs.select(F.col(key).alias("key"), cells.alias("cell"))
-
-    def posting(run: Column) -> Column:
-        return F.struct(run[0]["term"].alias("term"), run["place"].alias("places"))  # a run is sorted by term and place
-
-    found = F.transform(runs_of(F.col("cell.words"), "term"), posting)
-    return rows.select("key", "cell.field", F.inline(found)).select("term", "field", "key", "places")
+    return _unfolded(_gathered(docs, key, fields))
 
 
-def _file(df: DataFrame, path: str, order: str) -> None:
-    """A folder per hash, its rows brought together in few files."""
-    _stored(df.hint("rebalance", F.col("folder")), path, order)
+def _stored(df: DataFrame, path: str, order: str, unfold: Callable[[DataFrame], DataFrame]) -> None:
+    """A folder per hash, its files sorted, so that row groups without the wanted values are skipped.
 
-
-def _stored(df: DataFrame, path: str, order: str) -> None:
-    """A folder per hash, its files sorted, so that row groups without the wanted values are skipped."""
-    df.sortWithinPartitions("folder", order).write.mode("overwrite").partitionBy("folder").parquet(path)
+    Lists are sorted whole; what Spark then does to bring the rows of a folder together leaves their order.
+    """
+    rows = df.sortWithinPartitions("folder", order).transform(unfold)
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("folder").parquet(path)
 
 
 class TextIndex:
@@ -139,11 +222,15 @@ class TextIndex:
 
     def terms(self, piece: str, begins: bool, ends: bool) -> DataFrame:
         """Words that contain the piece, begin with it, end with it, or equal it (begins and ends)."""
+        return self._counted(piece, begins, ends).select("term")
+
+    def _counted(self, piece: str, begins: bool, ends: bool) -> DataFrame:
+        """The same with the number of rows of their postings."""
         marked = BEGIN * begins + piece + END * ends
         size = min(3, len(marked))
         grams = [marked[i : i + size] for i in range(len(marked) - size + 1)]
         # every gram of the piece leads to all its words, so one is enough
-        found = self._read("grams", "gram", [grams[len(grams) // 2]]).select("term").distinct()
+        found = self._read("grams", "gram", [grams[len(grams) // 2]]).select("term", "documents").distinct()
         whole = F.concat(F.lit(BEGIN), F.col("term"), F.lit(END))
         return found.where(whole.contains(marked))
 
@@ -174,7 +261,8 @@ class TextIndex:
         Grams hold the marks of words, and an edit (of a blank, too) changes three of them at most, so no run within
         `allowed` edits is missed. Every word of the index that has a gram of the query adds the grams it has to the runs
         around its places. One word of such a run has at least an even share of its grams. Few words have as many, so their
-        documents are looked up first, and the places of all other words only in these.
+        documents are looked up first, and the places of all other words only in these. A single edit leaves the number of
+        words, so then only words within an edit of one of the query's, or of two that a text of fewer words has in one, take part.
         """
         grams = _trigrams(words)
         least = len(grams) - 3 * allowed
@@ -187,7 +275,11 @@ class TextIndex:
         shares = rows.groupBy("term").agg(
             *[F.bit_or(F.when(F.floor(F.col("_bit") / MASK_BITS) == i, one).otherwise(F.lit(0).cast("long"))).alias(m) for i, m in enumerate(masks)]
         )
-        shares, width = written(shares, "near-terms"), len(words)
+        width = len(words)
+        if allowed == 1:  # it stays within a word, or makes one of two where a text has fewer words than the query
+            spans = [" ".join(words[i : i + n]) for n in (1, 2) for i in range(width - n + 1)]
+            shares = shares.where(reduce(or_, [F.levenshtein("term", F.lit(span), allowed) >= 0 for span in spans]))
+        shares = written(shares, "near-terms")
         shared = reduce(lambda a, b: a + b, [F.bit_count(m) for m in masks])
         strong = written(shares.where(shared >= -(-least // width)), "near-terms")
         documents = written(self.postings(strong).select("key", "field").distinct(), "near-documents")
@@ -198,15 +290,22 @@ class TextIndex:
         return runs.where(shared >= least).select("key", "field").distinct()
 
     def phrase(self, pieces: Sequence[str]) -> DataFrame:
-        """(key, field) that contain the pieces with single blanks between them: the first ends a word, the last begins one."""
+        """(key, field) that contain the pieces with single blanks between them: the first ends a word, the last begins one.
+
+        Documents of the rarest piece are looked up first, and the others only in these, unless they hold much of all postings.
+        """
         last = len(pieces) - 1
-        steps = []
-        for i, piece in enumerate(pieces):
-            places = self.postings(self.terms(piece, begins=i > 0, ends=i < last)).select("key", "field", F.explode("places").alias("place"))
-            if i:
-                places = places.where("place % 2 = 1")
-            steps.append(places.select("key", "field", (F.floor(F.col("place") / 2) - i).alias("start"), F.lit(i).alias("step")))
-        together = reduce(DataFrame.unionByName, steps).groupBy("key", "field", "start").agg(F.bit_count(F.bit_or(F.expr("shiftleft(1L, step)"))).alias("n"))
+        steps = [self._counted(piece, begins=i > 0, ends=i < last).withColumn("step", F.lit(i)) for i, piece in enumerate(pieces)]
+        terms = written(reduce(DataFrame.unionByName, steps), "phrase-terms")  # so that postings are read once, and joined by its size
+        counts = dict(terms.groupBy("step").agg(F.sum("documents")).collect())  # a row per piece
+        rare, within = min(counts, key=counts.get, default=0), None
+        if counts and RARE * counts[rare] < sum(counts.values()):
+            named = written(terms.where(F.col("step") == rare).select("term"), "phrase-terms")
+            within = written(self.postings(named).select("key", "field").distinct(), "phrase-documents")
+        places = self.postings(terms.drop("documents"), within)
+        places = places.select("key", "field", "step", F.explode("places").alias("place")).where("step = 0 OR place % 2 = 1")
+        starts = places.select("key", "field", (F.floor(F.col("place") / 2) - F.col("step")).alias("start"), "step")
+        together = starts.groupBy("key", "field", "start").agg(F.bit_count(F.bit_or(F.expr("shiftleft(1L, step)"))).alias("n"))
         return together.where(F.col("n") == len(pieces)).select("key", "field").distinct()
 
 
@@ -258,8 +357,9 @@ def search_index(
 
 
 def _confirmed(docs: DataFrame, runs: DataFrame, key: str, fields: Mapping[str, int], query: str, fuzz: float) -> DataFrame:
-    """The candidates whose field is a near match. They are stored first: with few of them no text is shuffled."""
-    runs = written(runs, "near-runs")
+    """The candidates whose field is a near match. They are stored first: with few of them no text is shuffled, nor compared if it is none."""
+    runs = written(runs.withColumn("_asked", F.lit(True)), "near-runs")
     texts = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), F.col(name).alias("_text")) for name in fields]))
     cells = docs.select(F.col(key).alias("key"), texts.alias("_cell")).select("key", "_cell.*")
-    return cells.join(runs, ["key", "field"]).where(near(F.col("_text"), query, fuzz)).select("key", "field")
+    near_match = F.when(F.col("_asked"), near(F.col("_text"), query, fuzz))  # of both sides, so that it stays behind the join
+    return cells.join(runs, ["key", "field"]).where(near_match).select("key", "field")

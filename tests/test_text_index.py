@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from reportloom.operators.search import search
+from reportloom.operators import text_index
+from reportloom.operators.search import near, search
 from reportloom.operators.text_index import BEGIN, END, TextIndex, _grams, _postings, search_index, write_index
 
 WORDS = "harbour harbor harbours labour arbour a b ab the thee Bay BAY bay-side über été x1 international internationally".split()
@@ -127,3 +130,66 @@ def test_places_of_common_words_are_read_in_few_documents(spark, indexed, monkey
     (strong, everywhere), (every, documents_of) = asked
     assert everywhere is None and documents_of is not None and runs.count() > 0
     assert {"the", "bay"}.isdisjoint(r.term for r in strong.collect()) and {"the", "bay"} <= {r.term for r in every.collect()}
+
+
+def test_lists_are_shuffled_and_rows_are_filed_in_order(spark, tmp_path, monkeypatch):
+    """A word's postings travel as one list for many documents; the stored rows are single, sorted ones."""
+    texts = ["b a\tb  Ünï a", None, "", " ", "a", "b a b\U0001f600 c\u00a0d"]
+    rows = [((i, str(i)), texts[i % 6] if i % 7 else None, texts[i % 5]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "id struct<a: int, b: string>, title string, text string").coalesce(1)
+    for most in (text_index.TEXT_BYTES, 40):
+        monkeypatch.setattr(text_index, "TEXT_BYTES", most)
+        lists = text_index._gathered(docs, "id", ["title", "text"])
+        assert lists.count() == lists.select("term", "field").distinct().count() or most == 40
+        want = {}
+        for key, *fields in rows:
+            for field, text in zip(("title", "text"), fields):
+                pieces, n = (text or "").lower().replace("\t", "  ").split(" "), 0
+                for i, word in enumerate(pieces):
+                    if word:
+                        want.setdefault((word, field, key), []).append(2 * n + (n > 0 and pieces[i - 1] != ""))
+                        n += 1
+        assert {(r.term, r.field, tuple(r.key)): r.places for r in _postings(docs, "id", ["title", "text"]).collect()} == want
+        path = tmp_path / str(most)
+        write_index(docs, str(path), "id", folders=4)
+        stored = [(r.term, r.field, tuple(r.key), r.places) for r in spark.read.parquet(str(path / "postings")).collect()]
+        assert len(stored) == len(want) and {x[:3]: x[3] for x in stored} == want
+        documents_of = Counter(term for term, *_ in want)
+        grams = spark.read.parquet(str(path / "grams")).collect()
+        assert len(grams) == len({(r.gram, r.term) for r in grams}) and {r.term: r.documents for r in grams} == documents_of
+        for table, column in (("postings", "term"), ("grams", "gram")):
+            for file in (path / table).rglob("*.parquet"):
+                values = [v.encode() for v in pq.ParquetFile(file).read()[column].to_pylist()]
+                assert values == sorted(values)
+
+
+def test_one_edit_is_looked_for_in_near_words_only(spark, tmp_path, monkeypatch):
+    """With one edit words other than those within it take no part, and a phrase looks for its common words where its rare one is."""
+    texts = ["the harbour bay", "harbourthe", "the harbur", "harbour the", "theharbour", "then harbour", "thes harbours"] + ["the bay harbouring others"] * 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    path = str(tmp_path / "i")
+    write_index(docs, path, "id", folders=4)
+    asked, look = [], TextIndex.postings
+    monkeypatch.setattr(TextIndex, "postings", lambda self, terms, within=None: asked.append((terms, within)) or look(self, terms, within))
+    index = TextIndex(spark, path)
+    for query in ("the harbour", "harbour bay"):
+        want = [tuple(r) for r in search(docs, query, "id", limit=100, fuzz=0.1).collect()]
+        assert [tuple(r) for r in search_index(docs, path, query, "id", limit=100, fuzz=0.1).collect()] == want
+    asked.clear()
+    assert {r["key"] for r in index.near_runs(["the", "harbour"], 1).collect()} >= {0, 2, 4, 5}
+    assert {r["term"] for r in asked[-1][0].collect()} == {"the", "then", "thes", "harbour", "harbur", "harbours", "theharbour"}
+    asked.clear()
+    assert [r["key"] for r in index.phrase(["harbour", "bay"]).collect()] == [0]
+    (rare, anywhere), (_, within) = asked
+    assert {r["term"] for r in rare.collect()} == {"harbour", "theharbour"} and anywhere is None and within.count() == 4
+
+
+def test_texts_are_compared_behind_the_join(spark):
+    """Texts of documents that are no candidates are not compared with the query."""
+    docs = spark.createDataFrame([(1, "the bay"), (2, "the bag"), (3, "tea bag")], "id long, text string")
+    runs = spark.createDataFrame([(1, "text"), (3, "text")], "key long, field string")
+    found = text_index._confirmed(docs, runs, "id", {"text": 10}, "the bay", 0.2)
+    assert [r["key"] for r in found.collect()] == [1]
+    compared = [line for line in plan_of(found).split("\n") if "levenshtein" in line]
+    assert compared and all("Join" in line for line in compared)  # a condition of the join
+    assert docs.where(near(F.col("text"), "the bay", 0.2)).count() == 2
