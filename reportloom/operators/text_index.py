@@ -181,7 +181,7 @@ def write_index(docs: DataFrame, path: str, key: str, fields: Sequence[str] = tu
     pieces = terms.repartition(tasks, "term").select(_grams(F.col("term")).alias("grams"), "term", "documents")
     grams = pieces.mapInArrow(_by_gram(), "gram string, found array<struct<term: string, documents: bigint>>")
     rows = grams.withColumn("folder", _folder(F.col("gram"), folders))
-    _stored(rows, f"{path}/grams", "gram", lambda lists: lists.select("gram", F.inline("found"), "folder"))
+    _stored(rows, f"{path}/grams", "gram", lambda lists: lists.select("gram", F.inline("found"), "folder"), plain="term")
     kind = docs.schema[key].dataType.simpleString()
     spark.createDataFrame([(folders, kind)], "folders int, kind string").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
 
@@ -191,13 +191,15 @@ def _postings(docs: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     return _unfolded(_gathered(docs, key, fields))
 
 
-def _stored(df: DataFrame, path: str, order: str, unfold: Callable[[DataFrame], DataFrame]) -> None:
+def _stored(df: DataFrame, path: str, order: str, unfold: Callable[[DataFrame], DataFrame], plain: str = "") -> None:
     """A folder per hash, its files sorted, so that row groups without the wanted values are skipped.
 
-    Lists are sorted whole; what Spark then does to bring the rows of a folder together leaves their order.
+    Lists are sorted whole; what Spark then does to bring the rows of a folder together leaves their order. The column `plain`,
+    of too many values for that, is stored without a dictionary.
     """
     rows = df.sortWithinPartitions("folder", order).transform(unfold)
-    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("folder").parquet(path)
+    options = {"compression": "zstd"} | ({f"parquet.enable.dictionary#{plain}": "false"} if plain else {})
+    rows.write.mode("overwrite").options(**options).partitionBy("folder").parquet(path)
 
 
 class TextIndex:
